@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from telemorph.functions.hashing import labels_json, series_fingerprint, with_extras
 from telemorph.functions.scalars import align_to_hour, date_to_epoch, sanitize_name, temporality
 from telemorph.operators.scans import scan_range
-from telemorph.operators.sizing import broadcast_if_small
+from telemorph.operators.sizing import broadcast_if_small, staged
 
 TEMPORALITY_LABEL = "__temporality__"
 
@@ -258,10 +258,11 @@ def rename_labels(labels: Column, mapping: Column) -> Column:
 def classify_attrs(labels: Column, classes: Column) -> tuple[Column, Column, Column]:
     """Split a label map into (resource, scope, point) by a key-to-class map;
     keys without a class are dropped."""
-    return tuple(
-        F.map_filter(labels, lambda k, _, kind=kind: F.coalesce(F.try_element_at(classes, k) == kind, F.lit(False)))
-        for kind in CLASS_ORDER
-    )
+
+    def of(kind: str) -> Column:
+        return F.map_filter(labels, lambda k, _: F.coalesce(F.try_element_at(classes, k) == kind, F.lit(False)))
+
+    return tuple(of(kind) for kind in CLASS_ORDER)
 
 
 def metric_details(pairs: DataFrame, attributes: DataFrame, classes: DataFrame) -> DataFrame:
@@ -410,8 +411,9 @@ def name_mapping(series: DataFrame, metric_overrides: DataFrame, attribute_overr
     """Metric pairs and attribute rows of the upgrade, with what stays open."""
     resolved = resolve_missing(pair_metrics(series), metric_overrides)
     pairs = skip_metrics(resolved, skip)
-    keys = label_keys(series)
-    attributes = pair_attributes(keys, pairs)
+    # Both are as small as the name catalog, and several steps read them.
+    resolved, pairs, keys = staged(resolved), staged(pairs), staged(label_keys(series))
+    attributes = staged(pair_attributes(keys, pairs))
     merged = merge_mappings(attributes)
     complete = resolve_attributes(attributes, attribute_diff(keys, pairs), merged, attribute_overrides)
     return {
@@ -424,9 +426,10 @@ def name_mapping(series: DataFrame, metric_overrides: DataFrame, attribute_overr
 
 
 def upgrade_metrics(series: DataFrame, samples: DataFrame, details: DataFrame, first_ms: int, last_ms: int) -> dict[str, DataFrame]:
-    """Rewrite the normalized series and samples in ``[first_ms, last_ms)``."""
+    """Rewrite the normalized series and samples in ``[first_ms, last_ms)``. The
+    new identities feed three outputs and are staged once."""
     old = scan_range(series.where("normalized"), "unix_milli", first_ms, last_ms, "[)")
-    rewritten = rewrite_series(old, details)
+    rewritten = staged(rewrite_series(old, details))
     fp_map = fingerprint_map(old, rewritten)
     wanted = samples_of_series(samples, series.where("normalized"), first_ms, last_ms, "[)")
     return {

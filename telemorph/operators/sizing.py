@@ -1,10 +1,14 @@
-"""Broadcasting behind a measured size."""
+"""Broadcasting behind a measured size, and staging of shared intermediates."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from telemorph.session import checkpoint_dir
+
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
 
@@ -26,3 +30,12 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> tup
     after that exchange was written."""
     small = measured_bytes(df) <= limit
     return (F.broadcast(df) if small else df), small
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read back: later steps
+    neither repeat its work nor depend on executors that may be lost, and Spark
+    knows its true size when it plans joins."""
+    path = f"{checkpoint_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
