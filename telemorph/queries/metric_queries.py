@@ -23,12 +23,17 @@ def _overrides(t):
     }
 
 
-def _mapping(t):
-    return metrics.name_mapping(d.series_v4(t), **_overrides(t))
+def _series(t):
+    """The catalog as a stored table, as the jobs find it."""
+    return staged(d.series_v4(t))
 
 
-def _details(t):
-    m = _mapping(t)
+def _mapping(t, series=None):
+    return metrics.name_mapping(_series(t) if series is None else series, **_overrides(t))
+
+
+def _details(t, series=None):
+    m = _mapping(t, series)
     return staged(metrics.metric_details(m["pairs"], m["attributes"], metrics.attribute_class(d.attribute_metadata(t))))
 
 
@@ -127,7 +132,7 @@ def v05(t):
     SELECT DISTINCT l.norm_key FROM lone l WHERE l.norm_key NOT IN (SELECT norm_key FROM merged) AND l.norm_key <> 'quantile'"""))
 def v05_attributes(t):
     given = _overrides(t) | {"attribute_overrides": metrics.mapping_rows(t.spark, {"quantile": "quantile"})}
-    return metrics.name_mapping(d.series_v4(t), **given)["open_attributes"]
+    return metrics.name_mapping(_series(t), **given)["open_attributes"]
 
 
 @query("a09_label_keys", with_("series4", f"WITH {KEYS} SELECT metric_name, normalized, key FROM keys"))
@@ -137,7 +142,7 @@ def a09(t):
 
 @query("j05_pair_attributes", with_("series4", f"WITH {PAIRS}, {KEYS}, {ATTRS} SELECT * FROM matched"))
 def j05(t):
-    series = d.series_v4(t)
+    series = _series(t)
     pairs = metrics.resolve_missing(metrics.pair_metrics(series), _overrides(t)["metric_overrides"])
     return metrics.pair_attributes(metrics.label_keys(series), pairs)
 
@@ -148,14 +153,14 @@ def j05(t):
     UNION ALL SELECT ok.norm_name, 'original', ok.orig_key FROM ok
     WHERE NOT EXISTS (SELECT 1 FROM nk WHERE ok.norm_name = nk.norm_name AND ok.clean = nk.clean)"""))
 def j06(t):
-    series = d.series_v4(t)
+    series = _series(t)
     pairs = metrics.resolve_missing(metrics.pair_metrics(series), _overrides(t)["metric_overrides"])
     return metrics.attribute_diff(metrics.label_keys(series), pairs)
 
 
 @query("a14_merge_mappings", with_("series4", f"WITH {PAIRS}, {KEYS}, {ATTRS} SELECT * FROM merged"))
 def a14(t):
-    series = d.series_v4(t)
+    series = _series(t)
     pairs = metrics.resolve_missing(metrics.pair_metrics(series), _overrides(t)["metric_overrides"])
     return metrics.merge_mappings(metrics.pair_attributes(metrics.label_keys(series), pairs))
 
@@ -221,8 +226,9 @@ NEW_SERIES = """fresh AS (SELECT DISTINCT fingerprint, metric_name, temporality,
 
 
 def _rewritten(t):
-    series = d.series_v4(t).where("normalized")
-    return series, metrics.rewrite_series(series, _details(t))
+    stored = _series(t)
+    series = stored.where("normalized")
+    return series, metrics.rewrite_series(series, _details(t, stored))
 
 
 @query("p22_labels_map", with_("series4", """
@@ -347,9 +353,9 @@ def j08(t):
     )
 
 
-def _bounds(t):
-    first = metrics.first_normalized_ts(d.series_v4(t)).first()["first_ts"]
-    return first, metrics.cutover_ts(d.series_v4(t), d.samples_v4(t)).first()["last_ts"]
+def _bounds(series, samples):
+    first = metrics.first_normalized_ts(series).first()["first_ts"]
+    return first, metrics.cutover_ts(series, samples).first()["last_ts"]
 
 
 @query("p30_remap_samples", with_("series4 points", f"""
@@ -358,8 +364,9 @@ def _bounds(t):
     FROM points p JOIN hashed h USING (fingerprint), cut
     WHERE p.ms >= (SELECT min(hour_ms) FROM series4 WHERE normalized) AND p.ms < cut.last_ts"""))
 def p30(t):
-    first, last = _bounds(t)
-    out = metrics.upgrade_metrics(d.series_v4(t), d.samples_v4(t), _details(t), first, last)["samples"]
+    series, samples = _series(t), d.samples_v4(t)
+    first, last = _bounds(series, samples)
+    out = metrics.upgrade_metrics(series, samples, _details(t, series), first, last)["samples"]
     return out.select("metric_name", F.col("fingerprint").cast("string").alias("fingerprint"), "unix_milli", "value", "temporality")
 
 
@@ -370,10 +377,11 @@ def j08_quarantine(t):
     """Without an override the counter has no original name: its series and
     samples are reported instead of being written under an empty name."""
     given = _overrides(t) | {"skip": metrics.mapping_rows(t.spark, {"app_legacy_total": "true"})}
-    m = metrics.name_mapping(d.series_v4(t), **given)
+    series, samples = _series(t), d.samples_v4(t)
+    m = metrics.name_mapping(series, **given)
     details = metrics.metric_details(m["pairs"], m["attributes"], metrics.attribute_class(d.attribute_metadata(t)))
-    first, last = _bounds(t)
-    out = metrics.upgrade_metrics(d.series_v4(t), d.samples_v4(t), details, first, last)
+    first, last = _bounds(series, samples)
+    out = metrics.upgrade_metrics(series, samples, staged(details), first, last)
     return (
         out["quarantined_series"].select(F.lit("series").alias("kind"), "metric_name")
         .unionByName(out["unmatched_samples"].select(F.lit("samples").alias("kind"), "metric_name"))
