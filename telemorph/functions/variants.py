@@ -54,7 +54,7 @@ def edit_fields(value: Column, edits: dict[str, Callable[[Column], Column]]) ->
     def edited(key: Column, old: Column) -> Column:
         chain = None
         for name, change in edits.items():
-            chain = (chain or F).when(key == name, change(old))
+            chain = (F if chain is None else chain).when(key == name, change(old))
         return chain.otherwise(old)
 
     return F.coalesce(F.to_variant_object(F.transform_values(entries(value), edited)), value)
