@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ENTRIES = "map<string,variant>"
@@ -48,6 +48,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def evaluated(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns so that each is computed once per row. The generator
+    keeps the optimizer from copying their expressions into every filter and
+    projection that uses them."""
+    packed = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_once")
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, packed).select(*kept, *[F.col(f"_once.{n}").alias(n) for n in columns])
+
+
 def edit_fields(value: Column, edits: dict[str, Callable[[Column], Column]]) -> Column:
     """Change named fields of an object where they are present."""
 

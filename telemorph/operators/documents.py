@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from telemorph.functions import rewrite as R
 from telemorph.functions import variants as V
+from telemorph.operators.sizing import staged
 
 STRING_MAP = "map<string,string>"
 MIGRATED = "dotMigrated"
@@ -47,38 +48,51 @@ class Names:
 
 def rank_replacements(mapping: NameMapping) -> DataFrame:
     """One row per name: its meaning as a metric, as an attribute, and what
-    replaces it as a word in a text, which is the longer of the two."""
+    replaces it as a word in a text, which is the longer of the two. Keys known
+    for single metrics only are listed without a meaning of their own."""
     rows = mapping.metrics.select(F.col("norm_name").alias("name"), F.lit("metric").alias("kind"), F.col("orig_name").alias("new")).unionByName(
         mapping.everywhere.select(F.col("norm_key").alias("name"), F.lit("attribute").alias("kind"), F.col("orig_key").alias("new"))
-    )
+    ).where("new is not null")
+    keys = mapping.attributes.select(F.col("norm_key").alias("name"), F.lit("key").alias("kind"), F.lit(None).cast("string").alias("new"))
     return (
-        rows.where("name <> '' and new is not null")
+        rows.unionByName(keys)
+        .where("name <> ''")
         .groupBy("name")
         .agg(
             F.max(F.when(F.col("kind") == "metric", F.col("new"))).alias("metric_new"),
             F.max(F.when(F.col("kind") == "attribute", F.col("new"))).alias("attribute_new"),
-            F.max_by("new", F.struct(F.length("new"), "kind", "new")).alias("word_new"),
+            F.max_by("new", F.when(F.col("new").isNotNull(), F.struct(F.length("new"), "kind", "new"))).alias("word_new"),
         )
     )
 
 
 # Escape sequences of JSON text, and the spellings a name can have in it.
 _ESCAPES = r"\\u[0-9A-Fa-f]{4}|\\."
-_SPELLINGS = [r"\w+", r"[\w:]+", r"[\w:.]+", r"[\w:./-]+"]
+_WIDEST = r"[\w:./-]+"
+_NARROWER = [r"\w+", r"[\w:]+", r"[\w:.]+"]
 
 
 def mentioned_names(text: Column) -> Column:
     """Everything in a JSON text that could be a name."""
-    plain = F.regexp_replace(text, _ESCAPES, " ")
-    words = [F.regexp_extract_all(plain, F.lit(p), F.lit(0)) for p in _SPELLINGS]
-    strings = F.regexp_extract_all(text, F.lit(r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'), F.lit(1))
-    return F.array_distinct(F.concat(*words, strings))
+
+    def all_of(value: Column, pattern: str, group: int = 0) -> Column:
+        return F.regexp_extract_all(value, F.lit(pattern), F.lit(group))
+
+    def with_parts(pieces: Column) -> Column:
+        mixed = F.filter(pieces, lambda p: p.rlike(r"[^\w]"))
+        parts = F.flatten(F.transform(mixed, lambda p: F.concat(*[all_of(p, n) for n in _NARROWER])))
+        return F.concat(pieces, parts)
+
+    words = V.let(F.array_distinct(all_of(F.regexp_replace(text, _ESCAPES, " "), _WIDEST)), with_parts)
+    strings = all_of(text, r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"', 1)
+    return F.array_distinct(F.concat(words, strings))
 
 
 def attach_names(docs: DataFrame, mapping: NameMapping, mentioned: Column, key: str = "id") -> tuple[DataFrame, Names]:
     """Add the maps of ``Names`` to every document."""
     mentions = docs.select(key, F.explode(mentioned).alias("name"))
-    hits = mentions.join(rank_replacements(mapping), "name")
+    # What is left are known names only; two aggregations read them.
+    hits = staged(mentions.join(rank_replacements(mapping), "name"))
 
     def gathered(column: str, wanted: Column | None = None) -> Column:
         keep = F.col(column).isNotNull() if wanted is None else wanted
@@ -96,7 +110,7 @@ def attach_names(docs: DataFrame, mapping: NameMapping, mentioned: Column, key:
         hits.where(F.col("metric_new").isNotNull())
         .select(key, F.col("name").alias("norm_name"))
         .join(mapping.attributes.select("norm_name", "norm_key", "orig_key").where("orig_key is not null"), "norm_name")
-        .join(mentions.withColumnRenamed("name", "norm_key"), [key, "norm_key"], "left_semi")
+        .join(hits.select(key, F.col("name").alias("norm_key")), [key, "norm_key"], "left_semi")
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(F.struct("norm_name", "norm_key", "orig_key"))).alias("_attributes"))
     )
@@ -236,16 +250,18 @@ def widget_error(widget: Column) -> Column:
 
 
 def new_widget(widget: Column, names: Names, variables: Column, database: str) -> Column:
-    """A panel under new names; unchanged if one of its queries cannot be read."""
+    """A panel under new names."""
     legend = _text_edit(lambda s: new_text(s, names))
 
     def builder_entry(entry: Column) -> Column:
         source = V.field(entry, "dataSource")
-        return (
-            F.when(V.text(source) == "metrics", R.rename_variant(entry, names.exact, names.words))
-            .when(source.isNotNull(), R.rename_variant(entry, variables, variables))
-            .otherwise(entry)
+        on_metrics = F.coalesce(V.text(source) == "metrics", F.lit(False))
+        renamed = R.rename_variant(
+            entry,
+            F.when(on_metrics, names.exact).otherwise(variables),
+            F.when(on_metrics, names.words).otherwise(variables),
         )
+        return F.when(source.isNotNull(), renamed).otherwise(entry)
 
     sql = {
         "query": _text_edit(lambda q: new_sql(q, names, _is_sql_on_metrics(q, database))),
@@ -262,13 +278,7 @@ def new_widget(widget: Column, names: Names, variables: Column, database: str) -
         "clickhouse_sql": lambda a: V.edit_items(a, sql_entry),
         "promql": lambda a: V.edit_items(a, lambda e: V.edit_fields(e, prom)),
     }
-    return F.when(widget_error(widget), widget).otherwise(V.edit_fields(widget, {"query": lambda q: V.edit_fields(q, edits)}))
-
-
-def _panels(doc: Column) -> Column:
-    widgets = V.no_items(V.items(V.field(doc, "widgets")), "variant")
-    mapped = V.no_items(F.map_values(V.entries(V.field(doc, "panelMap"))), "variant")
-    return F.concat(widgets, mapped)
+    return V.edit_fields(widget, {"query": lambda q: V.edit_fields(q, edits)})
 
 
 def rewrite_dashboards(docs: DataFrame, mapping: NameMapping, database: str, key: str = "id", data: str = "data") -> DataFrame:
@@ -278,33 +288,50 @@ def rewrite_dashboards(docs: DataFrame, mapping: NameMapping, database: str, key
     query."""
     named, names = attach_names(docs, mapping, mentioned_names(F.col(data)), key)
     doc = F.col("_doc")
-    parsed = named.withColumn("_doc", F.try_parse_json(data)).withColumns(
-        {
-            "_variables": variable_names(doc, names),
-            "_error": F.when(V.entries(doc).isNull(), F.lit("invalid JSON")).when(variables_error(doc), F.lit("variables")),
-            "_panel_errors": F.size(F.filter(_panels(doc), widget_error)),
-        }
+    parsed = V.evaluated(named, _doc=F.try_parse_json(data))
+    parsed = V.evaluated(
+        parsed,
+        _variables=variable_names(doc, names),
+        _error=F.when(V.entries(doc).isNull(), F.lit("invalid JSON")).when(variables_error(doc), F.lit("variables")),
     )
-    widget = lambda w: new_widget(w, names, F.col("_variables"), database)
+    # Panels stand in a list or under names; both are rewritten as one list.
+    listed = V.no_items(V.items(V.field(doc, "widgets")), "variant")
+    mapped = V.no_items(F.map_values(V.entries(V.field(doc, "panelMap"))), "variant")
+    pending = F.col("_error").isNull() & ~V.is_true(V.field(doc, MIGRATED))
+
+    def panel(w: Column) -> Column:
+        return V.let(
+            widget_error(w),
+            lambda bad: F.struct(
+                bad.alias("bad"),
+                F.when(bad | ~pending, w).otherwise(new_widget(w, names, F.col("_variables"), database)).alias("value"),
+            ),
+        )
+
+    parsed = V.evaluated(parsed, _panels=F.transform(F.concat(listed, mapped), panel))
+    values = F.transform("_panels", lambda p: p["value"])
+    keys = F.map_keys(V.entries(V.field(doc, "panelMap")))
     renamed = V.edit_fields(
         doc,
         {
             "variables": lambda v: new_variables(v, names),
-            "widgets": lambda w: V.edit_items(w, widget),
-            "panelMap": lambda m: V.edit_values(m, widget),
+            "widgets": lambda w: F.coalesce(F.to_variant_object(F.slice(values, 1, F.size(V.items(w)))), w),
+            "panelMap": lambda m: F.coalesce(
+                F.to_variant_object(F.map_from_arrays(keys, F.slice(values, F.size(listed) + 1, F.size(keys)))), m
+            ),
         },
     )
-    pending = F.col("_error").isNull() & ~V.is_true(V.field(doc, MIGRATED))
     new = F.when(pending, F.to_json(V.with_fields(renamed, **{MIGRATED: F.lit(True)})))
-    return _outcome(parsed.withColumn("_new", new), key, data)
+    done = V.evaluated(parsed.withColumn("_panel_errors", F.size(F.filter("_panels", lambda p: p["bad"]))), _new=new)
+    return _outcome(done, key, data)
 
 
 def _outcome(done: DataFrame, key: str, data: str) -> DataFrame:
-    changed = F.col("_new").isNotNull() & (F.col("_new") != F.to_json("_doc"))
-    return done.select(
+    changed = F.coalesce(F.col("_new") != F.to_json("_doc"), F.lit(False))
+    return V.evaluated(done, changed=changed).select(
         key,
-        F.when(changed, F.col("_new")).otherwise(F.col(data)).alias(data),
-        F.coalesce(changed, F.lit(False)).alias("changed"),
+        F.when(F.col("changed"), F.col("_new")).otherwise(F.col(data)).alias(data),
+        "changed",
         F.col("_error").alias("error"),
         F.coalesce("_panel_errors", F.lit(0)).alias("panel_errors"),
     )
@@ -375,33 +402,28 @@ def source_query(source: Column) -> Column:
     return F.when(raw != "", decoded)
 
 
-def new_source(source: Column, names: Names, database: str) -> Column:
-    """The address with its embedded query renamed; other parameters stay, in
-    key order."""
-
-    def replaced(embedded: Column) -> Column:
-        text = F.to_json(new_composite(embedded, names, database))
-        parts = F.transform(
-            F.filter(F.split(F.regexp_extract(source, r"\?([^#]*)", 1), "&"), lambda p: p != ""),
-            lambda p: F.struct(
-                F.try_url_decode(F.regexp_extract(p, r"\A([^=]*)", 1)).alias("key"),
-                F.try_url_decode(F.regexp_extract(p, r"\A[^=]*=(.*)", 1)).alias("value"),
-            ),
-        )
-        encoded = F.transform(
-            F.array_sort(parts, lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)),
-            lambda p: F.concat(
-                _url_encode(p["key"]),
-                F.lit("="),
-                _url_encode(F.when(p["key"] == SOURCE_PARAM, _url_encode(_url_encode(text))).otherwise(p["value"])),
-            ),
-        )
-        head, tail = F.regexp_extract(source, r"\A([^?#]*)", 1), F.regexp_extract(source, r"(#.*)\z", 1)
-        return F.when(
-            V.entries(embedded).isNotNull(), F.concat(head, F.lit("?"), F.array_join(encoded, "&"), tail)
-        ).otherwise(source)
-
-    return F.coalesce(V.let(F.try_parse_json(source_query(source)), replaced), source)
+def new_source(source: Column, embedded: Column) -> Column:
+    """The address with ``embedded`` as its query; other parameters stay, in key
+    order. Unchanged if there is no embedded query."""
+    parts = F.transform(
+        F.filter(F.split(F.regexp_extract(source, r"\?([^#]*)", 1), "&"), lambda p: p != ""),
+        lambda p: F.struct(
+            F.try_url_decode(F.regexp_extract(p, r"\A([^=]*)", 1)).alias("key"),
+            F.try_url_decode(F.regexp_extract(p, r"\A[^=]*=(.*)", 1)).alias("value"),
+        ),
+    )
+    query = _url_encode(_url_encode(F.to_json(embedded)))
+    encoded = F.transform(
+        F.array_sort(parts, lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)),
+        lambda p: F.concat(
+            _url_encode(p["key"]),
+            F.lit("="),
+            _url_encode(F.when(p["key"] == SOURCE_PARAM, query).otherwise(p["value"])),
+        ),
+    )
+    head, tail = F.regexp_extract(source, r"\A([^?#]*)", 1), F.regexp_extract(source, r"(#.*)\z", 1)
+    address = F.concat(head, F.lit("?"), F.array_join(encoded, "&"), tail)
+    return F.when(V.entries(embedded).isNotNull(), address).otherwise(source)
 
 
 def rewrite_alerts(docs: DataFrame, mapping: NameMapping, database: str, key: str = "id", data: str = "data") -> DataFrame:
@@ -416,27 +438,31 @@ def rewrite_alerts(docs: DataFrame, mapping: NameMapping, database: str, key: st
         F.size(F.filter(V.no_items(F.map_values(V.entries(V.field(composite, name))), "variant"), bad))
         for name, bad in (("promQueries", bad_promql), ("chQueries", bad_sql))
     ]
-    parsed = named.withColumn("_doc", F.try_parse_json(data)).withColumns(
-        {
-            "_error": F.when(V.entries(doc).isNull(), F.lit("invalid JSON")).when(
-                V.entries(composite).isNull(), F.lit("no composite query")
-            ),
-            "_panel_errors": entries[0] + entries[1],
-        }
+    parsed = V.evaluated(named, _doc=F.try_parse_json(data))
+    parsed = V.evaluated(
+        parsed,
+        _error=F.when(V.entries(doc).isNull(), F.lit("invalid JSON")).when(
+            V.entries(composite).isNull(), F.lit("no composite query")
+        ),
+        _panel_errors=entries[0] + entries[1],
     )
+    # The rule's own composite query and the one in its address, rewritten alike.
+    embedded = F.try_parse_json(source_query(V.text(V.field(doc, "source"))))
+    both = F.transform(F.array(composite, embedded), lambda q: new_composite(q, names, database))
+    parsed = V.evaluated(parsed, _queries=both)
     note = _text_edit(lambda s: new_text(s, names))
     renamed = V.edit_fields(
         doc,
         {
-            "condition": lambda c: V.edit_fields(c, {"compositeQuery": lambda q: new_composite(q, names, database)}),
+            "condition": lambda c: V.edit_fields(c, {"compositeQuery": lambda _: F.get("_queries", 0)}),
             "annotations": lambda a: V.edit_fields(a, {"description": note, "summary": note}),
             "labels": lambda m: new_labels(m, names),
-            "source": _text_edit(lambda s: new_source(s, names, database)),
+            "source": _text_edit(lambda s: new_source(s, F.get("_queries", 1))),
         },
     )
     pending = F.col("_error").isNull() & ~V.is_true(V.field(doc, MIGRATED))
     new = F.when(pending, F.to_json(V.with_fields(renamed, **{MIGRATED: F.lit(True)})))
-    return _outcome(parsed.withColumn("_new", new), key, data)
+    return _outcome(V.evaluated(parsed, _new=new), key, data)
 
 
 # ---- flat views ---------------------------------------------------------------------------

@@ -10,12 +10,22 @@ from telemorph.operators import documents as D
 from telemorph.operators import legacy_documents as L
 from telemorph.operators import log_fields as LF
 from telemorph.operators import verify
+from telemorph.operators.sizing import staged
 from telemorph.plans import legacy_names
 from telemorph.queries.registry import query
 from telemorph.sources import derived_documents as dd
 from telemorph.sources.templates import fill_sql
 
 
+def _dashboards(t):
+    """The documents as a stored table, as the jobs find them."""
+    return staged(dd.dashboards(t))
+
+
+def _rules(t):
+    return staged(dd.rules(t))
+
+
 def _mapping(t) -> D.NameMapping:
     """A configured name mapping."""
     make = t.spark.createDataFrame
@@ -122,14 +132,14 @@ OK_RULE = f"id % {dd.BROKEN_JSON} <> 0 AND id % {dd.DONE} <> 0"
     WITH {PART} SELECT id, {fill_sql('{"dotMigrated":true,"layout":[«layout»],"title":"«name»","unknown":{"a":null,"b":"é"},"variables":' + NEW_VARIABLES + ',"widgets":[«panels»]}', layout=layout(OLD_ENTRY, 1), name="name", panels=NEW_PANELS)} AS data
     FROM part_docs WHERE {OK_DASHBOARD}""")
 def d09(t):
-    out = D.rewrite_dashboards(dd.dashboards(t), _mapping(t), dd.METRICS_DATABASE)
+    out = D.rewrite_dashboards(_dashboards(t), _mapping(t), dd.METRICS_DATABASE)
     return out.where("changed").select("id", "data")
 
 
 @query("d09_rename_variables", f"""
     WITH {PART} SELECT id, 'v1' AS name, 'SELECT DISTINCT `service.name` FROM telemetry_metrics.series WHERE env = $env' AS text FROM part_docs WHERE {OK_DASHBOARD}""")
 def d09_variables(t):
-    out = D.rewrite_dashboards(dd.dashboards(t), _mapping(t), dd.METRICS_DATABASE).where("changed")
+    out = D.rewrite_dashboards(_dashboards(t), _mapping(t), dd.METRICS_DATABASE).where("changed")
     return D.flatten_queries(out).where("lang = 'variable'").select("id", "name", "text")
 
 
@@ -138,7 +148,7 @@ def d09_variables(t):
       CASE WHEN id % {dd.BROKEN_JSON} = 0 THEN 'invalid JSON' WHEN id % {dd.BAD_VARIABLE} = 0 THEN 'variables' END AS error,
       CASE WHEN kind = 1 AND id % {dd.BAD_PANEL} = 0 AND id % {dd.BROKEN_JSON} <> 0 THEN 1 ELSE 0 END AS panel_errors FROM part_docs""")
 def d10(t):
-    return D.rewrite_dashboards(dd.dashboards(t), _mapping(t), dd.METRICS_DATABASE).drop("data")
+    return D.rewrite_dashboards(_dashboards(t), _mapping(t), dd.METRICS_DATABASE).drop("data")
 
 
 def _sql_text(json_text: str) -> str:
@@ -284,19 +294,19 @@ NEW_RULE = fill_sql(
 
 @query("d11_rewrite_alerts", f"WITH {PART} SELECT id, {NEW_RULE} AS data FROM part_docs WHERE {OK_RULE}")
 def d11(t):
-    return D.rewrite_alerts(dd.rules(t), _mapping(t), dd.METRICS_DATABASE).where("changed").select("id", "data")
+    return D.rewrite_alerts(_rules(t), _mapping(t), dd.METRICS_DATABASE).where("changed").select("id", "data")
 
 
 @query("d11_alert_errors", f"""
     WITH {PART} SELECT id, {OK_RULE} AS changed, CASE WHEN id % {dd.BROKEN_JSON} = 0 THEN 'invalid JSON' WHEN id % {dd.DONE} = 0 THEN 'no composite query' END AS error,
       CASE WHEN {OK_RULE} AND id % {dd.BAD_PANEL} = 0 THEN 1 ELSE 0 END AS panel_errors FROM part_docs""")
 def d11_errors(t):
-    return D.rewrite_alerts(dd.rules(t), _mapping(t), dd.METRICS_DATABASE).drop("data")
+    return D.rewrite_alerts(_rules(t), _mapping(t), dd.METRICS_DATABASE).drop("data")
 
 
 @query("d12_rewrite_source_url", f"WITH {PART} SELECT id, {_f(NEW_SOURCE)} AS source FROM part_docs WHERE {OK_RULE} AND id % 4 <> 0")
 def d12(t):
-    out = D.rewrite_alerts(dd.rules(t), _mapping(t), dd.METRICS_DATABASE).where("changed")
+    out = D.rewrite_alerts(_rules(t), _mapping(t), dd.METRICS_DATABASE).where("changed")
     return out.select("id", F.get_json_object("data", "$.source").alias("source")).where("source <> ''")
 
 
@@ -313,7 +323,7 @@ LOG_SQL = (
     WITH {PART} SELECT id, {fill_sql('[«p»]', p=panels(f"CASE WHEN kind = 0 THEN {_f(LOG_BUILDER)} WHEN id % {dd.BAD_PANEL} = 0 AND j = 0 THEN {_f(_sql('{{service_name}}', dd.BROKEN_SQL))} ELSE {_f(_sql('{{service_name}}', LOG_SQL))} END"))} AS widgets
     FROM part_docs WHERE src = 'logs' AND id % {dd.BROKEN_JSON} <> 0 AND (kind = 0 OR (kind = 1 AND (n > 1 OR id % {dd.BAD_PANEL} <> 0)))""")
 def d13(t):
-    out = LF.rename_log_fields_dashboards(dd.dashboards(t), _field_mapping(t), dd.LOG_TABLE).where("changed")
+    out = LF.rename_log_fields_dashboards(_dashboards(t), _field_mapping(t), dd.LOG_TABLE).where("changed")
     return out.select("id", F.to_json(V.field(F.parse_json("data"), "widgets")).alias("widgets"))
 
 
@@ -325,7 +335,7 @@ LOG_RULE = _rule_builder("app_event_value", "event.type", "event.type")
       CASE WHEN kind = 0 THEN CASE WHEN id % {dd.BAD_PANEL} = 0 THEN 'SELECT (1 FROM telemetry_metrics.series' ELSE {_f(dd.LOGS_SQL)} END ELSE {_f(LOG_SQL)} END AS sql
     FROM part_docs WHERE src = 'logs' AND {OK_RULE} AND (kind = 0 OR id % {dd.BAD_PANEL} <> 0)""")
 def d13_alerts(t):
-    out = LF.rename_log_fields_alerts(dd.rules(t), _field_mapping(t), dd.LOG_TABLE).where("changed")
+    out = LF.rename_log_fields_alerts(_rules(t), _field_mapping(t), dd.LOG_TABLE).where("changed")
     composite = V.path(F.parse_json("data"), "condition", "compositeQuery")
     return out.select(
         "id", F.to_json(V.field(composite, "builderQueries")).alias("builder"), V.text(V.path(composite, "chQueries", "A", "query")).alias("sql")

@@ -19,6 +19,8 @@ SEMANTICS = {
 SCALE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Document rewriting is heavy per byte: small inputs still use all cores.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     # Split one hot join key over several tasks, also where the split costs an
     # extra exchange for the aggregation that follows the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
