@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from telemorph.functions import rewrite as R
 from telemorph.functions import variants as V
-from telemorph.operators.sizing import staged
+from telemorph.operators.sizing import broadcast_if_small, staged
 
 STRING_MAP = "map<string,string>"
 MIGRATED = "dotMigrated"
@@ -91,8 +91,10 @@ def mentioned_names(text: Column) -> Column:
 def attach_names(docs: DataFrame, mapping: NameMapping, mentioned: Column, key: str = "id") -> tuple[DataFrame, Names]:
     """Add the maps of ``Names`` to every document."""
     mentions = docs.select(key, F.explode(mentioned).alias("name"))
-    # What is left are known names only; two aggregations read them.
-    hits = staged(mentions.join(rank_replacements(mapping), "name"))
+    # Mentions are far more rows than documents: a mapping of moderate size goes
+    # to them. What is left are known names only; two aggregations read them.
+    known, _ = broadcast_if_small(staged(rank_replacements(mapping)))
+    hits = staged(mentions.join(known, "name"))
 
     def gathered(column: str, wanted: Column | None = None) -> Column:
         keep = F.col(column).isNotNull() if wanted is None else wanted

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from telemorph.functions import variants as V
 from telemorph.operators.documents import STRING_MAP
+from telemorph.operators.sizing import broadcast_if_small
 
 # ---- references ------------------------------------------------------------------------
 
@@ -61,7 +62,8 @@ def _builder_references(entry: Column) -> Column:
 
 def resolve_fields(refs: DataFrame, mapping: DataFrame) -> DataFrame:
     """Reference rows (with ``ref``) joined to their new name."""
-    return refs.join(mapping.select("ref", "new_name"), "ref")
+    known, _ = broadcast_if_small(mapping.select("ref", "new_name"))
+    return refs.join(known, "ref")
 
 
 def _attach(docs: DataFrame, refs: Column, mapping: DataFrame, key: str) -> DataFrame:

@@ -1,9 +1,13 @@
 """Exact quantiles that never gather a group in one task.
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer,
-which cannot hold a group with a third of a large table. Here a group is first
-counted into value buckets, the buckets holding the wanted ranks are found from
-those counts, and only their values are ordered. Nothing is approximated.
+which cannot hold a group with a third of a large table. Here values are counted
+into buckets cut from the leading bits of their double representation. The
+wanted ranks are located among the counts of coarse buckets, then among the fine
+buckets of those few, then among their values. A coarse level has 2^12 buckets
+per power of two, a fine one 2^20 per coarse bucket, and a fine bucket at most
+2^20 distinct doubles, so every ordered step is bounded whatever the group
+holds. Nothing is approximated.
 """
 
 from __future__ import annotations
@@ -11,101 +15,106 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per power of two, and an offset that keeps exponents positive.
-STEPS = 4096
+from telemorph.operators.sizing import staged
+
+COARSE = 1 << 12
+FINE = 1 << 20
+# Up to this many distinct values, a group is ordered in one step.
+DIRECT_LIMIT = 1 << 20
+# Keeps the exponents of all doubles positive.
 EXPONENT_OFFSET = 1100
 
 
-def value_bucket(value: Column) -> Column:
-    """A monotone bucket number: its exponent and the leading mantissa bits.
+def value_buckets(value: Column) -> tuple[Column, Column]:
+    """Coarse and fine bucket of a double; both grow with the value.
 
-    If LOG2 rounds to a neighbouring integer next to a power of two, the formula
-    still yields the same or the adjacent number, so order is kept.
+    The size is scaled by a power of two, which is exact. If LOG2 rounds to a
+    neighbouring integer next to a power of two, the formula still yields the
+    same or the adjacent coarse number, so order is kept.
     """
     size = F.abs(value)
     exponent = F.floor(F.log2(size))
-    scaled = F.floor(size / F.pow(F.lit(2.0), exponent.cast("double")) * F.lit(STEPS))
-    positive = (exponent + F.lit(EXPONENT_OFFSET)) * F.lit(STEPS) + scaled - F.lit(STEPS)
-    limit = F.lit((1024 + EXPONENT_OFFSET + 1) * STEPS).cast("bigint")
-    return (
+    scaled = size / F.pow(F.lit(2.0), exponent.cast("double")) * F.lit(COARSE)
+    whole = F.floor(scaled)
+    sign = F.when(value < 0, -1).otherwise(1)
+    regular = sign * ((exponent + F.lit(EXPONENT_OFFSET)) * F.lit(COARSE) + whole - F.lit(COARSE))
+    fine = sign * F.floor((scaled - whole) * F.lit(FINE))
+    limit = F.lit((1024 + EXPONENT_OFFSET + 1) * COARSE).cast("bigint")
+    special = F.isnan(value) | (size == F.lit(float("inf"))) | (value == 0)
+    coarse = (
         F.when(F.isnan(value), limit + F.lit(1))
-        .when(size == F.lit(float("inf")), F.when(value > 0, limit).otherwise(-limit))
+        .when(size == F.lit(float("inf")), sign * limit)
         .when(value == 0, F.lit(0).cast("bigint"))
-        .when(value > 0, positive)
-        .otherwise(-positive)
+        .otherwise(regular)
     )
+    return coarse, F.when(special, F.lit(0).cast("bigint")).otherwise(fine)
+
+
+def _descend(counts: DataFrame, group: list[str], part: str, targets: DataFrame) -> DataFrame:
+    """From ranks within ``group`` to ranks within ``group`` and ``part``: the
+    parts that hold a target, each target counted from the part's start."""
+    sizes = counts.groupBy(*group, part).agg(F.sum("_n").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, 0))
+    placed = sizes.withColumn("_start", upto - F.col("_n")).join(targets, group)
+
+    def shifted(t: Column) -> Column:
+        return F.struct(t["name"].alias("name"), t["side"].alias("side"), (t["rank"] - F.col("_start")).alias("rank"), t["share"].alias("share"))
+
+    inside = F.filter(F.transform("_t", shifted), lambda t: (t["rank"] >= 0) & (t["rank"] < F.col("_n")))
+    return placed.select(*group, part, inside.alias("_t")).where(F.size("_t") > 0)
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+def exact_percentiles(
+    df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float], direct_limit: int = DIRECT_LIMIT
+) -> DataFrame:
     """Linearly interpolated quantiles per group: one column per entry of
-    ``quantiles`` (name to fraction). NULL values are ignored."""
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .select(*keys, F.col(value).cast("double").alias("_v"))
-        .groupBy(*keys, value_bucket(F.col("_v")).alias("_b"), "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    in_group = Window.partitionBy(*keys)
-    histogram = counts.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
-    placed = histogram.withColumns(
-        {
-            "_end": F.sum("_bn").over(in_group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)),
-            "_total": F.sum("_bn").over(in_group),
-        }
-    ).withColumn("_start", F.col("_end") - F.col("_bn"))
-
-    def targets(name: str, q: float) -> list[Column]:
+    ``quantiles`` (name to fraction). NULL values are ignored.
+
+    The distinct values with their counts are staged once. If no group has more
+    than ``direct_limit`` of them they are ordered directly, else bucket by
+    bucket; the result is the same."""
+    # One struct key: NULLs inside it compare as equal.
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+    rows = df.where(F.col(value).isNotNull()).select(key.alias("_key"), F.col(value).cast("double").alias("_v"))
+    coarse, fine = value_buckets(F.col("_v"))
+    counts = staged(rows.groupBy("_key", coarse.alias("_coarse"), fine.alias("_fine"), "_v").agg(F.count(F.lit(1)).alias("_n")))
+
+    def target(name: str, q: float, side: str) -> Column:
         rank = F.lit(q) * (F.col("_total") - F.lit(1))
-        return [
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit(side).alias("side"),
-                (at(rank) - F.col("_start")).cast("bigint").alias("offset"),
-                (rank - F.floor(rank)).alias("fraction"),
-            )
-            for side, at in (("lo", F.floor), ("hi", F.ceil))
-        ]
+        at = F.floor(rank) if side == "lo" else F.ceil(rank)
+        return F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), at.cast("bigint").alias("rank"), (rank - F.floor(rank)).alias("share"))
 
-    wanted = F.filter(
-        F.array(*[t for name, q in quantiles.items() for t in targets(name, q)]),
-        lambda t: (t["offset"] >= 0) & (t["offset"] < F.col("_bn")),
-    )
-    needed = placed.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_nb"), wanted.alias("_t"))
-    needed = needed.where(F.size("_t") > 0)
-    same = F.col("_b") == F.col("_nb")
-    for i, key in enumerate(keys):
-        same = same & F.col(key).eqNullSafe(F.col(f"_k{i}"))
-    in_bucket = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    hits = (
-        counts.join(needed, same)
-        .withColumn("_upto", F.sum("_n").over(in_bucket))
-        .withColumn(
-            "_hit",
-            F.explode(
-                F.filter(
-                    "_t",
-                    lambda t: (t["offset"] < F.col("_upto")) & (t["offset"] >= F.col("_upto") - F.col("_n")),
-                )
-            ),
-        )
-    )
+    totals = counts.groupBy("_key").agg(F.sum("_n").alias("_total"), F.count(F.lit(1)).alias("_distinct"))
+    widest = totals.agg(F.max("_distinct").alias("m")).first()["m"] or 0
+    wanted = F.array(*[target(n, q, side) for n, q in quantiles.items() for side in ("lo", "hi")])
+    targets = totals.select("_key", wanted.alias("_t"))
+    if widest <= direct_limit:
+        targets = _descend(counts, ["_key"], "_v", targets)
+    else:
+        group = ["_key"]
+        for part in ("_coarse", "_fine", "_v"):
+            within = counts if part == "_coarse" else counts.join(targets.select(*group), group, "left_semi")
+            targets = staged(_descend(within, group, part, targets))
+            group.append(part)
+    hits = targets.select("_key", "_v", F.explode("_t").alias("_hit"))
+
+    def picked(name: str, side: str, field: str) -> Column:
+        return F.max(F.when((F.col("_hit.name") == name) & (F.col("_hit.side") == side), F.col(field)))
 
-    def picked(name: str, side: str, field: Column) -> Column:
-        return F.max(F.when((F.col("_hit.name") == name) & (F.col("_hit.side") == side), field))
-
-    parts = {}
-    for name in quantiles:
-        parts[f"_{name}_lo"] = picked(name, "lo", F.col("_v"))
-        parts[f"_{name}_hi"] = picked(name, "hi", F.col("_v"))
-        parts[f"_{name}_f"] = picked(name, "lo", F.col("_hit.fraction"))
-    ends = hits.groupBy(*keys).agg(*[c.alias(n) for n, c in parts.items()])
-    lo, hi, f = "_{}_lo", "_{}_hi", "_{}_f"
-    return ends.select(
-        *keys,
+    ends = hits.groupBy("_key").agg(
         *[
-            F.when(F.col(f.format(n)) == 0, F.col(lo.format(n)))
-            .otherwise(F.col(lo.format(n)) + (F.col(hi.format(n)) - F.col(lo.format(n))) * F.col(f.format(n)))
-            .alias(n)
+            column
             for n in quantiles
-        ],
+            for column in (
+                picked(n, "lo", "_v").alias(f"{n}_lo"),
+                picked(n, "hi", "_v").alias(f"{n}_hi"),
+                picked(n, "lo", "_hit.share").alias(f"{n}_share"),
+            )
+        ]
     )
+
+    def between(n: str) -> Column:
+        low, high, share = F.col(f"{n}_lo"), F.col(f"{n}_hi"), F.col(f"{n}_share")
+        return F.when(share == 0, low).otherwise(low + (high - low) * share).alias(n)
+
+    return ends.select(*[F.col(f"_key.`{k}`").alias(k) for k in keys], *[between(n) for n in quantiles])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemorph.functions.scalars import int_div
+from telemorph.operators.sizing import broadcast_if_small
 
 
 def scan_range(df: DataFrame, ts: str, start, end, closed: str = "(]") -> DataFrame:
@@ -100,17 +101,12 @@ def adaptive_windows(inventory: DataFrame, batch: int = 70_000) -> DataFrame:
 def window_counts(df: DataFrame, inventory: DataFrame, service_col: str = "serviceName", ts: str = "timestamp") -> DataFrame:
     """Rows per window of the adaptive plan. The window number follows from the
     row's distance to the newest row of its service, so rows are only counted,
-    never joined against a list of ranges. Counts are taken per service and
-    microsecond first: what is shuffled for a busy service is its counts."""
+    never joined against a list of ranges, and no range join is needed."""
     plan = inventory.select(
         service_col,
         F.unix_micros("maxt").alias("max_us"),
         F.greatest(int_div(F.col("window_ns"), 1000), F.lit(1)).alias("width_us"),
     )
-    per_instant = df.groupBy(service_col, F.unix_micros(ts).alias("us")).agg(F.count(F.lit(1)).alias("n"))
-    window_no = int_div(F.col("max_us") - F.col("us"), F.col("width_us")).alias("window_no")
-    return (
-        per_instant.join(plan, service_col)
-        .groupBy(service_col, window_no)
-        .agg(F.sum("n").alias("num_total"))
-    )
+    plan, _ = broadcast_if_small(plan)
+    window_no = int_div(F.col("max_us") - F.unix_micros(ts), F.col("width_us")).alias("window_no")
+    return df.select(service_col, ts).join(plan, service_col).groupBy(service_col, window_no).agg(F.count(F.lit(1)).alias("num_total"))

@@ -26,12 +26,14 @@ from telemorph.plans import spec as S
 
 @dataclass
 class Source:
-    """A telemetry table: its rows, epoch milliseconds, and how keys are stored."""
+    """A telemetry table: its rows, epoch milliseconds, and how keys are stored.
+    Metrics keep all keys in one label map, in a catalog beside the samples."""
 
     kind: str
     df: DataFrame
     ts_ms: Column
-    labels: str | None = None  # one map for everything (metrics)
+    labels: str | None = None
+    catalog: DataFrame | None = None
 
     def column(self, key: dict) -> tuple[Column, Column]:
         """Value (the type default where missing) and presence of a key."""
@@ -59,11 +61,10 @@ def traces_source(spans: DataFrame) -> Source:
 
 
 def metrics_source(samples: DataFrame, series: DataFrame) -> Source:
-    """Samples with the label map of their series. The catalog is reduced to one
-    row per fingerprint first."""
-    labels = series.groupBy("fingerprint").agg(F.max("labels").alias("_labels"))
-    joined = samples.join(labels, "fingerprint").withColumn("label_map", F.from_json("_labels", "map<string,string>")).drop("_labels")
-    return Source("metrics", joined, F.col("unix_milli"), "label_map")
+    """Samples and their series catalog, reduced to one row per fingerprint."""
+    catalog = series.groupBy("fingerprint").agg(F.max("labels").alias("_labels"))
+    parsed = catalog.select("fingerprint", F.from_json("_labels", "map<string,string>").alias("label_map"))
+    return Source("metrics", samples, F.col("unix_milli"), "label_map", parsed)
 
 
 # ---- filters ----------------------------------------------------------------------------
@@ -143,11 +144,6 @@ def quantiles(rows: DataFrame, wanted: dict[str, float], approximate: bool = Fal
     return exact_percentiles(rows, ["labels", "ts"], "v", wanted)
 
 
-def _per_series(rows: DataFrame) -> DataFrame:
-    """Largest value per series and bucket: one row per series and step."""
-    return rows.groupBy("series", "labels", "ts").agg(F.max("v").alias("v"))
-
-
 def counter_rate(df: DataFrame, keys: list[str]) -> DataFrame:
     """Increase per second between successive buckets of a counter; a falling
     value is a reset and counts from zero. The window runs over one row per
@@ -178,37 +174,67 @@ def histogram_quantile(buckets: DataFrame, keys: list[str], q: float, le: str =
     return flat.select(*keys, estimate.alias(out))
 
 
-def _aggregate(source: Source, rows: DataFrame, operator: str, step_s: int, approximate: bool) -> DataFrame:
-    """(labels, ts, value) of prepared rows (labels, ts, v, and series, le for
-    metrics)."""
+def _aggregate(rows: DataFrame, operator: str, step_s: int, approximate: bool) -> DataFrame:
+    """(labels, ts, value) of log or span rows (labels, ts, v)."""
     groups = ["labels", "ts"]
-    metrics = source.kind == "metrics"
+    if operator in S.QUANTILES:
+        return quantiles(rows, {"value": S.QUANTILES[operator]}, approximate)
+    if operator in S.HIST_QUANTILES:
+        raise S.InvalidSpec(f"{operator} needs metrics")
     if operator == "count":
-        return rows.groupBy(*groups).agg(F.count(F.lit(1)).cast("double").alias("value"))
-    if operator == "count_distinct":
+        value = F.count(F.lit(1))
+    elif operator == "count_distinct":
+        value = F.approx_count_distinct("v") if approximate else F.count_distinct("v")
+    elif operator in SIMPLE:
+        value = SIMPLE[operator]("v")
+    else:
+        # An amount per second of the step.
+        amount = F.count(F.lit(1)) if operator == "rate" else SIMPLE[operator.replace("rate", "").strip("_")]("v")
+        value = amount / F.lit(float(step_s))
+    return rows.groupBy(*groups).agg(value.cast("double").alias("value"))
+
+
+# How per-series partial results of a bucket add up (sum, count, min, max of it).
+COMBINE = {
+    "count": lambda: F.sum("n").cast("double"),
+    "sum": lambda: F.sum("s"),
+    "avg": lambda: F.sum("s") / F.sum("n"),
+    "min": lambda: F.min("lo"),
+    "max": lambda: F.max("hi"),
+}
+
+
+def _aggregate_metrics(samples: DataFrame, info: DataFrame, operator: str, approximate: bool) -> DataFrame:
+    """(labels, ts, value) of samples (fingerprint, ts, v), given (fingerprint,
+    labels, series, le) per series.
+
+    Where the operator allows it, samples are first reduced to one row per series
+    and bucket: those rows are joined and shuffled, not the samples, and a series
+    with very many samples weighs no more than any other.
+    """
+    groups = ["labels", "ts"]
+    if operator in S.QUANTILES or operator == "count_distinct":
+        rows = samples.join(info, "fingerprint")
+        if operator in S.QUANTILES:
+            return quantiles(rows, {"value": S.QUANTILES[operator]}, approximate)
         distinct = F.approx_count_distinct("v") if approximate else F.count_distinct("v")
         return rows.groupBy(*groups).agg(distinct.cast("double").alias("value"))
-    if operator in SIMPLE:
-        return rows.groupBy(*groups).agg(SIMPLE[operator]("v").cast("double").alias("value"))
-    if operator in S.QUANTILES:
-        return quantiles(rows, {"value": S.QUANTILES[operator]}, approximate)
+    per_series = samples.groupBy("fingerprint", "ts").agg(
+        F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+    )
+    rows = per_series.join(info, "fingerprint")
+    if operator in COMBINE:
+        return rows.groupBy(*groups).agg(COMBINE[operator]().alias("value"))
     if operator in S.HIST_QUANTILES:
-        if not metrics:
-            raise S.InvalidSpec(f"{operator} needs metrics")
-        per_series = rows.groupBy("series", "labels", "ts", "le").agg(F.max("v").alias("v"))
-        return histogram_quantile(per_series, groups, S.HIST_QUANTILES[operator])
-    if metrics:
-        if operator == "rate":
-            return counter_rate(_per_series(rows), ["series"]).select(*groups, F.col("v").alias("value"))
-        fn = SIMPLE[operator.replace("rate", "").strip("_")]
-        if operator in S.SERIES_RATES:
-            rates = counter_rate(_per_series(rows), ["series"])
-            return rates.groupBy(*groups).agg(fn("v").alias("value"))
-        summed = _per_series(rows).groupBy(*groups).agg(fn("v").alias("v"))
-        return counter_rate(summed, ["labels"]).select(*groups, F.col("v").alias("value"))
-    # Logs and spans: an amount per second of the step.
-    amount = F.count(F.lit(1)) if operator == "rate" else SIMPLE[operator.replace("rate", "").strip("_")]("v")
-    return rows.groupBy(*groups).agg((amount / F.lit(float(step_s))).alias("value"))
+        peaks = rows.groupBy("series", *groups, "le").agg(F.max("hi").alias("v"))
+        return histogram_quantile(peaks, groups, S.HIST_QUANTILES[operator])
+    peaks = rows.groupBy("series", *groups).agg(F.max("hi").alias("v"))
+    if operator == "rate":
+        return counter_rate(peaks, ["series"]).select(*groups, F.col("v").alias("value"))
+    fn = SIMPLE[operator.replace("rate", "").strip("_")]
+    if operator in S.SERIES_RATES:
+        return counter_rate(peaks, ["series"]).groupBy(*groups).agg(fn("v").alias("value"))
+    return counter_rate(peaks.groupBy(*groups).agg(fn("v").alias("v")), ["labels"]).select(*groups, F.col("v").alias("value"))
 
 
 # ---- after the aggregation ------------------------------------------------------------------------
@@ -285,6 +311,19 @@ def _in_range(source: Source, start: int, end: int) -> DataFrame:
     return source.df.where((F.col("timestamp") >= low) & (F.col("timestamp") < high))
 
 
+def _series_info(source: Source, condition: Column, groups: list[dict], operator: str) -> DataFrame:
+    """Catalog rows that pass the filters, with their group labels. Label work is
+    done here, once per series instead of once per sample."""
+    every = map_json(F.col(source.labels))
+    labels = every if operator in ("noop", "rate") else _labels_of(source, groups)
+    bound = F.replace(map_lookup(F.col(source.labels), "le", F.lit("")), F.lit("+Inf"), F.lit("Infinity"))
+    # The buckets of one histogram differ in ``le`` only.
+    series = map_json(F.map_filter(source.labels, lambda k, _: k != "le")) if operator in S.HIST_QUANTILES else every
+    return source.catalog.where(condition).select(
+        "fingerprint", labels.alias("labels"), series.alias("series"), bound.try_cast("double").alias("le")
+    )
+
+
 def run_builder_query(
     sources: dict[str, Source],
     spec: dict,
@@ -303,30 +342,31 @@ def run_builder_query(
     rows = _in_range(source, start, end)
     if source.kind == "metrics" and attribute.get("key"):
         rows = rows.where(F.col("metric_name") == attribute["key"])
-    rows = rows.where(filter_set(source, spec.get("filters"), variables, ignore_case))
-    source = Source(source.kind, rows, source.ts_ms, source.labels)
+    condition = filter_set(source, spec.get("filters"), variables, ignore_case)
+    groups = spec.get("groupBy") or []
 
     if panel == "list":
-        return _list_rows(source, spec, name)
-
-    groups = spec.get("groupBy") or []
-    if source.kind == "metrics":
-        value = F.col("value")
-        series_labels = map_json(F.col(source.labels))
-        labels = series_labels if operator in ("noop", "rate") else _labels_of(source, groups)
-        extra = [F.col("fingerprint").alias("series")]
-        if operator in S.HIST_QUANTILES:
-            extra.append(F.replace(map_lookup(F.col(source.labels), "le", F.lit("")), F.lit("+Inf"), F.lit("Infinity")).cast("double").alias("le"))
-            # The buckets of one histogram differ in ``le`` only.
-            extra[0] = map_json(F.map_filter(source.labels, lambda k, _: k != "le")).alias("series")
+        if source.catalog is not None:
+            rows = rows.join(source.catalog, "fingerprint")
+        return _list_rows(Source(source.kind, rows.where(condition), source.ts_ms, source.labels), spec, name)
+
+    if source.catalog is not None:
+        info = _series_info(source, condition, groups, operator)
+        if operator == "noop":
+            raw = rows.select("fingerprint", source.ts_ms.alias("ts"), F.col("value"))
+            result = raw.join(info, "fingerprint").select("ts", "labels", "value")
+        else:
+            samples = rows.select("fingerprint", _bucket(source, step).alias("ts"), F.col("value").alias("v"))
+            result = _aggregate_metrics(samples, info, operator, approximate)
     else:
+        rows = rows.where(condition)
         value = source.column(attribute)[0] if attribute.get("key") else F.lit(1)
-        labels, extra = _labels_of(source, groups), []
-    if operator == "noop":
-        result = rows.select(source.ts_ms.alias("ts"), labels.alias("labels"), value.cast("double").alias("value"))
-    else:
-        prepared = rows.select(labels.alias("labels"), _bucket(source, step).alias("ts"), value.alias("v"), *extra)
-        result = _aggregate(source, prepared, operator, step, approximate)
+        labels = _labels_of(source, groups)
+        if operator == "noop":
+            result = rows.select(source.ts_ms.alias("ts"), labels.alias("labels"), value.cast("double").alias("value"))
+        else:
+            prepared = rows.select(labels.alias("labels"), _bucket(source, step).alias("ts"), value.alias("v"))
+            result = _aggregate(prepared, operator, step, approximate)
     result = apply_having(result.select("ts", "labels", "value"), spec.get("having"))
     order, limit = spec.get("orderBy"), int(spec.get("limit") or 0)
     if panel == "graph" and limit:

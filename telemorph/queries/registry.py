@@ -38,7 +38,5 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    import os
     for module in MODULES:
-        if not os.path.exists(os.path.join(os.path.dirname(__file__), module + ".py")): continue
         importlib.import_module(f"telemorph.queries.{module}")
