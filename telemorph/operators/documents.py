@@ -89,7 +89,10 @@ def mentioned_names(text: Column) -> Column:
 
 
 def attach_names(docs: DataFrame, mapping: NameMapping, mentioned: Column, key: str = "id") -> tuple[DataFrame, Names]:
-    """Add the maps of ``Names`` to every document."""
+    """Add the maps of ``Names`` to every document. Documents are clustered by
+    their key first: the work per document is heavy, and the joins below then
+    need no further exchange of them."""
+    docs = docs.repartition(F.col(key))
     mentions = docs.select(key, F.explode(mentioned).alias("name"))
     # Mentions are far more rows than documents: a mapping of moderate size goes
     # to them. What is left are known names only; two aggregations read them.

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from telemorph.functions import variants as V
 from telemorph.functions.scalars import int_div
+from telemorph.operators.sizing import spread
 from telemorph.plans.legacy_names import legacy_operator, legacy_panel, legacy_query_type, legacy_reduce
 
 STEP_SECONDS = 60
@@ -142,19 +143,13 @@ def is_builder_dashboard(doc: Column) -> Column:
 def _converted(docs: DataFrame, data: str, skip, convert) -> DataFrame:
     """Apply ``convert`` to the parsed documents; (…, data, changed, error)."""
     doc = F.col("_doc")
-    parsed = docs.withColumn("_doc", F.try_parse_json(data))
+    parsed = V.evaluated(spread(docs, data), _doc=F.try_parse_json(data))
     new = F.when(V.entries(doc).isNotNull() & ~F.coalesce(skip(doc), F.lit(False)), F.to_json(convert(doc)))
-    return (
-        parsed.withColumn("_new", new)
-        .withColumns(
-            {
-                data: F.coalesce("_new", data),
-                "changed": F.coalesce(F.col("_new") != F.to_json("_doc"), F.lit(False)),
-                "error": F.when(V.entries(doc).isNull(), F.lit("invalid JSON")),
-            }
-        )
-        .drop("_doc", "_new")
-    )
+    done = V.evaluated(parsed, _new=new)
+    done = V.evaluated(done, changed=F.coalesce(F.col("_new") != F.to_json("_doc"), F.lit(False)))
+    return done.withColumns(
+        {data: F.coalesce("_new", data), "error": F.when(V.entries(doc).isNull(), F.lit("invalid JSON"))}
+    ).drop("_doc", "_new")
 
 
 def upgrade_dashboards_v3(docs: DataFrame, key: str = "id", data: str = "data") -> DataFrame:

@@ -67,6 +67,7 @@ def resolve_fields(refs: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def _attach(docs: DataFrame, refs: Column, mapping: DataFrame, key: str) -> DataFrame:
+    docs = docs.repartition(F.col(key))
     found = resolve_fields(docs.select(key, F.explode(F.array_distinct(refs)).alias("ref")), mapping)
     maps = found.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("ref", "new_name"))).alias("_fields"))
     empty = F.create_map().cast(STRING_MAP)

@@ -39,3 +39,9 @@ def staged(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, column: str) -> DataFrame:
+    """Distribute rows evenly by a column's content, for work that is heavy per
+    row: how the rows happen to lie in files then does not matter."""
+    return df.repartition(F.xxhash64(F.col(column).cast("string")))

@@ -282,29 +282,29 @@ def b46_groups(t):
 
 
 @query("b46_limit_rows", with_("logs", f"""
-    SELECT 'A' AS query_name, ms AS ts, '{{"body":"' || replace(body, '"', '\\"') || '","event.type":"' || event_type || '"}}' AS labels, CAST(NULL AS DOUBLE) AS value
+    SELECT 'A' AS query_name, ms AS ts, '{{"body":"' || replace(body, '"', '\\"') || '","event.type":"' || event_type || '"}}' AS labels
     FROM logs WHERE {IN_RANGE} ORDER BY ms DESC, id LIMIT 25 OFFSET 50"""))
 def b46_rows(t):
-    return run(t, spec(operator="noop", selectColumns=[BODY, ETYPE], offset=50, pageSize=25), panel="list")
+    return run(t, spec(operator="noop", selectColumns=[BODY, ETYPE], offset=50, pageSize=25), panel="list").drop("value")
 
 
 @query("b47_select_columns", with_("logs", f"""
-    SELECT 'A' AS query_name, ms AS ts, '{{"k":"' || CAST(k AS VARCHAR) || '","service.name":"' || svc || '"}}' AS labels, CAST(NULL AS DOUBLE) AS value
+    SELECT 'A' AS query_name, ms AS ts, '{{"k":"' || CAST(k AS VARCHAR) || '","service.name":"' || svc || '"}}' AS labels
     FROM logs WHERE {IN_RANGE} AND is_error"""))
 def b47(t):
     only = {"op": "AND", "items": [item(IS_ERROR, "=", True)]}
     order = [{"columnName": "timestamp", "order": "asc"}]
-    return run(t, spec(operator="noop", selectColumns=[K, SERVICE], filters=only, orderBy=order), panel="list")
+    return run(t, spec(operator="noop", selectColumns=[K, SERVICE], filters=only, orderBy=order), panel="list").drop("value")
 
 
 SERIES = series_sql("sum(value)", by("service.name", "svc"))
 for _how, _sql in {"last": "arg_max(value, ts)", "sum": "sum(value)", "avg": "avg(value)", "min": "min(value)", "max": "max(value)"}.items():
 
     @query(f"b48_reduce_{_how}", with_("logs", f"""
-        SELECT 'A' AS query_name, CAST(NULL AS BIGINT) AS ts, labels, round({_sql}, 6) AS value FROM ({SERIES}) GROUP BY labels"""))
+        SELECT 'A' AS query_name, labels, round({_sql}, 6) AS value FROM ({SERIES}) GROUP BY labels"""))
     def reduced(t, how=_how):
         out = run(t, spec(operator="sum", aggregateAttribute=VALUE, groupBy=[SERVICE], reduceTo=how), panel="table")
-        return rounded(out)
+        return rounded(out).drop("ts")
 
 
 FORMULA = {
@@ -322,17 +322,17 @@ def b49(t):
 
 
 @query("b50_panel_value", with_("logs", f"""
-    SELECT 'A' AS query_name, CAST(NULL AS BIGINT) AS ts, '{{}}' AS labels, avg(value) AS value FROM ({series_sql('count(*)')})"""))
+    SELECT 'A' AS query_name, '{{}}' AS labels, avg(value) AS value FROM ({series_sql('count(*)')})"""))
 def b50_value(t):
-    return run(t, spec(reduceTo="avg"), panel="value")
+    return run(t, spec(reduceTo="avg"), panel="value").drop("ts")
 
 
 @query("b50_panel_table", with_("logs", f"""
-    SELECT 'A' AS query_name, CAST(NULL AS BIGINT) AS ts, labels, sum(value) AS value FROM ({series_sql('count(*)', by('service.name', 'svc'))}) GROUP BY labels
+    SELECT 'A' AS query_name, labels, sum(value) AS value FROM ({series_sql('count(*)', by('service.name', 'svc'))}) GROUP BY labels
     ORDER BY value DESC, labels LIMIT 4"""))
 def b50_table(t):
     order = [{"columnName": "value", "order": "desc"}]
-    return run(t, spec(groupBy=[SERVICE], reduceTo="sum", limit=4, orderBy=order), panel="table")
+    return run(t, spec(groupBy=[SERVICE], reduceTo="sum", limit=4, orderBy=order), panel="table").drop("ts")
 
 
 @query("b51_composite", with_("logs spans", f"""

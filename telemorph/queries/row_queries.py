@@ -67,7 +67,7 @@ def p04(t):
 @query("p05_narrow_int", with_("ev", """
     SELECT event_id, CASE WHEN x % 256 >= 128 THEN x % 256 - 256 ELSE x % 256 END AS wrapped8,
            CASE WHEN (x * 7) % 65536 >= 32768 THEN (x * 7) % 65536 - 65536 ELSE (x * 7) % 65536 END AS wrapped16,
-           CASE WHEN x <= 127 THEN x END AS safe8
+           CASE WHEN x <= 127 THEN x ELSE -1 END AS safe8
     FROM (SELECT event_id, event_id * 3 AS x FROM ev)"""))
 def p05(t):
     x = F.col("event_id") * 3
@@ -75,7 +75,7 @@ def p05(t):
         "event_id",
         scalars.narrow_int(x, 8).cast("bigint").alias("wrapped8"),
         scalars.narrow_int(x * 7, 16).cast("bigint").alias("wrapped16"),
-        scalars.narrow_int(x, 8, wrap=False).cast("bigint").alias("safe8"),
+        F.coalesce(scalars.narrow_int(x, 8, wrap=False).cast("bigint"), F.lit(-1)).alias("safe8"),
     )
 
 

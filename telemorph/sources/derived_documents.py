@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from telemorph.operators.sizing import spread
 from telemorph.sources.tables import Tables
 from telemorph.sources.templates import fill
 
@@ -58,7 +59,7 @@ DASHBOARD = (
 
 def _part(t: Tables) -> DataFrame:
     key = F.col("p_partkey")
-    return t.part.select(
+    return spread(t.part, "p_partkey").select(
         key.alias("id"),
         F.col("p_name").alias("name"),
         F.col("p_size").alias("size"),

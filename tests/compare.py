@@ -45,6 +45,17 @@ def as_counter(columns: list[str], rows) -> Counter:
     return Counter(tuple(normal(row[i]) for i in order) for row in rows)
 
 
+def families(kinds: list[str]) -> list[str]:
+    """Type families both engines share; anything else is shown as it is."""
+    names = {
+        "int": ["tinyint", "smallint", "int", "integer", "bigint"],
+        "float": ["double", "float"],
+        "text": ["string", "varchar"],
+        "bool": ["boolean"],
+    }
+    return [next((f for f, members in names.items() if k.lower() in members), k) for k in kinds]
+
+
 def compare(spark, con, name: str, folder: str) -> tuple[bool, str]:
     from telemorph.queries import ORACLES, QUERIES
 
@@ -57,6 +68,10 @@ def compare(spark, con, name: str, folder: str) -> tuple[bool, str]:
     want = as_counter(columns, cursor.fetchall())
     if sorted(columns) != sorted(df.columns):
         return False, f"columns differ: {sorted(df.columns)} vs {sorted(columns)}"
+    ours = dict(zip(df.columns, families([f.dataType.simpleString() for f in df.schema])))
+    theirs = dict(zip(columns, families([str(c[1]) for c in cursor.description])))
+    if ours != theirs:
+        return False, f"types differ: {sorted(set(ours.items()) ^ set(theirs.items()))}"
     if got != want:
         return False, f"rows {sum(got.values())} vs {sum(want.values())}; only ours {list((got - want))[:3]}; only SQL {list((want - got))[:3]}"
     return True, f"{sum(got.values())} rows"
