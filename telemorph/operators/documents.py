@@ -32,6 +32,12 @@ class NameMapping:
     everywhere: DataFrame
 
 
+def mapping_from(tables: dict[str, DataFrame]) -> NameMapping:
+    """The mapping found by ``metrics.name_mapping``."""
+    known = tables["pairs"].where("orig_name is not null").select("norm_name", "orig_name")
+    return NameMapping(known, tables["attributes"].select("norm_name", "norm_key", "orig_key"), tables["global"])
+
+
 @dataclass
 class Names:
     """The part of the mapping one document needs, as columns of its row."""

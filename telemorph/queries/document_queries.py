@@ -205,6 +205,20 @@ def d03(t):
     return D.rewrite_names(_queries(t), _mapping(t))
 
 
+MAPPED_PROM = NEW_PROM.replace("k8s_node_name", "k8s.node.name")
+
+
+@query("d03_rewrite_names_from_series", f"""
+    WITH {PART}, p AS (SELECT *, unnest(range(n)) AS j FROM part_docs WHERE id % {dd.BROKEN_JSON} <> 0)
+    SELECT id || '/' || j AS id, 'promql' AS lang, {_f(_sql_text(MAPPED_PROM))} AS text FROM p WHERE kind = 2""")
+def d03_from_series(t):
+    """The whole way: names are paired from the series catalog, then used."""
+    from telemorph.queries.metric_queries import _mapping as name_mapping
+
+    out = D.rewrite_names(_queries(t).where("lang = 'promql'"), D.mapping_from(name_mapping(t)))
+    return out.where("error is null").drop("error")
+
+
 # ---- text functions on stored texts ---------------------------------------------------
 
 

@@ -100,3 +100,23 @@ def test_scalar_of_several_series_is_not_a_number(spark):
     df = spark.createDataFrame([({"a": "1"}, 1, 2.0), ({"a": "2"}, 1, 3.0), ({"a": "1"}, 2, 4.0)], "labels map<string,string>, ts bigint, value double")
     got = {r["ts"]: r["value"] for r in P.scalar(df).collect()}
     assert got[2] == 4.0 and got[1] != got[1]
+
+
+def test_approximate_aggregations(spark):
+    rows = [("a", i, float(i)) for i in range(1000)]
+    logs = spark.createDataFrame(rows, "id string, n bigint, v double").select(
+        "id", (F.col("n") * 1_000_000).alias("timestamp"), F.create_map(F.lit("v"), F.col("v")).alias("attributes_number")
+    )
+    value = {"key": "v", "dataType": "float64", "type": "tag", "isColumn": False}
+    for operator, exact in (("count_distinct", 1000.0), ("p50", 499.5)):
+        spec = query(aggregateOperator=operator, aggregateAttribute=value, stepInterval=60)
+        run = lambda approximate, spec=spec: B.run_builder_query({"logs": B.logs_source(logs)}, spec, 0, 60_000, approximate=approximate).first()["value"]
+        assert run(False) == exact
+        assert abs(run(True) - exact) <= 0.1 * exact
+
+
+def test_every_query_disabled(spark):
+    logs = spark.createDataFrame([("a", 1)], "id string, timestamp bigint")
+    composite = {"builderQueries": {"A": query(disabled=True)}, "panelType": "graph", "queryType": "builder"}
+    with pytest.raises(S.InvalidSpec, match="disabled"):
+        B.run_composite({"logs": B.logs_source(logs)}, composite, 0, 10)
