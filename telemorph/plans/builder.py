@@ -122,6 +122,8 @@ def filter_set(source: Source, filters: dict | None, variables: dict | None = No
 
 # ---- aggregation ----------------------------------------------------------------------------
 
+# Relative standard deviation of approximate distinct counts.
+DISTINCT_ERROR = 0.02
 SIMPLE = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max}
 
 
@@ -184,7 +186,7 @@ def _aggregate(rows: DataFrame, operator: str, step_s: int, approximate: bool) -
     if operator == "count":
         value = F.count(F.lit(1))
     elif operator == "count_distinct":
-        value = F.approx_count_distinct("v") if approximate else F.count_distinct("v")
+        value = F.approx_count_distinct("v", DISTINCT_ERROR) if approximate else F.count_distinct("v")
     elif operator in SIMPLE:
         value = SIMPLE[operator]("v")
     else:
@@ -217,7 +219,7 @@ def _aggregate_metrics(samples: DataFrame, info: DataFrame, operator: str, appro
         rows = samples.join(info, "fingerprint")
         if operator in S.QUANTILES:
             return quantiles(rows, {"value": S.QUANTILES[operator]}, approximate)
-        distinct = F.approx_count_distinct("v") if approximate else F.count_distinct("v")
+        distinct = F.approx_count_distinct("v", DISTINCT_ERROR) if approximate else F.count_distinct("v")
         return rows.groupBy(*groups).agg(distinct.cast("double").alias("value"))
     per_series = samples.groupBy("fingerprint", "ts").agg(
         F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
