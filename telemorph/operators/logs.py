@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from telemorph.functions.hashing import resource_json
 from telemorph.functions.maps import arrays_to_map, empty_map, merge_number_attrs
 from telemorph.functions.scalars import int_div, ts_bucket
-from telemorph.operators.resources import attach_fingerprint, resource_catalog
+from telemorph.operators.resources import fingerprint_resources
 
 LOG_V2_COLUMNS = [
     "ts_bucket_start", "resource_fingerprint", "timestamp", "observed_timestamp", "id", "trace_id",
@@ -50,7 +50,5 @@ def upgrade_logs_v2(df: DataFrame) -> DataFrame:
 def upgrade_logs(df: DataFrame) -> dict[str, DataFrame]:
     """Second-layout logs and their resource catalog."""
     rows = upgrade_logs_v2(df).withColumn("_labels", resource_json(F.col("resources_string")))
-    return {
-        "logs": attach_fingerprint(rows, "_labels").select(*LOG_V2_COLUMNS),
-        "resources": resource_catalog(rows, "_labels"),
-    }
+    rows, catalog = fingerprint_resources(rows, "_labels")
+    return {"logs": rows.select(*LOG_V2_COLUMNS), "resources": catalog}

@@ -9,34 +9,39 @@ then shuffle the whole log or span table, which costs more than the hash.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemorph.functions.hashing import resource_fingerprint
-from telemorph.operators.sizing import BROADCAST_LIMIT_BYTES, broadcast_if_small
+from telemorph.operators.sizing import BROADCAST_LIMIT_BYTES, broadcast_if_small, staged
 
 
-def _fingerprint_of(labels: str):
+def _fingerprint_of(labels: str) -> Column:
     return resource_fingerprint(F.from_json(labels, "map<string,string>"))
 
 
-def attach_fingerprint(rows: DataFrame, labels: str, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+def distinct_fingerprints(rows: DataFrame, labels: str) -> DataFrame:
+    """(labels, resource_fingerprint), computed once per resource."""
+    return staged(rows.select(labels).distinct().withColumn("resource_fingerprint", _fingerprint_of(labels)))
+
+
+def attach_fingerprint(rows: DataFrame, labels: str, limit: int = BROADCAST_LIMIT_BYTES, lookup: DataFrame | None = None) -> DataFrame:
     """Replace the canonical resource text ``labels`` by ``resource_fingerprint``."""
-    distinct, small = broadcast_if_small(rows.select(labels).distinct(), limit)
+    lookup, small = broadcast_if_small(lookup if lookup is not None else distinct_fingerprints(rows, labels), limit)
     if small:
-        lookup = distinct.withColumn("resource_fingerprint", _fingerprint_of(labels))
-        return rows.join(F.broadcast(lookup), labels).drop(labels)
+        return rows.join(lookup, labels).drop(labels)
     return rows.withColumn("resource_fingerprint", _fingerprint_of(labels)).drop(labels)
 
 
-def resource_catalog(rows: DataFrame, labels: str, bucket: str = "ts_bucket_start") -> DataFrame:
-    """Distinct (labels, fingerprint, bucket) over the whole table."""
-    return (
-        rows.select(bucket, labels)
-        .distinct()
-        .select(
-            F.col(labels).alias("labels"),
-            _fingerprint_of(labels).alias("fingerprint"),
-            F.col(bucket).alias("seen_at_ts_bucket_start"),
-        )
+def fingerprint_resources(rows: DataFrame, labels: str, bucket: str = "ts_bucket_start") -> tuple[DataFrame, DataFrame]:
+    """Rows with their fingerprint, and the distinct (labels, fingerprint, bucket)
+    over the whole table. One pass over the bucket and resource columns finds
+    the pairs; the fingerprints come from those, not from the rows."""
+    seen = staged(rows.select(bucket, labels).distinct())
+    lookup = distinct_fingerprints(seen, labels)
+    catalog = seen.join(lookup, labels).select(
+        F.col(labels).alias("labels"),
+        F.col("resource_fingerprint").alias("fingerprint"),
+        F.col(bucket).alias("seen_at_ts_bucket_start"),
     )
+    return attach_fingerprint(rows, labels, lookup=lookup), catalog

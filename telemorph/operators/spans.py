@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from telemorph.functions.hashing import resource_json
 from telemorph.functions.maps import sorted_map
 from telemorph.functions.scalars import int_to_bool, narrow_int, ts_bucket, ts_to_ns
-from telemorph.operators.resources import attach_fingerprint, resource_catalog
+from telemorph.operators.resources import fingerprint_resources
 
 # Column order of the second layout's main table.
 SPAN_V2_COLUMNS = [
@@ -133,25 +133,23 @@ def unmatched_links(spans: DataFrame, models: DataFrame) -> DataFrame:
     return spans.join(ids, "spanID", "left_anti").select("traceID", "spanID")
 
 
-def upgrade_spans_v3(df: DataFrame) -> DataFrame:
-    """Rename to the third layout; ``df`` must already hold ``links``."""
+def upgrade_spans_v3(df: DataFrame, *more: str) -> DataFrame:
+    """Rename to the third layout; ``df`` must already hold ``links`` and any
+    further columns to carry along."""
     return df.select(
         ts_bucket(F.unix_seconds("timestamp")).alias("ts_bucket_start"),
         *[F.col(old).alias(new) for old, new in SPAN_V3_NAMES.items()],
         "links",
+        *more,
     )
 
 
 def upgrade_spans_to_v3(spans: DataFrame, models: DataFrame, by_trace: bool = False) -> dict[str, DataFrame]:
     """Third-layout spans and their resource catalog."""
-    rows = upgrade_spans_v3(attach_links(spans, models, by_trace)).withColumn(
-        "_labels", resource_json(F.col("resources_string"))
-    )
-    catalog = resource_catalog(rows, "_labels")
+    # Resources need no links: the catalog is found without that join.
+    labelled = spans.withColumn("_labels", resource_json(F.col("resourceTagsMap")))
+    bucketed = labelled.withColumn("ts_bucket_start", ts_bucket(F.unix_seconds("timestamp")))
+    rows, catalog = fingerprint_resources(bucketed, "_labels")
+    upgraded = upgrade_spans_v3(attach_links(rows, models, by_trace), "resource_fingerprint")
     ordered = ["ts_bucket_start", "resource_fingerprint", *SPAN_V3_NAMES.values(), "links"]
-    return {
-        "spans": attach_fingerprint(rows, "_labels").select(*ordered),
-        "resources": catalog,
-    }
-
-
+    return {"spans": upgraded.select(*ordered), "resources": catalog}
