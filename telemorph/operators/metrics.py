@@ -409,10 +409,9 @@ def cutover_ts(series: DataFrame, samples: DataFrame) -> DataFrame:
 
 def name_mapping(series: DataFrame, metric_overrides: DataFrame, attribute_overrides: DataFrame, skip: DataFrame) -> dict[str, DataFrame]:
     """Metric pairs and attribute rows of the upgrade, with what stays open."""
-    resolved = resolve_missing(pair_metrics(series), metric_overrides)
+    # All as small as the name catalog, and read by several steps.
+    resolved, keys = staged(resolve_missing(pair_metrics(series), metric_overrides)), staged(label_keys(series))
     pairs = skip_metrics(resolved, skip)
-    # Both are as small as the name catalog, and several steps read them.
-    resolved, pairs, keys = staged(resolved), staged(pairs), staged(label_keys(series))
     attributes = staged(pair_attributes(keys, pairs))
     merged = merge_mappings(attributes)
     complete = resolve_attributes(attributes, attribute_diff(keys, pairs), merged, attribute_overrides)
