@@ -191,10 +191,12 @@ def score(
     least = 1 << (floor - 1)  # counts from here on are in the head
 
     bloom = np.zeros(words, U)
-    for row in counted.select("part", "slice").collect():
-        size = words // RANGES
-        bloom[row["part"] * size : (row["part"] + 1) * size] = np.frombuffer(zlib.decompress(row["slice"]), U)
+    size = words // RANGES
+    for turn in range(8):  # an eighth of the slices at a time
+        for row in counted.where(F.col("part") % 8 == turn).select("part", "slice").collect():
+            bloom[row["part"] * size : (row["part"] + 1) * size] = np.frombuffer(zlib.decompress(row["slice"]), U)
     shared_bloom = spark.sparkContext.broadcast(bloom)
+    del bloom
 
     def frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -260,6 +262,8 @@ def score(
             weigh, f"doc_id {kind}, key string, n_tokens long, n_known long, own double, score double, tail array<long>, times array<long>"
         )
     )
+    shared_bloom.destroy()  # what it was for is written
+    shared_head.destroy()
     # Rarer tokens meet their exact counts in a join, and the sums come back per
     # text. Rows that are equal share a key, so its sum is that of all of them.
     rare = packs.mapInPandas(unigram_rows, "gram long, c long").where(F.col("c") < least)
