@@ -7,7 +7,8 @@ sets form a class, and only classes are joined:
    (|A| + |B|) shingles, D bounded by their size class. The shingles are cut by
    hash range into more than D cells, so at least one cell holds the same
    shingles in both: classes that share a cell's content form a family. Every
-   class pairs with the smallest of each cell only, never all with all.
+   class pairs with the smallest of each cell only, never all with all, and is
+   compared with those of them it shares most cells with.
 2. Bound. Shingles are hashed into ``GROUPS`` groups; the counts per group are a
    point. Two sets share at most the sum of the smaller coordinates, which
    drops pairs before their shingles are compared.
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemorph.llm.components import components
@@ -36,6 +37,10 @@ from telemorph.llm.shared import only_with, stage, without
 GROUPS = 32
 #: Points of an R-tree leaf, and leaves below a node.
 LEAF, FAN = 32, 16
+#: Sets from which on no cells need to be nearly empty for a pair to be found.
+LARGE = 128
+#: Classes that one is compared with first: those it shares most cells with.
+FIRST = 3
 #: Members of a family, and members outside its largest component, in one task.
 BLOCK, SEARCH_BLOCK = 4096, 1024
 
@@ -95,10 +100,13 @@ def cells(shingles: np.ndarray, rule: Rule) -> np.ndarray:
     """Keys of one set: for its own size class and the next, one for the content
     of each cell. Any two linked sets that differ share a key.
 
-    With C cells and D differing shingles at least C - D cells are equal in
-    both. Empty cells say nothing and are left out, unless nearly the whole set
-    (all but D shingles) lies in D cells: only then could all equal cells of a
-    pair be empty, and then this holds for both of its sets.
+    With D differing shingles all but D cells are equal in both. Empty cells say
+    nothing and are left out, so a set must fill more than D of them. Large sets
+    do: that 128 or more hashes fall into D of 1.6 D cells is as likely as a
+    collision of two hashes. Small sets are cut into more cells, and if nearly the
+    whole set (all but D shingles) still lies in D of them, the empty ones count
+    too; if that holds for one set of a pair in its strict form (all of it in D
+    cells), it holds in this form for the other.
     """
     keys = []
     own = rule.size_class(len(shingles))
@@ -108,7 +116,8 @@ def cells(shingles: np.ndarray, rule: Rule) -> np.ndarray:
         differ = rule.most_differing(size_class)
         if differ < 1:
             continue  # linked sets of this size are equal
-        count = int(np.ceil(1.6 * differ)) + 2
+        large = rule.ratio ** -(size_class - 1) >= LARGE
+        count = int(np.ceil(1.6 * differ)) + 2 if large else 4 * differ + 12
         edges = (np.arange(1, count, dtype=U) * U((1 << 64) // count)).astype(U)
         at = np.r_[0, np.searchsorted(shingles, edges), len(shingles)]
         sizes = np.diff(at)
@@ -116,7 +125,7 @@ def cells(shingles: np.ndarray, rule: Rule) -> np.ndarray:
             content = sums[at[1:]] - sums[at[:-1]]
             names = mix(np.arange(count, dtype=U) + U(size_class) * U(1 << 32))
         found = combine(content, names)
-        concentrated = np.sort(sizes)[::-1][:differ].sum() >= len(shingles) - differ
+        concentrated = not large and np.sort(sizes)[::-1][:differ].sum() >= len(shingles) - differ
         keys.append(found if concentrated else found[sizes > 0])
     return np.concatenate(keys) if keys else np.zeros(0, U)
 
@@ -151,25 +160,27 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
             keys, owners = keys[order], owners[order]
             bounds = np.searchsorted(keys, (np.arange(parts, dtype=U) * U((1 << 64) // parts)).astype(U))
             bounds = np.r_[bounds, len(keys)]
+            keys = (keys >> U(16)).astype(np.uint32)  # within a part the next bits tell cells apart; a false pair is verified like any other
             yield pd.DataFrame(
                 [(p, keys[a:b].tobytes(), owners[a:b].tobytes()) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a],
                 columns=["part", "keys", "owners"],
             )
 
     def pair(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = np.concatenate([np.frombuffer(x, U) for x in rows["keys"]])
+        keys = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["keys"]])
         owners = np.concatenate([np.frombuffer(x, np.int64) for x in rows["owners"]])
         order = np.lexsort((owners, keys))
         keys, owners = keys[order], owners[order]
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         least = np.repeat(owners[first], np.diff(np.r_[first, len(keys)]))
-        pairs = np.unique(np.stack([owners, least], 1)[owners != least], axis=0)
-        return pd.DataFrame(pairs, columns=["a", "b"])
+        pairs, cells_shared = np.unique(np.stack([owners, least], 1)[owners != least], axis=0, return_counts=True)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "n": cells_shared})
 
     body = docs.select("doc_id", "text")
     sketches = stage(body.mapInPandas(sketch, f"doc_id {kind}, n_shingles long, digest long"))
     packed = body.select("text").mapInPandas(deal, "part int, keys binary, owners binary")
-    pairs = stage(packed.repartition(parts, "part").groupBy("part").applyInPandas(pair, "a long, b long").distinct())
+    shared = packed.repartition(parts, "part").groupBy("part").applyInPandas(pair, "a long, b long, n long")
+    pairs = stage(shared.groupBy("a", "b").agg(F.sum("n").alias("n")))
 
     # The shingles of one document of every class in a pair.
     involved = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
@@ -190,8 +201,9 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
     # Bound by the points alone, then compare shingles.
     narrow = sets.select("digest", "size", "point")
     least = F.aggregate(F.zip_with("point_a", "point_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    first = pairs.withColumn("nth", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("n"), "b"))).where(F.col("nth") <= FIRST)
     bounded = (
-        pairs.join(narrow.select(F.col("digest").alias("a"), F.col("size").alias("size_a"), F.col("point").alias("point_a")), "a")
+        first.join(narrow.select(F.col("digest").alias("a"), F.col("size").alias("size_a"), F.col("point").alias("point_a")), "a")
         .join(narrow.select(F.col("digest").alias("b"), F.col("size").alias("size_b"), F.col("point").alias("point_b")), "b")
         .where(least * (100 + rule.percent) >= rule.percent * (F.col("size_a") + F.col("size_b")))
         .select("a", "b", "size_a", "size_b")
