@@ -6,17 +6,20 @@ sets form a class, and only classes are joined:
 1. Deal. Two sets of similarity t differ in at most D = (1 - t) / (1 + t) *
    (|A| + |B|) shingles, D bounded by their size class. The shingles are cut by
    hash range into more than D cells, so at least one cell holds the same
-   shingles in both: classes that share a cell's content form a family. Every
+   shingles in both. Every
    class pairs with the smallest of each cell only, never all with all, and is
    compared with those of them it shares most cells with.
 2. Bound. Shingles are hashed into ``GROUPS`` groups; the counts per group are a
    point. Two sets share at most the sum of the smaller coordinates, which
    drops pairs before their shingles are compared.
-3. Families that the verified pairs leave in one component are done. In all
-   others the members outside the largest component are searched in an R-tree
-   of count vectors over the family, block by block: a node's box bounds the
-   overlap with everything below it, points bound it again, and survivors are
-   verified against the shingles, unless links found before join them already.
+   Linked classes share many cells, so those that share few with all others
+   leave.
+3. Search. Cells whose members the links found so far leave in one component are
+   done. In all others the members outside the largest component are searched in
+   an R-tree of count vectors over the cell, block by block: a node's box bounds
+   the overlap with everything below it, points bound it again. What survives
+   names two components that may be linked; their surviving members are verified
+   against the shingles until a link is found.
 """
 
 from __future__ import annotations
@@ -34,14 +37,14 @@ from telemorph.llm.language_model import pieces
 from telemorph.llm.shared import only_with, stage, without
 
 #: Coordinates of a point.
-GROUPS = 32
+GROUPS = 64
 #: Points of an R-tree leaf, and leaves below a node.
 LEAF, FAN = 32, 16
 #: Sets from which on no cells need to be nearly empty for a pair to be found.
 LARGE = 128
 #: Classes that one is compared with first: those it shares most cells with.
 FIRST = 3
-#: Members of a family, and members outside its largest component, in one task.
+#: Members of a cell, and members outside its largest component, searched at once.
 BLOCK, SEARCH_BLOCK = 4096, 1024
 
 
@@ -96,9 +99,11 @@ class Rule:
         return -(-self.percent * sizes // (100 + self.percent))
 
 
-def cells(shingles: np.ndarray, rule: Rule) -> np.ndarray:
+def cells(shingles: np.ndarray, rule: Rule) -> tuple[np.ndarray, list[int]]:
     """Keys of one set: for its own size class and the next, one for the content
-    of each cell. Any two linked sets that differ share a key.
+    of each cell, the class's last bit in bit 16. Any two linked sets that differ
+    share as many keys of one class as they fill cells beyond the shingles that
+    can differ: those numbers, for even and odd classes, come with the keys.
 
     With D differing shingles all but D cells are equal in both. Empty cells say
     nothing and are left out, so a set must fill more than D of them. Large sets
@@ -108,7 +113,7 @@ def cells(shingles: np.ndarray, rule: Rule) -> np.ndarray:
     too; if that holds for one set of a pair in its strict form (all of it in D
     cells), it holds in this form for the other.
     """
-    keys = []
+    keys, needed = [], [1 << 30, 1 << 30]
     own = rule.size_class(len(shingles))
     sums = np.zeros(len(shingles) + 1, U)
     np.cumsum(mix(shingles ^ U(0x77)), out=sums[1:])
@@ -124,10 +129,11 @@ def cells(shingles: np.ndarray, rule: Rule) -> np.ndarray:
         with np.errstate(over="ignore"):
             content = sums[at[1:]] - sums[at[:-1]]
             names = mix(np.arange(count, dtype=U) + U(size_class) * U(1 << 32))
-        found = combine(content, names)
+        found = (combine(content, names) & U((1 << 64) - 1 - (1 << 16))) | U((size_class & 1) << 16)
+        needed[size_class & 1] = max(1, int((sizes > 0).sum()) - differ)
         concentrated = not large and np.sort(sizes)[::-1][:differ].sum() >= len(shingles) - differ
         keys.append(found if concentrated else found[sizes > 0])
-    return np.concatenate(keys) if keys else np.zeros(0, U)
+    return np.concatenate(keys) if keys else np.zeros(0, U), needed
 
 
 def points(shingles: np.ndarray) -> np.ndarray:
@@ -135,6 +141,18 @@ def points(shingles: np.ndarray) -> np.ndarray:
     return np.bincount((mix(shingles) % U(GROUPS)).astype(np.int64), minlength=GROUPS)
 
 
+def dense(cells: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Cells without the classes that share too few with any others to link, and
+    without the cells that are then left to one class."""
+    odd = F.col("cell") % 2 != 0
+    needed = sketches.where("n_shingles > 0").groupBy("digest").agg(F.first("even").alias("even"), F.first("odd").alias("odd"))
+    shared = cells.groupBy("digest", odd.alias("is_odd")).agg(F.count("*").alias("n")).join(needed, "digest")
+    alive = shared.where(F.col("n") >= F.when(F.col("is_odd"), F.col("odd")).otherwise(F.col("even"))).select("digest", "is_odd")
+    left = cells.select("cell", "digest", odd.alias("is_odd")).join(alive, ["digest", "is_odd"], "left_semi").drop("is_odd")
+    several = left.groupBy("cell").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least <> most")
+    return left.join(several.select("cell", "least"), "cell").select("cell", "digest", "least")
+
+
 def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_shingles, digest) per document, and the links (a, b) between
     classes of equal sets that make up the components."""
@@ -143,7 +161,16 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in pieces(batches):
             sets = list(shingle_sets(batch["text"].tolist(), n))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": [len(s) for s in sets], "digest": [digest(s) if len(s) else 0 for s in sets]})
+            needed = [cells(s, rule)[1] if len(s) else [1 << 30, 1 << 30] for s in sets]
+            yield pd.DataFrame(
+                {
+                    "doc_id": batch["doc_id"],
+                    "n_shingles": [len(s) for s in sets],
+                    "digest": [digest(s) if len(s) else 0 for s in sets],
+                    "even": [n[0] for n in needed],
+                    "odd": [n[1] for n in needed],
+                }
+            )
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in pieces(batches):
@@ -151,7 +178,7 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
             for s in shingle_sets(batch["text"].tolist(), n):
                 if len(s) and (name := digest(s)) not in known:
                     known.add(name)
-                    found = cells(s, rule)
+                    found = cells(s, rule)[0]
                     keys.append(found)
                     owners.append(np.full(len(found), name, np.int64))
             keys = np.concatenate(keys) if keys else np.zeros(0, U)
@@ -172,15 +199,19 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
         order = np.lexsort((owners, keys))
         keys, owners = keys[order], owners[order]
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        least = np.repeat(owners[first], np.diff(np.r_[first, len(keys)]))
-        pairs, cells_shared = np.unique(np.stack([owners, least], 1)[owners != least], axis=0, return_counts=True)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "n": cells_shared})
+        sizes = np.diff(np.r_[first, len(keys)])
+        least, cell = np.repeat(owners[first], sizes), (int(rows["part"].iloc[0]) << 32) + keys.astype(np.int64)
+        fresh = np.r_[True, (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])]
+        several = np.repeat(np.maximum.reduceat(owners, first) != owners[first], sizes)
+        kept = fresh & several
+        return pd.DataFrame({"cell": cell[kept], "digest": owners[kept], "least": least[kept]})
 
     body = docs.select("doc_id", "text")
-    sketches = stage(body.mapInPandas(sketch, f"doc_id {kind}, n_shingles long, digest long"))
+    sketches = stage(body.mapInPandas(sketch, f"doc_id {kind}, n_shingles long, digest long, even int, odd int"))
     packed = body.select("text").mapInPandas(deal, "part int, keys binary, owners binary")
-    shared = packed.repartition(parts, "part").groupBy("part").applyInPandas(pair, "a long, b long, n long")
-    pairs = stage(shared.groupBy("a", "b").agg(F.sum("n").alias("n")))
+    filled = stage(packed.repartition(parts, "part").groupBy("part").applyInPandas(pair, "cell long, digest long, least long"))
+    filled = stage(dense(dense(filled, sketches), sketches))
+    pairs = stage(filled.where("digest <> least").groupBy(F.col("digest").alias("a"), F.col("least").alias("b")).agg(F.count("*").alias("n")))
 
     # The shingles of one document of every class in a pair.
     involved = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
@@ -196,7 +227,7 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
 
     with_text = only_with(body, "doc_id", stage(chosen.select("doc_id")))
     sets = with_text.select("text").mapInPandas(points_of, "digest long, size long, point array<int>, shingles array<long>")
-    sets = stage(sets.join(involved, "digest", "left_semi").dropDuplicates(["digest"]))
+    sets = stage(sets.join(chosen.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]))
 
     # Bound by the points alone, then compare shingles.
     narrow = sets.select("digest", "size", "point")
@@ -216,31 +247,41 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
         .select("a", "b")
     )
     links = stage(verified)
-    more = search_families(pairs, links, sets, rule)
+    more = search_cells(filled.select("cell", "digest"), links, sets, rule, parts)
     return sketches, links.union(more)
 
 
-def search_families(pairs: DataFrame, links: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Links between members of a family that ``links`` leave apart, enough to
-    join what belongs together."""
-    family = components(pairs).select(F.col("node").alias("digest"), F.col("root").alias("family"))
+def search_cells(cells: DataFrame, links: DataFrame, sets: DataFrame, rule: Rule, parts: int) -> DataFrame:
+    """Links between members of a cell that ``links`` leave apart, enough to join
+    what belongs together."""
     linked = components(links).select(F.col("node").alias("digest"), F.col("root").alias("part"))
-    members = family.join(linked, "digest", "left").withColumn("part", F.coalesce("part", "digest"))
-    sizes = members.groupBy("family", "part").agg(F.count("*").alias("n"))
-    split = sizes.groupBy("family").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("members"), F.max("n").alias("largest"))
-    open_families = split.where("parts > 1").select("family", "main", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("members") - F.col("largest")) / SEARCH_BLOCK).cast("int").alias("searches"))
-    todo = stage(members.join(open_families, "family"))
+    members = cells.join(linked, "digest", "left").withColumn("part", F.coalesce("part", "digest"))
+    sizes = members.groupBy("cell", "part").agg(F.count("*").alias("n"))
+    split = sizes.groupBy("cell").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("members"), F.max("n").alias("largest"))
+    blocks, searches = F.ceil(F.col("members") / BLOCK), F.ceil((F.col("members") - F.col("largest")) / SEARCH_BLOCK)
+    open_cells = split.where("parts > 1").select("cell", "main", blocks.cast("int").alias("blocks"), searches.cast("int").alias("searches"))
+    todo = stage(members.join(open_cells, "cell"))
     block = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
-    search = F.pmod(F.xxhash64("digest"), F.col("searches")).cast("int")
-    indexed = todo.select("digest", "family", "part", F.lit(False).alias("searching"), block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("searches") - 1)).alias("search"))
-    asking = todo.where("part <> main").select("digest", "family", "part", F.lit(True).alias("searching"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), search.alias("search"))
-    rows = indexed.union(asking).join(sets, "digest")
+    search = F.pmod(F.xxhash64(F.lit(1), "digest"), F.col("searches")).cast("int")
+    columns = ["digest", "cell", "part"]
+    indexed = todo.select(*columns, F.lit(False).alias("asking"), block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("searches") - 1)).alias("search"))
+    asking = todo.where("part <> main").select(*columns, F.lit(True).alias("asking"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), search.alias("search"))
+    bucket = F.pmod(F.xxhash64("cell", "block", "search"), F.lit(parts)).alias("bucket")
+    rows = indexed.union(asking).select(bucket, "*").join(sets.select("digest", "point"), "digest")
+
+    def bound(rows: pd.DataFrame) -> pd.DataFrame:
+        found = [pair for _, one in rows.groupby(["cell", "block", "search"], sort=False) for pair in near_parts(one, rule)]
+        return pd.DataFrame(found, columns=["p", "q", "digest", "part"]).drop_duplicates()
+
+    near = rows.groupBy("bucket").applyInPandas(bound, "p long, q long, digest long, part long").distinct()
+    both = F.pmod(F.xxhash64("p", "q"), F.lit(parts)).alias("bucket")
+    compared = near.select(both, "*").join(sets.select("digest", "point", "shingles"), "digest")
 
-    def find(rows: pd.DataFrame) -> pd.DataFrame:
-        asked, tree = rows[rows["searching"]], rows[~rows["searching"]]
-        return pd.DataFrame(tree_links(asked, tree, rule), columns=["a", "b"])
+    def verify(rows: pd.DataFrame) -> pd.DataFrame:
+        found = [link for (p, _), one in rows.groupby(["p", "q"], sort=False) if (link := first_link(one[one["part"] == p], one[one["part"] != p], rule))]
+        return pd.DataFrame(found, columns=["a", "b"])
 
-    return rows.groupBy("family", "block", "search").applyInPandas(find, "a long, b long")
+    return compared.groupBy("bucket").applyInPandas(verify, "a long, b long")
 
 
 class Tree:
@@ -275,31 +316,38 @@ class Tree:
         return self.order[inside[np.minimum(found, vector).sum(1) >= rule.needed(size + found.sum(1))]]
 
 
-def tree_links(asked: pd.DataFrame, members: pd.DataFrame, rule: Rule) -> list[tuple[int, int]]:
-    """Links from asked members to members of other parts; one per pair of parts
-    that a link has not joined yet."""
-    if not len(asked) or not len(members):
+def near_parts(rows: pd.DataFrame, rule: Rule) -> list[tuple[int, int, int, int]]:
+    """(p, q, digest, part) for members of two parts of a cell, p < q, that the
+    points do not keep apart."""
+    asked, held = rows[rows["asking"]], rows[~rows["asking"]]
+    if not len(asked) or not len(held):
         return []
-    above: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while above.setdefault(x, x) != x:
-            above[x] = above[above[x]]
-            x = above[x]
-        return x
-
-    tree = Tree(np.stack(members["point"].to_list()).astype(np.int64))
-    parts, names, sets = members["part"].to_numpy(), members["digest"].to_numpy(), members["shingles"].to_list()
-    links = []
-    for own, name, point, shingles in zip(asked["part"], asked["digest"], asked["point"], asked["shingles"], strict=True):
-        mine = set(np.asarray(shingles).tolist())
+    tree = Tree(np.stack(held["point"].to_list()).astype(np.int64))
+    parts, names = held["part"].to_numpy(), held["digest"].to_numpy()
+    found = set()
+    for own, name, point in zip(asked["part"], asked["digest"], asked["point"], strict=True):
+        at = tree.search(np.asarray(point, np.int64), rule)
+        for part, other in zip(parts[at], names[at], strict=True):
+            if part != own:
+                p, q = min(own, part), max(own, part)
+                found.add((p, q, name, own))
+                found.add((p, q, other, part))
+    return list(found)
+
+
+def first_link(left: pd.DataFrame, right: pd.DataFrame, rule: Rule) -> tuple[int, int] | None:
+    """A link between the members of two parts, if there is one."""
+    if not len(left) or not len(right):
+        return None
+    tree = Tree(np.stack(right["point"].to_list()).astype(np.int64))
+    names, sets = right["digest"].to_numpy(), [np.asarray(x) for x in right["shingles"]]
+    for name, point, shingles in zip(left["digest"], left["point"], left["shingles"], strict=True):
+        mine = np.asarray(shingles)
         for at in tree.search(np.asarray(point, np.int64), rule):
-            if root(own) == root(parts[at]):
-                continue
-            if rule.linked(len(mine.intersection(np.asarray(sets[at]).tolist())), len(mine), len(sets[at])):
-                links.append((name, names[at]))
-                above[root(own)] = root(parts[at])
-    return links
+            both = len(np.intersect1d(mine, sets[at], assume_unique=True))
+            if rule.linked(both, len(mine), len(sets[at])):
+                return int(name), int(names[at])
+    return None
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, parts: int | None = None) -> DataFrame:
