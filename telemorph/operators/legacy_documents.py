@@ -31,6 +31,19 @@ _OLD_RULE_QUERY = (
 )
 
 
+
+def _query_name(i: Column) -> Column:
+    """A to Z, then AA to ZZ, then three letters, by place from 0."""
+    def letter(n: Column) -> Column:
+        return F.char(F.lit(65) + F.pmod(n, F.lit(26)))
+
+    pair, triple = i - 26, i - 26 - 26 * 26
+    return (
+        F.when(i < 26, letter(i))
+        .when(i < 26 + 26 * 26, F.concat(letter(F.floor(pair / 26)), letter(pair)))
+        .otherwise(F.concat(letter(F.floor(triple / 676)), letter(F.floor(triple / 26)), letter(triple)))
+    )
+
 def _or(column: Column, default) -> Column:
     return F.coalesce(column, F.lit(default))
 
@@ -313,7 +326,7 @@ def upgrade_dashboards_promql(docs: DataFrame, data: str = "data") -> DataFrame:
             return F.struct(
                 _or(V.text(V.field(q, "query")), "").alias("query"),
                 F.lit(False).alias("disabled"),
-                F.char(F.lit(65) + i).alias("name"),
+                _query_name(i).alias("name"),
                 _or(V.text(V.field(q, "legend")), "").alias("legend"),
             )
 

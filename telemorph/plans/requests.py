@@ -20,8 +20,11 @@ RESOURCE, SPAN = "ResourceAttribute", "SpanAttribute"
 TAG_MAPS = {"string": "attributes_string", "number": "attributes_number", "bool": "attributes_bool"}
 
 
-def _tag_map(tag_type: str, values: list) -> str:
-    """Typed map a tag is looked up in: by its type, then by the given values."""
+def _tag_map(tag_type: str, values: list, data_type: str | None = None) -> str:
+    """Typed map a tag is looked up in: by its type and data type; where none is
+    given, by the first value."""
+    if data_type in ("number", "bool"):
+        return TAG_MAPS[data_type]
     if values and isinstance(values[0], bool):
         return TAG_MAPS["bool"]
     if values and isinstance(values[0], (int, float)):
@@ -29,11 +32,11 @@ def _tag_map(tag_type: str, values: list) -> str:
     return "resources_string" if tag_type == RESOURCE else TAG_MAPS["string"]
 
 
-def tag_predicate(key: str, tag_type: str, op: str, values: list | None = None) -> Column:
-    """Condition on one tag. Of several values one must hold; for the negated
+def tag_predicate(key: str, tag_type: str, op: str, values: list | None = None, data_type: str | None = None) -> Column:
+    """Condition on one tag of ``data_type`` string, number or bool. Of several values one must hold; for the negated
     operators none may. A missing tag fails every positive operator."""
     values = values or []
-    attrs = F.col(_tag_map(tag_type, values))
+    attrs = F.col(_tag_map(tag_type, values, data_type))
     tag, present = F.try_element_at(attrs, F.lit(key)), has_key(attrs, key)
 
     def any_of(test) -> Column:
@@ -61,7 +64,7 @@ def tag_predicate(key: str, tag_type: str, op: str, values: list | None = None)
 
 def _with_tags(df: DataFrame, tags: list[dict] | None) -> DataFrame:
     for tag in tags or []:
-        df = df.where(tag_predicate(tag["key"], tag.get("tagType", SPAN), tag["operator"], tag.get("values")))
+        df = df.where(tag_predicate(tag["key"], tag.get("tagType", SPAN), tag["operator"], tag.get("values"), tag.get("dataType")))
     return df
 
 
@@ -91,7 +94,11 @@ def service_overview(spans: DataFrame, start, end, step: int | None = None, tags
         F.count_if("has_error").alias("errors"),
     )
     p99 = exact_percentiles(rows, keys, "duration_nano", {"p99": 0.99})
-    return counts.join(p99, keys).withColumn("error_rate", F.col("errors") / F.col("calls"))
+    # Groups without any duration have no percentile; keys may be null.
+    other = p99.select(*[F.col(k).alias(f"_{k}") for k in keys], "p99")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    joined = counts.join(other, same, "left").drop(*[f"_{k}" for k in keys])
+    return joined.withColumn("error_rate", F.col("errors") / F.col("calls"))
 
 
 def top_operations(spans: DataFrame, service: str, n: int, start=None, end=None, tags: list[dict] | None = None) -> DataFrame:
@@ -100,7 +107,9 @@ def top_operations(spans: DataFrame, service: str, n: int, start=None, end=None,
     rows = _with_tags(rows.where(_service() == service), tags)
     quantiles = exact_percentiles(rows, ["name"], "duration_nano", {"p50": 0.5, "p95": 0.95, "p99": 0.99})
     calls = rows.groupBy("name").agg(F.count(F.lit(1)).alias("calls"), F.count_if("has_error").alias("errors"))
-    return quantiles.join(calls, "name").orderBy(F.col("p99").desc(), "name").limit(n)
+    other = quantiles.withColumnRenamed("name", "_name")
+    joined = calls.join(other, F.col("name").eqNullSafe(F.col("_name")), "left").select("name", *[c for c in quantiles.columns if c != "name"], "calls", "errors")
+    return joined.orderBy(F.col("p99").desc_nulls_last(), "name").limit(n)
 
 
 def usage(spans: DataFrame, step_hours: int, service: str | None = None) -> DataFrame:

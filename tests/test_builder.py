@@ -15,17 +15,17 @@ def query(**more):
 KEY = {"key": "x", "dataType": "string", "type": "tag", "isColumn": False}
 
 BAD = [
-    (query(queryName=""), "query name is required"),
-    (query(dataSource="disk"), "data source is invalid: invalid data source: disk"),
-    (query(aggregateOperator="median"), "aggregate operator is invalid: invalid operator: median"),
-    (query(dataSource="metrics", aggregateOperator="sum"), "aggregate attribute is required"),
-    (query(filters={"op": "XOR", "items": []}), "filters are invalid: operator must be AND or OR"),
-    (query(filters={"op": "AND", "items": [{"key": {"key": ""}, "op": "="}]}), "filter item key is invalid: key is empty"),
-    (query(groupBy=[{**KEY, "dataType": "date"}]), "group by is invalid invalid attribute dataType: date"),
-    (query(groupBy=[{**KEY, "isColumn": True, "type": ""}]), "invalid attribute type: "),
-    (query(selectColumns=[{**KEY, "key": ""}]), "select column is invalid key is empty"),
-    (query(dataSource="metrics", aggregateOperator="noop", groupBy=[KEY]), "group by requires aggregate operator other than noop or rate"),
-    (query(expression=""), "expression is required"),
+    (query(queryName=""), "queryName is missing"),
+    (query(dataSource="disk"), "no data source is called 'disk'"),
+    (query(aggregateOperator="median"), "no aggregation is called 'median'"),
+    (query(dataSource="metrics", aggregateOperator="sum"), "needs an attribute"),
+    (query(filters={"op": "XOR", "items": []}), "joined by AND or OR"),
+    (query(filters={"op": "AND", "items": [{"key": {"key": ""}, "op": "="}]}), "filter 1: it has no name"),
+    (query(groupBy=[KEY, {**KEY, "dataType": "date"}]), "grouping 2: no data type is called 'date'"),
+    (query(groupBy=[{**KEY, "isColumn": True, "type": ""}]), "must be a tag or a resource"),
+    (query(selectColumns=[{**KEY, "key": ""}]), "selected column 1: it has no name"),
+    (query(dataSource="metrics", aggregateOperator="noop", groupBy=[KEY]), "cannot be grouped"),
+    (query(expression=""), "expression is missing"),
 ]
 
 
@@ -43,16 +43,17 @@ def test_attribute_requirement(operator, source):
 
 
 def test_composites():
-    with pytest.raises(S.InvalidSpec, match="at least one query"):
-        S.check_composite({"panelType": "graph", "queryType": "builder"})
-    with pytest.raises(S.InvalidSpec, match="builder query A is invalid: query name is required"):
-        S.check_composite({"builderQueries": {"A": {}}, "panelType": "graph", "queryType": "builder"})
-    with pytest.raises(S.InvalidSpec, match="prom query A is invalid: query is empty"):
-        S.check_composite({"promQueries": {"A": {"query": ""}}, "panelType": "graph", "queryType": "promql"})
-    with pytest.raises(S.InvalidSpec, match="invalid panel type: pie"):
-        S.check_composite({"builderQueries": {"A": query()}, "panelType": "pie", "queryType": "builder"})
-    with pytest.raises(S.InvalidSpec, match="invalid query type: unknown"):
-        S.check_composite({"builderQueries": {"A": query()}, "panelType": "list", "queryType": "unknown"})
+    graph = {"panelType": "graph", "queryType": "builder"}
+    bad = [
+        (graph, "there is no query"),
+        ({**graph, "builderQueries": {"A": {}}}, "query A: queryName is missing; query A: expression is missing"),
+        ({**graph, "promQueries": {"B": {"query": ""}}}, "query B: its text is missing"),
+        ({**graph, "builderQueries": {"A": query()}, "panelType": "pie"}, "no panelType is called 'pie'"),
+        ({**graph, "builderQueries": {"A": query()}, "queryType": "unknown"}, "no queryType is called 'unknown'"),
+    ]
+    for composite, message in bad:
+        with pytest.raises(S.InvalidSpec, match=message):
+            S.check_composite(composite)
 
 
 def points(spark, rows):

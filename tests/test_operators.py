@@ -140,3 +140,20 @@ def test_range_filter_reaches_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(event_id,10)" in plan and "LessThanOrEqual(event_id,20)" in plan
     assert "ReadSchema: struct<event_id:bigint,value:double>" in plan
+
+
+def test_tags_of_every_type(spark):
+    from telemorph.plans.requests import SPAN, tag_predicate
+
+    spans = spark.sql("select 1 as id, map('k', 'v') as attributes_string, map('n', 1.0D) as attributes_number, map('b', true) as attributes_bool, map('r', 'x') as resources_string")
+    for key, kind in (("k", "string"), ("n", "number"), ("b", "bool")):
+        assert spans.where(tag_predicate(key, SPAN, "Exists", data_type=kind)).count() == 1
+        assert spans.where(tag_predicate(key, SPAN, "NotExists", data_type=kind)).count() == 0
+
+
+def test_query_names_go_on_after_z(spark):
+    from telemorph.operators.legacy_documents import _query_name
+
+    names = {r.id: r.n for r in spark.range(800).select("id", _query_name(F.col("id")).alias("n")).collect()}
+    assert [names[i] for i in (0, 25, 26, 51, 52, 701, 702, 728)] == ["A", "Z", "AA", "AZ", "BA", "ZZ", "AAA", "ABA"]
+    assert len(set(names.values())) == 800
