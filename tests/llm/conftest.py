@@ -7,18 +7,11 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, spans string, block int, shard int, item_id long, score string"
-LONG = " ".join(f"w{i % 997}x{i % 31}" for i in range(60_000))
-NOTE = "Write to ann.b@mail.example.com or +1 (988) 555-2485 about card 4111 1111 1111 1111 from 10.0.0.256 and 10.0.0.7 today"
-TEXTS = [
-    None, "", " \n\t ", "one", "one two", "ONE two", LONG, LONG + " tail", NOTE, NOTE,
-    "Released under the MIT License.\nthe and of with", "... 123 !!", "<|endoftext|> don't stop", "naïve Straße 😀 x",
-]
-
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-def rows(texts):
-    return [(i, t, "en" if i % 2 else "fr", f"s{i % 3}" if i % 4 else None, 1, "x", 1, 2, 3, "y") for i, t in enumerate(texts)]
+from odd_rows import TEXTS, rows  # noqa: E402
 
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, spans string, block int, shard int, item_id long, score string"
 
 @pytest.fixture(scope="session")
 def odd(spark):
@@ -27,6 +20,7 @@ def odd(spark):
     return spark.createDataFrame([*made, made[8], made[8], (None, "no id here", None, None, None, None, None, None, None, None)], SCHEMA).repartition(3)
 
 
+
 @pytest.fixture(scope="session")
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)

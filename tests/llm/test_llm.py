@@ -8,7 +8,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
-from conftest import LONG, NOTE, TEXTS, rows  # noqa: F401
+from odd_rows import LONG, TEXTS, rows
 from pyspark.sql import functions as F
 
 from telemorph.llm import decontamination, disclosure, jaccard_join, language_id, language_model, licences, mixing, neighbours, quality_rules, token_counts
