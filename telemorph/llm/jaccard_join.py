@@ -14,8 +14,9 @@ sets form a class, and only classes are joined:
    drops pairs before their shingles are compared.
    Linked classes share many cells, so those that share few with all others
    leave.
-3. Search. Cells whose members the links found so far leave in one component are
-   done. In all others the members outside the largest component are searched in
+3. Search. Linked classes meet in the cells of each that have the fewest members,
+   so only those are searched. Cells whose members the links found so far leave in
+   one component are done. In all others the members outside the largest component are searched in
    an R-tree of count vectors over the cell, block by block: a node's box bounds
    the overlap with everything below it, points bound it again. What survives
    names two components that may be linked; their surviving members are verified
@@ -149,8 +150,21 @@ def dense(cells: DataFrame, sketches: DataFrame) -> DataFrame:
     shared = cells.groupBy("digest", odd.alias("is_odd")).agg(F.count("*").alias("n")).join(needed, "digest")
     alive = shared.where(F.col("n") >= F.when(F.col("is_odd"), F.col("odd")).otherwise(F.col("even"))).select("digest", "is_odd")
     left = cells.select("cell", "digest", odd.alias("is_odd")).join(alive, ["digest", "is_odd"], "left_semi").drop("is_odd")
-    several = left.groupBy("cell").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least <> most")
-    return left.join(several.select("cell", "least"), "cell").select("cell", "digest", "least")
+    several = left.groupBy("cell").agg(F.min("digest").alias("least"), F.max("digest").alias("most"), F.count("*").alias("members")).where("least <> most")
+    return left.join(several.select("cell", "least", "members"), "cell").select("cell", "digest", "least", "members")
+
+
+def rarest(cells: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The cells in which linked classes are sure to meet. Two classes that share
+    at least ``needed`` cells, of n that one of them has, share one of the
+    n - needed + 1 of it that have the fewest members, and likewise of the other.
+    Passages that many documents hold fill cells with many members, which few
+    classes then have to look for links in."""
+    needed = sketches.where("n_shingles > 0").groupBy("digest").agg(F.first("even").alias("even"), F.first("odd").alias("odd"))
+    rows = cells.select("cell", "digest", "members", (F.col("cell") % 2 != 0).alias("is_odd")).join(needed, "digest")
+    own = Window.partitionBy("digest", "is_odd")
+    ranked = rows.withColumn("n", F.count("*").over(own)).withColumn("nth", F.row_number().over(own.orderBy("members", "cell")))
+    return ranked.where(F.col("nth") <= F.col("n") - F.when(F.col("is_odd"), F.col("odd")).otherwise(F.col("even")) + 1).select("cell", "digest")
 
 
 def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[DataFrame, DataFrame]:
@@ -247,7 +261,7 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
         .select("a", "b")
     )
     links = stage(verified)
-    more = search_cells(filled.select("cell", "digest"), links, sets, rule, parts)
+    more = search_cells(stage(rarest(filled, sketches)), links, sets, rule, parts)
     return sketches, links.union(more)
 
 
