@@ -7,6 +7,9 @@ upgrade maps them back to the original, dotted names.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -288,7 +291,16 @@ def metric_details(pairs: DataFrame, attributes: DataFrame, classes: DataFrame)
     )
 
 
-SERIES_KEY = ["fingerprint", "metric_name", "temporality", "labels"]
+# What a sample names its series by, and a catalog row with its labels.
+IDENTITY = ["fingerprint", "metric_name", "temporality"]
+SERIES_KEY = [*IDENTITY, "labels"]
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys``, nulls equal; the columns of ``left``, then the others of ``right``."""
+    other = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return left.join(other, same, how).drop(*[f"_{k}" for k in keys])
 
 
 def rewrite_series(series: DataFrame, details: DataFrame) -> DataFrame:
@@ -323,7 +335,7 @@ def rewrite_series(series: DataFrame, details: DataFrame) -> DataFrame:
 
 def upgrade_series(series: DataFrame, rewritten: DataFrame) -> DataFrame:
     """Series rows under their new identity, no longer flagged as normalized."""
-    return series.join(rewritten, SERIES_KEY).select(
+    return join_null_safe(series, rewritten, SERIES_KEY).select(
         "env",
         "temporality",
         F.col("new_metric_name").alias("metric_name"),
@@ -347,15 +359,15 @@ def unmapped_series(series: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def fingerprint_map(series: DataFrame, rewritten: DataFrame) -> DataFrame:
-    """Old to new fingerprint and name. Where one old fingerprint has several
-    identities, that of its oldest row is used."""
+    """New fingerprint and name of every old identity (fingerprint, name,
+    temporality). Where one has several label texts, its oldest row decides."""
     oldest = series.groupBy(*SERIES_KEY).agg(F.min("unix_milli").alias("first_ms"))
     choice = F.struct(F.col("first_ms"), F.col("new_fingerprint"))
     return (
-        rewritten.join(oldest, SERIES_KEY)
-        .groupBy("fingerprint")
+        join_null_safe(oldest, rewritten, SERIES_KEY)
+        .groupBy(*IDENTITY)
         .agg(F.min_by(F.struct("new_fingerprint", "new_metric_name"), choice).alias("to"))
-        .select("fingerprint", "to.new_fingerprint", "to.new_metric_name")
+        .select(*IDENTITY, "to.new_fingerprint", "to.new_metric_name")
     )
 
 
@@ -367,10 +379,16 @@ def samples_of_series(samples: DataFrame, series: DataFrame, start_ms: int, end_
     return scan_range(samples, "unix_milli", start_ms, end_ms, closed).join(wanted, "fingerprint", "left_semi")
 
 
-def remap_samples(samples: DataFrame, fp_map: DataFrame) -> DataFrame:
-    """Samples under their new fingerprint and metric name. A fingerprint many
-    samples share is split at run time by the skew rule (see the session)."""
-    return samples.join(fp_map, "fingerprint").select(
+def matched_samples(samples: DataFrame, fp_map: DataFrame) -> DataFrame:
+    """Samples with the new fingerprint and name of their identity, null where no
+    rewritten series claims them. An identity many samples share is split at run
+    time by the skew rule (see the session)."""
+    return join_null_safe(samples, fp_map, IDENTITY, "left")
+
+
+def remap_samples(matched: DataFrame) -> DataFrame:
+    """Matched samples under their new fingerprint and metric name."""
+    return matched.where(F.col("new_fingerprint").isNotNull()).select(
         "env",
         "temporality",
         F.col("new_metric_name").alias("metric_name"),
@@ -381,9 +399,9 @@ def remap_samples(samples: DataFrame, fp_map: DataFrame) -> DataFrame:
     )
 
 
-def unmatched_samples(samples: DataFrame, fp_map: DataFrame) -> DataFrame:
+def unmatched_samples(matched: DataFrame) -> DataFrame:
     """Samples no rewritten series claims (report)."""
-    return samples.join(fp_map.select("fingerprint"), "fingerprint", "left_anti")
+    return matched.where(F.col("new_fingerprint").isNull()).drop("new_fingerprint", "new_metric_name")
 
 
 # ---- the range to upgrade ------------------------------------------------------------
@@ -425,15 +443,19 @@ def name_mapping(series: DataFrame, metric_overrides: DataFrame, attribute_overr
 
 
 def upgrade_metrics(series: DataFrame, samples: DataFrame, details: DataFrame, first_ms: int, last_ms: int) -> dict[str, DataFrame]:
-    """Rewrite the normalized series and samples in ``[first_ms, last_ms)``. The
-    new identities feed three outputs and are staged once."""
-    old = scan_range(series.where("normalized"), "unix_milli", first_ms, last_ms, "[)")
-    rewritten = staged(rewrite_series(old, details))
-    fp_map = fingerprint_map(old, rewritten)
-    wanted = samples_of_series(samples, series.where("normalized"), first_ms, last_ms, "[)")
+    """Rewrite the normalized series and samples in ``[first_ms, last_ms)``.
+    Catalog rows bear the full hour, so identities come from the range widened
+    to full hours: samples of an hour that a bound cuts find theirs. They feed
+    three outputs and are staged once."""
+    lower, upper = align_to_hour(F.lit(first_ms).cast("bigint"), F.lit(last_ms).cast("bigint"))
+    catalog = series.where("normalized").where(F.col("unix_milli").between(lower, upper))
+    old = scan_range(catalog, "unix_milli", first_ms, last_ms, "[)")
+    rewritten = staged(rewrite_series(catalog, details))
+    wanted = samples_of_series(samples, catalog, first_ms, last_ms, "[)")
+    matched = matched_samples(wanted, fingerprint_map(catalog, rewritten))
     return {
         "series": upgrade_series(old, rewritten),
-        "samples": remap_samples(wanted, fp_map),
+        "samples": remap_samples(matched),
         "quarantined_series": unmapped_series(old, details),
-        "unmatched_samples": unmatched_samples(wanted, fp_map),
+        "unmatched_samples": unmatched_samples(matched),
     }

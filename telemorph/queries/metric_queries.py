@@ -370,6 +370,19 @@ def p30(t):
     return out.select("metric_name", F.col("fingerprint").cast("string").alias("fingerprint"), "unix_milli", "value", "temporality")
 
 
+@query("p30_remap_samples_inside_hour", with_("series4 points", f"""
+    WITH {NEW_SERIES}, {CUT}
+    SELECT h.new_name AS metric_name, h.new_fingerprint AS fingerprint, p.ms AS unix_milli, p.value, p.temporality
+    FROM points p JOIN hashed h USING (fingerprint), cut
+    WHERE p.ms >= (SELECT min(hour_ms) + 1800000 FROM series4 WHERE normalized) AND p.ms < cut.last_ts - 1500000"""))
+def p30_inside_hour(t):
+    """Both bounds lie inside an hour, whose catalog rows bear the full hour."""
+    series, samples = _series(t), d.samples_v4(t)
+    first, last = _bounds(series, samples)
+    out = metrics.upgrade_metrics(series, samples, _details(t, series), first + 1_800_000, last - 1_500_000)["samples"]
+    return out.select("metric_name", F.col("fingerprint").cast("string").alias("fingerprint"), "unix_milli", "value", "temporality")
+
+
 @query("j08_quarantine", with_("series4 points", """
     SELECT 'series' AS kind, metric_name, count(*) AS n FROM series4 WHERE normalized AND metric_name = 'app_legacy_total' GROUP BY 2
     UNION ALL SELECT 'samples', metric_name, count(*) FROM points WHERE normalized AND metric_name = 'app_legacy_total' GROUP BY 2"""))

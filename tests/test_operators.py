@@ -98,6 +98,33 @@ def test_oldest_row_decides_a_fingerprint(spark):
     assert metrics.fingerprint_map(series, new).collect()[0]["new_fingerprint"] == '{"x":"2"}'
 
 
+CATALOG = "env string, temporality string, metric_name string, description string, unit string, type string, is_monotonic boolean, fingerprint bigint, unix_milli bigint, labels string, normalized boolean"
+SAMPLES = "env string, temporality string, metric_name string, fingerprint bigint, unix_milli bigint, value double, flags bigint"
+DETAILS = "metric_name string, orig_name string, key_map map<string,string>, class_map map<string,string>"
+
+
+def upgraded(spark, identities, first, last):
+    """The upgrade of one sample a minute of each identity (fingerprint, name,
+    temporality) over the first hour, with the catalog row of that hour."""
+    catalog = [("e", kind, name, "", "", "Gauge", False, fp, 0, f'{{"__name__":"{name}"}}', True) for fp, name, kind in identities]
+    samples = [("e", kind, name, fp, minute * 60_000, 1.0, 0) for fp, name, kind in identities for minute in range(60)]
+    names = sorted({name for _, name, _ in identities} - {"left_out"})
+    details = spark.createDataFrame([(n, n.replace("_", "."), {}, {}) for n in names], DETAILS)
+    return metrics.upgrade_metrics(spark.createDataFrame(catalog, CATALOG), spark.createDataFrame(samples, SAMPLES), details, first, last)
+
+
+def test_samples_of_a_cut_hour_find_their_series(spark):
+    out = upgraded(spark, [(1, "a_b", "Delta")], 1_800_000, 3_600_000)
+    assert out["samples"].count() == 30 and out["unmatched_samples"].count() == 0 and out["series"].count() == 0
+
+
+def test_identities_of_one_fingerprint_stay_apart(spark):
+    out = upgraded(spark, [(1, "a_b", "Delta"), (1, "c_d", "Delta"), (1, "a_b", None), (1, "left_out", "Delta")], 0, 3_600_000)
+    found = {(r["metric_name"], r["temporality"]): r["count"] for r in out["samples"].groupBy("metric_name", "temporality").count().collect()}
+    assert found == {("a.b", "Delta"): 60, ("c.d", "Delta"): 60, ("a.b", None): 60}
+    assert out["unmatched_samples"].select("metric_name").distinct().collect() == [("left_out",)] and out["series"].count() == 3
+
+
 def test_unresolved_names_fail_the_job(spark):
     pairs = spark.createDataFrame([("a", "x"), ("b", None)], "norm_name string, orig_name string")
     with pytest.raises(verify.UnresolvedNames, match="metrics without a counterpart: b"):
