@@ -8,7 +8,9 @@ sets form a class, and only classes are joined:
    hash range into more than D cells, so at least one cell holds the same
    shingles in both. Every
    class pairs with the smallest of each cell only, never all with all, and is
-   compared with those of them it shares most cells with.
+   compared with those of them it shares most cells with. Of a cell that many
+   classes of one batch share only a few meet in the cell's task, so that task
+   grows with the batches, not with the members.
 2. Bound. Shingles are hashed into ``GROUPS`` groups; the counts per group are a
    point. Two sets share at most the sum of the smaller coordinates, which
    drops pairs before their shingles are compared.
@@ -25,6 +27,7 @@ sets form a class, and only classes are joined:
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +48,8 @@ LEAF, FAN = 32, 16
 LARGE = 128
 #: Classes that one is compared with first: those it shares most cells with.
 FIRST = 3
+#: Members of a cell that one batch sends to the cell's task; further ones go past it.
+FEW = 4
 #: Members of a cell, and members outside its largest component, searched at once.
 BLOCK, SEARCH_BLOCK = 4096, 1024
 
@@ -200,30 +205,40 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
             order = np.argsort(keys, kind="stable")
             keys, owners = keys[order], owners[order]
             bounds = np.searchsorted(keys, (np.arange(parts, dtype=U) * U((1 << 64) // parts)).astype(U))
-            bounds = np.r_[bounds, len(keys)]
+            part = np.repeat(np.arange(parts), np.diff(np.r_[bounds, len(keys)]))
+            nth = np.arange(len(keys)) - np.searchsorted(keys, keys)
             keys = (keys >> U(16)).astype(np.uint32)  # within a part the next bits tell cells apart; a false pair is verified like any other
-            yield pd.DataFrame(
-                [(p, keys[a:b].tobytes(), owners[a:b].tobytes()) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a],
-                columns=["part", "keys", "owners"],
-            )
-
-    def pair(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["keys"]])
+            # A cell that fills up within a batch has several members whatever other
+            # batches hold: those beyond the first few need not meet the rest in one task.
+            past = nth >= FEW
+            rows = []
+            if past.any():
+                names = owners[past].tobytes()
+                rows.append((-1, zlib.crc32(names), ((part[past] << 32) + keys[past].astype(np.int64)).tobytes(), names))
+            part, keys, owners = part[~past], keys[~past], owners[~past]
+            bounds = np.searchsorted(part, np.arange(parts + 1))
+            rows += [(p, 0, keys[a:b].tobytes(), owners[a:b].tobytes()) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a]
+            yield pd.DataFrame(rows, columns=["part", "lane", "keys", "owners"])
+
+    def crowded(rows: pd.DataFrame) -> pd.DataFrame:
         owners = np.concatenate([np.frombuffer(x, np.int64) for x in rows["owners"]])
+        if rows["part"].iloc[0] < 0:
+            return pd.DataFrame({"cell": np.concatenate([np.frombuffer(x, np.int64) for x in rows["keys"]]), "digest": owners})
+        keys = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["keys"]])
         order = np.lexsort((owners, keys))
         keys, owners = keys[order], owners[order]
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         sizes = np.diff(np.r_[first, len(keys)])
-        least, cell = np.repeat(owners[first], sizes), (int(rows["part"].iloc[0]) << 32) + keys.astype(np.int64)
+        cell = (int(rows["part"].iloc[0]) << 32) + keys.astype(np.int64)
         fresh = np.r_[True, (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])]
         several = np.repeat(np.maximum.reduceat(owners, first) != owners[first], sizes)
-        kept = fresh & several
-        return pd.DataFrame({"cell": cell[kept], "digest": owners[kept], "least": least[kept]})
+        return pd.DataFrame({"cell": cell[fresh & several], "digest": owners[fresh & several]})
 
     body = docs.select("doc_id", "text")
     sketches = stage(body.mapInPandas(sketch, f"doc_id {kind}, n_shingles long, digest long, even int, odd int"))
-    packed = body.select("text").mapInPandas(deal, "part int, keys binary, owners binary")
-    filled = stage(packed.repartition(parts, "part").groupBy("part").applyInPandas(pair, "cell long, digest long, least long"))
+    packed = body.select("text").mapInPandas(deal, "part int, lane long, keys binary, owners binary")
+    # Copies of a text in several batches repeat a member; that only makes its cells look fuller.
+    filled = stage(packed.repartition(parts, "part", "lane").groupBy("part", "lane").applyInPandas(crowded, "cell long, digest long"))
     filled = stage(dense(dense(filled, sketches), sketches))
     pairs = stage(filled.where("digest <> least").groupBy(F.col("digest").alias("a"), F.col("least").alias("b")).agg(F.count("*").alias("n")))
 

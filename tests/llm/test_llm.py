@@ -97,6 +97,31 @@ def test_jaccard_components(spark, n, percent):
     assert kept == {i for i, x in enumerate(label) if i == x}
 
 
+def test_jaccard_crowded_cells(spark):
+    """Cells with more members in a batch than meet in the cell's task: near copies
+    in a long chain, exact copies, and texts that share a passage without being close."""
+    rng = np.random.default_rng(2)
+    fresh = iter(range(10**6))
+    base = [f"t{x}" for x in rng.integers(0, 5000, 120)]
+    texts = [" ".join(base)] * 5
+    for _ in range(40):
+        new = list(base)
+        new[rng.integers(0, 120)] = f"u{next(fresh)}"
+        texts.append(" ".join(new))
+    passage = [f"p{x}" for x in range(60)]
+    for _ in range(40):
+        texts.append(" ".join(passage + [f"v{next(fresh)}" for _ in range(60)]))
+    link = list(base)
+    for at in range(0, 120, 7):  # drifts away from the first text in small steps
+        link[at] = f"w{at}"
+        texts.append(" ".join(link))
+    label, sizes = plain_components(texts, 3, 90)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {r.doc_id: r for r in jaccard_join.jaccard_components(docs, 3, 90, parts=4).collect()}
+    assert [got[i].component_id for i in range(len(texts))] == label
+    assert [got[i].n_shingles for i in range(len(texts))] == sizes
+
+
 def test_jaccard_odd_rows(odd, empty):
     got = jaccard_join.jaccard_components(odd, 3, 90).collect()
     assert len(got) == ROWS and jaccard_join.jaccard_components(empty).count() == 0
