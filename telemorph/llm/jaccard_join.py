@@ -22,7 +22,10 @@ sets form a class, and only classes are joined:
    an R-tree of count vectors over the cell, block by block: a node's box bounds
    the overlap with everything below it, points bound it again. What survives
    names two components that may be linked; their surviving members are verified
-   against the shingles until a link is found.
+   against the shingles until a link is found. As long as that finds links, a
+   member only names the nearest and the first of those it meets in other
+   components: a group whose members are linked among each other grows together
+   in few rounds, without its pairs. One search for all that survives ends it.
 """
 
 from __future__ import annotations
@@ -276,13 +279,19 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
         .select("a", "b")
     )
     links = stage(verified)
-    more = search_cells(stage(rarest(filled, sketches)), links, sets, rule, parts)
-    return sketches, links.union(more)
-
-
-def search_cells(cells: DataFrame, links: DataFrame, sets: DataFrame, rule: Rule, parts: int) -> DataFrame:
-    """Links between members of a cell that ``links`` leave apart, enough to join
-    what belongs together."""
+    searched = stage(rarest(filled, sketches))
+    while True:
+        fresh = stage(search_cells(searched, links, sets, rule, parts, every=False))
+        if fresh.isEmpty():
+            break
+        links = links.union(fresh)
+    return sketches, links.union(search_cells(searched, links, sets, rule, parts, every=True))
+
+
+def search_cells(cells: DataFrame, links: DataFrame, sets: DataFrame, rule: Rule, parts: int, every: bool) -> DataFrame:
+    """Links between members of a cell that ``links`` leave apart: with ``every``
+    enough to join what belongs together, else those of the first and the nearest
+    that each member meets."""
     linked = components(links).select(F.col("node").alias("digest"), F.col("root").alias("part"))
     members = cells.join(linked, "digest", "left").withColumn("part", F.coalesce("part", "digest"))
     sizes = members.groupBy("cell", "part").agg(F.count("*").alias("n"))
@@ -299,7 +308,7 @@ def search_cells(cells: DataFrame, links: DataFrame, sets: DataFrame, rule: Rule
     rows = indexed.union(asking).select(bucket, "*").join(sets.select("digest", "point"), "digest")
 
     def bound(rows: pd.DataFrame) -> pd.DataFrame:
-        found = [pair for _, one in rows.groupby(["cell", "block", "search"], sort=False) for pair in near_parts(one, rule)]
+        found = [pair for _, one in rows.groupby(["cell", "block", "search"], sort=False) for pair in near_parts(one, rule, every)]
         return pd.DataFrame(found, columns=["p", "q", "digest", "part"]).drop_duplicates()
 
     near = rows.groupBy("bucket").applyInPandas(bound, "p long, q long, digest long, part long").distinct()
@@ -345,22 +354,28 @@ class Tree:
         return self.order[inside[np.minimum(found, vector).sum(1) >= rule.needed(size + found.sum(1))]]
 
 
-def near_parts(rows: pd.DataFrame, rule: Rule) -> list[tuple[int, int, int, int]]:
+def near_parts(rows: pd.DataFrame, rule: Rule, every: bool) -> list[tuple[int, int, int, int]]:
     """(p, q, digest, part) for members of two parts of a cell, p < q, that the
-    points do not keep apart."""
+    points do not keep apart: ``every`` such pair, or for each asking member its
+    nearest by the bound and the one with the smallest digest."""
     asked, held = rows[rows["asking"]], rows[~rows["asking"]]
     if not len(asked) or not len(held):
         return []
-    tree = Tree(np.stack(held["point"].to_list()).astype(np.int64))
+    vectors = np.stack(held["point"].to_list()).astype(np.int64)
+    tree, sizes = Tree(vectors), vectors.sum(1)
     parts, names = held["part"].to_numpy(), held["digest"].to_numpy()
     found = set()
     for own, name, point in zip(asked["part"], asked["digest"], asked["point"], strict=True):
-        at = tree.search(np.asarray(point, np.int64), rule)
+        vector = np.asarray(point, np.int64)
+        at = tree.search(vector, rule)
+        at = at[parts[at] != own]
+        if len(at) > 2 and not every:
+            near = np.minimum(vectors[at], vector).sum(1) / (sizes[at] + vector.sum())
+            at = at[[near.argmax(), names[at].argmin()]]
         for part, other in zip(parts[at], names[at], strict=True):
-            if part != own:
-                p, q = min(own, part), max(own, part)
-                found.add((p, q, name, own))
-                found.add((p, q, other, part))
+            p, q = min(own, part), max(own, part)
+            found.add((p, q, name, own))
+            found.add((p, q, other, part))
     return list(found)
 
 
