@@ -387,12 +387,11 @@ def new_composite(query: Column, names: Names, database: str) -> Column:
 
 
 def new_labels(labels: Column, names: Names) -> Column:
-    """Rename label keys and values; values that are not strings are dropped."""
-    texts = F.filter(
-        F.transform(F.map_entries(V.entries(labels)), lambda e: F.struct(e["key"].alias("key"), V.text(e["value"]).alias("value"))),
-        lambda e: e["value"].isNotNull(),
+    """Rename label keys and values; values that are not strings stay as they are."""
+    renamed = F.transform(
+        F.map_entries(V.entries(labels)),
+        lambda e: F.struct(new_text(e["key"], names), F.coalesce(new_text(V.text(e["value"]), names).cast("variant"), e["value"])),
     )
-    renamed = F.transform(texts, lambda e: F.struct(new_text(e["key"], names), new_text(e["value"], names).cast("variant")))
     return F.coalesce(F.to_variant_object(F.map_from_entries(renamed)), labels)
 
 

@@ -227,8 +227,9 @@ def rename_log_fields_alerts(docs: DataFrame, mapping: DataFrame, table: str, ke
     composite = V.path(doc, "condition", "compositeQuery")
     fields = F.col("_fields")
     queries = V.no_items(F.map_values(V.entries(V.field(composite, "builderQueries"))), "variant")
-    first_sql = V.text(V.path(composite, "chQueries", "A", "query"))
-    refs = F.concat(F.flatten(F.transform(queries, _builder_references)), V.no_items(sql_references(first_sql), "string"))
+    sql_entries = V.no_items(F.map_values(V.entries(V.field(composite, "chQueries"))), "variant")
+    in_sql = F.flatten(F.transform(sql_entries, lambda e: V.no_items(sql_references(V.text(V.field(e, "query"))), "string")))
+    refs = F.concat(F.flatten(F.transform(queries, _builder_references)), in_sql)
     joined = _attach(parsed, refs, mapping, key)
 
     def is_query(entry: Column, name: Column) -> Column:
@@ -250,12 +251,12 @@ def rename_log_fields_alerts(docs: DataFrame, mapping: DataFrame, table: str, ke
         return V.let(_group_renames(V.no_items(F.array_compact(own), "variant"), fields), edited)
 
     def sql_queries(value: Column) -> Column:
-        def first(entry: Column) -> Column:
+        def one(entry: Column) -> Column:
             return V.edit_fields(
                 entry, {"query": lambda v: F.coalesce(rename_log_fields_sql(V.text(v), fields, table).cast("variant"), v)}
             )
 
-        return V.edit_fields(value, {"A": first})
+        return V.edit_values(value, one)
 
     kind = V.text(V.field(composite, "queryType"))
 

@@ -24,16 +24,30 @@ from telemorph.plans import spec as S
 # ---- table adapters ------------------------------------------------------------------
 
 
+# Series rows bear the full hour.
+HOUR_MS = 3_600_000
+
+
 @dataclass
 class Source:
     """A telemetry table: its rows, epoch milliseconds, and how keys are stored.
-    Metrics keep all keys in one label map, in a catalog beside the samples."""
+    Metrics keep all keys in one label map, in series rows beside the samples."""
 
     kind: str
     df: DataFrame
     ts_ms: Column
     labels: str | None = None
-    catalog: DataFrame | None = None
+    series: DataFrame | None = None
+
+    def catalog(self, metric: str | None, start: int, end: int) -> DataFrame:
+        """(fingerprint, label_map) of the series with samples in ``[start, end)``.
+        Series rows bear the full hour of their samples; the conditions are on
+        stored columns, so other metrics and times are not read."""
+        rows = self.series.where((F.col("unix_milli") >= start // HOUR_MS * HOUR_MS) & (F.col("unix_milli") < end))
+        if metric:
+            rows = rows.where(F.col("metric_name") == metric)
+        one = rows.groupBy("fingerprint").agg(F.max("labels").alias("_labels"))
+        return one.select("fingerprint", F.from_json("_labels", "map<string,string>").alias(self.labels))
 
     def column(self, key: dict) -> tuple[Column, Column]:
         """Value (the type default where missing) and presence of a key."""
@@ -61,10 +75,8 @@ def traces_source(spans: DataFrame) -> Source:
 
 
 def metrics_source(samples: DataFrame, series: DataFrame) -> Source:
-    """Samples and their series catalog, reduced to one row per fingerprint."""
-    catalog = series.groupBy("fingerprint").agg(F.max("labels").alias("_labels"))
-    parsed = catalog.select("fingerprint", F.from_json("_labels", "map<string,string>").alias("label_map"))
-    return Source("metrics", samples, F.col("unix_milli"), "label_map", parsed)
+    """Samples and the hourly rows of their series."""
+    return Source("metrics", samples, F.col("unix_milli"), "label_map", series)
 
 
 # ---- filters ----------------------------------------------------------------------------
@@ -313,7 +325,7 @@ def _in_range(source: Source, start: int, end: int) -> DataFrame:
     return source.df.where((F.col("timestamp") >= low) & (F.col("timestamp") < high))
 
 
-def _series_info(source: Source, condition: Column, groups: list[dict], operator: str) -> DataFrame:
+def _series_info(source: Source, catalog: DataFrame, condition: Column, groups: list[dict], operator: str) -> DataFrame:
     """Catalog rows that pass the filters, with their group labels. Label work is
     done here, once per series instead of once per sample."""
     every = map_json(F.col(source.labels))
@@ -321,7 +333,7 @@ def _series_info(source: Source, condition: Column, groups: list[dict], operator
     bound = F.replace(map_lookup(F.col(source.labels), "le", F.lit("")), F.lit("+Inf"), F.lit("Infinity"))
     # The buckets of one histogram differ in ``le`` only.
     series = map_json(F.map_filter(source.labels, lambda k, _: k != "le")) if operator in S.HIST_QUANTILES else every
-    return source.catalog.where(condition).select(
+    return catalog.where(condition).select(
         "fingerprint", labels.alias("labels"), series.alias("series"), bound.try_cast("double").alias("le")
     )
 
@@ -346,14 +358,15 @@ def run_builder_query(
         rows = rows.where(F.col("metric_name") == attribute["key"])
     condition = filter_set(source, spec.get("filters"), variables, ignore_case)
     groups = spec.get("groupBy") or []
+    catalog = source.catalog(attribute.get("key"), start, end) if source.series is not None else None
 
     if panel == "list":
-        if source.catalog is not None:
-            rows = rows.join(source.catalog, "fingerprint")
+        if catalog is not None:
+            rows = rows.join(catalog, "fingerprint")
         return _list_rows(Source(source.kind, rows.where(condition), source.ts_ms, source.labels), spec, name)
 
-    if source.catalog is not None:
-        info = _series_info(source, condition, groups, operator)
+    if catalog is not None:
+        info = _series_info(source, catalog, condition, groups, operator)
         if operator == "noop":
             raw = rows.select("fingerprint", source.ts_ms.alias("ts"), F.col("value"))
             result = raw.join(info, "fingerprint").select("ts", "labels", "value")

@@ -11,7 +11,8 @@ from telemorph.queries.oracle_inputs import with_
 from telemorph.queries.registry import query
 from telemorph.sources import derived as d
 
-START, END = 1_704_844_800_000, 1_705_708_800_000  # ten days from 2024-01-10
+START, END = 0, 4_000_000_000_000  # whole tables
+FROM, TO = 1_704_844_800_000, 1_705_708_800_000  # ten days from 2024-01-10, where a range is asked for
 STEP = 21_600
 IN_RANGE = f"ms >= {START} AND ms < {END}"
 BUCKET = f"(ms // {STEP * 1000}) * {STEP * 1000}"
@@ -234,11 +235,11 @@ def histogram_source(t):
     bound = F.when(F.col("le") == float("inf"), "+Inf").otherwise(F.col("le").cast("string"))
     rows = rows.withColumn("labels", F.to_json(F.struct(F.lit("line_quantity_bucket").alias("__name__"), bound.alias("le"), F.col("l_returnflag").alias("returnflag"))))
     rows = rows.withColumn("fingerprint", F.xxhash64("labels"))
-    samples = rows.select(
-        F.lit("line_quantity_bucket").alias("metric_name"), "fingerprint", "value",
+    points = rows.select(
+        F.lit("line_quantity_bucket").alias("metric_name"), "fingerprint", "labels", "value",
         F.unix_millis(F.to_timestamp(F.concat("month", F.lit("-01")))).alias("unix_milli"),
     )
-    return B.metrics_source(samples, rows.select("fingerprint", "labels"))
+    return B.metrics_source(points.drop("labels"), points.drop("value"))
 
 
 def hist_quantile_sql(q, out):
@@ -347,12 +348,12 @@ def b51(t):
 
 @query("b53_range_step_variables", with_("logs", f"""
     SELECT 'A' AS query_name, (ms // 3600000) * 3600000 AS ts, '{{}}' AS labels, CAST(count(*) AS DOUBLE) AS value FROM logs
-    WHERE ms >= {START + 1000} AND ms < {END - 7_200_000} AND svc IN ('svc2', 'svc4') AND event_type = 'view' GROUP BY 2"""))
+    WHERE ms >= {FROM + 1000} AND ms < {TO - 7_200_000} AND svc IN ('svc2', 'svc4') AND event_type = 'view' GROUP BY 2"""))
 def b53(t):
     items = [item(SERVICE, "in", "{{.services}}"), item(ETYPE, "=", "$kind")]
     composite = {"queryType": "builder", "panelType": "graph", "builderQueries": {"A": spec(filters={"op": "AND", "items": items})}}
     variables = {"services": ["svc2", "svc4"], "kind": "view"}
-    return B.run_composite({"logs": logs_source(t)}, composite, START + 1000, END - 7_200_000, variables, step=3600)
+    return B.run_composite({"logs": logs_source(t)}, composite, FROM + 1000, TO - 7_200_000, variables, step=3600)
 
 
 @query("b54_result_values", with_("logs", f"""
@@ -377,7 +378,7 @@ HOURLY = "SELECT '{\"service.name\":\"' || svc || '\"}' AS labels, (ms // 360000
 
 def hourly_peaks(t):
     one = spec(operator="max", aggregateAttribute=VALUE, groupBy=[SERVICE], stepInterval=3600)
-    return B.run_builder_query({"logs": logs_source(t)}, one, 0, 4_000_000_000_000)
+    return B.run_builder_query({"logs": logs_source(t)}, one, START, END)
 
 
 for _name, (_code, _sql) in MATCHES.items():
@@ -393,13 +394,13 @@ DAY = 86_400_000
 
 @query("b59_rule_states", with_("logs", f"""
     WITH h AS ({HOURLY}),
-    n AS (SELECT labels, avg(value) > 27 AS matched FROM h WHERE ts > {END - DAY} AND ts <= {END} GROUP BY 1),
-    p AS (SELECT labels, avg(value) > 27 AS matched FROM h WHERE ts > {END - 2 * DAY} AND ts <= {END - DAY} GROUP BY 1)
+    n AS (SELECT labels, avg(value) > 27 AS matched FROM h WHERE ts > {TO - DAY} AND ts <= {TO} GROUP BY 1),
+    p AS (SELECT labels, avg(value) > 27 AS matched FROM h WHERE ts > {TO - 2 * DAY} AND ts <= {TO - DAY} GROUP BY 1)
     SELECT n.labels, n.matched, CASE WHEN NOT n.matched THEN 'inactive' WHEN coalesce(p.matched, FALSE) THEN 'firing' ELSE 'pending' END AS state
     FROM n LEFT JOIN p USING (labels)
     UNION ALL SELECT labels, matched, 'disabled' FROM n"""))
 def b59(t):
     rule = {"op": ">", "target": 27, "matchType": "3"}
     points = hourly_peaks(t)
-    active = B.evaluate_rule(points, rule, END, DAY)
-    return active.unionByName(B.evaluate_rule(points, {**rule, "disabled": True}, END, DAY))
+    active = B.evaluate_rule(points, rule, TO, DAY)
+    return active.unionByName(B.evaluate_rule(points, {**rule, "disabled": True}, TO, DAY))

@@ -299,7 +299,7 @@ RULE_TYPE = "CASE WHEN kind = 0 THEN 'builder' ELSE 'clickhouse_sql' END"
 NEW_RULE = fill_sql(
     '{"alert":"«name»","annotations":{"description":"app.event.value high","summary":"x"},"condition":{"compositeQuery":{"builderQueries":«builder»,'
     '"chQueries":{"A":{"disabled":false,"query":"«sql»"}},"promQueries":{"A":{"legend":"event.type","query":"«prom»"}},"queryType":"«type»"},"op":"1","target":«size»},'
-    '"dotMigrated":true,"labels":{"service.name":"event.type is «s»"},"source":"«source»"}',
+    '"dotMigrated":true,"labels":{"n":5,"service.name":"event.type is «s»"},"source":"«source»"}',
     name="name", size="size", s="s", type=RULE_TYPE, sql=RULE_SQL, prom=_f(NEW_PROM),
     builder=f"CASE WHEN src = 'metrics' THEN {_f(_rule_builder('app.event.value', 'event.type', 'event.type'))} ELSE {_f(_rule_builder('app_event_value', 'event_type', 'event_type'))} END",
     source=f"CASE WHEN id % 4 = 0 THEN '' ELSE {_f(NEW_SOURCE)} END",

@@ -10,7 +10,8 @@ from telemorph.queries.oracle_inputs import with_
 from telemorph.queries.registry import query
 from telemorph.sources import derived as d
 
-T0, T1 = "2024-01-10 00:00:00", "2024-01-20 00:00:00"
+T0, T1 = "1970-01-01 00:00:00", "2096-10-02 00:00:00"  # whole tables
+FROM, TO = "2024-01-10 00:00:00", "2024-01-20 00:00:00"  # where a range is asked for
 IN_RANGE = f"ts >= TIMESTAMP '{T0}' AND ts <= TIMESTAMP '{T1}'"
 
 
@@ -66,9 +67,9 @@ def _rounded(df):
     return df.withColumns({"avg_duration": F.round("avg_duration", 2), "p99": F.round("p99", 2), "error_rate": F.round("error_rate", 9)})
 
 
-@query("c02_service_list", with_("spans", f"SELECT svc AS service, {OVERVIEW} FROM spans WHERE {IN_RANGE} GROUP BY 1"))
+@query("c02_service_list", with_("spans", f"SELECT svc AS service, {OVERVIEW} FROM spans WHERE ts >= TIMESTAMP '{FROM}' AND ts <= TIMESTAMP '{TO}' GROUP BY 1"))
 def c02(t):
-    return _rounded(R.service_overview(span_rows(t), ts(T0), ts(T1)))
+    return _rounded(R.service_overview(span_rows(t), ts(FROM), ts(TO)))
 
 
 @query("c02_service_overview", with_("spans", f"""

@@ -65,7 +65,7 @@ def test_alert_with_embedded_query(spark, names):
     rule = {"condition": {"compositeQuery": {"builderQueries": {"A": {"dataSource": "logs", "k": "node"}}}}, "source": source, "labels": {"node": "x", "n": 1}}
     new = json.loads(run(spark, D.rewrite_alerts, [rule], names, DB)[0]["data"])
     assert new["condition"]["compositeQuery"]["builderQueries"]["A"] == {"dataSource": "logs", "k": "node"}
-    assert new["labels"] == {"k8s.node": "x"}
+    assert new["labels"] == {"k8s.node": "x", "n": 1}
     query = new["source"].split("?")[1].split("#")[0]
     parts = dict(p.split("=") for p in query.split("&"))
     assert list(parts) == ["a", "b", "compositeQuery"] and new["source"].endswith("#f")
@@ -157,6 +157,17 @@ def test_log_fields_in_sql(spark, log_fields, template, old, new):
     assert json.loads(out["data"]) == board(new)
 
 
+def test_log_fields_in_every_sql_entry_of_an_alert(spark, log_fields):
+    template, old, new = SQL_CASES[0]
+
+    def rule(name):
+        entries = {k: {"query": template.replace("{}", name), "disabled": k == "C"} for k in ("A", "B", "C")}
+        return {"condition": {"compositeQuery": {"queryType": "clickhouse_sql", "chQueries": {**entries, "D": {"disabled": True}}}}}
+
+    out = run(spark, LF.rename_log_fields_alerts, [rule(old)], log_fields, TABLE)[0]
+    assert json.loads(out["data"]) == rule(new)
+
+
 def test_sql_on_other_tables_is_left_alone(spark, log_fields):
     rule = {"condition": {"compositeQuery": {"queryType": "clickhouse_sql", "chQueries": {"A": {"query": "select resource_string_service_name from t"}}}}}
     assert run(spark, LF.rename_log_fields_alerts, [rule], log_fields, TABLE)[0]["changed"] is False
