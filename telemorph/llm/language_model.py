@@ -12,15 +12,20 @@ after v sum to at most 1 but for false positives.
 
 Counting: every task counts the hashed n-grams of its batch and packs them by
 hash range; one task per range adds them up and sets the bits of its own slice
-of the filter. Only the slices go to the driver: ``bits`` / 8 bytes whatever
-the corpus. A filter that is too small for the corpus errs more often, it drops
-nothing.
+of the filter. The task knows how many entries its slice holds. While a share of
+``bits`` leaves ``LEAST_ROOM`` bits for each, the slices go to the driver and are
+broadcast. Beyond that they get ``ROOM`` bits for each and stay a table, so the
+rate of false positives is bounded whatever the corpus: the
+texts' distinct n-grams are packed by hash range too, stream past the slice of
+their range, and the levels found come back to the texts.
 """
 
 from __future__ import annotations
 
+import functools
+import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,6 +43,9 @@ PROBES = 4
 #: Hash ranges the n-grams are dealt to; each owns a slice of the filter.
 RANGES = 256
 MAX_LEVELS = 64
+#: Bits for each entry that a slice of the broadcast filter must have, and that longer slices get. By arithmetic
+#: an n-gram never seen passes one level with probability 0.024 or 0.002, a little more as an entry has one word.
+LEAST_ROOM, ROOM = 8, 16
 
 
 def entry(gram: np.ndarray, level: int, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -52,13 +60,15 @@ def entry(gram: np.ndarray, level: int, words: int) -> tuple[np.ndarray, np.ndar
     return word.astype(np.int64), mask
 
 
-def levels(filter_words: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    """How many levels of each n-gram are found: 0 for one never seen, else 1 + floor(log2 count) at least."""
+def levels(filter_words: np.ndarray, gram: np.ndarray, part: int | None = None) -> np.ndarray:
+    """How many levels of each n-gram are found: 0 for one never seen, else 1 + floor(log2 count) at least.
+    ``filter_words`` are the whole filter, or the slice of the range ``part``, to which all n-grams belong."""
+    words, first = (len(filter_words), 0) if part is None else (len(filter_words) * RANGES, len(filter_words) * part)
     found = np.zeros(len(gram), np.int64)
     active = np.arange(len(gram))
     for level in range(MAX_LEVELS):
-        word, mask = entry(gram[active], level, len(filter_words))
-        active = active[(filter_words[word] & mask) == mask]
+        word, mask = entry(gram[active], level, words)
+        active = active[(filter_words[word - first] & mask) == mask]
         if not len(active):
             break
         found[active] = level + 1
@@ -128,25 +138,28 @@ def _unpack(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def build_range(words: int):
     """A function that adds up one range: its slice of the filter, and its exact
-    unigram counts packed with a histogram of them."""
+    unigram counts packed with a histogram of them. The slice is a share of
+    ``words``, or as long as its entries need if that is too little."""
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         part = int(rows["part"].iloc[0])
-        piece = np.zeros(words // RANGES, U)
         unigrams = _unpack(rows[rows["kind"] == "w"])
-        for grams, counts in (unigrams, _unpack(rows[rows["kind"] == "p"])):
-            top = np.frexp(counts.astype(float))[1] - 1
+        counted = [(grams, np.frexp(counts.astype(float))[1] - 1) for grams, counts in (unigrams, _unpack(rows[rows["kind"] == "p"]))]
+        entries = sum(int((top + 1).sum()) for _, top in counted)
+        share = words // RANGES
+        piece = np.zeros(share if entries * LEAST_ROOM <= share * 64 else -(-entries * ROOM // 64), U)
+        for grams, top in counted:
             for level in range(int(top.max()) + 1 if len(top) else 0):
-                word, mask = entry(grams[top >= level], level, words)
+                word, mask = entry(grams[top >= level], level, len(piece) * RANGES)
                 np.bitwise_or.at(piece, word - part * len(piece), mask)
         grams, counts = unigrams
         table = np.bincount(np.frexp(counts.astype(float))[1], minlength=MAX_LEVELS).tolist()
-        return pd.DataFrame([(part, zlib.compress(piece.tobytes(), 1), grams.tobytes(), counts.tobytes(), int(counts.sum()), len(grams), table)], columns=["part", "slice", "grams", "counts", "n", "v", "table"])
+        return pd.DataFrame([(part, zlib.compress(piece.tobytes(), 1), len(piece), grams.tobytes(), counts.tobytes(), int(counts.sum()), len(grams), table)], columns=["part", "slice", "size", "grams", "counts", "n", "v", "table"])
 
     return build
 
 
-COUNTED = "part int, slice binary, grams binary, counts binary, n long, v long, table array<long>"
+COUNTED = "part int, slice binary, size long, grams binary, counts binary, n long, v long, table array<long>"
 
 
 def unigram_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -155,6 +168,57 @@ def unigram_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"gram": np.frombuffer(row.grams, np.int64), "c": np.frombuffer(row.counts, np.int64)})
 
 
+def asked(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """All n-grams whose levels the scores of these texts need, distinct and in order."""
+    before = bigrams(tokens, offsets)
+    lead = np.where(before == START, END, before)
+    return np.unique(np.concatenate([mix(tokens ^ WORD), mix(lead ^ WORD), combine(before, tokens) ^ PAIR]))
+
+
+def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Texts in chunks, a row each."""
+    for batch in pieces(batches, 1 << 20):
+        yield pd.DataFrame({"chunk": [uuid.uuid4().hex], "doc_ids": [batch["doc_id"].tolist()], "keys": [batch["key"].tolist()], "texts": [batch["text"].tolist()]})
+
+
+def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The n-grams every chunk asks for, packed by hash range."""
+    for batch in batches:
+        for row in batch.itertuples():
+            grams = asked(*sequences(list(row.texts)))
+            bounds = np.searchsorted(grams >> U(56), np.arange(RANGES + 1, dtype=U))
+            rows = [(part, row.chunk, grams[a:b].tobytes()) for part, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a]
+            yield pd.DataFrame(rows, columns=["part", "chunk", "body"])
+
+
+def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Levels of the n-grams asked for. In every range the slice, which has no
+    chunk, comes first; only one slice is held at a time."""
+    held, piece = -1, np.zeros(0, U)
+    for batch in batches:
+        rows = []
+        for row in batch.itertuples():
+            if row.chunk == "":
+                held, piece = row.part, np.frombuffer(zlib.decompress(row.body), U)
+                continue
+            grams = np.frombuffer(row.body, U)
+            found = levels(piece, grams, row.part) if row.part == held else np.zeros(len(grams), np.int64)
+            rows.append((row.chunk, row.part, found.astype(np.uint8).tobytes()))
+        yield pd.DataFrame(rows, columns=["chunk", "part", "found"])
+
+
+def answered(texts: DataFrame, counted: DataFrame) -> DataFrame:
+    """Chunks of ``texts`` (doc_id, key, text) with the levels of their n-grams
+    as the slices in ``counted`` have them, in parts by hash range. Slices and
+    questions meet by range in sorted streams, so neither is gathered."""
+    chunks = stage(texts.select(F.col("doc_id").cast("string").alias("doc_id"), "key", "text").mapInPandas(gather, "chunk string, doc_ids array<string>, keys array<string>, texts array<string>"))
+    questions = chunks.select("chunk", "texts").mapInPandas(ask, "part int, chunk string, body binary")
+    slices = counted.select("part", F.lit("").alias("chunk"), F.col("slice").alias("body"))
+    met = slices.unionByName(questions).repartition(RANGES, "part").sortWithinPartitions("part", "chunk")
+    found = met.mapInPandas(answer, "chunk string, part int, found binary")
+    return chunks.join(found.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("part", "found"))).alias("found")), "chunk")
+
+
 def score(
     docs: DataFrame,
     train: DataFrame,
@@ -172,7 +236,9 @@ def score(
     as often as they went in; rows without doc_id are kept. An empty training
     table knows no token. Other columns are ignored.
 
-    ``bits``: size of the filter, the bound of what is broadcast for it.
+    ``bits``: size of the filter that is broadcast. Where a range needs more than
+    its share of them, nothing is broadcast and the n-grams of ``docs`` are
+    joined with the slices, which grow with the corpus.
     ``prior``: weight of the unigrams in the bigram model. ``head``: tokens whose
     exact counts are broadcast, the most frequent ones; all others meet their
     counts in a join, so no frequent token is ever a join key.
@@ -182,7 +248,7 @@ def score(
     packed = train.select("text").mapInPandas(count_batches, "part int, kind string, grams binary, counts binary")
     counted = stage(packed.repartition(RANGES, "part").groupBy("part").applyInPandas(build_range(words), COUNTED))
 
-    totals = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v"), *[F.coalesce(F.sum(F.col("table")[i]), F.lit(0)).alias(f"t{i}") for i in range(MAX_LEVELS)]).first()
+    totals = counted.agg(F.coalesce(F.max("size"), F.lit(0)).alias("size"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v"), *[F.coalesce(F.sum(F.col("table")[i]), F.lit(0)).alias(f"t{i}") for i in range(MAX_LEVELS)]).first()
     n, v = int(totals["n"]), int(totals["v"])
     floor, held = MAX_LEVELS, 0
     while floor > 1 and held + totals[f"t{floor - 1}"] <= head:
@@ -190,13 +256,16 @@ def score(
         held += totals[f"t{floor}"]
     least = 1 << (floor - 1)  # counts from here on are in the head
 
-    bloom = np.zeros(words, U)
     size = words // RANGES
-    for turn in range(8):  # an eighth of the slices at a time
-        for row in counted.where(F.col("part") % 8 == turn).select("part", "slice").collect():
-            bloom[row["part"] * size : (row["part"] + 1) * size] = np.frombuffer(zlib.decompress(row["slice"]), U)
-    shared_bloom = spark.sparkContext.broadcast(bloom)
-    del bloom
+    fits = totals["size"] <= size
+    shared_bloom = None
+    if fits:
+        bloom = np.zeros(words, U)
+        for turn in range(8):  # an eighth of the slices at a time
+            for row in counted.where(F.col("part") % 8 == turn).select("part", "slice").collect():
+                bloom[row["part"] * size : (row["part"] + 1) * size] = np.frombuffer(zlib.decompress(row["slice"]), U)
+        shared_bloom = spark.sparkContext.broadcast(bloom)
+        del bloom
 
     def frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -211,22 +280,33 @@ def score(
     order = np.argsort(gram)
     shared_head = spark.sparkContext.broadcast((gram[order], c[order]))
 
+    def by_filter(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, Callable[[np.ndarray], np.ndarray]]]:
+        for batch in pieces(batches, 4 << 20):
+            yield batch, functools.partial(levels, shared_bloom.value)
+
+    def by_answers(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, Callable[[np.ndarray], np.ndarray]]]:
+        for batch in batches:
+            for row in batch.itertuples():
+                texts = pd.DataFrame({"doc_id": row.doc_ids, "key": row.keys, "text": row.texts}, dtype=object)
+                known = asked(*sequences(texts["text"].tolist()))
+                found = np.frombuffer(b"".join(x["found"] for x in row.found), np.uint8).astype(np.int64)
+                yield texts, lambda grams, known=known, found=found: found[np.searchsorted(known, grams)]
+
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams, counts = shared_head.value
-        filter_words = shared_bloom.value
-        for batch in pieces(batches, 4 << 20):
+        for batch, look_up in (by_filter if fits else by_answers)(batches):
             tokens, offsets = sequences(batch["text"].tolist())
             before = bigrams(tokens, offsets)
             owner = np.repeat(np.arange(len(batch)), np.diff(offsets))
             unique, place = np.unique(mix(tokens ^ WORD), return_inverse=True)
-            seen = low(levels(filter_words, unique))
+            seen = low(look_up(unique))
             p_word = (seen[place] + 1) / (n + v + 1)
             pairs, pair_place = np.unique(combine(before, tokens) ^ PAIR, return_inverse=True)
-            together = low(levels(filter_words, pairs))[pair_place]
+            together = low(look_up(pairs))[pair_place]
             # The word before is one of the tokens, or the start, which is as frequent as the end.
             lead = np.where(before == START, END, before)
             firsts, first_place = np.unique(mix(lead ^ WORD), return_inverse=True)
-            context = high(levels(filter_words, firsts))[first_place]
+            context = high(look_up(firsts))[first_place]
             scores = np.log10((together + prior * p_word) / (context + prior))
             total = np.bincount(owner, scores, len(batch))
 
@@ -257,12 +337,13 @@ def score(
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.xxhash64("text").cast("string"))
+    texts = docs.select("doc_id", key.alias("key"), "text")
+    source, shown = (texts, kind) if fits else (answered(texts, counted), "string")
     weighed = stage(
-        docs.select("doc_id", key.alias("key"), "text").mapInPandas(
-            weigh, f"doc_id {kind}, key string, n_tokens long, n_known long, own double, score double, tail array<long>, times array<long>"
-        )
+        source.mapInPandas(weigh, f"doc_id {shown}, key string, n_tokens long, n_known long, own double, score double, tail array<long>, times array<long>").withColumn("doc_id", F.col("doc_id").cast(kind))
     )
-    shared_bloom.destroy()  # what it was for is written
+    if shared_bloom is not None:
+        shared_bloom.destroy()  # what it was for is written
     shared_head.destroy()
     # Rarer tokens meet their exact counts in a join, and the sums come back per
     # text. Rows that are equal share a key, so its sum is that of all of them.

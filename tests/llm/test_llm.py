@@ -62,6 +62,23 @@ def test_bloom_levels_are_one_sided():
     assert (language_model.low(found) <= counts).all() and (language_model.high(found) >= counts).all()
 
 
+def test_language_model_keeps_its_error_rate(spark):
+    """A filter far too small for the corpus gives nearly the scores of an ample one."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"t{x}" for x in rng.integers(0, 9000, 300)) for _ in range(60)]
+    strange = [" ".join(f"u{x}" for x in rng.integers(0, 9000, 300)) for _ in range(5)]
+    train = spark.createDataFrame([(t,) for t in texts], "text string")
+    docs = spark.createDataFrame([*enumerate(texts + strange), (None, "t1 t2"), (64, strange[-1]), (90, None)], "doc_id long, text string").repartition(3)
+    got = language_model.score(docs, train, bits=1 << 14).collect()
+    small = {r.doc_id: r for r in got}
+    ample = {r.doc_id: r for r in language_model.score(docs, train, bits=1 << 26).collect()}
+    assert len(got) == 68 and set(small) == set(ample)
+    for i, r in ample.items():
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (small[i].n_tokens, small[i].n_known, small[i].train_tokens)
+        assert r.base_score == pytest.approx(small[i].base_score)
+        assert abs(r.score - small[i].score) < 0.04 * r.n_tokens
+
+
 def plain_components(texts, n, percent):
     sets = []
     for t in texts:
