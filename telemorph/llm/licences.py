@@ -12,6 +12,7 @@ of its bigrams are missing; texts and lines without any anchor are left at once.
 from __future__ import annotations
 
 import functools
+import math
 import operator
 import re
 
@@ -56,7 +57,7 @@ def anchors(templates: dict[str, str], least: float) -> list[str]:
     for wording in templates.values():
         words = re.sub(r"[\W_]+", " ", wording.lower()).split()
         pairs = set(zip(words, words[1:], strict=False))
-        spare = len(pairs) - -(-len(pairs) * least // (2 - least))  # bigrams that may be missing
+        spare = len(pairs) - math.ceil(len(pairs) * least / (2 - least) - 1e-9)  # bigrams that may be missing, as template_index counts them
         for word in sorted(set(words), key=lambda w: (w not in chosen, -len(w), w)):
             if sum(bool(chosen & set(pair)) for pair in pairs) > spare:
                 break

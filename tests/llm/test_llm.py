@@ -178,6 +178,32 @@ def test_licences(odd, empty):
     assert licences.scan(odd).count() == ROWS and licences.scan(empty).count() == 0
 
 
+def test_licences_at_the_threshold(spark):
+    """Lines of just enough bigrams of each template, found as a scan without anchors finds them."""
+    made = []
+    for wording in licences.TEMPLATES.values():
+        own = re.sub(r"[\W_]+", " ", wording.lower()).split()
+        b = len(set(zip(own, own[1:], strict=False)))
+        for size in range(2, len(own)):
+            made += [" ".join(own[at : at + size]) for at in range(len(own) - size + 1) if abs(2 * (size - 1) / (size - 1 + b) - 0.8) < 0.07]
+    made.append("CC BY-NC 4.0")
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+
+    def grams(text):
+        own = re.sub(r"[\W_]+", " ", text.lower()).split()
+        return set(zip(own, own[1:], strict=False))
+
+    def plain(text):
+        a = grams(text)
+        scored = [(-2 * len(a & b) / (len(a) + len(b)), name) for name, b in ((k, grams(v)) for k, v in licences.TEMPLATES.items())]
+        best = min(x for x in scored)
+        return (1, best[1], -best[0]) if -best[0] >= 0.8 else (0, None, None)
+
+    got = {r.doc_id: (r.n_notices, r.licence, r.dice) for r in licences.scan(docs).collect()}
+    assert any(got[i][2] == 0.8 for i in got) and got[len(made) - 1][1] == "cc-by-nc-4.0"
+    assert {made[i]: r for i, r in got.items()} == {text: plain(text) for text in made}
+
+
 def test_token_counts(odd, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
