@@ -5,8 +5,11 @@ character n-grams and lexicon entries. Learned transitions connect neighbouring
 words, and forward-backward labels each word given all others of its chain. A
 document's language is the one with most letters of expected words.
 
-Texts are read whole; chains end after ``CHAIN`` words, so labelling a long text
-needs no more memory than a short one.
+Words are the runs of letters between white space and other characters; longer
+runs than ``LONGEST`` letters, as of texts written without spaces, are cut into
+words of at most that length, so every letter is looked at. Texts are read
+whole; chains end after ``CHAIN`` words, so labelling a long text needs no more
+memory than a short one.
 
 The field is fitted to a bounded sample of labelled documents. The sample's
 texts are laid end to end in random order before they are cut into chains, so
@@ -43,31 +46,44 @@ NOTHING = BUCKETS + LEXICON
 #: Words kept with their potentials between batches of one worker.
 REMEMBER = 1 << 18
 NO_LETTER = regex.compile(r"[^\p{L}\p{M}]+")
-#: Letters of a word that features look at; of longer words both ends are.
+#: Most letters of a word; longer runs of letters are several words.
 LONGEST = 32
 
 
-def bare(token: str) -> str:
-    """A token's letters."""
-    return token if token.isalpha() else NO_LETTER.sub("", token)
+def parts(token: str) -> list[str]:
+    """The words of a token, with all its letters: cut where it has other
+    characters, and long runs into pieces of nearly equal length."""
+    out = []
+    for run in [token] if token.isalpha() else NO_LETTER.split(token):
+        count = -(-len(run) // LONGEST)
+        out += [run[len(run) * i // count : len(run) * (i + 1) // count] for i in range(count)]
+    return out
+
+
+def short_tokens(text: str | None) -> list[str]:
+    """The tokens of a text, lower-cased, long ones as their words: none is
+    longer than LONGEST, so what is remembered of them is bounded."""
+    tokens = text.lower().split() if text else []
+    if not any(len(t) > LONGEST for t in tokens):
+        return tokens
+    return [w for t in tokens for w in ([t] if len(t) <= LONGEST else parts(t))]
 
 
 def features(words: list[str]) -> np.ndarray:
     """Buckets of every word's features: prefixes and suffixes of up to 4
     letters, character 2- and 3-grams with its ends, and the word itself as a
     lexicon entry. Rows are padded with a bucket that has no weight."""
-    cut = [w if len(w) <= LONGEST else w[: LONGEST // 2] + w[-LONGEST // 2 :] for w in words]
-    width = max(1, *map(len, cut)) if cut else 1
-    letters = np.array(cut, f"<U{width}").view(np.uint32).reshape(len(cut), width).astype(np.uint64)
-    size = np.array([len(w) for w in cut])
-    row = np.arange(len(cut))
-    shown = np.zeros((len(cut), width + 3), np.uint64)
+    width = max(1, *map(len, words)) if words else 1
+    letters = np.array(words, f"<U{width}").view(np.uint32).reshape(len(words), width).astype(np.uint64)
+    size = np.array([len(w) for w in words])
+    row = np.arange(len(words))
+    shown = np.zeros((len(words), width + 3), np.uint64)
     shown[:, 0], shown[:, 1 : width + 1] = 1, letters
     shown[row, size + 1] = 2
     columns = []
 
     def add(kind: int, chars: list[np.ndarray], valid: np.ndarray, first: int = 0, buckets: int = BUCKETS) -> None:
-        value = np.full(len(cut), kind, np.uint64)
+        value = np.full(len(words), kind, np.uint64)
         for c in chars:
             value = value * np.uint64(0x100000001B3) + c
         bucket = (mix(value) % np.uint64(buckets)).astype(np.int32) + np.int32(first)
@@ -149,7 +165,7 @@ def fit(texts: list[str], languages: list[str], rounds: int = 12) -> Field:
     rng = np.random.default_rng(7)
     words, labels = [], []
     for i in rng.permutation(len(texts)):
-        found = [w for w in map(bare, texts[i].lower().split()) if w]
+        found = [w for t in texts[i].lower().split() for w in parts(t)]
         words += found
         labels += [names.index(languages[i])] * len(found)
     if not words:
@@ -213,26 +229,31 @@ class Labelling:
         self.ids: defaultdict[str, int] = defaultdict(itertools.count().__next__)
         self.scores = np.zeros((0, len(self.field.languages)), np.float32)
         self.letters = np.zeros(0, np.int64)
+        self.ends = np.zeros(1, np.int64)
 
-    def look_up(self, tokens: list[str]) -> np.ndarray:
-        """Rows of the tokens in the tables of potentials and letters."""
+    def look_up(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the tokens' words in the tables of potentials and letters, and
+        which token each belongs to. Tokens without letters have no word."""
         if len(self.ids) > REMEMBER:
             self.forget()
         codes = np.fromiter(map(self.ids.__getitem__, tokens), np.int64, len(tokens))
-        new = list(itertools.islice(self.ids, len(self.letters), None))
+        new = list(itertools.islice(self.ids, len(self.ends) - 1, None))
         if new:
-            words = [bare(t) for t in new]
+            found = [parts(t) for t in new]
+            words = [w for own in found for w in own]
             self.scores = np.concatenate([self.scores, self.field.potentials(words)])
             self.letters = np.concatenate([self.letters, np.fromiter(map(len, words), np.int64, len(words))])
-        return codes
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))])
+        counts = self.ends[codes + 1] - self.ends[codes]
+        token = np.repeat(np.arange(len(codes)), counts)
+        nth = np.arange(len(token)) - np.repeat(np.cumsum(counts) - counts, counts)
+        return self.ends[codes][token] + nth, token
 
     def label(self, texts: list) -> tuple[list[str], list[float]]:
-        found = [t.lower().split() if t else [] for t in texts]
-        codes = self.look_up([w for words in found for w in words])
-        # Tokens without letters are no words of a chain.
-        letters = self.letters[codes]
-        owner = np.repeat(np.arange(len(texts)), [len(words) for words in found])[letters > 0]
-        codes, letters, table = codes[letters > 0], letters[letters > 0], self.scores
+        found = [short_tokens(t) for t in texts]
+        codes, token = self.look_up([w for words in found for w in words])
+        owner = np.repeat(np.arange(len(texts)), [len(words) for words in found])[token]
+        letters, table = self.letters[codes], self.scores
         counts = np.bincount(owner, minlength=len(texts))
         if not len(codes):
             return [UNKNOWN] * len(texts), [0.0] * len(texts)

@@ -157,6 +157,23 @@ def test_language_id(spark, odd, empty):
     assert found.count() == ROWS and language_id.identify_held_out(empty).count() == 0
 
 
+def test_language_id_sees_every_letter(spark):
+    """Texts without spaces are judged by all their letters, not by their ends."""
+    ends = {"de": ["ung", "keit"], "es": ["cion", "mente"]}
+    made = {k: [f"{stem}{end}" for stem in "bcdfg" for end in v] for k, v in ends.items()}
+    texts = [(" ".join(v), k) for k, v in made.items() for _ in range(20)]
+    field = language_id.fit([t for t, _ in texts], [k for _, k in texts])
+    de, es = "".join(made["de"] * 40), "".join(made["es"] * 40)
+    asked = [de[:32] + es + de[-32:], es[:32] + de + es[-32:], de + es, "/".join(made["es"] * 9), "bung/" + "/".join(made["es"]) + "/bung", "12.." * 40]
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    got = {r.doc_id: r for r in language_id.identify(docs, field).collect()}
+    assert [got[i].lang_pred for i in (0, 1, 3, 4, 5)] == ["es", "de", "es", "es", "und"]
+    assert 0.4 < got[2].score < 0.8 and got[0].score > got[2].score
+    for token in (*asked, "don't", "a" * 32, "a" * 33, "--", "ab" * 50 + "'" + "c" * 31):
+        assert "".join(language_id.parts(token)) == "".join(c for c in token if c.isalpha())
+        assert all(0 < len(w) <= language_id.LONGEST for w in language_id.parts(token))
+
+
 def test_forward_backward_sums_all_paths():
     rng = np.random.default_rng(0)
     scores, moves = rng.standard_normal((1, 4, 3)), rng.standard_normal((3, 3))
