@@ -5,7 +5,10 @@ hashed, the others may hold anything. Documents and benchmark items are hashed a
 every position and joined on equal hashes; around each hit the two are laid side
 by side, and a window of ``WINDOW`` words that covers the seed must agree in
 ``LEAST`` of them. Items shorter than the window are compared whole, with the
-same share.
+same share, by masks of their own.
+
+However the words that may differ lie in a window, some mask of its width hits
+only equal words, so no window that passes the comparison is missed.
 
 Positions meet a bitmap of the benchmark's hashes first, of fixed size and
 broadcast, so that nearly all leave in the scan; what passes is joined exactly.
@@ -18,9 +21,13 @@ from pyspark.sql import functions as F
 
 from telemorph.llm.shared import lower_ascii, marked, stage, without, words
 
-# The masks.
-MASKS = ("11010011", "1011011")
 WINDOW, LEAST = 12, 9
+# By width of the window, masks that hit every placement of the words that may differ.
+MASKS_OF = {
+    1: ("1",), 2: ("11",), 3: ("111",), 4: ("11",), 5: ("111", "1101"), 6: ("1111", "11011"), 7: ("11011",),
+    8: ("111", "1101"), 9: ("111",), 10: ("11101", "1111"), 11: ("11101",), WINDOW: ("11101", "10111"),
+}
+MASKS = tuple(sorted({mask for masks in MASKS_OF.values() for mask in masks}))
 
 
 def hashes(text: Column) -> Column:
@@ -28,12 +35,23 @@ def hashes(text: Column) -> Column:
     return F.transform(words(lower_ascii(text)), lambda w: F.xxhash64(w))
 
 
-def seeds(own: Column) -> Column:
-    """(mask, at, seed) for every place of a hash array where a mask fits; ``at`` counts from 1."""
+def width(item: Column) -> Column:
+    """Words of an item's windows."""
+    return F.least(F.lit(WINDOW), F.size(item))
+
+
+def seeds(own: Column, widths: list[int], item: bool = False) -> Column:
+    """(mask, at, seed) for every place of a hash array where a mask of the
+    ``widths`` fits; ``at`` counts from 1. An ``item`` only has the masks of its
+    own width."""
     parts = []
     for number, mask in enumerate(MASKS):
+        used = [w for w in widths if mask in MASKS_OF[w]]
+        if not used:
+            continue
         marks = [i for i, c in enumerate(mask) if c == "1"]
-        places = F.when(F.size(own) >= len(mask), F.sequence(F.lit(1), F.size(own) - (len(mask) - 1))).otherwise(F.array().cast("array<int>"))
+        wanted = (F.size(own) >= len(mask)) & (width(own).isin(used) if item else F.lit(True))
+        places = F.when(wanted, F.sequence(F.lit(1), F.size(own) - (len(mask) - 1))).otherwise(F.array().cast("array<int>"))
         parts.append(F.transform(places, _hashed(own, number, marks)))
     return F.concat(*parts)
 
@@ -51,30 +69,32 @@ def agreement(near: Column, item: Column, shift: Column, at: Column, mask: Colum
     document's hashes around it, its first one ``shift`` places before the seed;
     ``at`` is the seed's place in the item."""
     span = F.element_at(F.array(*[F.lit(len(m)) for m in MASKS]), mask + 1)
-    width = F.least(F.lit(WINDOW), F.size(item))
+    wide = width(item)
     # Places relative to the seed's first word at which both have words.
     low = F.greatest(-shift, 1 - at)
     high = F.least(F.size(near) - shift - 1, F.size(item) - at)
     same = F.transform(F.sequence(low, high), lambda k: (F.get(near, k + shift) == F.get(item, at - 1 + k)).cast("int"))
-    first = F.greatest(low, span - width)
-    last = F.least(F.lit(0), high - width + 1)
+    first = F.greatest(low, span - wide)
+    last = F.least(F.lit(0), high - wide + 1)
     starts = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-    return F.array_max(F.transform(starts, lambda s: F.aggregate(F.slice(same, s - low + 1, width), F.lit(0), lambda a, b: a + b)))
+    return F.array_max(F.transform(starts, lambda s: F.aggregate(F.slice(same, s - low + 1, wide), F.lit(0), lambda a, b: a + b)))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(text_key, item_id, equal, of): texts of ``docs`` that hold a window of a
     benchmark item, with the equal words of the best one and its width."""
     items = benchmark.where("item_id is not null").select("item_id", hashes(F.col("text")).alias("item")).where(F.size("item") > 0)
-    known = stage(items.withColumn("s", F.explode(seeds(F.col("item")))).select("item_id", "item", F.col("s.mask").alias("mask"), F.col("s.at").alias("item_at"), F.col("s.seed").alias("seed")))
+    # At most WINDOW numbers: masks that no item needs are not laid over the texts.
+    widths = sorted(row["w"] for row in items.select(width(F.col("item")).alias("w")).distinct().collect()) or [WINDOW]
+    known = stage(items.withColumn("s", F.explode(seeds(F.col("item"), widths, item=True))).select("item_id", "item", F.col("s.mask").alias("mask"), F.col("s.at").alias("item_at"), F.col("s.seed").alias("seed")))
     texts = docs.select(F.xxhash64("text").alias("text_key"), hashes(F.col("text")).alias("own"))
-    places = texts.select("text_key", "own", F.explode(seeds(F.col("own"))).alias("s"))
+    places = texts.select("text_key", "own", F.explode(seeds(F.col("own"), widths)).alias("s"))
     hits = marked(places.select("text_key", "own", "s", F.col("s.seed").alias("seed")), F.col("seed"), known.select("seed"), "_maybe").where("_maybe")
     before = F.least(F.col("s.at") - 1, F.lit(WINDOW - 1))
-    near = F.slice(F.col("own"), F.col("s.at") - before, before + (WINDOW + 8))
+    near = F.slice(F.col("own"), F.col("s.at") - before, before + WINDOW)
     kept = hits.select("text_key", "seed", F.col("s.mask").alias("mask"), before.alias("shift"), near.alias("near")).distinct()
     met = kept.join(known, ["seed", "mask"])
-    checked = met.select("text_key", "item_id", F.least(F.lit(WINDOW), F.size("item")).alias("of"), agreement(F.col("near"), F.col("item"), F.col("shift"), F.col("item_at"), F.col("mask")).alias("equal"))
+    checked = met.select("text_key", "item_id", width(F.col("item")).alias("of"), agreement(F.col("near"), F.col("item"), F.col("shift"), F.col("item_at"), F.col("mask")).alias("equal"))
     return checked.where(F.col("equal") * WINDOW >= LEAST * F.col("of")).groupBy("text_key", "item_id", "of").agg(F.max("equal").alias("equal"))
 
 
@@ -84,8 +104,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     equal_words (the most in any window).
 
     Documents without overlap, null and empty texts among them, have 0 items and
-    nulls. Items without id, words or room for a mask match nothing; equal item
-    ids count once. Equal rows get equal results, rows without doc_id are kept,
+    nulls. Items without id or words match nothing; equal item ids count
+    once. Equal rows get equal results, rows without doc_id are kept,
     other columns are ignored; empty tables give 0 items everywhere or no rows.
     """
     found = stage(overlaps(docs, benchmark)).groupBy("text_key").agg(F.countDistinct("item_id").alias("n"), F.min("item_id").alias("item_id"), F.max("equal").alias("equal_words"))

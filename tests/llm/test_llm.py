@@ -1,6 +1,7 @@
 """Operators for training data against plain versions, on rows meant to upset them."""
 
 import hashlib
+import itertools
 import math
 import re
 from collections import Counter
@@ -278,6 +279,43 @@ def test_decontamination(spark, odd, empty):
     assert decontamination.contaminated(odd, benchmark.limit(0)).count() == ROWS and decontamination.clean(empty, benchmark).count() == 0
 
 
+def test_masks_hit_every_placement():
+    for wide, masks in decontamination.MASKS_OF.items():
+        spare = wide - math.ceil(decontamination.LEAST * wide / decontamination.WINDOW)
+        for lost in itertools.combinations(range(wide), spare):
+            kept = "".join("0" if i in lost else "1" for i in range(wide))
+            assert any(all(kept[at + i] == "1" for i, c in enumerate(mask) if c == "1") for mask in masks for at in range(wide - len(mask) + 1)), (wide, lost)
+
+
+def test_decontamination_equals_all_windows(spark):
+    """Against a comparison of all windows: every fourth word replaced, substitutions
+    and shifts at random, items of all lengths from one word on."""
+    rng = np.random.default_rng(6)
+    items = [[f"i{n}w{k}" for k in range(n)] for n in (*range(1, 16), 40)]
+    texts = [["x", *items[-1], "y"], [w if i % 4 != 3 else "zz" for i, w in enumerate(items[-1])]]
+    texts += [["x", *w, "y"] for w in items] + [w[:-1] for w in items]
+    for _ in range(150):
+        own = list(items[rng.integers(0, len(items))])
+        for _ in range(rng.integers(0, 5)):
+            own[rng.integers(0, len(own))] = "zz"
+        texts.append(["x"] * rng.integers(0, 3) + own[rng.integers(0, 2) :] + ["y"] * rng.integers(0, 3))
+
+    def plain(text):
+        found = {}
+        for n, item in enumerate(items):
+            wide = min(12, len(item))
+            equal = [sum(a == b for a, b in zip(text[i : i + wide], item[j : j + wide], strict=True)) for i in range(len(text) - wide + 1) for j in range(len(item) - wide + 1)]
+            if max(equal, default=0) * 12 >= 9 * wide:
+                found[n] = max(equal)
+        return len(found), min(found, default=None), max(found.values(), default=None)
+
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    got = {r.doc_id: (r.n_items, r.item_id, r.equal_words) for r in decontamination.contaminated(docs, benchmark).collect()}
+    assert got == {i: plain(t) for i, t in enumerate(texts)}
+    assert got[1] == (1, 15, 9)
+
+
 def test_quality_rules(spark, odd, empty):
     texts = [("Plain words follow. " * 20 if i % 2 else "a| b| c$$ d%% " * 20) + f"x{i}" for i in range(400)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
