@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telemorph.llm import decontamination, disclosure, jaccard_join, language_id, language_model, licences, mixing, neighbours, quality_rules, token_counts
+from telemorph.llm import (
+    decontamination, disclosure, fill_in_middle, hard_negatives, jaccard_join, language_id, language_model, licences, mixing, neighbours, quality_rules, simhash,
+    token_counts,
+)
 from telemorph.llm.shared import read
 
 
@@ -50,6 +53,18 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_of_hundredth(read(spark, sf_dir, "embeddings"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digest(fill_in_middle.transform(read(spark, sf_dir, "documents")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_hundredth(read(spark, sf_dir, "embeddings"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -60,7 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn
     for fn in (
         op1_lm_scoring, op2_ngram_jaccard, op3_language_id, op4_licence_scan, op5_token_counts, op6_personal_data,
-        op7_decontamination, op8_quality_rules, op9_source_mixing, op10_nearest_vectors, pipeline,
+        op7_decontamination, op8_quality_rules, op9_source_mixing, op10_nearest_vectors, op11_fill_in_middle, op12_hard_negatives, op13_simhash, pipeline,
     )
 }
 
