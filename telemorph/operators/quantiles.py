@@ -1,13 +1,19 @@
 """Exact quantiles that never gather a group in one task.
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer,
-which cannot hold a group with a third of a large table. Here values are counted
-into buckets cut from the leading bits of their double representation. The
-wanted ranks are located among the counts of coarse buckets, then among the fine
-buckets of those few, then among their values. A coarse level has 2^12 buckets
-per power of two, a fine one 2^20 per coarse bucket, and a fine bucket at most
-2^20 distinct doubles, so every ordered step is bounded whatever the group
-holds. Nothing is approximated.
+which cannot hold a group with a third of a large table. Here ranks are selected
+by refining a histogram whose buckets are cut from the leading bits of a double:
+
+1. rows are counted per group and bucket; the few buckets that hold a wanted
+   rank are located among those counts;
+2. only rows of these buckets are counted per value (the others are dropped
+   before the shuffle by a bitmap of bounded size), and the ranks are located
+   among the values.
+
+There are 2^16 buckets per power of two, so a group of any size has as many
+counts as its values span, and the values ordered in one step are those that
+agree in 17 leading bits. Nothing is approximated, and nothing runs before the
+result is asked for.
 """
 
 from __future__ import annotations
@@ -15,87 +21,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemorph.operators.sizing import staged
+from telemorph.operators.sizing import only_maybe_in
 
-COARSE = 1 << 12
-FINE = 1 << 20
-# Up to this many distinct values, a group is ordered in one step.
-DIRECT_LIMIT = 1 << 20
+BUCKETS = 1 << 16
 # Keeps the exponents of all doubles positive.
 EXPONENT_OFFSET = 1100
 
 
-def value_buckets(value: Column) -> tuple[Column, Column]:
-    """Coarse and fine bucket of a double; both grow with the value.
+def value_bucket(value: Column) -> Column:
+    """Bucket of a double; it grows with the value.
 
     The size is scaled by a power of two, which is exact. If LOG2 rounds to a
     neighbouring integer next to a power of two, the formula still yields the
-    same or the adjacent coarse number, so order is kept.
+    same or the adjacent number, so order is kept.
     """
     size = F.abs(value)
     exponent = F.floor(F.log2(size))
-    scaled = size / F.pow(F.lit(2.0), exponent.cast("double")) * F.lit(COARSE)
-    whole = F.floor(scaled)
+    scaled = size / F.pow(F.lit(2.0), exponent.cast("double")) * F.lit(BUCKETS)
     sign = F.when(value < 0, -1).otherwise(1)
-    regular = sign * ((exponent + F.lit(EXPONENT_OFFSET)) * F.lit(COARSE) + whole - F.lit(COARSE))
-    fine = sign * F.floor((scaled - whole) * F.lit(FINE))
-    limit = F.lit((1024 + EXPONENT_OFFSET + 1) * COARSE).cast("bigint")
-    special = F.isnan(value) | (size == F.lit(float("inf"))) | (value == 0)
-    coarse = (
+    regular = sign * ((exponent + F.lit(EXPONENT_OFFSET)) * F.lit(BUCKETS) + F.floor(scaled) - F.lit(BUCKETS))
+    limit = F.lit((1024 + EXPONENT_OFFSET + 1) * BUCKETS).cast("bigint")
+    return (
         F.when(F.isnan(value), limit + F.lit(1))
         .when(size == F.lit(float("inf")), sign * limit)
         .when(value == 0, F.lit(0).cast("bigint"))
         .otherwise(regular)
     )
-    return coarse, F.when(special, F.lit(0).cast("bigint")).otherwise(fine)
 
 
-def _descend(counts: DataFrame, group: list[str], part: str, targets: DataFrame) -> DataFrame:
-    """From ranks within ``group`` to ranks within ``group`` and ``part``: the
-    parts that hold a target, each target counted from the part's start."""
-    sizes = counts.groupBy(*group, part).agg(F.sum("_n").alias("_n"))
+def _descend(sizes: DataFrame, group: list[str], part: str) -> DataFrame:
+    """From ranks ``_t`` within ``group`` to ranks within ``group`` and ``part``,
+    given the rows ``_n`` of every part: the parts that hold a target, each target
+    counted from the part's start."""
     upto = F.sum("_n").over(Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, 0))
-    placed = sizes.withColumn("_start", upto - F.col("_n")).join(targets, group)
 
     def shifted(t: Column) -> Column:
         return F.struct(t["name"].alias("name"), t["side"].alias("side"), (t["rank"] - F.col("_start")).alias("rank"), t["share"].alias("share"))
 
     inside = F.filter(F.transform("_t", shifted), lambda t: (t["rank"] >= 0) & (t["rank"] < F.col("_n")))
-    return placed.select(*group, part, inside.alias("_t")).where(F.size("_t") > 0)
+    return sizes.withColumn("_start", upto - F.col("_n")).select(*group, part, inside.alias("_t")).where(F.size("_t") > 0)
 
 
-def exact_percentiles(
-    df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float], direct_limit: int = DIRECT_LIMIT
-) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
     """Linearly interpolated quantiles per group: one column per entry of
-    ``quantiles`` (name to fraction). NULL values are ignored.
-
-    The distinct values with their counts are staged once. If no group has more
-    than ``direct_limit`` of them they are ordered directly, else bucket by
-    bucket; the result is the same."""
+    ``quantiles`` (name to fraction). NULL values are ignored, so a group
+    without other values is left out."""
     # One struct key: NULLs inside it compare as equal.
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
     rows = df.where(F.col(value).isNotNull()).select(key.alias("_key"), F.col(value).cast("double").alias("_v"))
-    coarse, fine = value_buckets(F.col("_v"))
-    counts = staged(rows.groupBy("_key", coarse.alias("_coarse"), fine.alias("_fine"), "_v").agg(F.count(F.lit(1)).alias("_n")))
+    rows = rows.withColumn("_bucket", value_bucket(F.col("_v")))
 
     def target(name: str, q: float, side: str) -> Column:
         rank = F.lit(q) * (F.col("_total") - F.lit(1))
         at = F.floor(rank) if side == "lo" else F.ceil(rank)
         return F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), at.cast("bigint").alias("rank"), (rank - F.floor(rank)).alias("share"))
 
-    totals = counts.groupBy("_key").agg(F.sum("_n").alias("_total"), F.count(F.lit(1)).alias("_distinct"))
-    widest = totals.agg(F.max("_distinct").alias("m")).first()["m"] or 0
     wanted = F.array(*[target(n, q, side) for n, q in quantiles.items() for side in ("lo", "hi")])
-    targets = totals.select("_key", wanted.alias("_t"))
-    if widest <= direct_limit:
-        targets = _descend(counts, ["_key"], "_v", targets)
-    else:
-        group = ["_key"]
-        for part in ("_coarse", "_fine", "_v"):
-            within = counts if part == "_coarse" else counts.join(targets.select(*group), group, "left_semi")
-            targets = staged(_descend(within, group, part, targets))
-            group.append(part)
+    sizes = rows.groupBy("_key", "_bucket").agg(F.count(F.lit(1)).alias("_n")).withColumn("_total", F.sum("_n").over(Window.partitionBy("_key")))
+    buckets = _descend(sizes.withColumn("_t", wanted), ["_key"], "_bucket")
+    near = only_maybe_in(rows, ["_key", "_bucket"], buckets)
+    counts = near.groupBy("_key", "_bucket", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    targets = _descend(counts.join(buckets, ["_key", "_bucket"]), ["_key", "_bucket"], "_v")
     hits = targets.select("_key", "_v", F.explode("_t").alias("_hit"))
 
     def picked(name: str, side: str, field: str) -> Column:

@@ -45,3 +45,19 @@ def spread(df: DataFrame, column: str) -> DataFrame:
     """Distribute rows evenly by a column's content, for work that is heavy per
     row: how the rows happen to lie in files then does not matter."""
     return df.repartition(F.xxhash64(F.col(column).cast("string")))
+
+
+#: Words of the bitmap below: at most so many rows of 64 bits are broadcast.
+SLOTS = 1 << 15
+
+
+def only_maybe_in(rows: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``keys`` are not in ``wanted``, dropped
+    where they are read, before any shuffle. A bitmap of the wanted keys is
+    broadcast; it has at most ``SLOTS`` words, so the more keys there are, the
+    more other rows pass, and a join or lookup must follow."""
+    slot = F.pmod(F.xxhash64(*keys), F.lit(SLOTS)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(F.lit(7), *keys), F.lit(64)).cast("int"))
+    bitmap = wanted.select(slot.alias("_slot"), bit.alias("_bit")).groupBy("_slot").agg(F.bit_or("_bit").alias("_bits"))
+    marked = rows.withColumn("_at", slot).join(F.broadcast(bitmap), F.col("_at") == F.col("_slot"))
+    return marked.where(F.col("_bits").bitwiseAND(bit) != 0).select(*rows.columns)

@@ -1,8 +1,8 @@
-"""Ordered work within a series, cut into time chunks.
+"""Ordered work within a series, cut into pieces of time.
 
 A window partitioned by series alone puts one busy series into one task. Here
-the window is partitioned by (series, chunk of time); what crosses a chunk's
-edge is brought in by a second, small step.
+windows are partitioned by (series, piece of time); what crosses an edge is
+brought in by a second, small step or lent in the same exchange.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from telemorph.functions.scalars import int_div
 
-CHUNK_MS = 6 * 3_600_000
+CHUNK_MS = 3_600_000
 
 
 def with_previous(df: DataFrame, keys: list[str], ts: str, value: str, chunk_ms: int = CHUNK_MS) -> DataFrame:
@@ -41,21 +41,121 @@ def with_previous(df: DataFrame, keys: list[str], ts: str, value: str, chunk_ms:
     )
 
 
-def range_window(
-    df: DataFrame,
-    keys: list[str],
-    ts: str,
-    range_ms: int,
-    columns: dict[str, Callable[[Window], Column]],
-    chunk_ms: int = CHUNK_MS,
-) -> DataFrame:
-    """Evaluate ``columns`` over the trailing window ``(t - range_ms, t]`` of each
-    row. Every row is also lent to the following chunks its window reaches; lent
-    rows are dropped afterwards, so none is lost or doubled."""
-    chunk = max(chunk_ms, range_ms)
-    own = int_div(F.col(ts), chunk)
-    last = int_div(F.col(ts) + F.lit(range_ms - 1), chunk)
-    spread = df.withColumn("_own", own).withColumn("_chunk", F.explode(F.sequence(own, last)))
-    trailing = Window.partitionBy(*keys, "_chunk").orderBy(ts).rangeBetween(-(range_ms - 1), 0)
-    evaluated = spread.withColumns({name: make(trailing) for name, make in columns.items()})
-    return evaluated.where(F.col("_own") == F.col("_chunk")).drop("_own", "_chunk")
+# ---- trailing windows from panes -----------------------------------------------------------
+#
+# Time is cut into panes that divide the range. The window (t - range, t] of a row
+# is then the end of one earlier pane, whole panes, and the beginning of the row's
+# own pane. Every row goes to its own pane and, as an edge, to the pane whose
+# windows begin in its own; both in one exchange. Whole panes between them take
+# part as one row each. So no task holds more of a series than two panes, however
+# long the range, and a window costs the same however many rows it holds.
+
+
+def pane_ms(range_ms: int, longest_ms: int = CHUNK_MS) -> int:
+    """The longest pane of at most ``longest_ms`` that divides the range."""
+    parts = max(1, -(-range_ms // longest_ms))
+    while range_ms % parts:
+        parts += 1
+    return range_ms // parts
+
+
+def step(before: Column, after: Column) -> Column:
+    """Increase of a counter between two samples; a falling value is a reset."""
+    return F.when(after < before, after).otherwise(after - before)
+
+
+def _panes(df: DataFrame, keys: list[str], ts: str, value: str, range_ms: int, pane: int) -> DataFrame:
+    """(keys, _pane, _edge, _at, _ts, _v): rows in their own pane and as edges.
+    ``_at`` is the instant up to which a row lies in the windows of its pane. Of
+    several rows of one instant the greatest value stays."""
+    places = [F.struct(int_div(F.col(ts) + shift, pane).alias("pane"), F.lit(shift > 0).alias("edge"), (F.col(ts) + shift).alias("at")) for shift in (0, range_ms)]
+    rows = df.withColumn("_place", F.explode(F.array(*places))).select(
+        *keys, F.col("_place.pane").alias("_pane"), F.col("_place.edge").alias("_edge"), F.col("_place.at").alias("_at"), F.col(ts).alias("_ts"), F.col(value).alias("_v")
+    )
+    # Everything below asks for rows of a pane in one task, and so runs behind this exchange.
+    spread = rows.repartition(*keys, "_pane")
+    return spread.groupBy(*keys, "_pane", "_edge", "_at", "_ts").agg(F.max("_v").alias("_v"))
+
+
+def _until_here(keys: list[str]) -> Window:
+    """Edges in the window of the current row: those that leave it later."""
+    return Window.partitionBy(*keys, "_pane").orderBy(F.col("_at").desc(), F.col("_edge").asc()).rowsBetween(Window.unboundedPreceding, 0)
+
+
+def _between(panes: DataFrame, keys: list[str], count: int, columns: dict[str, Callable[[Window], Column]]) -> DataFrame:
+    """Per pane, ``columns`` over the ``count`` whole panes before it. Panes of a
+    series are few whatever its rows, so this is the one step ordered by series."""
+    before = Window.partitionBy(*keys).orderBy("_pane").rangeBetween(-count, -1)
+    return panes.select(*keys, "_pane", *[make(before).alias(name) for name, make in columns.items()])
+
+
+def _beside(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """Join by series and pane, NULL keys included."""
+    renamed = others.withColumnsRenamed({k: f"_r_{k}" for k in [*keys, "_pane"]})
+    same = F.col("_pane") == F.col("_r__pane")
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_r_{key}"))
+    return rows.join(renamed, same, "left").drop(*[f"_r_{k}" for k in [*keys, "_pane"]])
+
+
+def trailing_aggregates(df: DataFrame, keys: list[str], ts: str, value: str, range_ms: int, longest_ms: int = CHUNK_MS) -> DataFrame:
+    """(keys, ts, n, total, least, most): number, sum, least and greatest value of the rows
+    in ``(t - range_ms, t]`` at every instant t of a series that has a row."""
+    pane = pane_ms(range_ms, longest_ms)
+    rows = _panes(df, keys, ts, value, range_ms, pane)
+    own = Window.partitionBy(*keys, "_pane", "_edge").orderBy("_ts").rowsBetween(Window.unboundedPreceding, 0)
+    makers = {"n": F.count, "total": F.sum, "least": F.min, "most": F.max}
+    parts = {name: [make("_v").over(own), make(F.when(F.col("_edge"), F.col("_v"))).over(_until_here(keys))] for name, make in makers.items()}
+    here = rows.withColumns({f"_{name}{i}": c for name, cs in parts.items() for i, c in enumerate(cs)}).where(~F.col("_edge"))
+    count = range_ms // pane - 1
+    if count:
+        whole = rows.where(~F.col("_edge")).groupBy(*keys, "_pane").agg(*[make("_v").alias(f"_{name}") for name, make in makers.items()])
+        joined = {"n": F.sum, "total": F.sum, "least": F.min, "most": F.max}
+        between = _between(whole, keys, count, {f"_{n}2": lambda w, n=n, make=make: make(f"_{n}").over(w) for n, make in joined.items()})
+        here = _beside(here, between, keys)
+    numbers = range(3 if count else 2)
+
+    def added(name: str) -> Column:
+        return sum((F.coalesce(F.col(f"_{name}{i}"), F.lit(0)) for i in numbers[1:]), F.col(f"_{name}0"))
+
+    least, most = (pick(*[F.col(f"_{name}{i}") for i in numbers]) for name, pick in (("least", F.least), ("most", F.greatest)))
+    return here.select(*keys, F.col("_ts").alias(ts), added("n").alias("n"), added("total").alias("total"), least.alias("least"), most.alias("most"))
+
+
+def trailing_increase(df: DataFrame, keys: list[str], ts: str, value: str, range_ms: int, longest_ms: int = CHUNK_MS) -> DataFrame:
+    """(keys, ts, n, increase) of a counter over ``(t - range_ms, t]`` at every
+    instant t of a series that has a row: the steps between the n rows there.
+
+    A run of rows is summed up by its first and last value and the increase
+    between them; two runs join by the step from one to the other."""
+    pane = pane_ms(range_ms, longest_ms)
+    rows = _panes(df, keys, ts, value, range_ms, pane)
+    run = Window.partitionBy(*keys, "_pane", "_edge").orderBy("_ts")
+    upto = run.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_step", F.coalesce(step(F.lag("_v").over(run), F.col("_v")), F.lit(0.0)))
+    rows = rows.withColumns({"_gain": F.sum("_step").over(upto), "_first": F.first("_v").over(upto), "_n": F.count(F.lit(1)).over(upto)})
+    edge = F.when(F.col("_edge"), F.struct("_v", "_gain"))
+    seen = _until_here(keys)
+    here = rows.withColumns(
+        {"_newest": F.first(edge, ignorenulls=True).over(seen), "_oldest": F.last(edge, ignorenulls=True).over(seen), "_edges": F.count(edge).over(seen)}
+    ).where(~F.col("_edge"))
+    count = range_ms // pane - 1
+    gain, n, before = F.col("_newest._gain") - F.col("_oldest._gain"), F.col("_edges"), F.col("_newest._v")
+    if count:
+        whole = rows.where(~F.col("_edge")).groupBy(*keys, "_pane").agg(
+            F.min_by("_v", "_ts").alias("_head"), F.max_by("_v", "_ts").alias("_last"), F.max_by("_gain", "_ts").alias("_grown"), F.count(F.lit(1)).alias("_rows")
+        )
+        whole = whole.withColumn("_joint", F.coalesce(step(F.lag("_last").over(Window.partitionBy(*keys).orderBy("_pane")), F.col("_head")), F.lit(0.0)))
+        whole = _between(
+            whole, keys, count,
+            {
+                "_mid_first": lambda w: F.first("_head").over(w), "_mid_last": lambda w: F.last("_last").over(w), "_mid_n": lambda w: F.sum("_rows").over(w),
+                "_mid_gain": lambda w: F.sum(F.col("_grown") + F.col("_joint")).over(w) - F.first("_joint").over(w),
+            },
+        )
+        here = _beside(here, whole, keys)
+        middle = F.col("_mid_n").isNotNull()
+        gain = F.coalesce(gain, F.lit(0.0)) + F.when(middle, F.col("_mid_gain") + F.coalesce(step(before, F.col("_mid_first")), F.lit(0.0))).otherwise(0.0)
+        n, before = n + F.coalesce("_mid_n", F.lit(0)), F.coalesce("_mid_last", before)
+    increase = F.coalesce(gain, F.lit(0.0)) + F.coalesce(step(before, F.col("_first")), F.lit(0.0)) + F.col("_gain")
+    return here.select(*keys, F.col("_ts").alias(ts), (n + F.col("_n")).alias("n"), increase.alias("increase"))

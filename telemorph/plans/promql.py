@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from telemorph.functions.maps import map_json, map_lookup
 from telemorph.functions.scalars import int_div
 from telemorph.operators.quantiles import exact_percentiles
-from telemorph.operators.timeseries import range_window, with_previous
+from telemorph.operators.timeseries import step, trailing_aggregates, trailing_increase, with_previous
 from telemorph.plans.builder import histogram_quantile as _bucket_quantile
 
 STRING_MAP = "map<string,string>"
 LOOKBACK_MS = 300_000
+#: Parts of an instant's series that are ranked apart.
+SHARES = 16
 
 
 def _keyed(df: DataFrame) -> DataFrame:
@@ -54,15 +56,15 @@ def offset(df: DataFrame, by_ms: int) -> DataFrame:
 
 def instants(df: DataFrame, step_ms: int, lookback_ms: int = LOOKBACK_MS) -> DataFrame:
     """Value at every multiple of the step: the newest sample not older than the
-    lookback. A sample is lent to the few grid points that may see it; no window
-    over a whole series is needed."""
-    first = int_div(F.col("ts") + F.lit(step_ms - 1), step_ms)
+    lookback. Samples are first reduced to the newest between two multiples; only
+    that one is lent to the grid points that may see it, so no window over a whole
+    series is needed and what is spread does not grow with the samples."""
+    newest = F.max_by(F.struct("ts", "value"), F.struct("ts", "value")).alias("_s")
+    cells = _keyed(df).groupBy("_series", int_div(F.col("ts") + F.lit(step_ms - 1), step_ms).alias("_cell")).agg(newest).select("_series", "_cell", "_s.*")
     last = int_div(F.col("ts") + F.lit(lookback_ms - 1), step_ms)
-    spread = _keyed(df).where(last >= first).withColumn("_g", F.explode(F.sequence(first, last)))
-    newest = spread.groupBy("_series", (F.col("_g") * F.lit(step_ms)).alias("ts")).agg(
-        F.max_by("value", F.struct("ts", "value")).alias("value")
-    )
-    return newest.select(_labels("_series"), "ts", "value")
+    spread = cells.where(last >= F.col("_cell")).withColumn("_g", F.explode(F.sequence("_cell", last)))
+    seen = spread.groupBy("_series", (F.col("_g") * F.lit(step_ms)).alias("ts")).agg(F.max_by("value", F.struct("ts", "value")).alias("value"))
+    return seen.select(_labels("_series"), "ts", "value")
 
 
 # ---- ranges ----------------------------------------------------------------------------------
@@ -70,28 +72,15 @@ def instants(df: DataFrame, step_ms: int, lookback_ms: int = LOOKBACK_MS) -> Dat
 
 def rate(df: DataFrame, range_ms: int) -> DataFrame:
     """Increase per second over the range before each sample. A falling value is
-    a reset. Samples with no other sample in their range are left out."""
-    deltas = _with_deltas(_keyed(df))
-    summed = range_window(
-        deltas,
-        ["_series"],
-        "ts",
-        range_ms,
-        {
-            "_sum": lambda w: F.sum("_delta").over(w),
-            # The first sample's increase began before the range.
-            "_first": lambda w: F.first("_delta").over(w),
-            "_n": lambda w: F.count(F.lit(1)).over(w),
-        },
-    )
-    gained = F.coalesce("_sum", F.lit(0.0)) - F.coalesce("_first", F.lit(0.0))
-    return summed.where("_n > 1").select("labels", "ts", (gained / (range_ms / 1000)).alias("value"))
+    a reset; of several samples of one instant the greatest value counts. Samples
+    with no other sample in their range are left out."""
+    grown = trailing_increase(_keyed(df), ["_series"], "ts", "value", range_ms)
+    return grown.where("n > 1").select(_labels("_series"), "ts", (F.col("increase") / (range_ms / 1000)).alias("value"))
 
 
 def _with_deltas(keyed: DataFrame) -> DataFrame:
     chained = with_previous(keyed, ["_series"], "ts", "value")
-    delta = F.when(F.col("value") < F.col("prev_value"), F.col("value")).otherwise(F.col("value") - F.col("prev_value"))
-    return chained.withColumn("_delta", delta)
+    return chained.withColumn("_delta", step(F.col("prev_value"), F.col("value")))
 
 
 def irate(df: DataFrame, range_ms: int) -> DataFrame:
@@ -101,13 +90,14 @@ def irate(df: DataFrame, range_ms: int) -> DataFrame:
     return rows.select("labels", "ts", (F.col("_delta") / (elapsed / 1000)).alias("value"))
 
 
-_OVER_TIME = {"avg": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
+_OVER_TIME = {"avg": "total / n", "max": "most", "min": "least", "sum": "total", "count": "n"}
 
 
 def over_time(df: DataFrame, how: str, range_ms: int) -> DataFrame:
-    """``<how>_over_time`` at each sample."""
-    out = range_window(_keyed(df), ["_series"], "ts", range_ms, {"_v": lambda w: _OVER_TIME[how]("value").over(w).cast("double")})
-    return out.select("labels", "ts", F.col("_v").alias("value"))
+    """``<how>_over_time`` at each sample; of several samples of one instant the
+    greatest value counts."""
+    out = trailing_aggregates(_keyed(df), ["_series"], "ts", "value", range_ms)
+    return out.select(_labels("_series"), "ts", F.expr(_OVER_TIME[how]).cast("double").alias("value"))
 
 
 def subquery(df: DataFrame, how: str, range_ms: int, step_ms: int, lookback_ms: int = LOOKBACK_MS) -> DataFrame:
@@ -139,10 +129,15 @@ def sort_desc(df: DataFrame) -> DataFrame:
 
 def topk(df: DataFrame, k: int, bottom: bool = False) -> DataFrame:
     """The ``k`` largest (smallest) series per instant; label order breaks ties.
-    Spark keeps only ``k`` rows per instant and task before it exchanges them."""
+    The series of an instant are dealt to ``SHARES``, whose first ``k`` are ranked
+    apart before they meet, so no task sees all series of an instant, and the last
+    step at most ``SHARES * k`` rows of it."""
     order = F.col("value").asc() if bottom else F.col("value").desc()
-    ranked = _keyed(df).withColumn("_rank", F.row_number().over(Window.partitionBy("ts").orderBy(order, "_series")))
-    return ranked.where(F.col("_rank") <= k).select("labels", "ts", "value")
+    dealt = _keyed(df).withColumn("_share", F.pmod(F.xxhash64("_series"), F.lit(SHARES)))
+    for keys in (["ts", "_share"], ["ts"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order, "_series"))
+        dealt = dealt.withColumn("_rank", rank).where(F.col("_rank") <= k)
+    return dealt.select("labels", "ts", "value")
 
 
 def bottomk(df: DataFrame, k: int) -> DataFrame:

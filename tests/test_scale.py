@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from telemorph.operators import quantiles, resources, sinks, sizing, timeseries
+from telemorph.plans import promql
 
 
 def naive(values, q):
@@ -27,13 +28,12 @@ def awkward_values(seed):
     return values
 
 
-@pytest.mark.parametrize("direct_limit", [0, 1 << 20])
-def test_exact_percentiles(spark, direct_limit):
+def test_exact_percentiles(spark):
     groups = {"hot": awkward_values(1), None: awkward_values(2)[:7], "one": [3.5], "same": [2.5] * 40}
     rows = [(g, i % 2, v) for g, vs in groups.items() for i, v in enumerate(vs)] + [("hot", 0, None)]
     df = spark.createDataFrame(rows, "g string, h int, v double")
     wanted = {"a": 0.0, "b": 0.05, "c": 0.5, "d": 0.99, "e": 1.0}
-    got = {(r["g"], r["h"]): r for r in quantiles.exact_percentiles(df, ["g", "h"], "v", wanted, direct_limit).collect()}
+    got = {(r["g"], r["h"]): r for r in quantiles.exact_percentiles(df, ["g", "h"], "v", wanted).collect()}
     expected = {}
     for g, h, v in rows:
         if v is not None:
@@ -44,13 +44,35 @@ def test_exact_percentiles(spark, direct_limit):
             assert math.isclose(got[key][name], naive(values, q), rel_tol=1e-12, abs_tol=1e-300), (key, name)
 
 
+def jobs_so_far(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def test_hot_group_percentiles_are_lazy(spark):
+    """A third of all rows, in one narrow value range, belong to one group."""
+    rows = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 5000).alias("g"), (1 + F.pmod(F.xxhash64("id"), F.lit(1000)) / 1e9).alias("v")
+    )
+    before = jobs_so_far(spark)
+    got = quantiles.exact_percentiles(rows, ["g"], "v", {"a": 0.5, "b": 0.999})
+    assert jobs_so_far(spark) == before
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    plain = rows.groupBy("g").agg(F.percentile("v", 0.5).alias("a"), F.percentile("v", 0.999).alias("b"))
+    have, want = ({r["g"]: (r["a"], r["b"]) for r in df.collect()} for df in (got, plain))
+    assert have.keys() == want.keys() and all(math.isclose(x, y, rel_tol=1e-12) for g in have for x, y in zip(have[g], want[g]))
+
+
+def test_bitmap_keeps_what_is_wanted(spark):
+    rows = spark.range(10_000).select("id", (F.col("id") % 7).alias("k"))
+    kept = {r["id"] for r in sizing.only_maybe_in(rows, ["id", "k"], rows.where("id < 100")).collect()}
+    assert set(range(100)) <= kept and len(kept) < 300
+
+
 def test_value_buckets_keep_order(spark):
     values = sorted(set(awkward_values(3)))
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    coarse, fine = quantiles.value_buckets(F.col("v"))
-    rows = df.select("v", coarse.alias("c"), fine.alias("f")).collect()
-    ordered = sorted(rows, key=lambda r: r["v"])
-    keys = [(r["c"], r["f"]) for r in ordered]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", quantiles.value_bucket(F.col("v")).alias("b")).collect()
+    keys = [r["b"] for r in sorted(rows, key=lambda r: r["v"])]
     assert keys == sorted(keys)
 
 
@@ -70,14 +92,54 @@ def test_previous_across_chunks(spark):
         assert {(r["s"], r["ts"]): (r["prev_ts"], r["prev_value"]) for r in got} == want
 
 
-def test_range_window_across_chunks(spark):
+def plain_windows(rows, range_ms):
+    """Per (series, ts): number, sum, least, greatest and increase in (t - range, t]."""
+    series = {}
+    for s, t, v in rows:
+        points = series.setdefault(s, {})
+        points[t] = max(v, points.get(t, v))
+    out = {}
+    for s, points in series.items():
+        ordered = sorted(points.items())
+        for i, (t, _) in enumerate(ordered):
+            inside = [v for u, v in ordered[: i + 1] if u > t - range_ms]
+            grown = sum(b if b < a else b - a for a, b in zip(inside, inside[1:]))
+            out[s, t] = (len(inside), sum(inside), min(inside), max(inside), grown)
+    return out
+
+
+@pytest.mark.parametrize(("range_ms", "longest_ms"), [(50_000, 10**9), (50_000, 50_000), (50_000, 7_000), (4_000_000, 60_000), (13, 5), (600_000, 3_600_000)])
+def test_trailing_windows_from_panes(spark, range_ms, longest_ms):
     df = samples(spark)
-    plain = Window.partitionBy("s").orderBy("ts").rangeBetween(-49_999, 0)
-    want = {(r["s"], r["ts"]): r["x"] for r in df.withColumn("x", F.sum("v").over(plain)).collect()}
-    for chunk in (1000, 60_000, 10_000_000):
-        got = timeseries.range_window(df, ["s"], "ts", 50_000, {"x": lambda w: F.sum("v").over(w)}, chunk).collect()
-        assert len(got) == len(want)
-        assert {(r["s"], r["ts"]): r["x"] for r in got} == want
+    df = df.union(df.where("ts % 3 = 0").withColumn("v", F.lit(40.0)))
+    want = plain_windows([tuple(r) for r in df.collect()], range_ms)
+    totals = timeseries.trailing_aggregates(df, ["s"], "ts", "v", range_ms, longest_ms).collect()
+    assert {(r["s"], r["ts"]): (r["n"], r["total"], r["least"], r["most"]) for r in totals} == {k: v[:4] for k, v in want.items()}
+    grown = timeseries.trailing_increase(df, ["s"], "ts", "v", range_ms, longest_ms).collect()
+    assert len(grown) == len(want)
+    for r in grown:
+        n, *_, increase = want[r["s"], r["ts"]]
+        assert r["n"] == n and math.isclose(r["increase"], increase, abs_tol=1e-9)
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning") , plan
+
+
+def test_one_exchange_of_samples(spark):
+    df = samples(spark)
+    for out in (timeseries.trailing_increase(df, ["s"], "ts", "v", 50_000), timeseries.trailing_aggregates(df, ["s"], "ts", "v", 50_000)):
+        count, plan = exchanges(out)
+        assert plan.count("Exchange") == plan.count("Exchange hashpartitioning") == count == 1
+
+
+def test_topk_of_one_instant_is_spread(spark):
+    rows = spark.range(40_000).select(F.create_map(F.lit("i"), F.col("id").cast("string")).alias("labels"), F.lit(5).cast("long").alias("ts"), (F.col("id") % 977).cast("double").alias("value"))
+    got = promql.topk(rows, 5000)
+    assert "_share" in exchanges(got)[1]
+    want = sorted(((-(i % 977), f'{{"i":"{i}"}}') for i in range(40_000)))[:5000]
+    assert sorted((-r["value"], f'{{"i":"{r["labels"]["i"]}"}}') for r in got.collect()) == [(float(v), s) for v, s in want]
 
 
 def test_fingerprint_with_and_without_broadcast(spark):
