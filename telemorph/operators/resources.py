@@ -1,10 +1,11 @@
 """Resource fingerprints and the catalog of resources seen per bucket.
 
 The fingerprint is a loop over bytes, much dearer than anything else done per
-row, and few resources produce many rows. It is therefore computed once per
-distinct resource and looked up from a broadcast table, as long as that table
-is measured to be small. Beyond that it is computed per row: a lookup join would
-then shuffle the whole log or span table, which costs more than the hash.
+row, and few resources produce most rows. It is therefore computed once for each
+of the most frequent resources and looked up from that table, which is broadcast
+and has a fixed number of rows at most; rows of other resources compute their
+own. So the log or span table is never shuffled, and nothing runs before the
+result is asked for.
 """
 
 from __future__ import annotations
@@ -13,35 +14,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemorph.functions.hashing import resource_fingerprint
-from telemorph.operators.sizing import BROADCAST_LIMIT_BYTES, broadcast_if_small, staged
+
+#: Resources whose fingerprint is looked up.
+FREQUENT = 4096
 
 
 def _fingerprint_of(labels: str) -> Column:
     return resource_fingerprint(F.from_json(labels, "map<string,string>"))
 
 
-def distinct_fingerprints(rows: DataFrame, labels: str) -> DataFrame:
-    """(labels, resource_fingerprint), computed once per resource."""
-    return staged(rows.select(labels).distinct().withColumn("resource_fingerprint", _fingerprint_of(labels)))
-
-
-def attach_fingerprint(rows: DataFrame, labels: str, limit: int = BROADCAST_LIMIT_BYTES, lookup: DataFrame | None = None) -> DataFrame:
+def attach_fingerprint(rows: DataFrame, labels: str, frequent: int = FREQUENT) -> DataFrame:
     """Replace the canonical resource text ``labels`` by ``resource_fingerprint``."""
-    lookup, small = broadcast_if_small(lookup if lookup is not None else distinct_fingerprints(rows, labels), limit)
-    if small:
-        return rows.join(lookup, labels).drop(labels)
-    return rows.withColumn("resource_fingerprint", _fingerprint_of(labels)).drop(labels)
+    common = rows.groupBy(labels).count().orderBy(F.desc("count"), labels).limit(frequent).select(labels, _fingerprint_of(labels).alias("_known"))
+    joined = rows.join(F.broadcast(common), labels, "left")
+    return joined.withColumn("resource_fingerprint", F.coalesce("_known", _fingerprint_of(labels))).drop(labels, "_known")
 
 
 def fingerprint_resources(rows: DataFrame, labels: str, bucket: str = "ts_bucket_start") -> tuple[DataFrame, DataFrame]:
     """Rows with their fingerprint, and the distinct (labels, fingerprint, bucket)
-    over the whole table. One pass over the bucket and resource columns finds
-    the pairs; the fingerprints come from those, not from the rows."""
-    seen = staged(rows.select(bucket, labels).distinct())
-    lookup = distinct_fingerprints(seen, labels)
-    catalog = seen.join(lookup, labels).select(
-        F.col(labels).alias("labels"),
-        F.col("resource_fingerprint").alias("fingerprint"),
-        F.col(bucket).alias("seen_at_ts_bucket_start"),
+    over the whole table, which needs the bucket and resource columns alone."""
+    catalog = rows.select(bucket, labels).distinct().select(
+        F.col(labels).alias("labels"), _fingerprint_of(labels).alias("fingerprint"), F.col(bucket).alias("seen_at_ts_bucket_start")
     )
-    return attach_fingerprint(rows, labels, lookup=lookup), catalog
+    return attach_fingerprint(rows, labels), catalog

@@ -10,7 +10,7 @@ from telemorph.functions.maps import sorted_map
 from telemorph.functions.scalars import int_to_bool, narrow_int, ts_bucket, ts_to_ns
 from telemorph.operators.resources import fingerprint_resources
 
-# Column order of the second layout's main table.
+# Column order of the second layout's main table.
 SPAN_V2_COLUMNS = [
     "timestamp", "traceID", "spanID", "parentSpanID", "serviceName", "name", "kind", "durationNano",
     "statusCode", "externalHttpMethod", "externalHttpUrl", "component", "dbSystem", "dbName",
@@ -18,7 +18,7 @@ SPAN_V2_COLUMNS = [
     "httpHost", "msgSystem", "msgOperation", "hasError", "tagMap", "gRPCMethod", "gRPCCode",
 ]
 
-# Old to new column names of the third layout, in its column order. The bucket
+# Old to new column names of the third layout, in its column order. The bucket
 # and the resource fingerprint stand before these, the links after them.
 SPAN_V3_NAMES = {
     "timestamp": "timestamp",
@@ -113,31 +113,61 @@ def span_links(models: DataFrame) -> DataFrame:
     )
 
 
+def window_of(timestamp: str = "timestamp") -> Column:
+    """The half hour a span or model belongs to."""
+    return ts_bucket(F.unix_seconds(timestamp))
+
+
+def link_rows(models: DataFrame, by_trace: bool = False) -> DataFrame:
+    """(ts_bucket_start, spanID, links), or with traceID, of every span that a
+    model names: the newest model of a window wins."""
+    keys = ["ts_bucket_start", "spanID", *(["traceID"] if by_trace else [])]
+    named = span_links(models).where(F.col("span_id").isNotNull()).withColumnRenamed("span_id", "spanID")
+    return named.withColumn("ts_bucket_start", window_of()).groupBy(*keys).agg(F.max_by("links", F.struct("timestamp", "links")).alias("links"))
+
+
 def attach_links(spans: DataFrame, models: DataFrame, by_trace: bool = False) -> DataFrame:
-    """Add ``links`` to spans by span id. The newest model of a span wins; spans
-    without one get ``''``. ``by_trace`` also matches the trace id."""
-    keys = ["spanID", "traceID"] if by_trace else ["spanID"]
-    latest = (
-        span_links(models)
-        .where(F.col("span_id").isNotNull())
-        .withColumnRenamed("span_id", "spanID")
-        .groupBy(*keys)
-        .agg(F.max_by("links", F.struct("timestamp", "links")).alias("links"))
-    )
-    return spans.join(latest, keys, "left").withColumn("links", F.coalesce("links", F.lit("")))
+    """Add ``links`` to spans from the models of the same half hour by span id.
+    The newest model of a span wins; spans without one get ``''``. ``by_trace``
+    also matches the trace id. Spans that hold their ``ts_bucket_start`` keep it;
+    stored by :func:`store_spans` they are joined where they lie, and only the
+    narrow link rows move."""
+    links = link_rows(models, by_trace)
+    keys = [c for c in links.columns if c != "links"]
+    placed = spans if "ts_bucket_start" in spans.columns else spans.withColumn("ts_bucket_start", window_of())
+    found = placed.join(links, keys, "left").withColumn("links", F.coalesce("links", F.lit("")))
+    return found.select(*spans.columns, "links")
+
+
+def store_spans(spans: DataFrame, table: str, path: str | None = None, buckets: int = 512) -> DataFrame:
+    """Spans as a table of daily partitions, bucketed by half hour and span id, so
+    that the link join of any later run needs no exchange of the wide rows. If the
+    table exists, the days that ``spans`` holds are replaced and others stay."""
+    session = spans.sparkSession
+    rows = spans.withColumn("ts_bucket_start", window_of()).withColumn("day", F.to_date(F.timestamp_seconds("ts_bucket_start")))
+    # One exchange when the rows arrive: a bucket of a day is written by one task.
+    bucket = F.pmod(F.hash("ts_bucket_start", "spanID"), F.lit(buckets))
+    rows = rows.repartition("day", bucket)
+    if session.catalog.tableExists(table):
+        rows.select(*session.table(table).columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    else:
+        writer = rows.write.partitionBy("day").bucketBy(buckets, "ts_bucket_start", "spanID").sortBy("ts_bucket_start", "spanID")
+        (writer.option("path", path) if path else writer).saveAsTable(table)
+    return session.table(table)
 
 
 def unmatched_links(spans: DataFrame, models: DataFrame) -> DataFrame:
-    """Spans no model belongs to (report)."""
-    ids = span_links(models).select(F.col("span_id").alias("spanID"))
-    return spans.join(ids, "spanID", "left_anti").select("traceID", "spanID")
+    """Spans no model of their half hour belongs to (report)."""
+    ids = span_links(models).select(F.col("span_id").alias("spanID"), window_of().alias("ts_bucket_start"))
+    keyed = spans.select("traceID", "spanID", window_of().alias("ts_bucket_start"))
+    return keyed.join(ids, ["ts_bucket_start", "spanID"], "left_anti").select("traceID", "spanID")
 
 
 def upgrade_spans_v3(df: DataFrame, *more: str) -> DataFrame:
     """Rename to the third layout; ``df`` must already hold ``links`` and any
     further columns to carry along."""
     return df.select(
-        ts_bucket(F.unix_seconds("timestamp")).alias("ts_bucket_start"),
+        window_of().alias("ts_bucket_start"),
         *[F.col(old).alias(new) for old, new in SPAN_V3_NAMES.items()],
         "links",
         *more,
@@ -148,7 +178,7 @@ def upgrade_spans_to_v3(spans: DataFrame, models: DataFrame, by_trace: bool = Fa
     """Third-layout spans and their resource catalog."""
     # Resources need no links: the catalog is found without that join.
     labelled = spans.withColumn("_labels", resource_json(F.col("resourceTagsMap")))
-    bucketed = labelled.withColumn("ts_bucket_start", ts_bucket(F.unix_seconds("timestamp")))
+    bucketed = labelled if "ts_bucket_start" in spans.columns else labelled.withColumn("ts_bucket_start", window_of())
     rows, catalog = fingerprint_resources(bucketed, "_labels")
     upgraded = upgrade_spans_v3(attach_links(rows, models, by_trace), "resource_fingerprint")
     ordered = ["ts_bucket_start", "resource_fingerprint", *SPAN_V3_NAMES.values(), "links"]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from telemorph.functions import hashing, maps, scalars
 from telemorph.operators import errors, logs, spans
 from telemorph.queries.oracle_inputs import hash_of, pair_bytes, with_
 from telemorph.queries.registry import query
+from telemorph.session import checkpoint_dir
 from telemorph.sources import derived as d
 
 
@@ -192,6 +195,15 @@ def j02(t):
     return out.select(F.col("spanID").alias("span_id"), F.col("traceID").alias("trace_id"), "links")
 
 
+@query("j02_links_of_stored_spans", with_("spans", "SELECT span_id, trace_id, links FROM spans"))
+def j02_stored(t):
+    """The same over spans stored in buckets, which the join leaves where they lie."""
+    name = f"spans_{uuid.uuid4().hex}"
+    stored = spans.store_spans(d.spans_v2(t), name, f"{checkpoint_dir(t.spark)}/{name}", buckets=16)
+    out = spans.attach_links(stored, d.span_models_v2(t))
+    return out.select(F.col("spanID").alias("span_id"), F.col("traceID").alias("trace_id"), "links")
+
+
 @query("j02_unmatched_links", with_("spans", "SELECT span_id, trace_id FROM spans WHERE event_id % 97 = 0"))
 def j02_unmatched(t):
     out = spans.unmatched_links(d.spans_v2(t), d.span_models_v2(t))

@@ -79,7 +79,7 @@ def test_log_upgrade_columns(t):
 
 
 def test_links_by_trace(spark):
-    sp = spark.createDataFrame([("s", "t1"), ("s", "t2")], "spanID string, traceID string")
+    sp = spark.createDataFrame([("s", "t1"), ("s", "t2")], "spanID string, traceID string").withColumn("timestamp", F.timestamp_seconds(F.lit(1000)))
     models = spark.createDataFrame(
         [("t1", '{"spanID":"s","references":[1]}'), ("t2", '{"spanID":"s","references":null}'), ("t3", "no json")], "traceID string, model string"
     ).withColumn("timestamp", F.timestamp_seconds(F.monotonically_increasing_id()))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from telemorph.operators import quantiles, resources, sinks, sizing, timeseries
+from telemorph.operators import quantiles, resources, sinks, sizing, spans, timeseries
 from telemorph.plans import promql
 
 
@@ -142,13 +142,38 @@ def test_topk_of_one_instant_is_spread(spark):
     assert sorted((-r["value"], f'{{"i":"{r["labels"]["i"]}"}}') for r in got.collect()) == [(float(v), s) for v, s in want]
 
 
-def test_fingerprint_with_and_without_broadcast(spark):
+def test_fingerprints_of_frequent_and_rare_resources(spark):
     rows = spark.range(200).select("id", F.concat(F.lit('{"service.name":"s'), F.col("id") % 7, F.lit('"}')).alias("labels"))
-    small = resources.attach_fingerprint(rows, "labels")
-    large = resources.attach_fingerprint(rows, "labels", limit=0)
-    assert "Broadcast" in small._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in large._jdf.queryExecution().executedPlan().toString()
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+    before = jobs_so_far(spark)
+    every, few = resources.attach_fingerprint(rows, "labels"), resources.attach_fingerprint(rows, "labels", frequent=2)
+    assert jobs_so_far(spark) == before
+    assert "SortMergeJoin" not in few._jdf.queryExecution().executedPlan().toString()
+    got = sorted(map(tuple, every.collect()))
+    assert got == sorted(map(tuple, few.collect())) and len({fp for _, fp in got}) == 7
+    assert {fp for _, fp in got} == {r["fingerprint"] for r in resources.fingerprint_resources(rows.withColumn("ts_bucket_start", F.lit(0)), "labels")[1].collect()}
+
+
+def test_stored_spans_are_not_moved_for_their_links(spark, tmp_path):
+    hours = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 3600)
+    rows = spark.range(96).select(
+        hours.alias("timestamp"), F.concat(F.lit("s"), F.col("id") % 40).alias("spanID"), F.lit("t").alias("traceID"), F.create_map(F.lit("k"), F.lit("old")).alias("tags")
+    )
+    models = rows.select("timestamp", "traceID", F.concat(F.lit('{"spanID":"'), "spanID", F.lit('","references":['), F.unix_seconds("timestamp"), F.lit("]}")).alias("model"))
+    stored = spans.store_spans(rows, "stored_spans_test", str(tmp_path / "spans"), buckets=8)
+    out = spans.attach_links(stored, models)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    left, right = plan[: plan.index("FileScan")].split("SortMergeJoin")[1], plan[plan.index("FileScan") :]
+    assert "Exchange" not in left and "Bucketed: true" in right and "Exchange" in right and "tags" not in right[right.index("Exchange") :]
+    assert all(r["links"] == f"[{int(r['timestamp'].timestamp())}]" for r in out.collect()) and out.count() == 96
+    again = rows.where("timestamp >= '2024-01-02' and timestamp < '2024-01-03'").withColumn("tags", F.create_map(F.lit("k"), F.lit("new")))
+    spans.store_spans(again, "stored_spans_test", buckets=8)
+    days = {(str(r["day"]), r["tag"]): r["count"] for r in spark.table("stored_spans_test").groupBy("day", F.col("tags")["k"].alias("tag")).count().collect()}
+    assert days == {("2024-01-01", "old"): 24, ("2024-01-02", "new"): 24, ("2024-01-03", "old"): 24, ("2024-01-04", "old"): 24}
+    spark.sql("DROP TABLE stored_spans_test")
 
 
 def test_broadcast_only_when_measured_small(spark):
