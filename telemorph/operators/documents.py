@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from telemorph.functions import rewrite as R
 from telemorph.functions import variants as V
-from telemorph.operators.sizing import broadcast_if_small, staged
 
 STRING_MAP = "map<string,string>"
 MIGRATED = "dotMigrated"
@@ -100,34 +99,29 @@ def attach_names(docs: DataFrame, mapping: NameMapping, mentioned: Column, key:
     need no further exchange of them."""
     docs = docs.repartition(F.col(key))
     mentions = docs.select(key, F.explode(mentioned).alias("name"))
-    # Mentions are far more rows than documents: a mapping of moderate size goes
-    # to them. What is left are known names only; two aggregations read them.
-    known, _ = broadcast_if_small(staged(rank_replacements(mapping)))
-    hits = staged(mentions.join(known, "name"))
+    # A metric's row brings its attributes along, so one join finds all a document
+    # may need and one grouping takes what it names.
+    attribute = F.struct("norm_name", "norm_key", "orig_key")
+    of_metric = mapping.attributes.where("orig_key is not null").groupBy(F.col("norm_name").alias("name")).agg(F.collect_list(attribute).alias("_of_metric"))
+    known = rank_replacements(mapping).join(of_metric, "name", "left")
+    hits = mentions.join(known, "name").withColumn("exact_new", F.coalesce("metric_new", "attribute_new"))
 
     def gathered(column: str, wanted: Column | None = None) -> Column:
         keep = F.col(column).isNotNull() if wanted is None else wanted
         return F.map_from_entries(F.collect_list(F.when(keep, F.struct("name", column))))
 
-    hits = hits.withColumn("exact_new", F.coalesce("metric_new", "attribute_new"))
     maps = hits.groupBy(key).agg(
         gathered("metric_new").alias("_metrics"),
         gathered("attribute_new").alias("_everywhere"),
         gathered("word_new", F.col("name").rlike(r"\A\w+\z")).alias("_words"),
         gathered("exact_new").alias("_exact"),
+        F.sort_array(F.flatten(F.collect_list(F.when(F.col("metric_new").isNotNull(), F.col("_of_metric"))))).alias("_attributes"),
+        F.collect_set("name").alias("_named"),
     )
-    # Attributes of the metrics a document names, as far as it names them too.
-    of_metrics = (
-        hits.where(F.col("metric_new").isNotNull())
-        .select(key, F.col("name").alias("norm_name"))
-        .join(mapping.attributes.select("norm_name", "norm_key", "orig_key").where("orig_key is not null"), "norm_name")
-        .join(hits.select(key, F.col("name").alias("norm_key")), [key, "norm_key"], "left_semi")
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list(F.struct("norm_name", "norm_key", "orig_key"))).alias("_attributes"))
-    )
+    maps = maps.withColumn("_attributes", F.filter("_attributes", lambda a: F.array_contains("_named", a["norm_key"]))).drop("_named")
     empty = F.create_map().cast(STRING_MAP)
     columns = ["_metrics", "_everywhere", "_words", "_exact"]
-    joined = docs.join(maps, key, "left").join(of_metrics, key, "left")
+    joined = docs.join(maps, key, "left")
     joined = joined.withColumns({c: F.coalesce(F.col(c), empty) for c in columns}).withColumn(
         "_attributes",
         F.coalesce("_attributes", F.array().cast("array<struct<norm_name:string,norm_key:string,orig_key:string>>")),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from telemorph.functions.hashing import labels_json, series_fingerprint, with_extras
 from telemorph.functions.scalars import align_to_hour, date_to_epoch, sanitize_name, temporality
 from telemorph.operators.scans import scan_range
-from telemorph.operators.sizing import broadcast_if_small, staged
+from telemorph.operators.sizing import staged
 
 TEMPORALITY_LABEL = "__temporality__"
 
@@ -293,7 +293,13 @@ def metric_details(pairs: DataFrame, attributes: DataFrame, classes: DataFrame)
 
 # What a sample names its series by, and a catalog row with its labels.
 IDENTITY = ["fingerprint", "metric_name", "temporality"]
-SERIES_KEY = [*IDENTITY, "labels"]
+SERIES_KEY = [*IDENTITY, "labels_id"]
+
+
+def with_labels_id(series: DataFrame) -> DataFrame:
+    """Series with the SHA-256 of their label text, which stands for the text in
+    joins and groupings."""
+    return series if "labels_id" in series.columns else series.withColumn("labels_id", F.unhex(F.sha2("labels", 256)))
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -306,9 +312,9 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
 def rewrite_series(series: DataFrame, details: DataFrame) -> DataFrame:
     """New identity of each distinct series: original name, attribute maps,
     fingerprint and labels text. Rows of metrics without details drop out (see
-    ``unmapped_series``)."""
-    small, _ = broadcast_if_small(details)
-    distinct = series.select(*SERIES_KEY).distinct().join(small, "metric_name")
+    ``unmapped_series``). The label text moves once, to its series."""
+    keyed = with_labels_id(series).groupBy(*SERIES_KEY).agg(F.any_value("labels").alias("labels"))
+    distinct = keyed.join(details, "metric_name")
     renamed = distinct.withColumn("_labels", rename_labels(labels_map(F.col("labels")), F.col("key_map")))
     resource, scope, point = classify_attrs(F.col("_labels"), F.col("class_map"))
     split = renamed.withColumns(
@@ -335,7 +341,8 @@ def rewrite_series(series: DataFrame, details: DataFrame) -> DataFrame:
 
 def upgrade_series(series: DataFrame, rewritten: DataFrame) -> DataFrame:
     """Series rows under their new identity, no longer flagged as normalized."""
-    return join_null_safe(series, rewritten, SERIES_KEY).select(
+    bare = with_labels_id(series).drop("labels")
+    return join_null_safe(bare, with_labels_id(rewritten).drop("labels"), SERIES_KEY).select(
         "env",
         "temporality",
         F.col("new_metric_name").alias("metric_name"),
@@ -361,7 +368,8 @@ def unmapped_series(series: DataFrame, details: DataFrame) -> DataFrame:
 def fingerprint_map(series: DataFrame, rewritten: DataFrame) -> DataFrame:
     """New fingerprint and name of every old identity (fingerprint, name,
     temporality). Where one has several label texts, its oldest row decides."""
-    oldest = series.groupBy(*SERIES_KEY).agg(F.min("unix_milli").alias("first_ms"))
+    oldest = with_labels_id(series).groupBy(*SERIES_KEY).agg(F.min("unix_milli").alias("first_ms"))
+    rewritten = with_labels_id(rewritten).select(*SERIES_KEY, "new_fingerprint", "new_metric_name")
     choice = F.struct(F.col("first_ms"), F.col("new_fingerprint"))
     return (
         join_null_safe(oldest, rewritten, SERIES_KEY)
@@ -379,11 +387,17 @@ def samples_of_series(samples: DataFrame, series: DataFrame, start_ms: int, end_
     return scan_range(samples, "unix_milli", start_ms, end_ms, closed).join(wanted, "fingerprint", "left_semi")
 
 
-def matched_samples(samples: DataFrame, fp_map: DataFrame) -> DataFrame:
-    """Samples with the new fingerprint and name of their identity, null where no
-    rewritten series claims them. An identity many samples share is split at run
+def matched_samples(samples: DataFrame, catalog: DataFrame, fp_map: DataFrame) -> DataFrame:
+    """Samples whose fingerprint is in the catalog, with the new fingerprint and
+    name of their identity, null where no rewritten series claims them. What a
+    fingerprint's few identities become is gathered first, so the samples meet
+    one table by one key; a fingerprint that many samples share is split at run
     time by the skew rule (see the session)."""
-    return join_null_safe(samples, fp_map, IDENTITY, "left")
+    become = F.collect_list(F.struct("metric_name", "temporality", "new_fingerprint", "new_metric_name")).alias("_become")
+    known = catalog.select("fingerprint").distinct().join(fp_map.groupBy("fingerprint").agg(become), "fingerprint", "left")
+    same = F.filter("_become", lambda b: b["metric_name"].eqNullSafe(F.col("metric_name")) & b["temporality"].eqNullSafe(F.col("temporality")))
+    found = samples.join(known, "fingerprint").withColumn("_to", F.try_element_at(same, F.lit(1)))
+    return found.select(*samples.columns, "_to.new_fingerprint", "_to.new_metric_name")
 
 
 def remap_samples(matched: DataFrame) -> DataFrame:
@@ -448,11 +462,11 @@ def upgrade_metrics(series: DataFrame, samples: DataFrame, details: DataFrame, f
     to full hours: samples of an hour that a bound cuts find theirs. They feed
     three outputs and are staged once."""
     lower, upper = align_to_hour(F.lit(first_ms).cast("bigint"), F.lit(last_ms).cast("bigint"))
-    catalog = series.where("normalized").where(F.col("unix_milli").between(lower, upper))
+    catalog = with_labels_id(series.where("normalized").where(F.col("unix_milli").between(lower, upper)))
     old = scan_range(catalog, "unix_milli", first_ms, last_ms, "[)")
     rewritten = staged(rewrite_series(catalog, details))
-    wanted = samples_of_series(samples, catalog, first_ms, last_ms, "[)")
-    matched = matched_samples(wanted, fingerprint_map(catalog, rewritten))
+    wanted = scan_range(samples, "unix_milli", first_ms, last_ms, "[)")
+    matched = matched_samples(wanted, catalog, fingerprint_map(catalog, rewritten))
     return {
         "series": upgrade_series(old, rewritten),
         "samples": remap_samples(matched),
