@@ -20,7 +20,7 @@ from telemorph.session import local_session  # noqa: E402
 HEADLINE = [
     "flagship_error_groups",
     "s01_scan_range_open_closed",
-    "a13_window_counts",
+    "a13_bucket_counts",
     "p01_upgrade_spans_v2",
     "p02_span_model_json",
     "p09_upgrade_spans_v3",

@@ -117,17 +117,6 @@ def _quoted(piece: Column, *marks: str) -> Column:
     return starts & (F.length(piece) > 1)
 
 
-def sql_names(text: Column) -> Column:
-    """Identifiers (bare or quoted), string literals and parameters of an SQL text."""
-    named = F.transform(
-        _all(text, SQL_PIECES),
-        lambda p: F.when(p.rlike(_IDENTIFIER), p)
-        .when(_quoted(p, "'", "`", '"'), _inner(p))
-        .when(_quoted(p, "$"), F.substring(p, F.lit(2), F.length(p))),
-    )
-    return F.array_distinct(F.array_compact(named))
-
-
 def sql_metric_names(text: Column) -> Column:
     """The pieces that can name a metric: identifiers and string literals."""
     named = F.transform(

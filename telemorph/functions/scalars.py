@@ -100,7 +100,3 @@ def promoted_name(kind: Column, dtype: Column, name: Column) -> Column:
 
 def temporality(value: Column) -> Column:
     return F.when(value.isin("Cumulative", "Delta"), value).otherwise(F.lit("Unspecified"))
-
-
-def has_reserved_prefix(key: Column) -> Column:
-    return F.startswith(key, F.lit("__"))

@@ -1,12 +1,11 @@
-"""Range scans, pruned scans, resume points and count/bounds reports."""
+"""Range scans, pruned scans, pages, and reports of counts, bounds and gaps."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemorph.functions.scalars import int_div
-from telemorph.operators.sizing import broadcast_if_small
+from telemorph.functions.scalars import int_div, ts_bucket
 
 
 def scan_range(df: DataFrame, ts: str, start, end, closed: str = "(]") -> DataFrame:
@@ -29,9 +28,9 @@ def select_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*cols)
 
 
-def resume_from(df: DataFrame, service: str, ts_value, service_col: str = "serviceName", ts: str = "timestamp") -> DataFrame:
-    """Rows a walk over services (ascending) and time (descending) has still to
-    visit when it stopped at the given point."""
+def rows_after(df: DataFrame, service: str, ts_value, service_col: str = "serviceName", ts: str = "timestamp") -> DataFrame:
+    """Rows from a point on in the order of services (ascending) and time
+    (descending): a page is their first ones."""
     svc = F.col(service_col)
     return df.where((svc > service) | ((svc == service) & (F.col(ts) <= ts_value)))
 
@@ -72,41 +71,24 @@ def ordered(df: DataFrame, cols: list[Column]) -> DataFrame:
     return df.orderBy(*cols)
 
 
-# ---- window plans ------------------------------------------------------------
+# ---- coverage of time ----------------------------------------------------------
 
 
-def plan_windows(bounds: DataFrame, first: str, last: str, width: int | str) -> DataFrame:
-    """Contiguous windows ``(start_ts, end_ts]`` over ``[first, last]`` of every
-    input row, newest first; the oldest one is cut at ``first``. ``width`` is a
-    number or the name of a column, in the unit of the bounds."""
-    step = F.lit(width) if isinstance(width, int) else F.col(width)
-    lo, hi = F.col(first), F.col(last)
-    count = F.greatest(int_div(hi - lo + step - F.lit(1), step), F.lit(0))
-    numbered = bounds.where(count > 0).withColumn(
-        "window_no", F.explode(F.sequence(F.lit(0).cast("bigint"), count - F.lit(1)))
-    )
-    end = hi - F.col("window_no") * step
-    return numbered.withColumn("start_ts", F.greatest(end - step, lo)).withColumn("end_ts", end)
+def service_rates(inventory: DataFrame) -> DataFrame:
+    """Rows per second of every service of an inventory, over its own time."""
+    seconds = F.unix_seconds("maxt") - F.unix_seconds("mint") + F.lit(1)
+    return inventory.withColumn("rate", int_div(F.col("num_total"), seconds))
 
 
-def adaptive_windows(inventory: DataFrame, batch: int = 70_000) -> DataFrame:
-    """Rows per second and window width (ns) that reads about ``batch`` rows."""
-    seconds = F.unix_seconds("maxt") - F.unix_seconds("mint") + F.lit(1)
-    rate = int_div(F.col("num_total"), seconds)
-    return inventory.withColumn("rate", rate).withColumn(
-        "window_ns", int_div(F.lit(batch * 1_000_000_000), F.col("rate") + F.lit(1))
-    )
+def bucket_counts(df: DataFrame, service_col: str = "serviceName", ts: str = "timestamp") -> DataFrame:
+    """Rows per service and half hour: combined before the shuffle, so a service
+    that holds most rows sends as many as any other."""
+    return df.groupBy(service_col, ts_bucket(F.unix_seconds(ts)).alias("ts_bucket_start")).agg(F.count(F.lit(1)).alias("num_total"))
 
 
-def window_counts(df: DataFrame, inventory: DataFrame, service_col: str = "serviceName", ts: str = "timestamp") -> DataFrame:
-    """Rows per window of the adaptive plan. The window number follows from the
-    row's distance to the newest row of its service, so rows are only counted,
-    never joined against a list of ranges, and no range join is needed."""
-    plan = inventory.select(
-        service_col,
-        F.unix_micros("maxt").alias("max_us"),
-        F.greatest(int_div(F.col("window_ns"), 1000), F.lit(1)).alias("width_us"),
-    )
-    plan, _ = broadcast_if_small(plan)
-    window_no = int_div(F.col("max_us") - F.unix_micros(ts), F.col("width_us")).alias("window_no")
-    return df.select(service_col, ts).join(plan, service_col).groupBy(service_col, window_no).agg(F.count(F.lit(1)).alias("num_total"))
+def time_gaps(counts: DataFrame, service_col: str = "serviceName", width: int = 1800) -> DataFrame:
+    """Stretches ``[gap_start, gap_end)`` in which a service has no rows between two
+    that have, from its counts per half hour."""
+    following = F.lead("ts_bucket_start").over(Window.partitionBy(service_col).orderBy("ts_bucket_start"))
+    spans = counts.select(service_col, (F.col("ts_bucket_start") + F.lit(width)).alias("gap_start"), following.alias("gap_end"))
+    return spans.where("gap_end > gap_start")

@@ -54,11 +54,17 @@ def reset_table(df: DataFrame) -> DataFrame:
 
 
 def finalise(spark: SparkSession, source_table: str, parity_ok: bool, drop_source: bool = False) -> bool:
-    """Retire the source of a finished job: only on request, and only when the
-    parity check passed. Returns whether the table was dropped."""
+    """Retire the source of a finished job, its files included: only on request,
+    and only when the parity check passed. Returns whether the table was dropped."""
     if not drop_source:
         return False
     if not parity_ok:
         raise RuntimeError(f"not dropping {source_table}: row counts do not match")
-    spark.sql(f"DROP TABLE IF EXISTS {source_table}")
+    name = ".".join(f"`{part}`" for part in source_table.split("."))
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    spark.sql(f"DROP TABLE {name}")
+    # A table with a path of its own leaves its files behind.
+    if described.get("Location"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(described["Location"])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return True

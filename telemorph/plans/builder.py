@@ -9,6 +9,7 @@ per (query_name, ts, labels, value), labels being canonical JSON text.
 from __future__ import annotations
 
 import ast
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -506,39 +507,100 @@ def point_text(value: Column) -> Column:
 MATCH_TYPES = {"0": "none", "1": "at_least_once", "2": "all_the_times", "3": "on_average", "4": "in_total"}
 
 
-def match_series(series: DataFrame, rule: dict) -> DataFrame:
-    """Whether each series (labels) matches a threshold rule over the points given."""
+def _point_matches(rule: dict) -> Callable[[Column], Column]:
+    """A rule's comparison with its target."""
     compare = COMPARE.get(rule["op"])
     if compare is None or rule["op"] in (">=", "<="):
         raise S.InvalidSpec(f"unknown comparison: {rule['op']}")
-    target = F.lit(float(rule["target"]))
-    how = MATCH_TYPES.get(str(rule.get("matchType", "0")))
-    point = compare(F.col("value"), target)
-    matched = {
+    return lambda value: compare(value, F.lit(float(rule["target"])))
+
+
+FOUND = ("any", "every", "total", "n")
+
+
+def _points(rule: dict, value: Column) -> list[Column]:
+    """What a rule needs to know of points: whether any and every one matches, their
+    total and number. These add up over parts of time. NULL is no point."""
+    point = _point_matches(rule)(value)
+    return [F.bool_or(point), F.bool_and(point), F.sum(value), F.count(value)]
+
+
+def _matched(rule: dict, found: list[Column]) -> Column:
+    """Whether points match, from what :func:`_points` found of them."""
+    any_one, every_one, total, n = found
+    matches = _point_matches(rule)
+    outcomes = {
         "none": F.lit(False),
-        "at_least_once": F.bool_or(point),
-        "all_the_times": F.bool_and(point),
-        "on_average": compare(F.avg("value"), target),
-        "in_total": compare(F.sum("value"), target),
-    }.get(how)
-    if matched is None:
+        "at_least_once": any_one,
+        "all_the_times": every_one,
+        "on_average": matches(total / n),
+        "in_total": matches(total),
+    }
+    how = MATCH_TYPES.get(str(rule.get("matchType", "0")))
+    if how is None:
         raise S.InvalidSpec(f"unknown match type: {rule.get('matchType')}")
-    return series.groupBy("labels").agg(F.max(F.lit(1)).alias("_n"), matched.alias("matched")).drop("_n")
+    return outcomes[how]
+
+
+def _named(prefix: str, columns: list[Column]) -> list[Column]:
+    return [column.alias(f"{prefix}_{name}") for column, name in zip(columns, FOUND, strict=True)]
+
+
+def _back(prefix: str) -> list[Column]:
+    return [F.col(f"{prefix}_{name}") for name in FOUND]
+
+
+def match_series(series: DataFrame, rule: dict) -> DataFrame:
+    """Whether each series (labels) matches a threshold rule over the points given."""
+    found = series.groupBy("labels").agg(*_named("now", _points(rule, F.col("value"))))
+    return found.select("labels", _matched(rule, _back("now")).alias("matched"))
+
+
+def _state(matched: Column, before: Column) -> Column:
+    return F.when(~matched, "inactive").when(F.coalesce(before, F.lit(False)), "firing").otherwise("pending")
 
 
 def evaluate_rule(series: DataFrame, rule: dict, now_ms: int, window_ms: int) -> DataFrame:
     """State per series at ``now_ms``: matched in this window and the one before is
-    firing, in this one only is pending. A disabled rule is disabled."""
-
-    def window(last: int) -> DataFrame:
-        return series.where((F.col("ts") > last - window_ms) & (F.col("ts") <= last))
-
-    current = match_series(window(now_ms), rule)
-    before = match_series(window(now_ms - window_ms), rule).withColumnRenamed("matched", "before")
-    state = (
-        F.when(F.lit(bool(rule.get("disabled"))), "disabled")
-        .when(~F.col("matched"), "inactive")
-        .when(F.coalesce("before", F.lit(False)), "firing")
-        .otherwise("pending")
+    firing, in this one only is pending. A disabled rule is disabled. Both windows
+    are read in one pass."""
+    both = series.where((F.col("ts") > now_ms - 2 * window_ms) & (F.col("ts") <= now_ms))
+    now = F.col("ts") > now_ms - window_ms
+    found = both.groupBy("labels").agg(
+        F.count(F.when(now, 1)).alias("_seen"),
+        *_named("now", _points(rule, F.when(now, F.col("value")))),
+        *_named("before", _points(rule, F.when(~now, F.col("value")))),
     )
-    return current.join(before, "labels", "left").select("labels", "matched", state.alias("state"))
+    matched, before = _matched(rule, _back("now")), _matched(rule, _back("before"))
+    state = F.when(F.lit(bool(rule.get("disabled"))), "disabled").otherwise(_state(matched, before))
+    return found.where("_seen > 0").select("labels", matched.alias("matched"), state.alias("state"))
+
+
+def rule_states(series: DataFrame, rule: dict, step_ms: int, window_ms: int) -> DataFrame:
+    """State per series at every multiple of the step whose window holds a point,
+    with the instant ``since`` which it has matched without a break.
+
+    Points are reduced per series and step first; a window is made of whole steps,
+    so only those rows are lent to the windows they lie in. The last step is
+    ordered by series, over one row for each instant."""
+    if window_ms % step_ms:
+        raise S.InvalidSpec("the window must be a multiple of the step")
+    count = window_ms // step_ms
+    cell = int_div(F.col("ts") + F.lit(step_ms - 1), step_ms)
+    cells = series.groupBy("labels", cell.alias("_cell")).agg(*_named("cell", _points(rule, F.col("value"))))
+    lent = cells.withColumn("_at", F.explode(F.sequence("_cell", F.col("_cell") + F.lit(count - 1))))
+    added = [add(column) for add, column in zip((F.bool_or, F.bool_and, F.sum, F.sum), _back("cell"), strict=True)]
+    found = lent.groupBy("labels", "_at").agg(*_named("window", added))
+    matched = found.select("labels", "_at", _matched(rule, _back("window")).alias("matched"))
+    ordered = Window.partitionBy("labels").orderBy("_at")
+
+    def at(distance: int) -> Column:
+        return F.coalesce(F.first("matched").over(ordered.rangeBetween(-distance, -distance)), F.lit(False))
+
+    runs = matched.withColumns({"_before": at(count), "_previous": at(1)})
+    begun = F.when(F.col("matched") & ~F.col("_previous"), F.col("_at"))
+    since = F.last(begun, ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    return runs.withColumn("_since", since).select(
+        "labels", (F.col("_at") * F.lit(step_ms)).alias("ts"), "matched", _state(F.col("matched"), F.col("_before")).alias("state"),
+        F.when(F.col("matched"), F.col("_since") * F.lit(step_ms)).alias("since"),
+    )

@@ -23,20 +23,28 @@ TAG_MAPS = {"string": "attributes_string", "number": "attributes_number", "bool"
 def _tag_map(tag_type: str, values: list, data_type: str | None = None) -> str:
     """Typed map a tag is looked up in: by its type and data type; where none is
     given, by the first value."""
-    if data_type in ("number", "bool"):
-        return TAG_MAPS[data_type]
-    if values and isinstance(values[0], bool):
-        return TAG_MAPS["bool"]
-    if values and isinstance(values[0], (int, float)):
-        return TAG_MAPS["number"]
-    return "resources_string" if tag_type == RESOURCE else TAG_MAPS["string"]
+    first = values[0] if values else ""
+    data_type = data_type or ("bool" if isinstance(first, bool) else "number" if isinstance(first, (int, float)) else "string")
+    return "resources_string" if tag_type == RESOURCE and data_type == "string" else TAG_MAPS[data_type]
+
+
+def _as_held(value, kind: str):
+    """A value as the map it is looked for in holds it."""
+    if kind == TAG_MAPS["number"]:
+        return float(value)
+    if kind == TAG_MAPS["bool"]:
+        return value if isinstance(value, bool) else str(value).lower() == "true"
+    if isinstance(value, bool):
+        return str(value).lower()
+    return str(int(value)) if isinstance(value, float) and value.is_integer() else str(value)
 
 
 def tag_predicate(key: str, tag_type: str, op: str, values: list | None = None, data_type: str | None = None) -> Column:
-    """Condition on one tag of ``data_type`` string, number or bool. Of several values one must hold; for the negated
-    operators none may. A missing tag fails every positive operator."""
-    values = values or []
-    attrs = F.col(_tag_map(tag_type, values, data_type))
+    """Condition on one tag of ``data_type`` string, number or bool, which the values are taken as. Of several values
+    one must hold; for the negated operators none may. A missing tag fails every positive operator."""
+    kind = _tag_map(tag_type, values or [], data_type)
+    values = [_as_held(value, kind) for value in values or []]
+    attrs = F.col(kind)
     tag, present = F.try_element_at(attrs, F.lit(key)), has_key(attrs, key)
 
     def any_of(test) -> Column:

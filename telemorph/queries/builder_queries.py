@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from telemorph.operators import logs, spans
 from telemorph.plans import builder as B
 from telemorph.plans import spec as S
+from telemorph.plans import spec_faults
 from telemorph.queries.oracle_inputs import with_
 from telemorph.queries.registry import query
 from telemorph.sources import derived as d
+from telemorph.sources import derived_specs as ds
 
 START, END = 0, 4_000_000_000_000  # whole tables
 FROM, TO = 1_704_844_800_000, 1_705_708_800_000  # ten days from 2024-01-10, where a range is asked for
@@ -404,3 +406,60 @@ def b59(t):
     points = hourly_peaks(t)
     active = B.evaluate_rule(points, rule, TO, DAY)
     return active.unionByName(B.evaluate_rule(points, {**rule, "disabled": True}, TO, DAY))
+
+
+# ---- checks of stored specifications ---------------------------------------------------
+
+SPEC = """SELECT event_id AS id, CASE WHEN event_id % 11 = 0 THEN '' ELSE 'A' END AS name,
+      CASE WHEN event_id % 7 = 0 THEN 'A+B' WHEN event_id % 13 = 0 THEN '' ELSE 'A' END AS expr,
+      ['traces', 'logs', 'metrics', 'metrics', 'files'][user_id % 5 + 1] AS source,
+      ['count', 'sum', 'noop', 'rate', 'p95', 'median'][abs(k) % 6 + 1] AS op, event_id % 3 <> 0 AS has_attr, user_id % 2 = 0 AS grouped,
+      event_type, k, user_id, event_id FROM ev"""
+FAULTS = """SELECT id, 'queryName is missing' AS fault FROM s WHERE name = ''
+    UNION ALL SELECT id, 'expression is missing' FROM s WHERE expr = ''
+    UNION ALL SELECT id, 'no data source is called ''files''' FROM s WHERE name = expr AND source = 'files'
+    UNION ALL SELECT id, 'no aggregation is called ''median''' FROM s WHERE name = expr AND op = 'median'
+    UNION ALL SELECT id, '''' || op || ''' over metrics needs an attribute' FROM s
+      WHERE name = expr AND source = 'metrics' AND op NOT IN ('noop', 'count') AND NOT has_attr
+    UNION ALL SELECT id, 'filters are joined by AND or OR' FROM s WHERE event_type = 'error'
+    UNION ALL SELECT id, 'filter 1: no data type is called ''text''' FROM s WHERE k % 4 = 0
+    UNION ALL SELECT id, 'filter 2: it has no name' FROM s WHERE event_id % 17 = 0
+    UNION ALL SELECT id, 'filter 2: a column must be a tag or a resource' FROM s WHERE event_id % 5 = 0
+    UNION ALL SELECT id, '''' || op || ''' over metrics cannot be grouped' FROM s WHERE source = 'metrics' AND grouped AND op IN ('noop', 'rate')"""
+
+
+@query("b43_query_faults", with_("ev", f"""
+    WITH s AS ({SPEC} WHERE event_id % 23 <> 0) {FAULTS}
+    UNION ALL SELECT event_id, 'it is no JSON object' FROM ev WHERE event_id % 23 = 0"""))
+def b43(t):
+    return spec_faults.list_query_faults(ds.builder_specs(t))
+
+
+@query("b52_request_faults", with_("ev", f"""
+    WITH s AS ({SPEC} WHERE user_id % 9 <> 0), f AS ({FAULTS})
+    SELECT id, 'query A: ' || fault AS fault FROM f
+    UNION ALL SELECT event_id, 'query C: its text is missing' FROM ev WHERE event_id % 4 = 0 AND event_id % 19 = 0
+    UNION ALL SELECT event_id, 'there is no query' FROM ev WHERE user_id % 9 = 0 AND event_id % 4 <> 0
+    UNION ALL SELECT event_id, 'no panelType is called ''pie''' FROM ev WHERE abs(k) % 5 = 4
+    UNION ALL SELECT event_id, 'no queryType is called ''sql''' FROM ev WHERE user_id % 4 = 3"""))
+def b52(t):
+    return spec_faults.list_request_faults(ds.request_specs(t))
+
+
+# ---- rule states over time -----------------------------------------------------------------
+
+RULE_STEP = 6 * 3_600_000
+
+
+@query("b59_rule_history", with_("logs", f"""
+    WITH h AS ({HOURLY}),
+    lent AS (SELECT labels, (unnest(range((ts + {RULE_STEP} - 1) // {RULE_STEP}, (ts + {RULE_STEP} - 1) // {RULE_STEP} + {DAY // RULE_STEP}))) * {RULE_STEP} AS t, value FROM h),
+    m AS (SELECT labels, t, avg(value) > 27 AS matched FROM lent GROUP BY 1, 2),
+    b AS (SELECT m.labels, m.t, m.matched, coalesce(w.matched, FALSE) AS before, coalesce(p.matched, FALSE) AS previous
+          FROM m LEFT JOIN m w ON w.labels = m.labels AND w.t = m.t - {DAY} LEFT JOIN m p ON p.labels = m.labels AND p.t = m.t - {RULE_STEP}),
+    g AS (SELECT *, max(CASE WHEN matched AND NOT previous THEN t END) OVER (PARTITION BY labels ORDER BY t) AS begun FROM b)
+    SELECT labels, t AS ts, matched, CASE WHEN NOT matched THEN 'inactive' WHEN before THEN 'firing' ELSE 'pending' END AS state,
+           CASE WHEN matched THEN begun END AS since
+    FROM g"""))
+def b59_history(t):
+    return B.rule_states(hourly_peaks(t), {"op": ">", "target": 27, "matchType": "3"}, RULE_STEP, DAY)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from telemorph.functions import rewrite as R
@@ -9,11 +11,13 @@ from telemorph.functions import variants as V
 from telemorph.operators import documents as D
 from telemorph.operators import legacy_documents as L
 from telemorph.operators import log_fields as LF
-from telemorph.operators import verify
+from telemorph.operators import sinks, verify
 from telemorph.operators.sizing import staged
 from telemorph.plans import legacy_names
 from telemorph.queries.registry import query
+from telemorph.session import checkpoint_dir
 from telemorph.sources import derived_documents as dd
+from telemorph.sources import tables
 from telemorph.sources.templates import fill_sql
 
 
@@ -136,6 +140,22 @@ def d09(t):
     return out.where("changed").select("id", "data")
 
 
+@query("s05_documents_job", f"""
+    WITH {PART} SELECT id, 'dashboards' AS output, {fill_sql('{"dotMigrated":true,"layout":[«layout»],"title":"«name»","unknown":{"a":null,"b":"é"},"variables":' + NEW_VARIABLES + ',"widgets":[«panels»]}', layout=layout(OLD_ENTRY, 1), name="name", panels=NEW_PANELS)} AS data
+    FROM part_docs WHERE {OK_DASHBOARD}
+    UNION ALL SELECT id, 'unreadable', NULL FROM part_docs WHERE id % {dd.BROKEN_JSON} = 0""")
+def s05_job(t):
+    """Stored documents read, rewritten and written as one job, and read back."""
+    root = f"{checkpoint_dir(t.spark)}/documents-{uuid.uuid4().hex}"
+    sinks.write_upgraded(dd.dashboards(t), f"{root}/old")
+    good, bad = tables.read_documents(t.spark, f"{root}/old")
+    new = D.rewrite_dashboards(good, _mapping(t), dd.METRICS_DATABASE)
+    paths = sinks.write_all({"dashboards": new.select("id", "data", "changed"), "unreadable": bad}, root)
+    written, unread = (t.spark.read.parquet(paths[name]) for name in ("dashboards", "unreadable"))
+    nothing = F.lit(None).cast("string").alias("data")
+    return written.where("changed").select("id", F.lit("dashboards").alias("output"), "data").unionByName(unread.select("id", F.lit("unreadable").alias("output"), nothing))
+
+
 @query("d09_rename_variables", f"""
     WITH {PART} SELECT id, 'v1' AS name, 'SELECT DISTINCT `service.name` FROM telemetry_metrics.series WHERE env = $env' AS text FROM part_docs WHERE {OK_DASHBOARD}""")
 def d09_variables(t):

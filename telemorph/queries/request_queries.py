@@ -57,6 +57,18 @@ for _name, (_tag, _where) in TAGS.items():
         return span_rows(t).where(R.tag_predicate(*tag)).select("span_id")
 
 
+@query("c01_string_tag_of_numeric_value", with_("spans", """
+    SELECT span_id, 'string' AS kind FROM spans WHERE k + 1 = 5 UNION ALL SELECT span_id, 'number' FROM spans WHERE k = 5
+    UNION ALL SELECT span_id, 'not' FROM spans WHERE k + 1 NOT IN (5, 7)"""))
+def c01_data_type(t):
+    """The data type decides where one name stands for a text and for a number."""
+    rows = span_rows(t)
+    rows = rows.withColumn("attributes_string", F.map_concat("attributes_string", F.create_map(F.lit("k"), (F.col("attributes_number")["k"] + 1).cast("long").cast("string"))))
+    tests = {"string": ("Equals", [5], "string"), "number": ("Equals", ["5"], "number"), "not": ("NotIn", [5, 7.0], "string")}
+    kinds = [F.when(R.tag_predicate("k", R.SPAN, *test), F.lit(kind)) for kind, test in tests.items()]
+    return rows.select("span_id", F.explode(F.array_compact(F.array(*kinds))).alias("kind"))
+
+
 # ---- spans ----------------------------------------------------------------------------
 
 OVERVIEW = """count(*) AS calls, round(avg(duration_nano), 2) AS avg_duration, count(*) FILTER (WHERE has_error) AS errors,

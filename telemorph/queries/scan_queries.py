@@ -111,39 +111,10 @@ def s09(t):
     return sinks.apply_updates(docs, changed)
 
 
-@query("s10_finalise", with_("logs", "SELECT count(*) AS kept, TRUE AS refused, TRUE AS dropped FROM logs"))
-def s10(t):
-    """A source table survives by default and on a failed check, and goes when
-    asked for after a passed one."""
-    rows = d.logs_v1(t).select("id")
-    name = f"retire_{uuid.uuid4().hex}"
-    rows.createOrReplaceTempView(f"{name}_v")
-    path = f"{checkpoint_dir(t.spark)}/{name}"
-    rows.write.option("path", path).saveAsTable(name)
-    parity = verify.count_parity(t.spark.table(name), rows, 0).first()
-    sinks.finalise(t.spark, name, parity["within_delta"])
-    kept = t.spark.table(name).count()
-    try:
-        sinks.finalise(t.spark, name, False, drop_source=True)
-        refused = False
-    except RuntimeError:
-        refused = True
-    dropped = sinks.finalise(t.spark, name, parity["within_delta"], drop_source=True)
-    t.spark.catalog.dropTempView(f"{name}_v")
-    return rows.agg(F.count(F.lit(1)).alias("kept")).where(F.col("kept") == kept).select(
-        "kept", F.lit(refused).alias("refused"), F.lit(dropped and not t.spark.catalog.tableExists(name)).alias("dropped")
-    )
-
-
-@query("s11_reset_table", "SELECT event_id, event_type FROM events WHERE 1 = 0")
-def s11(t):
-    return sinks.reset_table(t.events.select("event_id", "event_type"))
-
-
-@query("s12_resume_from", with_("errors_v1", f"""
+@query("s12_rows_after", with_("errors_v1", f"""
     SELECT "errorID" FROM errors_v1 WHERE "serviceName" > 'svc4' OR ("serviceName" = 'svc4' AND ts <= TIMESTAMP '{T0}')"""))
 def s12(t):
-    return scans.resume_from(d.errors_v1(t), "svc4", ts(T0)).select("errorID")
+    return scans.rows_after(d.errors_v1(t), "svc4", ts(T0)).select("errorID")
 
 
 @query("s13_epoch_conversions", with_("logs", """
@@ -186,25 +157,16 @@ def a03(t):
     return scans.time_bounds(d.samples_v1(t))
 
 
-BATCH = 50
-WINDOWED = f"""inv AS ({INVENTORY}),
-    plan AS (SELECT s, mint, maxt, n, n // (maxt // 1000000 - mint // 1000000 + 1) AS rate FROM inv),
-    wide AS (SELECT *, {BATCH}000000000 // (rate + 1) AS window_ns FROM plan)"""
-
-
-@query("a12_adaptive_windows", with_("errors_v1", f"""
-    WITH {WINDOWED} SELECT s AS "serviceName", n AS num_total, rate, window_ns FROM wide"""))
+@query("a12_service_rates", with_("errors_v1", f"""
+    WITH inv AS ({INVENTORY}) SELECT s AS "serviceName", n AS num_total, n // (maxt // 1000000 - mint // 1000000 + 1) AS rate FROM inv"""))
 def a12(t):
-    plan = scans.adaptive_windows(scans.service_inventory(d.errors_v1(t)), BATCH)
-    return plan.select("serviceName", "num_total", "rate", "window_ns")
+    return scans.service_rates(scans.service_inventory(d.errors_v1(t))).select("serviceName", "num_total", "rate")
 
 
-@query("a13_window_counts", with_("errors_v1", f"""
-    WITH {WINDOWED} SELECT e."serviceName", (w.maxt - e.us) // greatest(w.window_ns // 1000, 1) AS window_no, count(*) AS num_total
-    FROM errors_v1 e JOIN wide w ON w.s = e."serviceName" GROUP BY 1, 2"""))
+@query("a13_bucket_counts", with_("errors_v1", """
+    SELECT "serviceName", (us // 1000000) // 1800 * 1800 AS ts_bucket_start, count(*) AS num_total FROM errors_v1 GROUP BY 1, 2"""))
 def a13(t):
-    rows = d.errors_v1(t)
-    return scans.window_counts(rows, scans.adaptive_windows(scans.service_inventory(rows), BATCH))
+    return scans.bucket_counts(d.errors_v1(t))
 
 
 @query("l01_page_by_time", with_("errors_v1", """
@@ -219,17 +181,12 @@ def l02(t):
     return scans.ordered(rows, [F.col("serviceName"), F.col("us").desc(), F.col("errorID")])
 
 
-@query("l03_plan_windows", with_("errors_v1", f"""
-    WITH inv AS ({INVENTORY})
-    SELECT s AS "serviceName", i AS window_no, greatest(maxt - (i + 1) * 3600000000, mint) AS start_us, maxt - i * 3600000000 AS end_us
-    FROM (SELECT *, unnest(range((maxt - mint + 3599999999) // 3600000000)) AS i FROM inv)"""))
+@query("l03_time_gaps", with_("errors_v1", """
+    WITH b AS (SELECT DISTINCT "serviceName", (us // 1000000) // 1800 * 1800 AS s FROM errors_v1),
+    n AS (SELECT "serviceName", s + 1800 AS gap_start, lead(s) OVER (PARTITION BY "serviceName" ORDER BY s) AS gap_end FROM b)
+    SELECT "serviceName", gap_start, gap_end FROM n WHERE gap_end > gap_start"""))
 def l03(t):
-    inv = scans.service_inventory(d.errors_v1(t)).select(
-        "serviceName", F.unix_micros("mint").alias("lo"), F.unix_micros("maxt").alias("hi")
-    )
-    return scans.plan_windows(inv, "lo", "hi", 3_600_000_000).select(
-        "serviceName", "window_no", F.col("start_ts").alias("start_us"), F.col("end_ts").alias("end_us")
-    )
+    return scans.time_gaps(scans.bucket_counts(d.errors_v1(t)))
 
 
 @query("v01_count_parity", with_("spans", """

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings that change results: they must hold wherever the jobs run.
@@ -39,19 +37,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and staged tables.
-
-    The cluster names it in ``spark.checkpoint.dir``; a temporary folder is
-    used only where nothing is set and the session is a local one.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="telemorph-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """Shared folder for checkpoints and staged tables: the one the cluster names
+    in ``spark.checkpoint.dir``; where it names none, one beside the tables of the
+    warehouse, which all executors share too."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
 
 
 def local_session(cores: str = "*", app: str = "telemorph", shuffle_partitions: int = 8) -> SparkSession:

@@ -40,9 +40,3 @@ def parse_documents(docs: DataFrame, key: str = "id", data: str = "data") -> tup
 
 def read_documents(spark: SparkSession, path: str, key: str = "id", data: str = "data") -> tuple[DataFrame, DataFrame]:
     return parse_documents(read_table(spark, path), key, data)
-
-
-def read_documents_jdbc(spark: SparkSession, url: str, table: str, key: str = "id", data: str = "data", **options: str) -> tuple[DataFrame, DataFrame]:
-    """The same from a relational database whose JDBC driver is on the class path."""
-    df = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
-    return parse_documents(df.withColumn(data, F.col(data).cast("string")), key, data)

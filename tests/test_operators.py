@@ -46,10 +46,9 @@ def test_adjacent_ranges_see_every_row_once(spark):
     assert sorted(seen) == list(range(1, 101))
 
 
-def test_windows_cover_the_range_newest_first(spark):
-    df = spark.createDataFrame([("a", 5, 27), ("b", 3, 3)], "s string, lo bigint, hi bigint")
-    rows = [(r["window_no"], r["start_ts"], r["end_ts"]) for r in scans.plan_windows(df, "lo", "hi", 10).collect()]
-    assert sorted(rows) == [(0, 17, 27), (1, 7, 17), (2, 5, 7)]
+def test_gaps_lie_between_rows(spark):
+    counts = spark.createDataFrame([("a", 0), ("a", 1800), ("a", 7200), ("b", 3600)], "serviceName string, ts_bucket_start bigint")
+    assert [tuple(r) for r in scans.time_gaps(counts).collect()] == [("a", 3600, 7200)]
 
 
 def test_pages_are_disjoint_and_complete(t):
@@ -82,7 +81,7 @@ def test_links_by_trace(spark):
     sp = spark.createDataFrame([("s", "t1"), ("s", "t2")], "spanID string, traceID string").withColumn("timestamp", F.timestamp_seconds(F.lit(1000)))
     models = spark.createDataFrame(
         [("t1", '{"spanID":"s","references":[1]}'), ("t2", '{"spanID":"s","references":null}'), ("t3", "no json")], "traceID string, model string"
-    ).withColumn("timestamp", F.timestamp_seconds(F.monotonically_increasing_id()))
+    ).withColumn("timestamp", F.timestamp_seconds(F.lit(1001)))
     by_trace = {r["traceID"]: r["links"] for r in spans.attach_links(sp, models, by_trace=True).collect()}
     assert by_trace == {"t1": "[1]", "t2": "null"}
 
@@ -162,6 +161,16 @@ def test_source_survives_without_parity(spark):
     assert sinks.finalise(spark, "no_such_table", parity_ok=True) is False
 
 
+def test_source_goes_with_its_files_after_parity(spark, tmp_path):
+    spark.range(5).write.option("path", str(tmp_path / "old")).saveAsTable("retired_source")
+    assert sinks.finalise(spark, "retired_source", parity_ok=True, drop_source=True)
+    assert not spark.catalog.tableExists("retired_source") and not (tmp_path / "old").exists()
+
+
+def test_reset_keeps_the_schema(t):
+    assert sinks.reset_table(t.events).schema == t.events.schema and sinks.reset_table(t.events).count() == 0
+
+
 def test_range_filter_reaches_the_scan(spark):
     df = scans.select_columns(scans.scan_range(spark.read.parquet(f"{FOLDER}/events.parquet"), "event_id", 10, 20), ["event_id", "value"])
     plan = df._jdf.queryExecution().executedPlan().toString()
