@@ -53,6 +53,9 @@ LARGE = 128
 FIRST = 3
 #: Members of a cell that one batch sends to the cell's task; further ones go past it.
 FEW = 4
+#: Characters of texts that a task holds at once, and ranges that are none: of
+#: sketches, and of members past a cell's task.
+HELD, SKETCH, PAST = 4 << 20, -2, -1
 #: Members of a cell, and members outside its largest component, searched at once.
 BLOCK, SEARCH_BLOCK = 4096, 1024
 
@@ -176,33 +179,28 @@ def rarest(cells: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, digest) per document, and the links (a, b) between
-    classes of equal sets that make up the components."""
+    """(doc_id, row, n_shingles, digest) per document, and the links (a, b) between
+    classes of equal sets that make up the components. ``row`` tells rows apart
+    that differ in doc_id or text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in pieces(batches):
-            sets = list(shingle_sets(batch["text"].tolist(), n))
-            needed = [cells(s, rule)[1] if len(s) else [1 << 30, 1 << 30] for s in sets]
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "n_shingles": [len(s) for s in sets],
-                    "digest": [digest(s) if len(s) else 0 for s in sets],
-                    "even": [n[0] for n in needed],
-                    "odd": [n[1] for n in needed],
-                }
-            )
+    nothing = (1 << 30, 1 << 30)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in pieces(batches):
-            keys, owners, known = [], [], set()
+        """One pass over the texts: a sketch of every document, and the cell keys
+        of every set packed by hash range."""
+        for batch in pieces(batches, HELD):
+            keys, owners, needed, sizes, names = [], [], {0: nothing}, [], []
             for s in shingle_sets(batch["text"].tolist(), n):
-                if len(s) and (name := digest(s)) not in known:
-                    known.add(name)
-                    found = cells(s, rule)[0]
+                name = digest(s) if len(s) else 0
+                if name not in needed:
+                    found, needed[name] = cells(s, rule)
                     keys.append(found)
                     owners.append(np.full(len(found), name, np.int64))
+                sizes.append(len(s))
+                names.append(name)
+            sketch = batch[["doc_id", "row"]].assign(n_shingles=sizes, digest=names, part=SKETCH)
+            sketch["even"], sketch["odd"] = ([needed[name][i] for name in names] for i in (0, 1))
+            yield sketch.assign(lane=zlib.crc32(np.array(names, np.int64).tobytes()), keys=None, owners=None)
             keys = np.concatenate(keys) if keys else np.zeros(0, U)
             owners = np.concatenate(owners) if owners else np.zeros(0, np.int64)
             order = np.argsort(keys, kind="stable")
@@ -216,17 +214,23 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
             past = nth >= FEW
             rows = []
             if past.any():
-                names = owners[past].tobytes()
-                rows.append((-1, zlib.crc32(names), ((part[past] << 32) + keys[past].astype(np.int64)).tobytes(), names))
+                past_owners = owners[past].tobytes()
+                rows.append((PAST, zlib.crc32(past_owners), ((part[past] << 32) + keys[past].astype(np.int64)).tobytes(), past_owners))
             part, keys, owners = part[~past], keys[~past], owners[~past]
             bounds = np.searchsorted(part, np.arange(parts + 1))
             rows += [(p, 0, keys[a:b].tobytes(), owners[a:b].tobytes()) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a]
-            yield pd.DataFrame(rows, columns=["part", "lane", "keys", "owners"])
+            dealt = pd.DataFrame(rows, columns=["part", "lane", "keys", "owners"])
+            yield dealt.assign(**dict.fromkeys(["doc_id", "row", "n_shingles", "digest", "even", "odd"]))
 
     def crowded(rows: pd.DataFrame) -> pd.DataFrame:
+        """Sketches as they are, and of the cells those with several members."""
+        columns = ["doc_id", "row", "n_shingles", "digest", "even", "odd"]
+        if rows["part"].iloc[0] == SKETCH:
+            return rows[columns].assign(cell=None)
         owners = np.concatenate([np.frombuffer(x, np.int64) for x in rows["owners"]])
-        if rows["part"].iloc[0] < 0:
-            return pd.DataFrame({"cell": np.concatenate([np.frombuffer(x, np.int64) for x in rows["keys"]]), "digest": owners})
+        if rows["part"].iloc[0] == PAST:
+            found = pd.DataFrame({"cell": np.concatenate([np.frombuffer(x, np.int64) for x in rows["keys"]]), "digest": owners})
+            return found.assign(doc_id=None, row=None, n_shingles=None, even=None, odd=None)
         keys = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["keys"]])
         order = np.lexsort((owners, keys))
         keys, owners = keys[order], owners[order]
@@ -235,14 +239,16 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
         cell = (int(rows["part"].iloc[0]) << 32) + keys.astype(np.int64)
         fresh = np.r_[True, (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])]
         several = np.repeat(np.maximum.reduceat(owners, first) != owners[first], sizes)
-        return pd.DataFrame({"cell": cell[fresh & several], "digest": owners[fresh & several]})
+        found = pd.DataFrame({"cell": cell[fresh & several], "digest": owners[fresh & several]})
+        return found.assign(doc_id=None, row=None, n_shingles=None, even=None, odd=None)
 
-    body = docs.select("doc_id", "text")
-    sketches = stage(body.mapInPandas(sketch, f"doc_id {kind}, n_shingles long, digest long, even int, odd int"))
-    packed = body.select("text").mapInPandas(deal, "part int, lane long, keys binary, owners binary")
+    body = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
+    drawn = f"doc_id {kind}, row long, n_shingles long, digest long, even int, odd int"
+    packed = body.mapInPandas(deal, f"{drawn}, part int, lane long, keys binary, owners binary")
     # Copies of a text in several batches repeat a member; that only makes its cells look fuller.
-    filled = stage(packed.repartition(parts, "part", "lane").groupBy("part", "lane").applyInPandas(crowded, "cell long, digest long"))
-    filled = stage(dense(dense(filled, sketches), sketches))
+    read = stage(packed.repartition(parts, "part", "lane").groupBy("part", "lane").applyInPandas(crowded, f"{drawn}, cell long"))
+    sketches = read.where("cell is null").drop("cell")
+    filled = stage(dense(dense(read.where("cell is not null").select("cell", "digest"), sketches), sketches))
     pairs = stage(filled.where("digest <> least").groupBy(F.col("digest").alias("a"), F.col("least").alias("b")).agg(F.count("*").alias("n")))
 
     # The shingles of one document of every class in a pair.
@@ -250,14 +256,12 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
     chosen = sketches.where("n_shingles > 0 and doc_id is not null").join(involved, "digest", "left_semi").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
 
     def points_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in pieces(batches):
-            sets = list(shingle_sets(batch["text"].tolist(), n))
-            out = pd.DataFrame({"digest": [digest(s) if len(s) else 0 for s in sets], "size": [len(s) for s in sets]})
-            out["point"] = [points(s).tolist() for s in sets]
-            out["shingles"] = [s.view(np.int64).tolist() for s in sets]
-            yield out
-
-    with_text = only_with(body, "doc_id", stage(chosen.select("doc_id")))
+        for batch in pieces(batches, HELD):
+            sets = shingle_sets(batch["text"].tolist(), n)
+            rows = [(digest(s) if len(s) else 0, len(s), points(s), s.view(np.int64)) for s in sets]
+            yield pd.DataFrame(rows, columns=["digest", "size", "point", "shingles"])
+
+    with_text = only_with(body.select("doc_id", "text"), "doc_id", stage(chosen.select("doc_id")))
     sets = with_text.select("text").mapInPandas(points_of, "digest long, size long, point array<int>, shingles array<long>")
     sets = stage(sets.join(chosen.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]))
 
@@ -419,10 +423,28 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, parts: in
     return labelled.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def labelled_rows(docs: DataFrame, n: int, percent: int, parts: int | None = None) -> DataFrame:
+    """doc_id, row, n_shingles, digest and root (the component's smallest class) of every row of ``docs``."""
+    parts = parts or 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sketches, links = linked_classes(docs, n, Rule(percent), parts)
+    roots = components(links).select(F.col("node").alias("digest"), "root")
+    classes = sketches.where("n_shingles > 0").select("digest").distinct().join(roots, "digest", "left")
+    named = classes.select("digest", F.coalesce("root", "digest").alias("root"))
+    return sketches.select("doc_id", "row", "n_shingles", "digest").join(stage(named), "digest", "left")
+
+
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without near copies: of every component the document with the
-    smallest doc_id stays. Documents with equal doc_id and component stay
-    together; rows without doc_id or without words all stay."""
-    labels = jaccard_components(docs, n, percent)
-    gone = labels.where("doc_id <> component_id").select("doc_id").distinct()
-    return without(docs, "doc_id", stage(gone))
+    """``docs`` without near copies: of every component the row with the smallest
+    doc_id stays (null ids last, then by the row's hash), whatever ids its rows
+    repeat. Rows that repeat doc_id and text of the one that stays go as well.
+    Rows without words all stay. An empty table gives no rows; other columns are
+    carried along, and may have any names but ``_row``."""
+    rows = stage(labelled_rows(docs, n, percent).where("n_shingles > 0").select("root", "row", "doc_id"))
+    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+    kept = rows.groupBy("root").agg(F.min(first)["row"].alias("kept"))
+    counted = stage(rows.groupBy("root", "row").agg(F.count("*").alias("n")).join(kept, "root").select("row", (F.col("row") == F.col("kept")).alias("stays"), "n"))
+    gone = counted.where("not stays").select(F.col("row").alias("_row"))
+    keyed = without(docs.withColumn("_row", F.xxhash64("doc_id", "text")), "_row", gone)
+    repeated = counted.where("stays and n > 1").select(F.col("row").alias("_row"))
+    once = without(keyed, "_row", repeated).unionByName(only_with(keyed, "_row", repeated).dropDuplicates(["_row"]))
+    return once.drop("_row")
