@@ -300,6 +300,9 @@ def label_chains(scores: np.ndarray, inside: np.ndarray, transitions: np.ndarray
     return ahead / np.maximum(ahead.sum(2, keepdims=True), 1e-30)
 
 
+LETTER = regex.compile(r"\p{L}")
+
+
 def identify_rows(docs: DataFrame, field: Field) -> DataFrame:
     """All rows of ``docs`` (text and any others) with lang_pred and lang_score
     (share of the letters expected in that language, 0 to 1).
@@ -315,7 +318,12 @@ def identify_rows(docs: DataFrame, field: Field) -> DataFrame:
         labelling = Labelling(shared.value)
         for batch in batches:
             for part in slices(batch):
-                found, scores = labelling.label(part.column("text").to_pylist())
+                texts = part.column("text").to_pylist()
+                found, scores = labelling.label(texts)
+                # Marks alone form words for the field, but no language.
+                lettered = [bool(LETTER.search(text or "")) for text in texts]
+                found = [name if has else UNKNOWN for name, has in zip(found, lettered, strict=True)]
+                scores = [score if has else 0.0 for score, has in zip(scores, lettered, strict=True)]
                 columns = [*part.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "lang_pred", "lang_score"])
 

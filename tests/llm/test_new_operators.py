@@ -10,7 +10,7 @@ import xxhash
 from odd_rows import LONG, TEXTS
 from pyspark.sql import functions as F
 
-from telemorph.llm import fill_in_middle, hard_negatives, simhash
+from telemorph.llm import fill_in_middle, hard_negatives, language_id, simhash
 
 # ---- fill in the middle --------------------------------------------------------------
 
@@ -139,6 +139,17 @@ def test_cover_tree_bounds_and_nets():
             assert (apart >= tree.nodes[node][1] / 2 - 1e-6).all()
 
 
+# ---- language id --------------------------------------------------------------------------
+
+
+def test_marks_without_letters_have_no_language(spark):
+    train = spark.createDataFrame([(i, "haus und hof" if i % 2 else "casa de campo", "de" if i % 2 else "es") for i in range(40)], "doc_id long, text string, lang string")
+    texts = [chr(0x301) * 2, "12 " + chr(0x301), None, "", "e" + chr(0x301), "haus"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs, language_id.learn(train)).collect()}
+    assert [got[i] for i in range(4)] == [("und", 0.0)] * 4 and got[4][0] in ("de", "es") and got[5][0] == "de"
+
+
 # ---- SimHash ---------------------------------------------------------------------------------
 
 
