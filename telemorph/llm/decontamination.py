@@ -10,8 +10,9 @@ same share, by masks of their own.
 However the words that may differ lie in a window, some mask of its width hits
 only equal words, so no window that passes the comparison is missed.
 
-Positions meet a bitmap of the benchmark's hashes first, of fixed size and
-broadcast, so that nearly all leave in the scan; what passes is joined exactly.
+Positions meet a bitmap of the benchmark's hashes first, of fixed size, inside the
+array of the text, so that nearly all leave before they become rows; what passes is
+joined exactly.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemorph.llm.shared import lower_ascii, marked, stage, without, words
+from telemorph.llm.shared import SLOTS, lower_ascii, stage, without, words
 
 WINDOW, LEAST = 12, 9
 # By width of the window, masks that hit every placement of the words that may differ.
@@ -40,28 +41,74 @@ def width(item: Column) -> Column:
     return F.least(F.lit(WINDOW), F.size(item))
 
 
-def seeds(own: Column, widths: list[int], item: bool = False) -> Column:
-    """(mask, at, seed) for every place of a hash array where a mask of the
-    ``widths`` fits; ``at`` counts from 1. An ``item`` only has the masks of its
-    own width."""
-    parts = []
-    for number, mask in enumerate(MASKS):
-        used = [w for w in widths if mask in MASKS_OF[w]]
-        if not used:
-            continue
-        marks = [i for i, c in enumerate(mask) if c == "1"]
-        wanted = (F.size(own) >= len(mask)) & (width(own).isin(used) if item else F.lit(True))
-        places = F.when(wanted, F.sequence(F.lit(1), F.size(own) - (len(mask) - 1))).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(places, _hashed(own, number, marks)))
-    return F.concat(*parts)
+def by_length(widths: list[int]) -> dict[int, list[int]]:
+    """Numbers of the masks that windows of the ``widths`` need, by length."""
+    used = [n for n, mask in enumerate(MASKS) if any(mask in MASKS_OF[w] for w in widths)]
+    return {length: [n for n in used if len(MASKS[n]) == length] for length in sorted({len(MASKS[n]) for n in used})}
 
 
-def _hashed(own: Column, number: int, marks: list[int]):
-    def at(place: Column) -> Column:
-        picked = [F.get(own, place + (i - 1)) for i in marks]
-        return F.struct(F.lit(number).alias("mask"), place.alias("at"), F.xxhash64(F.lit(number), *picked).alias("seed"))
+def _seed(own: Column, number: int, place: Column) -> Column:
+    """The hash under a mask whose first word is at ``place``, from 0."""
+    return F.xxhash64(F.lit(number), *[F.get(own, place + i) for i, mark in enumerate(MASKS[number]) if mark == "1"])
 
-    return at
+
+def _core(own: Column, numbers: list[int], place: Column) -> Column:
+    """The hash of the words that all of these masks, of one length, look at."""
+    marks = [i for i, column in enumerate(zip(*[MASKS[n] for n in numbers], strict=True)) if set(column) == {"1"}]
+    return F.xxhash64(F.lit(-len(MASKS[numbers[0]])), *[F.get(own, place + i) for i in marks])
+
+
+def _places(own: Column, length: int) -> Column:
+    return F.when(F.size(own) >= length, F.sequence(F.lit(0), F.size(own) - length)).otherwise(F.array().cast("array<int>"))
+
+
+def item_seeds(items: DataFrame, widths: list[int]) -> DataFrame:
+    """(item_id, item, mask, item_at, seed, core) for every place of an item where
+    a mask of its width fits; ``item_at`` counts from 1."""
+    item = F.col("item")
+
+    def rows(n: int, numbers: list[int]) -> Column:
+        wanted = width(item).isin([w for w in widths if MASKS[n] in MASKS_OF[w]])
+        places = F.when(wanted, _places(item, len(MASKS[n])))
+        return F.transform(places, lambda at: F.struct(F.lit(n).alias("mask"), (at + 1).alias("item_at"), _seed(item, n, at).alias("seed"), _core(item, numbers, at).alias("core")))
+
+    parts = [rows(n, numbers) for numbers in by_length(widths).values() for n in numbers]
+    return items.select("item_id", "item", F.inline(F.flatten(F.array_compact(F.array(*parts)))))
+
+
+def text_seeds(own: Column, widths: list[int], bits: Column) -> Column:
+    """(mask, at, seed) for the places of a text whose seeds may be known. What the
+    masks of one length have in common is looked up first."""
+
+    def found(length: int, numbers: list[int]) -> Column:
+        def here(at: Column) -> Column:
+            seeds = F.array(*[F.struct(F.lit(n).alias("mask"), (at + 1).alias("at"), _seed(own, n, at).alias("seed")) for n in numbers])
+            return F.filter(seeds, lambda s: _known(bits, s["seed"]))
+
+        cores = F.transform(_places(own, length), lambda at: _core(own, numbers, at))
+        places = F.filter(F.transform(cores, lambda core, at: F.when(_known(bits, core), at)), lambda at: at.isNotNull())
+        return F.flatten(F.transform(places, here))
+
+    return F.concat(*[found(length, numbers) for length, numbers in by_length(widths).items()])
+
+
+def _bit(seed: Column) -> Column:
+    return F.shiftright(seed, 32).bitwiseAND(F.lit(63)).cast("int")
+
+
+def _known(bits: Column, seed: Column) -> Column:
+    word = F.get(bits, seed.bitwiseAND(F.lit(SLOTS - 1)).cast("int"))
+    return F.call_function("shiftright", word, _bit(seed)).bitwiseAND(F.lit(1)) != 0
+
+
+def bitmap(known: DataFrame) -> Column:
+    """Seeds and cores in one array of ``SLOTS`` words, whatever their number, as a
+    scalar of the query that uses it. The more it holds the more others pass."""
+    hashes = known.select(F.explode(F.array("seed", "core")).alias("seed"))
+    held = hashes.select(F.col("seed").bitwiseAND(F.lit(SLOTS - 1)).alias("slot"), F.call_function("shiftleft", F.lit(1).cast("long"), _bit(F.col("seed"))).alias("bits"))
+    every = known.sparkSession.range(SLOTS).select(F.col("id").alias("slot"), F.lit(0).cast("long").alias("bits"))
+    slots = held.unionByName(every).groupBy("slot").agg(F.bit_or("bits").alias("bits"))
+    return slots.agg(F.transform(F.array_sort(F.collect_list(F.struct("slot", "bits"))), lambda row: row["bits"])).scalar()
 
 
 def agreement(near: Column, item: Column, shift: Column, at: Column, mask: Column) -> Column:
@@ -86,13 +133,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.where("item_id is not null").select("item_id", hashes(F.col("text")).alias("item")).where(F.size("item") > 0)
     # At most WINDOW numbers: masks that no item needs are not laid over the texts.
     widths = sorted(row["w"] for row in items.select(width(F.col("item")).alias("w")).distinct().collect()) or [WINDOW]
-    known = stage(items.withColumn("s", F.explode(seeds(F.col("item"), widths, item=True))).select("item_id", "item", F.col("s.mask").alias("mask"), F.col("s.at").alias("item_at"), F.col("s.seed").alias("seed")))
+    known = stage(item_seeds(items, widths))
     texts = docs.select(F.xxhash64("text").alias("text_key"), hashes(F.col("text")).alias("own"))
-    places = texts.select("text_key", "own", F.explode(seeds(F.col("own"), widths)).alias("s"))
-    hits = marked(places.select("text_key", "own", "s", F.col("s.seed").alias("seed")), F.col("seed"), known.select("seed"), "_maybe").where("_maybe")
-    before = F.least(F.col("s.at") - 1, F.lit(WINDOW - 1))
-    near = F.slice(F.col("own"), F.col("s.at") - before, before + WINDOW)
-    kept = hits.select("text_key", "seed", F.col("s.mask").alias("mask"), before.alias("shift"), near.alias("near")).distinct()
+    # What the seeds of a text pass with is cut out before it becomes rows, so no row holds the whole text.
+    before = lambda at: F.least(at - 1, F.lit(WINDOW - 1))
+    cut = F.transform(
+        text_seeds(F.col("own"), widths, F.col("bits")),
+        lambda s: F.struct(s["seed"].alias("seed"), s["mask"].alias("mask"), before(s["at"]).alias("shift"), F.slice(F.col("own"), s["at"] - before(s["at"]), before(s["at"]) + WINDOW).alias("near")),
+    )
+    kept = texts.withColumn("bits", bitmap(known)).select("text_key", F.inline(cut)).distinct()
     met = kept.join(known, ["seed", "mask"])
     checked = met.select("text_key", "item_id", width(F.col("item")).alias("of"), agreement(F.col("near"), F.col("item"), F.col("shift"), F.col("item_at"), F.col("mask")).alias("equal"))
     return checked.where(F.col("equal") * WINDOW >= LEAST * F.col("of")).groupBy("text_key", "item_id", "of").agg(F.max("equal").alias("equal"))
