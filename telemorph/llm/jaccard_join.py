@@ -13,7 +13,8 @@ sets form a class, and only classes are joined:
    grows with the batches, not with the members.
 2. Bound. Shingles are hashed into ``GROUPS`` groups; the counts per group are a
    point. Two sets share at most the sum of the smaller coordinates, which
-   drops pairs before their shingles are compared.
+   drops pairs before their shingles are compared. What the tree finds is bounded
+   again by finer groups, which large sets need.
    Linked classes share many cells, so those that share few with all others
    leave.
 3. Search. Linked classes meet in the cells of each that have the fewest members,
@@ -43,8 +44,8 @@ from telemorph.llm.hashing import U, combine, mix, token_hashes
 from telemorph.llm.language_model import pieces
 from telemorph.llm.shared import only_with, stage, without
 
-#: Coordinates of a point.
-GROUPS = 64
+#: Coordinates of a point, and of the fine one that what the tree finds must pass too.
+GROUPS, FINE = 64, 512
 #: Points of an R-tree leaf, and leaves below a node.
 LEAF, FAN = 32, 16
 #: Sets from which on no cells need to be nearly empty for a pair to be found.
@@ -149,8 +150,22 @@ def cells(shingles: np.ndarray, rule: Rule) -> tuple[np.ndarray, list[int]]:
 
 
 def points(shingles: np.ndarray) -> np.ndarray:
-    """Shingles per group; the groups cut across the cells."""
-    return np.bincount((mix(shingles) % U(GROUPS)).astype(np.int64), minlength=GROUPS)
+    """Shingles per fine group; the groups cut across the cells."""
+    return np.bincount((mix(shingles) % U(FINE)).astype(np.int64), minlength=FINE)
+
+
+def coarse(fine: np.ndarray) -> np.ndarray:
+    """Points of ``GROUPS`` coordinates from fine ones, whose groups they unite."""
+    return fine.reshape(*fine.shape[:-1], FINE // GROUPS, GROUPS).sum(-2, dtype=np.int64)
+
+
+def packed(fine: np.ndarray) -> bytes:
+    """A fine point in two bytes a coordinate, or four where counts need them."""
+    return fine.astype(np.uint16 if fine.max(initial=0) < 1 << 16 else np.uint32).tobytes()
+
+
+def unpacked(fine: bytes) -> np.ndarray:
+    return np.frombuffer(fine, np.uint16 if len(fine) == 2 * FINE else np.uint32)
 
 
 def dense(cells: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -244,9 +259,9 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
 
     body = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
     drawn = f"doc_id {kind}, row long, n_shingles long, digest long, even int, odd int"
-    packed = body.mapInPandas(deal, f"{drawn}, part int, lane long, keys binary, owners binary")
+    drawn_cells = body.mapInPandas(deal, f"{drawn}, part int, lane long, keys binary, owners binary")
     # Copies of a text in several batches repeat a member; that only makes its cells look fuller.
-    read = stage(packed.repartition(parts, "part", "lane").groupBy("part", "lane").applyInPandas(crowded, f"{drawn}, cell long"))
+    read = stage(drawn_cells.repartition(parts, "part", "lane").groupBy("part", "lane").applyInPandas(crowded, f"{drawn}, cell long"))
     sketches = read.where("cell is null").drop("cell")
     filled = stage(dense(dense(read.where("cell is not null").select("cell", "digest"), sketches), sketches))
     pairs = stage(filled.where("digest <> least").groupBy(F.col("digest").alias("a"), F.col("least").alias("b")).agg(F.count("*").alias("n")))
@@ -257,12 +272,12 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
 
     def points_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in pieces(batches, HELD):
-            sets = shingle_sets(batch["text"].tolist(), n)
-            rows = [(digest(s) if len(s) else 0, len(s), points(s), s.view(np.int64)) for s in sets]
-            yield pd.DataFrame(rows, columns=["digest", "size", "point", "shingles"])
+            sets = ((s, points(s)) for s in shingle_sets(batch["text"].tolist(), n))
+            rows = [(digest(s) if len(s) else 0, len(s), coarse(fine), packed(fine), s.view(np.int64)) for s, fine in sets]
+            yield pd.DataFrame(rows, columns=["digest", "size", "point", "fine", "shingles"])
 
     with_text = only_with(body.select("doc_id", "text"), "doc_id", stage(chosen.select("doc_id")))
-    sets = with_text.select("text").mapInPandas(points_of, "digest long, size long, point array<int>, shingles array<long>")
+    sets = with_text.select("text").mapInPandas(points_of, "digest long, size long, point array<int>, fine binary, shingles array<long>")
     sets = stage(sets.join(chosen.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]))
 
     # Bound by the points alone, then compare shingles.
@@ -309,7 +324,7 @@ def search_cells(cells: DataFrame, links: DataFrame, sets: DataFrame, rule: Rule
     indexed = todo.select(*columns, F.lit(False).alias("asking"), block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("searches") - 1)).alias("search"))
     asking = todo.where("part <> main").select(*columns, F.lit(True).alias("asking"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), search.alias("search"))
     bucket = F.pmod(F.xxhash64("cell", "block", "search"), F.lit(parts)).alias("bucket")
-    rows = indexed.union(asking).select(bucket, "*").join(sets.select("digest", "point"), "digest")
+    rows = indexed.union(asking).select(bucket, "*").join(sets.select("digest", "fine"), "digest")
 
     def bound(rows: pd.DataFrame) -> pd.DataFrame:
         found = [pair for _, one in rows.groupby(["cell", "block", "search"], sort=False) for pair in near_parts(one, rule, every)]
@@ -360,22 +375,26 @@ class Tree:
 
 def near_parts(rows: pd.DataFrame, rule: Rule, every: bool) -> list[tuple[int, int, int, int]]:
     """(p, q, digest, part) for members of two parts of a cell, p < q, that the
-    points do not keep apart: ``every`` such pair, or for each asking member its
-    nearest by the bound and the one with the smallest digest."""
+    points, coarse in the tree and then fine, do not keep apart: ``every`` such
+    pair, or for each asking member its nearest by the bound and the one with the
+    smallest digest."""
     asked, held = rows[rows["asking"]], rows[~rows["asking"]]
     if not len(asked) or not len(held):
         return []
-    vectors = np.stack(held["point"].to_list()).astype(np.int64)
-    tree, sizes = Tree(vectors), vectors.sum(1)
+    fine = np.stack([unpacked(x) for x in held["fine"]])
+    tree, sizes = Tree(coarse(fine)), fine.sum(1, dtype=np.int64)
     parts, names = held["part"].to_numpy(), held["digest"].to_numpy()
     found = set()
-    for own, name, point in zip(asked["part"], asked["digest"], asked["point"], strict=True):
-        vector = np.asarray(point, np.int64)
-        at = tree.search(vector, rule)
+    for own, name, point in zip(asked["part"], asked["digest"], asked["fine"], strict=True):
+        vector = unpacked(point)
+        size = int(vector.sum(dtype=np.int64))
+        at = tree.search(coarse(vector), rule)
         at = at[parts[at] != own]
+        least = np.minimum(fine[at], vector).sum(1, dtype=np.int64)
+        near = least >= rule.needed(size + sizes[at])
+        at, least = at[near], least[near]
         if len(at) > 2 and not every:
-            near = np.minimum(vectors[at], vector).sum(1) / (sizes[at] + vector.sum())
-            at = at[[near.argmax(), names[at].argmin()]]
+            at = at[[(least / (sizes[at] + size)).argmax(), names[at].argmin()]]
         for part, other in zip(parts[at], names[at], strict=True):
             p, q = min(own, part), max(own, part)
             found.add((p, q, name, own))

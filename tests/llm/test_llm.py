@@ -268,6 +268,19 @@ def test_revealing_terms(spark):
     assert "zeppelin" not in disclosure.sanitised(docs).where("doc_id = 41").first().text
 
 
+def test_fine_points_bound_the_overlap():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 40, 3000):
+        common, own = (np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64)) for _ in range(2))
+        a, b = (jaccard_join.points(x) for x in (np.union1d(common, own), common))
+        both = [np.minimum(x(a), x(b)).sum() for x in (lambda v: v, jaccard_join.coarse)]
+        assert len(common) <= both[0] <= both[1]
+        assert (jaccard_join.unpacked(jaccard_join.packed(a)) == a).all()
+    wide = np.full(jaccard_join.FINE, 1 << 16)
+    assert (jaccard_join.unpacked(jaccard_join.packed(wide)) == wide).all()
+    assert jaccard_join.coarse(np.stack([wide, a])).shape == (2, jaccard_join.GROUPS)
+
+
 def test_decontamination(spark, odd, empty):
     passage = " ".join(f"p{i}" for i in range(30))
     changed = " ".join("zz" if i % 9 == 4 else f"P{i}" for i in range(30))
