@@ -117,9 +117,11 @@ def revealing(docs: DataFrame, found: DataFrame, least: float, support: int) ->
     per_term = spread.groupBy("term").agg(F.count("*").alias("n_t"))
     share = F.log(F.col("n_et") * total / (F.col("n_e") * F.col("n_t"))) / F.log(total / F.col("n_e"))
     scored = pairs.join(per_term, "term").join(known, "entity").withColumn("disclosure", share).where(F.col("disclosure") >= least)
-    # Back to the texts: every text gets the terms that reveal its own entities.
-    texts = entities.select("entity", "key").distinct()
-    return texts.join(scored, "entity").groupBy("key", "term").agg(F.max("disclosure").alias("disclosure")).groupBy("key").agg(
+    # Back to the texts: each gets those of its own terms that reveal one of its entities.
+    telling = stage(scored.select("entity", "term", "disclosure"))
+    pair = F.xxhash64("entity", "term")
+    own_terms = marked(held.where(~own), pair, telling.select(pair.alias("_pair")), "_maybe").where("_maybe").join(telling, ["entity", "term"])
+    return own_terms.groupBy("key", "term").agg(F.max("disclosure").alias("disclosure")).groupBy("key").agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("term", "disclosure")))).alias("revealed")
     )
 

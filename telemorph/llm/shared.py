@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,13 +13,10 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``. Where it is unset (tests on
-    one machine) a temporary folder is set."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, one in the
+    warehouse, which all executors share too."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="telemorph-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/llm-staging"
 
 
 def stage(df: DataFrame) -> DataFrame:
