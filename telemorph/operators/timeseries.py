@@ -64,17 +64,24 @@ def step(before: Column, after: Column) -> Column:
     return F.when(after < before, after).otherwise(after - before)
 
 
-def _panes(df: DataFrame, keys: list[str], ts: str, value: str, range_ms: int, pane: int) -> DataFrame:
-    """(keys, _pane, _edge, _at, _ts, _v): rows in their own pane and as edges.
-    ``_at`` is the instant up to which a row lies in the windows of its pane. Of
-    several rows of one instant the greatest value stays."""
+def _panes(df: DataFrame, keys: list[str], ts: str, value: str, range_ms: int, pane: int, every: bool) -> DataFrame:
+    """(keys, _pane, _edge, _at, _ts, _rows, _n, _total, _least, _v): instants in
+    their own pane and as edges. ``_at`` is the instant up to which one lies in the
+    windows of its pane, ``_least`` and ``_v`` are its least and greatest value.
+    With ``every`` all rows of an instant count; else the greatest value stands
+    for them, as the only row."""
     places = [F.struct(int_div(F.col(ts) + shift, pane).alias("pane"), F.lit(shift > 0).alias("edge"), (F.col(ts) + shift).alias("at")) for shift in (0, range_ms)]
     rows = df.withColumn("_place", F.explode(F.array(*places))).select(
         *keys, F.col("_place.pane").alias("_pane"), F.col("_place.edge").alias("_edge"), F.col("_place.at").alias("_at"), F.col(ts).alias("_ts"), F.col(value).alias("_v")
     )
     # Everything below asks for rows of a pane in one task, and so runs behind this exchange.
     spread = rows.repartition(*keys, "_pane")
-    return spread.groupBy(*keys, "_pane", "_edge", "_at", "_ts").agg(F.max("_v").alias("_v"))
+    instant = spread.groupBy(*keys, "_pane", "_edge", "_at", "_ts")
+    if every:
+        counts = [F.count(F.lit(1)).alias("_rows"), F.count("_v").alias("_n")]
+        return instant.agg(*counts, F.sum("_v").alias("_total"), F.min("_v").alias("_least"), F.max("_v").alias("_v"))
+    known = F.col("_v").isNotNull().cast("long")
+    return instant.agg(F.max("_v").alias("_v")).withColumns({"_rows": F.lit(1).cast("long"), "_n": known, "_total": F.col("_v"), "_least": F.col("_v")})
 
 
 def _until_here(keys: list[str]) -> Window:
@@ -98,52 +105,58 @@ def _beside(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(renamed, same, "left").drop(*[f"_r_{k}" for k in [*keys, "_pane"]])
 
 
-def trailing_aggregates(df: DataFrame, keys: list[str], ts: str, value: str, range_ms: int, longest_ms: int = CHUNK_MS) -> DataFrame:
+def trailing_aggregates(
+    df: DataFrame, keys: list[str], ts: str, value: str, range_ms: int, longest_ms: int = CHUNK_MS, every: bool = False
+) -> DataFrame:
     """(keys, ts, n, total, least, most): number, sum, least and greatest value of the rows
-    in ``(t - range_ms, t]`` at every instant t of a series that has a row."""
+    in ``(t - range_ms, t]`` at every instant t of a series that has a row. With
+    ``every`` all rows of an instant count and each of them comes out."""
     pane = pane_ms(range_ms, longest_ms)
-    rows = _panes(df, keys, ts, value, range_ms, pane)
+    rows = _panes(df, keys, ts, value, range_ms, pane, every).withColumn("_most", F.col("_v"))
     own = Window.partitionBy(*keys, "_pane", "_edge").orderBy("_ts").rowsBetween(Window.unboundedPreceding, 0)
-    makers = {"n": F.count, "total": F.sum, "least": F.min, "most": F.max}
-    parts = {name: [make("_v").over(own), make(F.when(F.col("_edge"), F.col("_v"))).over(_until_here(keys))] for name, make in makers.items()}
+    makers = {"n": F.sum, "total": F.sum, "least": F.min, "most": F.max}
+    parts = {name: [make(f"_{name}").over(own), make(F.when(F.col("_edge"), F.col(f"_{name}"))).over(_until_here(keys))] for name, make in makers.items()}
     here = rows.withColumns({f"_{name}{i}": c for name, cs in parts.items() for i, c in enumerate(cs)}).where(~F.col("_edge"))
     count = range_ms // pane - 1
     if count:
-        whole = rows.where(~F.col("_edge")).groupBy(*keys, "_pane").agg(*[make("_v").alias(f"_{name}") for name, make in makers.items()])
-        joined = {"n": F.sum, "total": F.sum, "least": F.min, "most": F.max}
-        between = _between(whole, keys, count, {f"_{n}2": lambda w, n=n, make=make: make(f"_{n}").over(w) for n, make in joined.items()})
+        whole = rows.where(~F.col("_edge")).groupBy(*keys, "_pane").agg(*[make(f"_{name}").alias(f"_{name}") for name, make in makers.items()])
+        between = _between(whole, keys, count, {f"_{n}2": lambda w, n=n, make=make: make(f"_{n}").over(w) for n, make in makers.items()})
         here = _beside(here, between, keys)
     numbers = range(3 if count else 2)
-
-    def added(name: str) -> Column:
-        return sum((F.coalesce(F.col(f"_{name}{i}"), F.lit(0)) for i in numbers[1:]), F.col(f"_{name}0"))
-
+    n, total = (sum((F.coalesce(F.col(f"_{name}{i}"), F.lit(0)) for i in numbers[1:]), F.coalesce(F.col(f"_{name}0"), F.lit(0))) for name in ("n", "total"))
     least, most = (pick(*[F.col(f"_{name}{i}") for i in numbers]) for name, pick in (("least", F.least), ("most", F.greatest)))
-    return here.select(*keys, F.col("_ts").alias(ts), added("n").alias("n"), added("total").alias("total"), least.alias("least"), most.alias("most"))
+    out = here.select(*keys, F.col("_ts").alias(ts), n.alias("n"), F.when(n > 0, total).alias("total"), least.alias("least"), most.alias("most"), "_rows")
+    return (out.withColumn("_row", F.explode(F.array_repeat(F.lit(0), F.col("_rows").cast("int")))).drop("_row") if every else out).drop("_rows")
 
 
-def trailing_increase(df: DataFrame, keys: list[str], ts: str, value: str, range_ms: int, longest_ms: int = CHUNK_MS) -> DataFrame:
-    """(keys, ts, n, increase) of a counter over ``(t - range_ms, t]`` at every
-    instant t of a series that has a row: the steps between the n rows there.
+def trailing_increase(
+    df: DataFrame, keys: list[str], ts: str, value: str, range_ms: int, longest_ms: int = CHUNK_MS, every: bool = False
+) -> DataFrame:
+    """(keys, ts, n, rows, increase) of a counter over ``(t - range_ms, t]`` at every
+    instant t of a series that has a row: the steps between the n rows there, of
+    which ``rows`` are at t itself. With ``every`` the rows of an instant follow
+    one another by value.
 
     A run of rows is summed up by its first and last value and the increase
     between them; two runs join by the step from one to the other."""
     pane = pane_ms(range_ms, longest_ms)
-    rows = _panes(df, keys, ts, value, range_ms, pane)
+    rows = _panes(df, keys, ts, value, range_ms, pane, every)
     run = Window.partitionBy(*keys, "_pane", "_edge").orderBy("_ts")
     upto = run.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_step", F.coalesce(step(F.lag("_v").over(run), F.col("_v")), F.lit(0.0)))
-    rows = rows.withColumns({"_gain": F.sum("_step").over(upto), "_first": F.first("_v").over(upto), "_n": F.count(F.lit(1)).over(upto)})
-    edge = F.when(F.col("_edge"), F.struct("_v", "_gain"))
+    # From the row before the instant to its first row, and on to its last one.
+    rows = rows.withColumn("_inside", F.coalesce(F.col("_v") - F.col("_least"), F.lit(0.0)))
+    rows = rows.withColumn("_step", F.coalesce(step(F.lag("_v").over(run), F.col("_least")), F.lit(0.0)) + F.col("_inside"))
+    rows = rows.withColumns({"_gain": F.sum("_step").over(upto), "_first": F.first("_least").over(upto), "_n": F.sum("_rows").over(upto)})
+    edge = F.when(F.col("_edge"), F.struct("_v", "_gain", (F.col("_gain") - F.col("_inside")).alias("_before")))
     seen = _until_here(keys)
     here = rows.withColumns(
-        {"_newest": F.first(edge, ignorenulls=True).over(seen), "_oldest": F.last(edge, ignorenulls=True).over(seen), "_edges": F.count(edge).over(seen)}
+        {"_newest": F.first(edge, ignorenulls=True).over(seen), "_oldest": F.last(edge, ignorenulls=True).over(seen), "_edges": F.sum(F.when(F.col("_edge"), F.col("_rows"))).over(seen)}
     ).where(~F.col("_edge"))
     count = range_ms // pane - 1
-    gain, n, before = F.col("_newest._gain") - F.col("_oldest._gain"), F.col("_edges"), F.col("_newest._v")
+    gain, n, before = F.col("_newest._gain") - F.col("_oldest._before"), F.coalesce("_edges", F.lit(0)), F.col("_newest._v")
     if count:
         whole = rows.where(~F.col("_edge")).groupBy(*keys, "_pane").agg(
-            F.min_by("_v", "_ts").alias("_head"), F.max_by("_v", "_ts").alias("_last"), F.max_by("_gain", "_ts").alias("_grown"), F.count(F.lit(1)).alias("_rows")
+            F.min_by("_least", "_ts").alias("_head"), F.max_by("_v", "_ts").alias("_last"), F.max_by("_gain", "_ts").alias("_grown"), F.sum("_rows").alias("_rows")
         )
         whole = whole.withColumn("_joint", F.coalesce(step(F.lag("_last").over(Window.partitionBy(*keys).orderBy("_pane")), F.col("_head")), F.lit(0.0)))
         whole = _between(
@@ -158,4 +171,4 @@ def trailing_increase(df: DataFrame, keys: list[str], ts: str, value: str, range
         gain = F.coalesce(gain, F.lit(0.0)) + F.when(middle, F.col("_mid_gain") + F.coalesce(step(before, F.col("_mid_first")), F.lit(0.0))).otherwise(0.0)
         n, before = n + F.coalesce("_mid_n", F.lit(0)), F.coalesce("_mid_last", before)
     increase = F.coalesce(gain, F.lit(0.0)) + F.coalesce(step(before, F.col("_first")), F.lit(0.0)) + F.col("_gain")
-    return here.select(*keys, F.col("_ts").alias(ts), (n + F.col("_n")).alias("n"), increase.alias("increase"))
+    return here.select(*keys, F.col("_ts").alias(ts), (n + F.col("_n")).alias("n"), F.col("_rows").alias("rows"), increase.alias("increase"))

@@ -122,6 +122,32 @@ def test_trailing_windows_from_panes(spark, range_ms, longest_ms):
         assert r["n"] == n and math.isclose(r["increase"], increase, abs_tol=1e-9)
 
 
+@pytest.mark.parametrize(("range_ms", "longest_ms"), [(50_000, 10**9), (50_000, 7_000), (4_000_000, 60_000), (13, 5)])
+def test_samples_of_one_instant_all_count(spark, range_ms, longest_ms):
+    df = samples(spark).fillna("none", ["s"])
+    df = df.union(df.where("ts % 3 = 0").withColumn("v", F.lit(40.0))).union(df.where("ts % 5 = 0"))
+    rows = sorted(tuple(r) for r in df.collect())
+    want, grown = [], {}
+    for s, t, _ in rows:
+        inside = [v for r, u, v in rows if r == s and t - range_ms < u <= t]
+        want.append((s, t, len(inside), round(sum(inside), 6), min(inside), max(inside)))
+        increase = sum(b if b < a else b - a for a, b in zip(inside, inside[1:]))
+        grown[s, t] = (len(inside), sum((r, u) == (s, t) for r, u, _ in rows), round(increase, 6))
+    totals = timeseries.trailing_aggregates(df, ["s"], "ts", "v", range_ms, longest_ms, every=True).collect()
+    assert sorted((r["s"], r["ts"], r["n"], round(r["total"], 6), r["least"], r["most"]) for r in totals) == want
+    got = timeseries.trailing_increase(df, ["s"], "ts", "v", range_ms, longest_ms, every=True).collect()
+    assert len(got) == len(grown) and {(r["s"], r["ts"]): (r["n"], r["rows"], round(r["increase"], 6)) for r in got} == grown
+
+
+def test_rates_and_ranges_of_repeated_instants(spark):
+    made = [({"a": "x"}, t, v) for t, v in [(0, 5.0), (10, 3.0), (10, 7.0), (20, 7.0), (20, 7.0)]]
+    df = spark.createDataFrame(made, "labels map<string,string>, ts long, value double")
+    # Steps by (ts, value): reset to 3, up to 7, and nothing more; two samples at 10 and at 20.
+    assert sorted((r["ts"], r["value"]) for r in promql.rate(df, 1000).collect()) == [(10, 14.0), (20, 14.0)]
+    averages = sorted((r["ts"], r["value"]) for r in promql.over_time(df, "avg", 1000).collect())
+    assert averages == [(0, 5.0), (10, 5.0), (10, 5.0), (20, 5.8), (20, 5.8)]
+
+
 def exchanges(df):
     plan = df._jdf.queryExecution().executedPlan().toString()
     return plan.count("Exchange hashpartitioning") , plan
