@@ -25,13 +25,13 @@ def items(value: Column) -> Column:
 
 
 def field(value: Column, name: str) -> Column:
-    return F.try_element_at(entries(value), F.lit(name))
+    return path(value, name)
 
 
 def path(value: Column, *names: str) -> Column:
-    for name in names:
-        value = field(value, name)
-    return value
+    """The value some fields deep, NULL if there is none. Read by path: a cast to
+    entries would copy all the other fields too."""
+    return F.try_variant_get(value, ".".join(["$", *names]), "variant")
 
 
 def text(value: Column) -> Column:

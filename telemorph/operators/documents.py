@@ -1,10 +1,12 @@
 """Renaming metrics and attributes in dashboards and alert rules.
 
-Documents are rows of (id, data). The names a document mentions are taken out
-of it, joined against the name mapping, and come back as small maps in the same
-row; the document is then rewritten by expressions. The mapping is therefore
-never gathered or broadcast by force, however large it is, and what a row
-carries is bounded by the text of its document.
+Documents are rows of (id, data). The texts a document holds (queries, legends,
+builder entries) are taken out of it, and each distinct text is rewritten once:
+the names it mentions are joined against the name mapping and come back as small
+maps in its row. The new texts are joined to the documents that hold the old ones
+and put in their places. Neither texts nor mapping are gathered or broadcast by
+force, however large they are, and what a row carries is bounded by the text of
+its document.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 from telemorph.functions import rewrite as R
 from telemorph.functions import variants as V
+from telemorph.operators.sizing import staged
 
 STRING_MAP = "map<string,string>"
 MIGRATED = "dotMigrated"
@@ -186,100 +189,213 @@ def _text_edit(change):
     return edit
 
 
-def bad_sql(entry: Column) -> Column:
-    return V.let(
-        V.text(V.field(entry, "query")),
-        lambda q: F.coalesce((q != "") & R.sql_error(R.clean_query_text(R.template_to_param(q))).isNotNull(), F.lit(False)),
-    )
+def _is_sql_on_metrics(query: Column, database: str) -> Column:
+    return F.contains(query, F.lit(database))
 
 
-def bad_promql(entry: Column) -> Column:
-    return V.let(
-        V.text(V.field(entry, "query")),
-        lambda q: F.coalesce((q != "") & R.prom_error(R.template_to_param(q)).isNotNull(), F.lit(False)),
+# ---- each distinct text once --------------------------------------------------------------
+
+# Kinds of texts: SQL (which may name metrics if it reads their database), SQL that is
+# rewritten only if it does, SQL that may name metrics always, so also the query of a
+# variable, whose parameters are renamed too, PromQL, plain text, and builder entries as JSON, of which
+# those not on metrics follow the names of their dashboard's variables (``given``).
+SQL, SQL_ON_METRICS, SQL_ALWAYS, VARIABLE = "sql", "sql_on_metrics", "sql_always", "variable"
+PROMQL, TEXT, ENTRY, OTHER_ENTRY = "promql", "text", "entry", "other_entry"
+_TEXT = "struct<kind:string,text:string,given:string>"
+_QUOTED = "(?s)" + "|".join([R.DOUBLE_QUOTED, R.SINGLE_QUOTED, R.BACK_QUOTED])
+
+
+def _as(kind, text: Column, given: Column | None = None) -> Column:
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    return F.struct(kind.alias("kind"), text.alias("text"), (F.lit("") if given is None else given).alias("given"))
+
+
+def _names_in(kind: Column, text: Column, given: Column) -> Column:
+    """What a text may name: its words, itself, and everything it holds in quotes."""
+    json = F.when(kind.isin(ENTRY, OTHER_ENTRY), F.concat_ws(" ", text, given)).otherwise(F.to_json(F.struct(text.alias("text"))))
+    quoted = F.transform(F.regexp_extract_all(text, F.lit(_QUOTED), F.lit(0)), lambda p: F.substring(p, F.lit(2), F.length(p) - 2))
+    return F.array_distinct(F.concat(mentioned_names(json), F.array(text), quoted))
+
+
+def new_texts(texts: DataFrame, mapping: NameMapping, database: str) -> DataFrame:
+    """Distinct texts (kind, text, given) with ``new``, the text under new names,
+    and ``error``, why it cannot be read; an unreadable text has no new one."""
+    kind, text, given = F.col("kind"), F.col("text"), F.col("given")
+    keyed = texts.distinct().withColumn("_text", F.sha2(F.to_json(F.struct("kind", "given", "text")), 256))
+    named, names = attach_names(keyed, mapping, _names_in(kind, text, given), "_text")
+    query = R.template_to_param(text)
+    is_sql = kind.isin(SQL, SQL_ON_METRICS, SQL_ALWAYS, VARIABLE)
+    read = V.evaluated(named, error=F.when(is_sql, R.sql_error(R.clean_query_text(query))).when(kind == PROMQL, R.prom_error(query)))
+    variables = F.map_from_entries(F.transform(F.from_json(given, "array<string>"), lambda s: F.struct(s, new_text(s, names))))
+    reads_metrics = _is_sql_on_metrics(text, database)
+    always = F.lit(True)
+    new = (
+        F.when(F.col("error").isNotNull(), None)
+        .when(kind == PROMQL, new_promql(text, names))
+        .when(kind == SQL, new_sql(text, names, reads_metrics))
+        .when(kind == SQL_ON_METRICS, F.when(reads_metrics, new_sql(text, names, always)).otherwise(text))
+        .when(kind == SQL_ALWAYS, new_sql(text, names, always))
+        .when(kind == VARIABLE, R.replace_placeholders(new_sql(text, names, always), names.everywhere))
+        .when(kind == TEXT, new_text(text, names))
+        .when(kind == ENTRY, R.rename_in_json(text, names.exact, names.words))
+        .when(kind == OTHER_ENTRY, V.let(variables, lambda known: R.rename_in_json(text, known, known)))
     )
+    return V.evaluated(read, new=new).select("kind", "text", "given", "new", "error")
 
 
-def _is_sql_on_metrics(query: Column, database: str) -> Column:
-    return F.contains(query, F.lit(database))
+def _place(kind: Column, text: Column, given: Column) -> Column:
+    return F.concat_ws(":", kind, given, text)
+
+
+@dataclass
+class Texts:
+    """The new texts of a document, as a map column of its row."""
+
+    known: Column
+
+    def _found(self, kind: str, text: Column, given: Column) -> Column:
+        return F.try_element_at(self.known, _place(F.lit(kind), text, given))
+
+    def new(self, kind: str, text: Column, given: Column | None = None) -> Column:
+        """The text under new names; NULL if it cannot be read."""
+        return self._found(kind, text, F.lit("") if given is None else given)["new"]
+
+    def bad(self, kind: str, text: Column) -> Column:
+        """Whether a query cannot be read. No text is no fault."""
+        return F.coalesce(self._found(kind, text, F.lit(""))["error"].isNotNull(), F.lit(False))
+
+    def edit(self, kind: str):
+        return _text_edit(lambda s: self.new(kind, s))
+
+
+def attach_texts(docs: DataFrame, texts: Column, mapping: NameMapping, database: str, key: str) -> tuple[DataFrame, Texts]:
+    """Add the new form of their ``texts`` to documents. The distinct new texts are
+    staged, so that Spark knows their size when it joins them; documents are
+    clustered by their key, and where the join is a broadcast they move only once."""
+    held = F.filter(texts, lambda t: t["text"] != "")
+    distinct = docs.select(F.explode(held).alias("t")).select("t.*")
+    new = staged(new_texts(distinct, mapping, database))
+    docs = docs.repartition(F.col(key))
+    rows = docs.select(key, F.explode(F.array_distinct(held)).alias("t")).select(key, "t.*")
+    place = _place(F.col("kind"), F.col("text"), F.col("given"))
+    entry = F.struct(place, F.struct("new", "error"))
+    maps = rows.join(new, ["kind", "text", "given"]).groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias("_texts"))
+    return docs.join(maps, key, "left"), Texts(F.col("_texts"))
 
 
 # ---- dashboards -------------------------------------------------------------------------
 
 
-def _builder_edits(names: Names, entry_edit) -> dict:
-    legend = _text_edit(lambda s: new_text(s, names))
+def _builder_edits(texts: Texts, entry_edit) -> dict:
+    legend = texts.edit(TEXT)
     return {
         "queryData": lambda a: V.edit_items(a, entry_edit),
         "queryFormulas": lambda a: V.edit_items(a, lambda f: V.edit_fields(f, {"expression": legend, "legend": legend})),
     }
 
 
-def variable_names(doc: Column, names: Names) -> Column:
-    """Old to new name of every named variable of a dashboard."""
+def _entry(value: Column, new: Column) -> Column:
+    """A builder entry's new text as a variant."""
+    return F.coalesce(F.try_parse_json(new), value)
+
+
+def _texts_of(items: Column, *makes) -> Column:
+    """The texts found in every item, one of each of ``makes``."""
+    return F.flatten(F.transform(V.no_items(items, "variant"), lambda item: F.array(*[make(item) for make in makes])))
+
+
+def _texts_in(kind: str, name: str):
+    return lambda item: _as(kind, V.text(V.field(item, name)))
+
+
+def _formula_texts(builder_parent: Column) -> Column:
+    return _texts_of(V.items(V.path(builder_parent, "builder", "queryFormulas")), _texts_in(TEXT, "expression"), _texts_in(TEXT, "legend"))
+
+
+def _on_metrics(entry: Column) -> Column:
+    return F.coalesce(V.text(V.field(entry, "dataSource")) == "metrics", F.lit(False))
+
+
+def variable_names(doc: Column) -> Column:
+    """The names of a dashboard's variables, as JSON."""
     old = F.transform(V.no_items(F.map_values(V.entries(V.field(doc, "variables"))), "variant"), lambda v: V.text(V.field(v, "name")))
-    return F.map_from_entries(F.transform(F.filter(old, lambda s: s != ""), lambda s: F.struct(s, new_text(s, names))))
+    return F.to_json(F.filter(old, lambda s: s != ""))
 
 
-def variables_error(doc: Column) -> Column:
-    """Whether a variable's query cannot be read; such a document is left alone."""
-    variables = V.no_items(F.map_values(V.entries(V.field(doc, "variables"))), "variant")
+def widget_texts(widget: Column, given: Column) -> Column:
+    """The texts of a panel."""
+    query = V.field(widget, "query")
 
-    def bad(variable: Column) -> Column:
-        return V.let(
-            V.text(V.field(variable, "queryValue")),
-            lambda q: F.coalesce((q != "") & R.sql_error(R.clean_query_text(R.template_to_param(q))).isNotNull(), F.lit(False)),
+    def entry(e: Column) -> Column:
+        on_metrics = _on_metrics(e)
+        return F.when(
+            V.field(e, "dataSource").isNotNull(),
+            _as(F.when(on_metrics, ENTRY).otherwise(OTHER_ENTRY), F.to_json(e), F.when(on_metrics, "").otherwise(given)),
         )
 
-    return F.exists(variables, bad)
+    def of_query(q: Column) -> Column:
+        return F.concat(
+            _texts_of(V.items(V.field(q, "clickhouse_sql")), _texts_in(SQL, "query"), _texts_in(TEXT, "legend")),
+            _texts_of(V.items(V.field(q, "promql")), _texts_in(PROMQL, "query"), _texts_in(TEXT, "legend")),
+            _texts_of(V.items(V.path(q, "builder", "queryData")), entry),
+            _formula_texts(q),
+        )
+
+    return V.let(query, of_query)
+
 
+def variable_texts(doc: Column) -> Column:
+    variables = V.entries(V.field(doc, "variables"))
+    values = V.no_items(F.map_values(variables), "variant")
+    keys = F.transform(V.no_items(F.map_keys(variables), "string"), lambda k: _as(TEXT, k))
+    return F.concat(_texts_of(values, _texts_in(VARIABLE, "queryValue"), _texts_in(TEXT, "name")), keys)
 
-def new_variables(variables: Column, names: Names) -> Column:
+
+def new_variables(variables: Column, texts: Texts) -> Column:
     """Rename variables: their query, their name, and their key."""
-    edits = {
-        "queryValue": _text_edit(lambda q: R.replace_placeholders(new_sql(q, names, F.lit(True)), names.everywhere)),
-        "name": _text_edit(lambda s: new_text(s, names)),
-    }
+    edits = {"queryValue": texts.edit(VARIABLE), "name": texts.edit(TEXT)}
     renamed = F.transform(
         F.map_entries(V.entries(variables)),
-        lambda e: F.struct(new_text(e["key"], names), V.edit_fields(e["value"], edits)),
+        lambda e: F.struct(F.coalesce(texts.new(TEXT, e["key"]), e["key"]), V.edit_fields(e["value"], edits)),
     )
     return F.coalesce(F.to_variant_object(F.map_from_entries(renamed)), variables)
 
 
-def widget_error(widget: Column) -> Column:
-    query = V.field(widget, "query")
-    sql = V.no_items(V.items(V.field(query, "clickhouse_sql")), "variant")
-    prom = V.no_items(V.items(V.field(query, "promql")), "variant")
-    return F.exists(sql, bad_sql) | F.exists(prom, bad_promql)
+def variables_error(doc: Column, texts: Texts) -> Column:
+    """Whether a variable's query cannot be read; such a document is left alone."""
+    variables = V.no_items(F.map_values(V.entries(V.field(doc, "variables"))), "variant")
+    return F.exists(variables, lambda v: texts.bad(VARIABLE, V.text(V.field(v, "queryValue"))))
 
 
-def new_widget(widget: Column, names: Names, variables: Column, database: str) -> Column:
+def widget_error(widget: Column, texts: Texts) -> Column:
+    def of_query(query: Column) -> Column:
+        sql = V.no_items(V.items(V.field(query, "clickhouse_sql")), "variant")
+        prom = V.no_items(V.items(V.field(query, "promql")), "variant")
+        return F.exists(sql, lambda e: texts.bad(SQL, V.text(V.field(e, "query")))) | F.exists(
+            prom, lambda e: texts.bad(PROMQL, V.text(V.field(e, "query")))
+        )
+
+    return V.let(V.field(widget, "query"), of_query)
+
+
+def new_widget(widget: Column, texts: Texts, given: Column) -> Column:
     """A panel under new names."""
-    legend = _text_edit(lambda s: new_text(s, names))
+    legend = texts.edit(TEXT)
 
     def builder_entry(entry: Column) -> Column:
-        source = V.field(entry, "dataSource")
-        on_metrics = F.coalesce(V.text(source) == "metrics", F.lit(False))
-        renamed = R.rename_variant(
-            entry,
-            F.when(on_metrics, names.exact).otherwise(variables),
-            F.when(on_metrics, names.words).otherwise(variables),
-        )
-        return F.when(source.isNotNull(), renamed).otherwise(entry)
+        json = F.to_json(entry)
+        new = F.when(_on_metrics(entry), texts.new(ENTRY, json)).otherwise(texts.new(OTHER_ENTRY, json, given))
+        return F.when(V.field(entry, "dataSource").isNotNull(), _entry(entry, new)).otherwise(entry)
 
-    sql = {
-        "query": _text_edit(lambda q: new_sql(q, names, _is_sql_on_metrics(q, database))),
-        "legend": legend,
-    }
-    prom = {"query": _text_edit(lambda q: new_promql(q, names)), "legend": legend}
+    sql = {"query": texts.edit(SQL), "legend": legend}
+    prom = {"query": texts.edit(PROMQL), "legend": legend}
 
     def sql_entry(entry: Column) -> Column:
         has_query = F.coalesce(V.text(V.field(entry, "query")) != "", F.lit(False))
         return F.when(has_query, V.edit_fields(entry, sql)).otherwise(entry)
 
     edits = {
-        "builder": lambda b: V.edit_fields(b, _builder_edits(names, builder_entry)),
+        "builder": lambda b: V.edit_fields(b, _builder_edits(texts, builder_entry)),
         "clickhouse_sql": lambda a: V.edit_items(a, sql_entry),
         "promql": lambda a: V.edit_items(a, lambda e: V.edit_fields(e, prom)),
     }
@@ -291,38 +407,46 @@ def rewrite_dashboards(docs: DataFrame, mapping: NameMapping, database: str, key
     error, panel_errors). Invalid JSON, documents already done and documents with
     an unreadable variable query keep their text; so do panels with an unreadable
     query."""
-    named, names = attach_names(docs, mapping, mentioned_names(F.col(data)), key)
-    doc = F.col("_doc")
-    parsed = V.evaluated(named, _doc=F.try_parse_json(data))
+
+    # Panels stand in a list or under names; both are rewritten as one list.
+    def panels(doc: Column) -> Column:
+        listed = V.no_items(V.items(V.field(doc, "widgets")), "variant")
+        return F.concat(listed, V.no_items(F.map_values(V.entries(V.field(doc, "panelMap"))), "variant"))
+
+    def held(doc: Column) -> Column:
+        in_panels = V.let(variable_names(doc), lambda given: F.flatten(F.transform(panels(doc), lambda w: widget_texts(w, given))))
+        return F.concat(in_panels, variable_texts(doc))
+
+    attached, texts = attach_texts(docs, V.let(F.try_parse_json(data), held), mapping, database, key)
+    doc, given = F.col("_doc"), F.col("_given")
+    parsed = V.evaluated(attached, _doc=F.try_parse_json(data))
     parsed = V.evaluated(
         parsed,
-        _variables=variable_names(doc, names),
-        _error=F.when(V.entries(doc).isNull(), F.lit("invalid JSON")).when(variables_error(doc), F.lit("variables")),
+        _given=variable_names(doc),
+        _done=V.is_true(V.field(doc, MIGRATED)),
+        _error=F.when(V.entries(doc).isNull(), F.lit("invalid JSON")).when(variables_error(doc, texts), F.lit("variables")),
     )
-    # Panels stand in a list or under names; both are rewritten as one list.
-    listed = V.no_items(V.items(V.field(doc, "widgets")), "variant")
-    mapped = V.no_items(F.map_values(V.entries(V.field(doc, "panelMap"))), "variant")
-    pending = F.col("_error").isNull() & ~V.is_true(V.field(doc, MIGRATED))
+    pending = F.col("_error").isNull() & ~F.col("_done")
 
     def panel(w: Column) -> Column:
         return V.let(
-            widget_error(w),
+            widget_error(w, texts),
             lambda bad: F.struct(
                 bad.alias("bad"),
-                F.when(bad | ~pending, w).otherwise(new_widget(w, names, F.col("_variables"), database)).alias("value"),
+                F.when(bad | ~pending, w).otherwise(new_widget(w, texts, given)).alias("value"),
             ),
         )
 
-    parsed = V.evaluated(parsed, _panels=F.transform(F.concat(listed, mapped), panel))
+    parsed = V.evaluated(parsed, _panels=F.transform(panels(doc), panel))
     values = F.transform("_panels", lambda p: p["value"])
     keys = F.map_keys(V.entries(V.field(doc, "panelMap")))
     renamed = V.edit_fields(
         doc,
         {
-            "variables": lambda v: new_variables(v, names),
+            "variables": lambda v: new_variables(v, texts),
             "widgets": lambda w: F.coalesce(F.to_variant_object(F.slice(values, 1, F.size(V.items(w)))), w),
             "panelMap": lambda m: F.coalesce(
-                F.to_variant_object(F.map_from_arrays(keys, F.slice(values, F.size(listed) + 1, F.size(keys)))), m
+                F.to_variant_object(F.map_from_arrays(keys, F.slice(values, F.size(values) - F.size(keys) + 1, F.size(keys)))), m
             ),
         },
     )
@@ -345,46 +469,81 @@ def _outcome(done: DataFrame, key: str, data: str) -> DataFrame:
 # ---- alert rules --------------------------------------------------------------------------
 
 
-def new_composite(query: Column, names: Names, database: str) -> Column:
-    """The composite query of a rule under new names. Entries that cannot be read
-    keep their text. If one builder query reads metrics, all of them are renamed."""
-    legend = _text_edit(lambda s: new_text(s, names))
-    prom = {"query": _text_edit(lambda q: new_promql(q, names)), "legend": legend}
-    sql = {
-        "query": _text_edit(
-            lambda q: F.when(_is_sql_on_metrics(q, database), new_sql(q, names, F.lit(True))).otherwise(q)
+def composite_texts(query: Column) -> Column:
+    """The texts of a rule's composite query."""
+
+    def values(name: str) -> Column:
+        return F.map_values(V.entries(V.field(query, name)))
+
+    def entry(e: Column) -> Column:
+        return F.when(V.entries(e).isNotNull(), _as(ENTRY, F.to_json(e)))
+
+    return F.concat(
+        _texts_of(values("promQueries"), _texts_in(PROMQL, "query"), _texts_in(TEXT, "legend")),
+        _texts_of(values("chQueries"), _texts_in(SQL_ON_METRICS, "query"), _texts_in(TEXT, "legend")),
+        V.let(
+            V.no_items(values("builderQueries"), "variant"),
+            lambda entries: F.when(F.exists(entries, _on_metrics), _texts_of(entries, entry)).otherwise(F.array().cast(f"array<{_TEXT}>")),
         ),
-        "legend": legend,
-    }
-    rename = lambda entry: R.rename_variant(entry, names.exact, names.words)
+        _texts_of(V.items(V.path(query, "builder", "queryData")), lambda e: F.when(_on_metrics(e), _as(ENTRY, F.to_json(e)))),
+        _formula_texts(query),
+    )
+
+
+def bad_queries(composite: Column, texts: Texts) -> Column:
+    """Number of queries that cannot be read."""
+
+    def count(name: str, kind: str) -> Column:
+        queries = V.no_items(F.map_values(V.entries(V.field(composite, name))), "variant")
+        return F.size(F.filter(queries, lambda e: texts.bad(kind, V.text(V.field(e, "query")))))
 
-    def on_metrics(entry: Column) -> Column:
-        return F.coalesce(V.text(V.field(entry, "dataSource")) == "metrics", F.lit(False))
+    return count("promQueries", PROMQL) + count("chQueries", SQL_ON_METRICS)
+
+
+def new_composite(query: Column, texts: Texts, database: str) -> Column:
+    """The composite query of a rule under new names. Entries that cannot be read
+    keep their text. If one builder query reads metrics, all of them are renamed."""
+    legend = texts.edit(TEXT)
+    prom = {"query": texts.edit(PROMQL), "legend": legend}
+    sql = {"query": texts.edit(SQL_ON_METRICS), "legend": legend}
+    rename = lambda entry: _entry(entry, texts.new(ENTRY, F.to_json(entry)))
 
     def builder_queries(queries: Column) -> Column:
-        any_metrics = F.exists(V.no_items(F.map_values(V.entries(queries)), "variant"), on_metrics)
+        any_metrics = F.exists(V.no_items(F.map_values(V.entries(queries)), "variant"), _on_metrics)
         return F.when(any_metrics, V.edit_values(queries, lambda e: F.when(V.entries(e).isNotNull(), rename(e)).otherwise(e))).otherwise(queries)
 
+    def prom_entry(entry: Column) -> Column:
+        return F.when(texts.bad(PROMQL, V.text(V.field(entry, "query"))), entry).otherwise(V.edit_fields(entry, prom))
+
     def sql_entry(entry: Column) -> Column:
-        reads_metrics = _is_sql_on_metrics(V.text(V.field(entry, "query")), database)
-        return F.when(F.coalesce(reads_metrics, F.lit(False)) & bad_sql(entry), entry).otherwise(V.edit_fields(entry, sql))
+        def edited(q: Column) -> Column:
+            reads_metrics = F.coalesce(_is_sql_on_metrics(q, database), F.lit(False))
+            return F.when(reads_metrics & texts.bad(SQL_ON_METRICS, q), entry).otherwise(V.edit_fields(entry, sql))
+
+        return V.let(V.text(V.field(entry, "query")), edited)
 
     return V.edit_fields(
         query,
         {
-            "promQueries": lambda m: V.edit_values(m, lambda e: F.when(bad_promql(e), e).otherwise(V.edit_fields(e, prom))),
+            "promQueries": lambda m: V.edit_values(m, prom_entry),
             "chQueries": lambda m: V.edit_values(m, sql_entry),
             "builderQueries": builder_queries,
-            "builder": lambda b: V.edit_fields(b, _builder_edits(names, lambda e: F.when(on_metrics(e), rename(e)).otherwise(e))),
+            "builder": lambda b: V.edit_fields(b, _builder_edits(texts, lambda e: F.when(_on_metrics(e), rename(e)).otherwise(e))),
         },
     )
 
 
-def new_labels(labels: Column, names: Names) -> Column:
+def label_texts(labels: Column) -> Column:
+    entries = V.entries(labels)
+    keys = F.transform(V.no_items(F.map_keys(entries), "string"), lambda k: _as(TEXT, k))
+    return F.concat(keys, _texts_of(F.map_values(entries), lambda v: _as(TEXT, V.text(v))))
+
+
+def new_labels(labels: Column, texts: Texts) -> Column:
     """Rename label keys and values; values that are not strings stay as they are."""
     renamed = F.transform(
         F.map_entries(V.entries(labels)),
-        lambda e: F.struct(new_text(e["key"], names), F.coalesce(new_text(V.text(e["value"]), names).cast("variant"), e["value"])),
+        lambda e: F.struct(F.coalesce(texts.new(TEXT, e["key"]), e["key"]), texts.edit(TEXT)(e["value"])),
     )
     return F.coalesce(F.to_variant_object(F.map_from_entries(renamed)), labels)
 
@@ -433,34 +592,37 @@ def new_source(source: Column, embedded: Column) -> Column:
 def rewrite_alerts(docs: DataFrame, mapping: NameMapping, database: str, key: str = "id", data: str = "data") -> DataFrame:
     """Rename metrics and attributes in alert rules. Same result as
     ``rewrite_dashboards``; a rule without a composite query is left alone."""
-    source = V.text(V.field(F.try_parse_json(data), "source"))
-    searched = F.concat_ws("\n", data, source_query(source))
-    named, names = attach_names(docs, mapping, mentioned_names(searched), key)
+
+    def embedded(doc: Column) -> Column:
+        return F.try_parse_json(source_query(V.text(V.field(doc, "source"))))
+
+    def held(doc: Column) -> Column:
+        composites = F.array(V.path(doc, "condition", "compositeQuery"), embedded(doc))
+        notes = [_texts_in(TEXT, name)(V.field(doc, "annotations")) for name in ("description", "summary")]
+        return F.concat(F.flatten(F.transform(composites, composite_texts)), F.array(*notes), label_texts(V.field(doc, "labels")))
+
+    attached, texts = attach_texts(docs, V.let(F.try_parse_json(data), held), mapping, database, key)
     doc = F.col("_doc")
-    composite = V.path(doc, "condition", "compositeQuery")
-    entries = [
-        F.size(F.filter(V.no_items(F.map_values(V.entries(V.field(composite, name))), "variant"), bad))
-        for name, bad in (("promQueries", bad_promql), ("chQueries", bad_sql))
-    ]
-    parsed = V.evaluated(named, _doc=F.try_parse_json(data))
+    parsed = V.evaluated(attached, _doc=F.try_parse_json(data))
+    parsed = V.evaluated(parsed, _composite=V.path(doc, "condition", "compositeQuery"))
+    composite = F.col("_composite")
     parsed = V.evaluated(
         parsed,
         _error=F.when(V.entries(doc).isNull(), F.lit("invalid JSON")).when(
             V.entries(composite).isNull(), F.lit("no composite query")
         ),
-        _panel_errors=entries[0] + entries[1],
+        _panel_errors=bad_queries(composite, texts),
     )
     # The rule's own composite query and the one in its address, rewritten alike.
-    embedded = F.try_parse_json(source_query(V.text(V.field(doc, "source"))))
-    both = F.transform(F.array(composite, embedded), lambda q: new_composite(q, names, database))
+    both = F.transform(F.array(composite, embedded(doc)), lambda q: new_composite(q, texts, database))
     parsed = V.evaluated(parsed, _queries=both)
-    note = _text_edit(lambda s: new_text(s, names))
+    note = texts.edit(TEXT)
     renamed = V.edit_fields(
         doc,
         {
             "condition": lambda c: V.edit_fields(c, {"compositeQuery": lambda _: F.get("_queries", 0)}),
             "annotations": lambda a: V.edit_fields(a, {"description": note, "summary": note}),
-            "labels": lambda m: new_labels(m, names),
+            "labels": lambda m: new_labels(m, texts),
             "source": _text_edit(lambda s: new_source(s, F.get("_queries", 1))),
         },
     )
@@ -564,12 +726,9 @@ def extract_references(queries: DataFrame, names: DataFrame, keys: list[str], la
 def rewrite_names(queries: DataFrame, mapping: NameMapping, key: str = "id", lang: str = "lang", text: str = "text") -> DataFrame:
     """Query rows (key, lang, text) under new names; ``error`` says why a text was
     left as it is."""
-    named, names = attach_names(queries, mapping, mentioned_names(F.to_json(F.struct(text))), key)
-    kind, column = F.col(lang), F.col(text)
-    error = F.when(kind == "sql", R.sql_error(R.clean_query_text(R.template_to_param(column)))).when(
-        kind == "promql", R.prom_error(R.template_to_param(column))
-    )
-    new = F.when(kind == "sql", new_sql(column, names, F.lit(True))).when(kind == "promql", new_promql(column, names))
-    return named.select(
-        key, lang, F.when(error.isNull(), new).otherwise(column).alias(text), error.alias("error")
-    )
+    kind = F.when(F.col(lang) == "sql", SQL_ALWAYS).when(F.col(lang) == "promql", PROMQL).otherwise(TEXT)
+    rows = queries.select(key, lang, text, kind.alias("_kind"), F.coalesce(text, F.lit("")).alias("_text"))
+    held = rows.where(F.col("_kind") != TEXT).select(F.col("_kind").alias("kind"), F.col("_text").alias("text"), F.lit("").alias("given"))
+    new = staged(new_texts(held, mapping, "")).select(F.col("kind").alias("_kind"), F.col("text").alias("_text"), "new", "error")
+    joined = rows.join(new, ["_kind", "_text"], "left")
+    return joined.select(key, lang, F.coalesce("new", text).alias(text), "error")

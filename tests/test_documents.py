@@ -59,6 +59,23 @@ def test_sql_without_known_metric_uses_all_attributes(spark, names):
     assert new["widgets"][0]["query"]["clickhouse_sql"][0]["query"] == text.replace("node", "`k8s.node`").replace("service_name", "`service.name`")
 
 
+def test_equal_texts_of_many_documents_are_rewritten_once(spark, names, monkeypatch):
+    staged, seen = D.staged, []
+
+    def counted(df):
+        out = staged(df)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(D, "staged", counted)
+    panel = {"query": {"promql": [{"query": "job:rate", "legend": "node"}]}}
+    docs = [{"id": i, "widgets": [panel] * (1 + i % 3)} for i in range(20)]
+    new = run(spark, D.rewrite_dashboards, docs, names, DB)
+    want = {"query": '{"job.rate"}', "legend": "k8s.node"}
+    assert all(json.loads(r["data"])["widgets"][-1]["query"]["promql"] == [want] for r in new)
+    assert seen == [2]
+
+
 def test_alert_with_embedded_query(spark, names):
     embedded = {"builderQueries": {"A": {"dataSource": "metrics", "k": "node", "t": "a+b c/ü*~"}}}
     source = "https://h/x?b=1&compositeQuery=" + quote_plus(quote_plus(quote_plus(json.dumps(embedded)))) + "&a=2#f"
