@@ -1,10 +1,11 @@
 """Renaming metrics and attributes in dashboards and alert rules.
 
-Documents are rows of (id, data). The texts a document holds (queries, legends,
-builder entries) are taken out of it, and each distinct text is rewritten once:
-the names it mentions are joined against the name mapping and come back as small
-maps in its row. The new texts are joined to the documents that hold the old ones
-and put in their places. Neither texts nor mapping are gathered or broadcast by
+Documents are rows of (id, data). Their parts (the query of a panel, variables, a
+rule's composite query, labels) are taken out and each distinct part is rewritten
+once; so are the distinct texts of the parts (queries, legends, builder entries).
+The names a text mentions are joined against the name mapping and come back as
+small maps in its row. New texts and parts are joined to what holds the old ones
+and put in their places. Neither they nor the mapping are gathered or broadcast by
 force, however large they are, and what a row carries is bounded by the text of
 its document.
 """
@@ -240,7 +241,9 @@ def new_texts(texts: DataFrame, mapping: NameMapping, database: str) -> DataFram
         .when(kind == ENTRY, R.rename_in_json(text, names.exact, names.words))
         .when(kind == OTHER_ENTRY, V.let(variables, lambda known: R.rename_in_json(text, known, known)))
     )
-    return V.evaluated(read, new=new).select("kind", "text", "given", "new", "error")
+    done = V.evaluated(read, new=new)
+    broken = kind.isin(ENTRY, OTHER_ENTRY) & F.try_parse_json("new").isNull()
+    return done.select("kind", "text", "given", F.when(broken, text).otherwise(F.col("new")).alias("new"), "error")
 
 
 def _place(kind: Column, text: Column, given: Column) -> Column:
@@ -260,21 +263,32 @@ class Texts:
         """The text under new names; NULL if it cannot be read."""
         return self._found(kind, text, F.lit("") if given is None else given)["new"]
 
-    def bad(self, kind: str, text: Column) -> Column:
-        """Whether a query cannot be read. No text is no fault."""
-        return F.coalesce(self._found(kind, text, F.lit(""))["error"].isNotNull(), F.lit(False))
+    def error(self, kind: str, text: Column, given: Column | None = None) -> Column:
+        return self._found(kind, text, F.lit("") if given is None else given)["error"]
+
+    def bad(self, kind: str, text: Column, given: Column | None = None) -> Column:
+        """Whether it cannot be read. No text is no fault."""
+        return F.coalesce(self.error(kind, text, given).isNotNull(), F.lit(False))
 
     def edit(self, kind: str):
         return _text_edit(lambda s: self.new(kind, s))
 
+    def json(self, kind: str):
+        """The same edit, giving JSON text."""
+
+        def edit(value: Column) -> Column:
+            return V.let(V.text(value), lambda s: F.to_json(F.coalesce(F.when(s != "", self.new(kind, s)).cast("variant"), value)))
+
+        return edit
 
-def attach_texts(docs: DataFrame, texts: Column, mapping: NameMapping, database: str, key: str) -> tuple[DataFrame, Texts]:
-    """Add the new form of their ``texts`` to documents. The distinct new texts are
-    staged, so that Spark knows their size when it joins them; documents are
+
+def attach_texts(docs: DataFrame, texts: Column, renew, mapping: NameMapping, database: str, key: str) -> tuple[DataFrame, Texts]:
+    """Add the new form of their ``texts`` to documents, as ``renew`` (``new_texts``
+    or ``new_parts``) gives it. The distinct new texts are staged, so that Spark knows their size when it joins them; documents are
     clustered by their key, and where the join is a broadcast they move only once."""
     held = F.filter(texts, lambda t: t["text"] != "")
     distinct = docs.select(F.explode(held).alias("t")).select("t.*")
-    new = staged(new_texts(distinct, mapping, database))
+    new = staged(renew(distinct, mapping, database))
     docs = docs.repartition(F.col(key))
     rows = docs.select(key, F.explode(F.array_distinct(held)).alias("t")).select(key, "t.*")
     place = _place(F.col("kind"), F.col("text"), F.col("given"))
@@ -286,30 +300,37 @@ def attach_texts(docs: DataFrame, texts: Column, mapping: NameMapping, database:
 # ---- dashboards -------------------------------------------------------------------------
 
 
+# What of a query or a panel is text: cast once, and no other field is touched.
+_FORMULAS = "array<struct<expression:variant,legend:variant>>"
+_ENTRIES = "array<struct<query:variant,legend:variant>>"
+_BUILDER = f"struct<queryData:array<variant>,queryFormulas:{_FORMULAS}>"
+_QUERY = f"struct<clickhouse_sql:{_ENTRIES},promql:{_ENTRIES},builder:{_BUILDER}>"
+
+
 def _builder_edits(texts: Texts, entry_edit) -> dict:
-    legend = texts.edit(TEXT)
+    legend = texts.json(TEXT)
     return {
-        "queryData": lambda a: V.edit_items(a, entry_edit),
-        "queryFormulas": lambda a: V.edit_items(a, lambda f: V.edit_fields(f, {"expression": legend, "legend": legend})),
+        "queryData": lambda a: V.json_items(a, entry_edit),
+        "queryFormulas": lambda a: V.json_items(a, lambda f: V.json_fields(f, {"expression": legend, "legend": legend})),
     }
 
 
-def _entry(value: Column, new: Column) -> Column:
-    """A builder entry's new text as a variant."""
-    return F.coalesce(F.try_parse_json(new), value)
-
-
 def _texts_of(items: Column, *makes) -> Column:
     """The texts found in every item, one of each of ``makes``."""
-    return F.flatten(F.transform(V.no_items(items, "variant"), lambda item: F.array(*[make(item) for make in makes])))
+    each = F.flatten(F.transform(items, lambda item: F.array(*[make(item) for make in makes])))
+    return V.no_items(each, _TEXT)
 
 
 def _texts_in(kind: str, name: str):
     return lambda item: _as(kind, V.text(V.field(item, name)))
 
 
-def _formula_texts(builder_parent: Column) -> Column:
-    return _texts_of(V.items(V.path(builder_parent, "builder", "queryFormulas")), _texts_in(TEXT, "expression"), _texts_in(TEXT, "legend"))
+def _part_in(kind: str, name: str):
+    return lambda item: _as(kind, V.text(item[name]))
+
+
+def _formula_texts(builder: Column) -> Column:
+    return _texts_of(builder["queryFormulas"], _part_in(TEXT, "expression"), _part_in(TEXT, "legend"))
 
 
 def _on_metrics(entry: Column) -> Column:
@@ -322,9 +343,8 @@ def variable_names(doc: Column) -> Column:
     return F.to_json(F.filter(old, lambda s: s != ""))
 
 
-def widget_texts(widget: Column, given: Column) -> Column:
-    """The texts of a panel."""
-    query = V.field(widget, "query")
+def query_texts(query: Column, given: Column) -> Column:
+    """The texts of a panel's query."""
 
     def entry(e: Column) -> Column:
         on_metrics = _on_metrics(e)
@@ -333,19 +353,16 @@ def widget_texts(widget: Column, given: Column) -> Column:
             _as(F.when(on_metrics, ENTRY).otherwise(OTHER_ENTRY), F.to_json(e), F.when(on_metrics, "").otherwise(given)),
         )
 
-    def of_query(q: Column) -> Column:
-        return F.concat(
-            _texts_of(V.items(V.field(q, "clickhouse_sql")), _texts_in(SQL, "query"), _texts_in(TEXT, "legend")),
-            _texts_of(V.items(V.field(q, "promql")), _texts_in(PROMQL, "query"), _texts_in(TEXT, "legend")),
-            _texts_of(V.items(V.path(q, "builder", "queryData")), entry),
-            _formula_texts(q),
-        )
-
-    return V.let(query, of_query)
+    return F.concat(
+        _texts_of(query["clickhouse_sql"], _part_in(SQL, "query"), _part_in(TEXT, "legend")),
+        _texts_of(query["promql"], _part_in(PROMQL, "query"), _part_in(TEXT, "legend")),
+        _texts_of(query["builder"]["queryData"], entry),
+        _formula_texts(query["builder"]),
+    )
 
 
-def variable_texts(doc: Column) -> Column:
-    variables = V.entries(V.field(doc, "variables"))
+def variable_texts(value: Column) -> Column:
+    variables = V.entries(value)
     values = V.no_items(F.map_values(variables), "variant")
     keys = F.transform(V.no_items(F.map_keys(variables), "string"), lambda k: _as(TEXT, k))
     return F.concat(_texts_of(values, _texts_in(VARIABLE, "queryValue"), _texts_in(TEXT, "name")), keys)
@@ -361,45 +378,43 @@ def new_variables(variables: Column, texts: Texts) -> Column:
     return F.coalesce(F.to_variant_object(F.map_from_entries(renamed)), variables)
 
 
-def variables_error(doc: Column, texts: Texts) -> Column:
+def variables_error(value: Column, texts: Texts) -> Column:
     """Whether a variable's query cannot be read; such a document is left alone."""
-    variables = V.no_items(F.map_values(V.entries(V.field(doc, "variables"))), "variant")
+    variables = V.no_items(F.map_values(V.entries(value)), "variant")
     return F.exists(variables, lambda v: texts.bad(VARIABLE, V.text(V.field(v, "queryValue"))))
 
 
-def widget_error(widget: Column, texts: Texts) -> Column:
-    def of_query(query: Column) -> Column:
-        sql = V.no_items(V.items(V.field(query, "clickhouse_sql")), "variant")
-        prom = V.no_items(V.items(V.field(query, "promql")), "variant")
-        return F.exists(sql, lambda e: texts.bad(SQL, V.text(V.field(e, "query")))) | F.exists(
-            prom, lambda e: texts.bad(PROMQL, V.text(V.field(e, "query")))
-        )
+def query_error(query: Column, texts: Texts) -> Column:
+    def any_bad(entries: Column, kind: str) -> Column:
+        return F.coalesce(F.exists(entries, lambda e: texts.bad(kind, V.text(e["query"]))), F.lit(False))
 
-    return V.let(V.field(widget, "query"), of_query)
+    return any_bad(query["clickhouse_sql"], SQL) | any_bad(query["promql"], PROMQL)
 
 
-def new_widget(widget: Column, texts: Texts, given: Column) -> Column:
-    """A panel under new names."""
-    legend = texts.edit(TEXT)
+def new_query(query: Column, texts: Texts, given: Column) -> Column:
+    """The JSON text of a panel's query under new names."""
+    legend = texts.json(TEXT)
 
     def builder_entry(entry: Column) -> Column:
-        json = F.to_json(entry)
-        new = F.when(_on_metrics(entry), texts.new(ENTRY, json)).otherwise(texts.new(OTHER_ENTRY, json, given))
-        return F.when(V.field(entry, "dataSource").isNotNull(), _entry(entry, new)).otherwise(entry)
+        def renamed(json: Column) -> Column:
+            new = F.when(_on_metrics(entry), texts.new(ENTRY, json)).otherwise(texts.new(OTHER_ENTRY, json, given))
+            return F.coalesce(F.when(V.field(entry, "dataSource").isNotNull(), new), json)
 
-    sql = {"query": texts.edit(SQL), "legend": legend}
-    prom = {"query": texts.edit(PROMQL), "legend": legend}
+        return V.let(F.to_json(entry), renamed)
+
+    sql = {"query": texts.json(SQL), "legend": legend}
+    prom = {"query": texts.json(PROMQL), "legend": legend}
 
     def sql_entry(entry: Column) -> Column:
         has_query = F.coalesce(V.text(V.field(entry, "query")) != "", F.lit(False))
-        return F.when(has_query, V.edit_fields(entry, sql)).otherwise(entry)
+        return F.when(has_query, V.json_fields(entry, sql)).otherwise(F.to_json(entry))
 
     edits = {
-        "builder": lambda b: V.edit_fields(b, _builder_edits(texts, builder_entry)),
-        "clickhouse_sql": lambda a: V.edit_items(a, sql_entry),
-        "promql": lambda a: V.edit_items(a, lambda e: V.edit_fields(e, prom)),
+        "builder": lambda b: V.json_fields(b, _builder_edits(texts, builder_entry)),
+        "clickhouse_sql": lambda a: V.json_items(a, sql_entry),
+        "promql": lambda a: V.json_items(a, lambda e: V.json_fields(e, prom)),
     }
-    return V.edit_fields(widget, {"query": lambda q: V.edit_fields(q, edits)})
+    return V.json_fields(query, edits)
 
 
 def rewrite_dashboards(docs: DataFrame, mapping: NameMapping, database: str, key: str = "id", data: str = "data") -> DataFrame:
@@ -409,55 +424,71 @@ def rewrite_dashboards(docs: DataFrame, mapping: NameMapping, database: str, key
     query."""
 
     # Panels stand in a list or under names; both are rewritten as one list.
-    def panels(doc: Column) -> Column:
-        listed = V.no_items(V.items(V.field(doc, "widgets")), "variant")
-        return F.concat(listed, V.no_items(F.map_values(V.entries(V.field(doc, "panelMap"))), "variant"))
+    def panels(doc: Column, kind: str) -> Column:
+        listed, named = F.try_variant_get(doc, "$.widgets", f"array<{kind}>"), F.try_variant_get(doc, "$.panelMap", f"map<string,{kind}>")
+        return F.concat(V.no_items(listed, kind), V.no_items(F.map_values(named), kind))
+
+    # The names of its variables matter to a query with builder entries only.
+    def given_to(query: Column, given: Column) -> Column:
+        return F.when(F.contains(query, F.lit('"dataSource"')), given).otherwise(F.lit(""))
 
     def held(doc: Column) -> Column:
-        in_panels = V.let(variable_names(doc), lambda given: F.flatten(F.transform(panels(doc), lambda w: widget_texts(w, given))))
-        return F.concat(in_panels, variable_texts(doc))
+        def in_panels(given: Column) -> Column:
+            queries = F.transform(panels(doc, "struct<query:variant>"), lambda p: F.to_json(p["query"]))
+            return F.transform(queries, lambda q: _as(PANEL, q, given_to(q, given)))
 
-    attached, texts = attach_texts(docs, V.let(F.try_parse_json(data), held), mapping, database, key)
+        return F.concat(V.let(variable_names(doc), in_panels), F.array(_as(VARIABLES, F.to_json(V.field(doc, "variables")))))
+
+    attached, parts = attach_texts(docs, V.let(F.try_parse_json(data), held), new_parts, mapping, database, key)
     doc, given = F.col("_doc"), F.col("_given")
     parsed = V.evaluated(attached, _doc=F.try_parse_json(data))
     parsed = V.evaluated(
         parsed,
         _given=variable_names(doc),
         _done=V.is_true(V.field(doc, MIGRATED)),
-        _error=F.when(V.entries(doc).isNull(), F.lit("invalid JSON")).when(variables_error(doc, texts), F.lit("variables")),
+        _error=F.when(~V.is_object(doc), F.lit("invalid JSON")).when(
+            parts.bad(VARIABLES, F.to_json(V.field(doc, "variables"))), F.lit("variables")
+        ),
     )
     pending = F.col("_error").isNull() & ~F.col("_done")
 
     def panel(w: Column) -> Column:
-        return V.let(
-            widget_error(w, texts),
-            lambda bad: F.struct(
-                bad.alias("bad"),
-                F.when(bad | ~pending, w).otherwise(new_widget(w, texts, given)).alias("value"),
-            ),
-        )
+        def with_query(q: Column) -> Column:
+            new = F.coalesce(parts.new(PANEL, q, given_to(q, given)), q)
+            return F.struct(
+                parts.bad(PANEL, q, given_to(q, given)).alias("bad"),
+                F.when(pending, V.json_fields(w, {"query": lambda _: new})).alias("json"),
+            )
+
+        return V.let(F.to_json(V.field(w, "query")), with_query)
+
+    parsed = V.evaluated(parsed, _panels=F.transform(panels(doc, "variant"), panel))
+    written = F.transform("_panels", lambda p: p["json"])
+
+    def new_list(old: Column) -> Column:
+        return F.coalesce(V.json_array(F.slice(written, 1, F.size(old.try_cast("array<struct<_:boolean>>")))), F.to_json(old))
 
-    parsed = V.evaluated(parsed, _panels=F.transform(panels(doc), panel))
-    values = F.transform("_panels", lambda p: p["value"])
-    keys = F.map_keys(V.entries(V.field(doc, "panelMap")))
-    renamed = V.edit_fields(
+    def new_map(old: Column) -> Column:
+        def of(keys: Column) -> Column:
+            own = F.slice(written, F.size(written) - F.size(keys) + 1, F.size(keys))
+            fields = F.zip_with(keys, own, V.json_field)
+            return F.concat(F.lit("{"), F.array_join(fields, ","), F.lit("}"))
+
+        return F.coalesce(V.let(F.map_keys(old.try_cast("map<string,struct<_:boolean>>")), of), F.to_json(old))
+
+    renamed = V.json_fields(
         doc,
-        {
-            "variables": lambda v: new_variables(v, texts),
-            "widgets": lambda w: F.coalesce(F.to_variant_object(F.slice(values, 1, F.size(V.items(w)))), w),
-            "panelMap": lambda m: F.coalesce(
-                F.to_variant_object(F.map_from_arrays(keys, F.slice(values, F.size(values) - F.size(keys) + 1, F.size(keys)))), m
-            ),
-        },
+        {"variables": lambda v: renewed(parts, VARIABLES, v), "widgets": new_list, "panelMap": new_map},
+        **{MIGRATED: F.lit(True)},
     )
-    new = F.when(pending, F.to_json(V.with_fields(renamed, **{MIGRATED: F.lit(True)})))
+    new = F.when(pending, renamed)
     done = V.evaluated(parsed.withColumn("_panel_errors", F.size(F.filter("_panels", lambda p: p["bad"]))), _new=new)
     return _outcome(done, key, data)
 
 
 def _outcome(done: DataFrame, key: str, data: str) -> DataFrame:
-    changed = F.coalesce(F.col("_new") != F.to_json("_doc"), F.lit(False))
-    return V.evaluated(done, changed=changed).select(
+    # A document that is rewritten gets its mark, so it changes always.
+    return done.withColumn("changed", F.col("_new").isNotNull()).select(
         key,
         F.when(F.col("changed"), F.col("_new")).otherwise(F.col(data)).alias(data),
         "changed",
@@ -469,25 +500,26 @@ def _outcome(done: DataFrame, key: str, data: str) -> DataFrame:
 # ---- alert rules --------------------------------------------------------------------------
 
 
+_COMPOSITE = f"struct<promQueries:map<string,{_ENTRIES[6:-1]}>,chQueries:map<string,{_ENTRIES[6:-1]}>,builderQueries:map<string,variant>,builder:{_BUILDER}>"
+
+
 def composite_texts(query: Column) -> Column:
     """The texts of a rule's composite query."""
 
-    def values(name: str) -> Column:
-        return F.map_values(V.entries(V.field(query, name)))
-
     def entry(e: Column) -> Column:
-        return F.when(V.entries(e).isNotNull(), _as(ENTRY, F.to_json(e)))
+        return F.when(V.is_object(e), _as(ENTRY, F.to_json(e)))
 
-    return F.concat(
-        _texts_of(values("promQueries"), _texts_in(PROMQL, "query"), _texts_in(TEXT, "legend")),
-        _texts_of(values("chQueries"), _texts_in(SQL_ON_METRICS, "query"), _texts_in(TEXT, "legend")),
-        V.let(
-            V.no_items(values("builderQueries"), "variant"),
-            lambda entries: F.when(F.exists(entries, _on_metrics), _texts_of(entries, entry)).otherwise(F.array().cast(f"array<{_TEXT}>")),
-        ),
-        _texts_of(V.items(V.path(query, "builder", "queryData")), lambda e: F.when(_on_metrics(e), _as(ENTRY, F.to_json(e)))),
-        _formula_texts(query),
-    )
+    def of(parts: Column) -> Column:
+        entries = V.no_items(F.map_values(parts["builderQueries"]), "variant")
+        return F.concat(
+            _texts_of(F.map_values(parts["promQueries"]), _part_in(PROMQL, "query"), _part_in(TEXT, "legend")),
+            _texts_of(F.map_values(parts["chQueries"]), _part_in(SQL_ON_METRICS, "query"), _part_in(TEXT, "legend")),
+            F.when(F.exists(entries, _on_metrics), _texts_of(entries, entry)).otherwise(F.array().cast(f"array<{_TEXT}>")),
+            _texts_of(parts["builder"]["queryData"], lambda e: F.when(_on_metrics(e), _as(ENTRY, F.to_json(e)))),
+            _formula_texts(parts["builder"]),
+        )
+
+    return V.let(query.try_cast(_COMPOSITE), of)
 
 
 def bad_queries(composite: Column, texts: Texts) -> Column:
@@ -501,34 +533,44 @@ def bad_queries(composite: Column, texts: Texts) -> Column:
 
 
 def new_composite(query: Column, texts: Texts, database: str) -> Column:
-    """The composite query of a rule under new names. Entries that cannot be read
+    """The JSON text of a rule's composite query under new names. Entries that cannot be read
     keep their text. If one builder query reads metrics, all of them are renamed."""
-    legend = texts.edit(TEXT)
-    prom = {"query": texts.edit(PROMQL), "legend": legend}
-    sql = {"query": texts.edit(SQL_ON_METRICS), "legend": legend}
-    rename = lambda entry: _entry(entry, texts.new(ENTRY, F.to_json(entry)))
+    legend = texts.json(TEXT)
+    prom = {"query": texts.json(PROMQL), "legend": legend}
+    sql = {"query": texts.json(SQL_ON_METRICS), "legend": legend}
+
+    def rename(entry: Column) -> Column:
+        return V.let(F.to_json(entry), lambda json: F.coalesce(texts.new(ENTRY, json), json))
+
+    def values(value: Column, change) -> Column:
+        fields = F.transform(F.map_entries(V.entries(value)), lambda e: V.json_field(e["key"], change(e["value"])))
+        return F.coalesce(F.concat(F.lit("{"), F.array_join(fields, ","), F.lit("}")), F.to_json(value))
 
     def builder_queries(queries: Column) -> Column:
         any_metrics = F.exists(V.no_items(F.map_values(V.entries(queries)), "variant"), _on_metrics)
-        return F.when(any_metrics, V.edit_values(queries, lambda e: F.when(V.entries(e).isNotNull(), rename(e)).otherwise(e))).otherwise(queries)
+        renamed = values(queries, lambda e: F.when(V.is_object(e), rename(e)).otherwise(F.to_json(e)))
+        return F.when(any_metrics, renamed).otherwise(F.to_json(queries))
 
     def prom_entry(entry: Column) -> Column:
-        return F.when(texts.bad(PROMQL, V.text(V.field(entry, "query"))), entry).otherwise(V.edit_fields(entry, prom))
+        bad = texts.bad(PROMQL, V.text(V.field(entry, "query")))
+        return F.when(bad, F.to_json(entry)).otherwise(V.json_fields(entry, prom))
 
     def sql_entry(entry: Column) -> Column:
         def edited(q: Column) -> Column:
             reads_metrics = F.coalesce(_is_sql_on_metrics(q, database), F.lit(False))
-            return F.when(reads_metrics & texts.bad(SQL_ON_METRICS, q), entry).otherwise(V.edit_fields(entry, sql))
+            return F.when(reads_metrics & texts.bad(SQL_ON_METRICS, q), F.to_json(entry)).otherwise(V.json_fields(entry, sql))
 
         return V.let(V.text(V.field(entry, "query")), edited)
 
-    return V.edit_fields(
+    return V.json_fields(
         query,
         {
-            "promQueries": lambda m: V.edit_values(m, prom_entry),
-            "chQueries": lambda m: V.edit_values(m, sql_entry),
+            "promQueries": lambda m: values(m, prom_entry),
+            "chQueries": lambda m: values(m, sql_entry),
             "builderQueries": builder_queries,
-            "builder": lambda b: V.edit_fields(b, _builder_edits(texts, lambda e: F.when(_on_metrics(e), rename(e)).otherwise(e))),
+            "builder": lambda b: V.json_fields(
+                b, _builder_edits(texts, lambda e: F.when(_on_metrics(e), rename(e)).otherwise(F.to_json(e)))
+            ),
         },
     )
 
@@ -566,8 +608,8 @@ def source_query(source: Column) -> Column:
 
 
 def new_source(source: Column, embedded: Column) -> Column:
-    """The address with ``embedded`` as its query; other parameters stay, in key
-    order. Unchanged if there is no embedded query."""
+    """The address with ``embedded`` (JSON text) as its query; other parameters stay,
+    in key order. Unchanged if there is no embedded query."""
     parts = F.transform(
         F.filter(F.split(F.regexp_extract(source, r"\?([^#]*)", 1), "&"), lambda p: p != ""),
         lambda p: F.struct(
@@ -575,7 +617,7 @@ def new_source(source: Column, embedded: Column) -> Column:
             F.try_url_decode(F.regexp_extract(p, r"\A[^=]*=(.*)", 1)).alias("value"),
         ),
     )
-    query = _url_encode(_url_encode(F.to_json(embedded)))
+    query = _url_encode(_url_encode(embedded))
     encoded = F.transform(
         F.array_sort(parts, lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)),
         lambda p: F.concat(
@@ -586,48 +628,95 @@ def new_source(source: Column, embedded: Column) -> Column:
     )
     head, tail = F.regexp_extract(source, r"\A([^?#]*)", 1), F.regexp_extract(source, r"(#.*)\z", 1)
     address = F.concat(head, F.lit("?"), F.array_join(encoded, "&"), tail)
-    return F.when(V.entries(embedded).isNotNull(), address).otherwise(source)
+    return F.when(F.startswith(embedded, F.lit("{")), address).otherwise(source)
+
+
+# ---- each distinct part once ----------------------------------------------------------------
+
+# Kinds of parts, all JSON but the address of a rule.
+PANEL, VARIABLES, COMPOSITE, NOTES, LABELS, ADDRESS = "panel", "variables", "composite", "notes", "labels", "address"
+
+
+def new_parts(parts: DataFrame, mapping: NameMapping, database: str) -> DataFrame:
+    """Distinct parts (kind, text, given) with ``new``, the part under new names, and
+    ``error``: set for panels and variables that cannot be read, which have no new
+    form, and the number of unreadable queries of a composite query."""
+    kind, text, given = F.col("kind"), F.col("text"), F.col("given")
+    keyed = staged(parts.distinct().withColumn("_part", F.sha2(F.to_json(F.struct("kind", "given", "text")), 256)))
+    value = F.when(kind == ADDRESS, F.try_parse_json(source_query(text))).otherwise(F.try_parse_json(text))
+
+    def held(v: Column) -> Column:
+        notes = F.array(*[_texts_in(TEXT, name)(v) for name in ("description", "summary")])
+        return (
+            F.when(kind == PANEL, query_texts(v.try_cast(_QUERY), given))
+            .when(kind == VARIABLES, variable_texts(v))
+            .when(kind.isin(COMPOSITE, ADDRESS), composite_texts(v))
+            .when(kind == NOTES, notes)
+            .when(kind == LABELS, label_texts(v))
+        )
+
+    attached, texts = attach_texts(keyed, V.let(value, held), new_texts, mapping, database, "_part")
+    read = V.evaluated(attached, _value=value)
+    v = F.col("_value")
+    faults = F.when(kind == COMPOSITE, bad_queries(v, texts))
+    error = (
+        F.when((kind == PANEL) & query_error(v.try_cast(_QUERY), texts), F.lit("unreadable"))
+        .when((kind == VARIABLES) & variables_error(v, texts), F.lit("unreadable"))
+        .when(faults > 0, faults.cast("string"))
+    )
+    read = V.evaluated(read, error=error)
+    note = texts.json(TEXT)
+    new = (
+        F.when(kind.isin(PANEL, VARIABLES) & F.col("error").isNotNull(), None)
+        .when(kind == PANEL, new_query(v, texts, given))
+        .when(kind == VARIABLES, F.to_json(new_variables(v, texts)))
+        .when(kind == COMPOSITE, new_composite(v, texts, database))
+        .when(kind == ADDRESS, new_source(text, new_composite(v, texts, database)))
+        .when(kind == NOTES, V.json_fields(v, {"description": note, "summary": note}))
+        .when(kind == LABELS, F.to_json(new_labels(v, texts)))
+    )
+    return V.evaluated(read, new=new).select("kind", "text", "given", "new", "error")
+
+
+def renewed(parts: Texts, kind: str, value: Column) -> Column:
+    """The JSON text of a part in its new form, or as it is."""
+    return V.let(F.to_json(value), lambda json: F.coalesce(parts.new(kind, json), json))
 
 
 def rewrite_alerts(docs: DataFrame, mapping: NameMapping, database: str, key: str = "id", data: str = "data") -> DataFrame:
     """Rename metrics and attributes in alert rules. Same result as
     ``rewrite_dashboards``; a rule without a composite query is left alone."""
 
-    def embedded(doc: Column) -> Column:
-        return F.try_parse_json(source_query(V.text(V.field(doc, "source"))))
-
     def held(doc: Column) -> Column:
-        composites = F.array(V.path(doc, "condition", "compositeQuery"), embedded(doc))
-        notes = [_texts_in(TEXT, name)(V.field(doc, "annotations")) for name in ("description", "summary")]
-        return F.concat(F.flatten(F.transform(composites, composite_texts)), F.array(*notes), label_texts(V.field(doc, "labels")))
+        fields = [
+            _as(COMPOSITE, F.to_json(V.path(doc, "condition", "compositeQuery"))), _as(NOTES, F.to_json(V.field(doc, "annotations"))),
+            _as(LABELS, F.to_json(V.field(doc, "labels"))), _as(ADDRESS, V.text(V.field(doc, "source"))),
+        ]
+        return F.array(*fields)
 
-    attached, texts = attach_texts(docs, V.let(F.try_parse_json(data), held), mapping, database, key)
+    attached, parts = attach_texts(docs, V.let(F.try_parse_json(data), held), new_parts, mapping, database, key)
     doc = F.col("_doc")
     parsed = V.evaluated(attached, _doc=F.try_parse_json(data))
-    parsed = V.evaluated(parsed, _composite=V.path(doc, "condition", "compositeQuery"))
-    composite = F.col("_composite")
+    composite = V.path(doc, "condition", "compositeQuery")
     parsed = V.evaluated(
         parsed,
-        _error=F.when(V.entries(doc).isNull(), F.lit("invalid JSON")).when(
-            V.entries(composite).isNull(), F.lit("no composite query")
+        _error=F.when(~V.is_object(doc), F.lit("invalid JSON")).when(
+            ~V.is_object(composite), F.lit("no composite query")
         ),
-        _panel_errors=bad_queries(composite, texts),
+        _panel_errors=F.coalesce(parts.error(COMPOSITE, F.to_json(composite)).cast("int"), F.lit(0)),
     )
-    # The rule's own composite query and the one in its address, rewritten alike.
-    both = F.transform(F.array(composite, embedded(doc)), lambda q: new_composite(q, texts, database))
-    parsed = V.evaluated(parsed, _queries=both)
-    note = texts.edit(TEXT)
-    renamed = V.edit_fields(
+    renamed = V.json_fields(
         doc,
         {
-            "condition": lambda c: V.edit_fields(c, {"compositeQuery": lambda _: F.get("_queries", 0)}),
-            "annotations": lambda a: V.edit_fields(a, {"description": note, "summary": note}),
-            "labels": lambda m: new_labels(m, texts),
-            "source": _text_edit(lambda s: new_source(s, F.get("_queries", 1))),
+            "condition": lambda c: V.json_fields(c, {"compositeQuery": lambda q: renewed(parts, COMPOSITE, q)}),
+            "annotations": lambda a: renewed(parts, NOTES, a),
+            "labels": lambda m: renewed(parts, LABELS, m),
+            "source": parts.json(ADDRESS),
         },
+        **{MIGRATED: F.lit(True)},
     )
     pending = F.col("_error").isNull() & ~V.is_true(V.field(doc, MIGRATED))
-    new = F.when(pending, F.to_json(V.with_fields(renamed, **{MIGRATED: F.lit(True)})))
+    new = F.when(pending, renamed)
     return _outcome(V.evaluated(parsed, _new=new), key, data)
 
 
