@@ -16,7 +16,7 @@ U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
 INVERSE = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: Bytes hashed in one go; longer texts are cut at white space.
-PIECE = 1 << 20
+PIECE = 1 << 18
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 _powers: dict[str, np.ndarray] = {}

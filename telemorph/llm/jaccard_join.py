@@ -36,12 +36,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemorph.llm.components import components
 from telemorph.llm.hashing import U, combine, mix, token_hashes
-from telemorph.llm.language_model import pieces
 from telemorph.llm.shared import only_with, stage, without
 
 #: Coordinates of a point, and of the fine one that what the tree finds must pass too.
@@ -59,6 +60,19 @@ FEW = 4
 HELD, SKETCH, PAST = 4 << 20, -2, -1
 #: Members of a cell, and members outside its largest component, searched at once.
 BLOCK, SEARCH_BLOCK = 4096, 1024
+#: Of these, members that go down a tree together, and pairs of vectors compared at once.
+TOGETHER, COMPARED = 64, 4096
+
+
+def text_pieces(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of some ``size`` bytes of text, so that only those become Python
+    strings; a longer text is one of its own."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        place = np.cumsum(lengths, dtype=np.int64) // size
+        starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]][: len(place)])
+        for a, b in zip(starts, [*starts[1:], len(place)]):  # noqa: B905  an empty batch has no start
+            yield batch.slice(a, b - a)
 
 
 def shingle_sets(texts: list, n: int) -> Iterator[np.ndarray]:
@@ -200,12 +214,18 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
     kind = docs.schema["doc_id"].dataType.simpleString()
     nothing = (1 << 30, 1 << 30)
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def dealt(id_type: pa.DataType, columns: list) -> pa.RecordBatch:
+        types = [id_type, *[pa.int64()] * 3, *[pa.int32()] * 3, pa.int64(), pa.binary(), pa.binary()]
+        length = next(len(c) for c in columns if c is not None)
+        arrays = [pa.nulls(length, t) if c is None else c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "row", "n_shingles", "digest", "even", "odd", "part", "lane", "keys", "owners"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One pass over the texts: a sketch of every document, and the cell keys
         of every set packed by hash range."""
-        for batch in pieces(batches, HELD):
+        for batch in text_pieces(batches, HELD):
             keys, owners, needed, sizes, names = [], [], {0: nothing}, [], []
-            for s in shingle_sets(batch["text"].tolist(), n):
+            for s in shingle_sets(batch.column("text").to_pylist(), n):
                 name = digest(s) if len(s) else 0
                 if name not in needed:
                     found, needed[name] = cells(s, rule)
@@ -213,9 +233,10 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
                     owners.append(np.full(len(found), name, np.int64))
                 sizes.append(len(s))
                 names.append(name)
-            sketch = batch[["doc_id", "row"]].assign(n_shingles=sizes, digest=names, part=SKETCH)
-            sketch["even"], sketch["odd"] = ([needed[name][i] for name in names] for i in (0, 1))
-            yield sketch.assign(lane=zlib.crc32(np.array(names, np.int64).tobytes()), keys=None, owners=None)
+            ids, rows = batch.column("doc_id"), batch.column("row")
+            least = [[needed[name][i] for name in names] for i in (0, 1)]
+            lane = zlib.crc32(np.array(names, np.int64).tobytes())
+            yield dealt(ids.type, [ids, rows, sizes, names, *least, [SKETCH] * len(names), [lane] * len(names), None, None])
             keys = np.concatenate(keys) if keys else np.zeros(0, U)
             owners = np.concatenate(owners) if owners else np.zeros(0, np.int64)
             order = np.argsort(keys, kind="stable")
@@ -234,8 +255,8 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
             part, keys, owners = part[~past], keys[~past], owners[~past]
             bounds = np.searchsorted(part, np.arange(parts + 1))
             rows += [(p, 0, keys[a:b].tobytes(), owners[a:b].tobytes()) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a]
-            dealt = pd.DataFrame(rows, columns=["part", "lane", "keys", "owners"])
-            yield dealt.assign(**dict.fromkeys(["doc_id", "row", "n_shingles", "digest", "even", "odd"]))
+            if rows:
+                yield dealt(ids.type, [None] * 6 + [list(column) for column in zip(*rows, strict=True)])
 
     def crowded(rows: pd.DataFrame) -> pd.DataFrame:
         """Sketches as they are, and of the cells those with several members."""
@@ -259,7 +280,7 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
 
     body = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
     drawn = f"doc_id {kind}, row long, n_shingles long, digest long, even int, odd int"
-    drawn_cells = body.mapInPandas(deal, f"{drawn}, part int, lane long, keys binary, owners binary")
+    drawn_cells = body.mapInArrow(deal, f"{drawn}, part int, lane long, keys binary, owners binary")
     # Copies of a text in several batches repeat a member; that only makes its cells look fuller.
     read = stage(drawn_cells.repartition(parts, "part", "lane").groupBy("part", "lane").applyInPandas(crowded, f"{drawn}, cell long"))
     sketches = read.where("cell is null").drop("cell")
@@ -270,14 +291,16 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
     involved = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
     chosen = sketches.where("n_shingles > 0 and doc_id is not null").join(involved, "digest", "left_semi").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
 
-    def points_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in pieces(batches, HELD):
-            sets = ((s, points(s)) for s in shingle_sets(batch["text"].tolist(), n))
-            rows = [(digest(s) if len(s) else 0, len(s), coarse(fine), packed(fine), s.view(np.int64)) for s, fine in sets]
-            yield pd.DataFrame(rows, columns=["digest", "size", "point", "fine", "shingles"])
+    def points_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64())]
+        for batch in text_pieces(batches, HELD):
+            sets = ((s, points(s)) for s in shingle_sets(batch.column("text").to_pylist(), n))
+            rows = [(digest(s) if len(s) else 0, len(s), coarse(fine).astype(np.int32), packed(fine), s.view(np.int64)) for s, fine in sets]
+            columns = [pa.array(list(column), t) for column, t in zip(zip(*rows, strict=True), types, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["digest", "size", "point", "fine", "shingles"])
 
     with_text = only_with(body.select("doc_id", "text"), "doc_id", stage(chosen.select("doc_id")))
-    sets = with_text.select("text").mapInPandas(points_of, "digest long, size long, point array<int>, fine binary, shingles array<long>")
+    sets = with_text.select("text").mapInArrow(points_of, "digest long, size long, point array<int>, fine binary, shingles array<long>")
     sets = stage(sets.join(chosen.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]))
 
     # Bound by the points alone, then compare shingles.
@@ -327,93 +350,124 @@ def search_cells(cells: DataFrame, links: DataFrame, sets: DataFrame, rule: Rule
     rows = indexed.union(asking).select(bucket, "*").join(sets.select("digest", "fine"), "digest")
 
     def bound(rows: pd.DataFrame) -> pd.DataFrame:
-        found = [pair for _, one in rows.groupby(["cell", "block", "search"], sort=False) for pair in near_parts(one, rule, every)]
-        return pd.DataFrame(found, columns=["p", "q", "digest", "part"]).drop_duplicates()
+        names, parts, fine = (rows[c].to_numpy() for c in ("digest", "part", "fine"))
+        found = [np.zeros((0, 4), np.int64)]
+        for held, asked in sides(rows, ["cell", "block", "search"], rows["asking"].to_numpy()):
+            found.append(near_parts(names, parts, fine, held, asked, rule, every))
+        return pd.DataFrame(np.concatenate(found), columns=["p", "q", "digest", "part"]).drop_duplicates()
 
     near = rows.groupBy("bucket").applyInPandas(bound, "p long, q long, digest long, part long").distinct()
     both = F.pmod(F.xxhash64("p", "q"), F.lit(parts)).alias("bucket")
     compared = near.select(both, "*").join(sets.select("digest", "point", "shingles"), "digest")
 
     def verify(rows: pd.DataFrame) -> pd.DataFrame:
-        found = [link for (p, _), one in rows.groupby(["p", "q"], sort=False) if (link := first_link(one[one["part"] == p], one[one["part"] != p], rule))]
+        names, points, sets = (rows[c].to_numpy() for c in ("digest", "point", "shingles"))
+        both = sides(rows, ["p", "q"], (rows["part"] != rows["p"]).to_numpy())
+        found = [link for left, right in both if (link := first_link(names, points, sets, left, right, rule))]
         return pd.DataFrame(found, columns=["a", "b"])
 
     return compared.groupBy("bucket").applyInPandas(verify, "a long, b long")
 
 
+def sides(rows: pd.DataFrame, keys: list[str], second: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the first and of the second kind of rows of every group that
+    has both. Most groups have a few rows only: none is cut out as a frame."""
+    columns = [rows[key].to_numpy() for key in keys]
+    order = np.lexsort((second, *columns))
+    edge = np.zeros(max(len(order) - 1, 0), bool)
+    for column in columns:
+        edge |= np.diff(column[order]) != 0
+    starts = np.flatnonzero(np.r_[True, edge]) if len(order) else np.zeros(0, np.int64)
+    seconds = np.r_[0, np.cumsum(second[order])]
+    for a, b in zip(starts, np.r_[starts[1:], len(order)], strict=True):
+        middle = b - (seconds[b] - seconds[a])
+        if a < middle < b:
+            yield order[a:middle], order[middle:b]
+
+
+def overlaps(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Summed smaller coordinates of pairs of rows, some pairs at a time."""
+    found = np.zeros(len(i), np.int64)
+    for a in range(0, len(i), COMPARED):
+        some = slice(a, a + COMPARED)
+        found[some] = np.minimum(left[i[some]], right[j[some]]).sum(1, dtype=np.int64)
+    return found
+
+
 class Tree:
     """R-tree over count vectors, packed level by level after sorting by tiles."""
 
     def __init__(self, vectors: np.ndarray) -> None:
         order = np.lexsort((vectors[:, 0], vectors[:, 1] // 4, vectors.sum(1) // 8))
         self.order, self.vectors = order, vectors[order]
+        self.sizes = self.vectors.sum(1, dtype=np.int64)
         self.levels = []
         low, high, width = self.vectors, self.vectors, LEAF
         while True:
             starts = np.arange(0, len(low), width)
             low, high = np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)
-            self.levels.append((low.sum(1), high, width))
+            self.levels.append((low.sum(1, dtype=np.int64), high, width))
             if len(high) == 1:
                 break
             width = FAN
 
-    def search(self, vector: np.ndarray, rule: Rule) -> np.ndarray:
-        """Positions of all points whose summed smaller coordinates reach the
-        overlap that a linked pair of these sizes needs."""
-        size = int(vector.sum())
-        inside = np.zeros(1, np.int64)
+    def search(self, vectors: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+        """Positions (of a vector, of a point) of all whose summed smaller
+        coordinates reach the overlap that a linked pair of these sizes needs, in
+        the order of the vectors. They go down the tree level by level together."""
+        sizes = vectors.sum(1, dtype=np.int64)
+        asked, inside = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
         for depth in range(len(self.levels) - 1, -1, -1):
             least_size, high, width = self.levels[depth]
-            bound = np.minimum(high[inside], vector).sum(1)
-            inside = inside[bound >= rule.needed(size + least_size[inside])]
+            near = overlaps(high, vectors, inside, asked) >= rule.needed(sizes[asked] + least_size[inside])
             below = len(self.levels[depth - 1][1]) if depth else len(self.vectors)
-            inside = (inside[:, None] * width + np.arange(width)).ravel()
-            inside = inside[inside < below]
-        found = self.vectors[inside]
-        return self.order[inside[np.minimum(found, vector).sum(1) >= rule.needed(size + found.sum(1))]]
+            asked, inside = np.repeat(asked[near], width), (inside[near][:, None] * width + np.arange(width)).ravel()
+            asked, inside = asked[inside < below], inside[inside < below]
+        near = overlaps(self.vectors, vectors, inside, asked) >= rule.needed(sizes[asked] + self.sizes[inside])
+        return asked[near], self.order[inside[near]]
 
 
-def near_parts(rows: pd.DataFrame, rule: Rule, every: bool) -> list[tuple[int, int, int, int]]:
-    """(p, q, digest, part) for members of two parts of a cell, p < q, that the
+def near_parts(names: np.ndarray, parts: np.ndarray, points: np.ndarray, held: np.ndarray, asked: np.ndarray, rule: Rule, every: bool) -> np.ndarray:
+    """Rows (p, q, digest, part) for members of two parts of a cell, p < q, that the
     points, coarse in the tree and then fine, do not keep apart: ``every`` such
     pair, or for each asking member its nearest by the bound and the one with the
     smallest digest."""
-    asked, held = rows[rows["asking"]], rows[~rows["asking"]]
-    if not len(asked) or not len(held):
-        return []
-    fine = np.stack([unpacked(x) for x in held["fine"]])
+    fine = np.stack([unpacked(x) for x in points[held]])
     tree, sizes = Tree(coarse(fine)), fine.sum(1, dtype=np.int64)
-    parts, names = held["part"].to_numpy(), held["digest"].to_numpy()
-    found = set()
-    for own, name, point in zip(asked["part"], asked["digest"], asked["fine"], strict=True):
-        vector = unpacked(point)
-        size = int(vector.sum(dtype=np.int64))
-        at = tree.search(coarse(vector), rule)
-        at = at[parts[at] != own]
-        least = np.minimum(fine[at], vector).sum(1, dtype=np.int64)
-        near = least >= rule.needed(size + sizes[at])
-        at, least = at[near], least[near]
-        if len(at) > 2 and not every:
-            at = at[[(least / (sizes[at] + size)).argmax(), names[at].argmin()]]
-        for part, other in zip(parts[at], names[at], strict=True):
-            p, q = min(own, part), max(own, part)
-            found.add((p, q, name, own))
-            found.add((p, q, other, part))
-    return list(found)
-
-
-def first_link(left: pd.DataFrame, right: pd.DataFrame, rule: Rule) -> tuple[int, int] | None:
+    found = [np.zeros((0, 4), np.int64)]
+    for first in range(0, len(asked), TOGETHER):
+        some = asked[first : first + TOGETHER]
+        vectors = np.stack([unpacked(x) for x in points[some]])
+        own = vectors.sum(1, dtype=np.int64)
+        by, at = tree.search(coarse(vectors), rule)
+        apart = parts[held[at]] != parts[some[by]]
+        by, at = by[apart], at[apart]
+        least = overlaps(fine, vectors, at, by)
+        near = least >= rule.needed(own[by] + sizes[at])
+        by, at, least = by[near], at[near], least[near]
+        if not every and len(by):
+            nearest = np.lexsort((-least / (sizes[at] + own[by]), by))
+            smallest = np.lexsort((names[held[at]], by))
+            firsts = np.flatnonzero(np.r_[True, by[1:] != by[:-1]])
+            kept = np.bincount(by, minlength=len(some))[by] <= 2
+            kept[nearest[firsts]] = kept[smallest[firsts]] = True
+            by, at = by[kept], at[kept]
+        mine, other = some[by], held[at]
+        p, q = np.minimum(parts[mine], parts[other]), np.maximum(parts[mine], parts[other])
+        pairs = [np.stack([p, q, names[x], parts[x]], 1) for x in (mine, other)]
+        found.append(np.unique(np.concatenate(pairs), axis=0) if len(by) else found[0])
+    return np.concatenate(found)
+
+
+def first_link(names: np.ndarray, points: np.ndarray, sets: np.ndarray, left: np.ndarray, right: np.ndarray, rule: Rule) -> tuple[int, int] | None:
     """A link between the members of two parts, if there is one."""
-    if not len(left) or not len(right):
-        return None
-    tree = Tree(np.stack(right["point"].to_list()).astype(np.int64))
-    names, sets = right["digest"].to_numpy(), [np.asarray(x) for x in right["shingles"]]
-    for name, point, shingles in zip(left["digest"], left["point"], left["shingles"], strict=True):
-        mine = np.asarray(shingles)
-        for at in tree.search(np.asarray(point, np.int64), rule):
-            both = len(np.intersect1d(mine, sets[at], assume_unique=True))
-            if rule.linked(both, len(mine), len(sets[at])):
-                return int(name), int(names[at])
+    tree = Tree(np.stack(points[right]).astype(np.int64))
+    for first in range(0, len(left), TOGETHER):
+        some = left[first : first + TOGETHER]
+        for by, at in zip(*tree.search(np.stack(points[some]).astype(np.int64), rule), strict=True):
+            mine, other = np.asarray(sets[some[by]]), np.asarray(sets[right[at]])
+            if rule.linked(len(np.intersect1d(mine, other, assume_unique=True)), len(mine), len(other)):
+                return int(names[some[by]]), int(names[right[at]])
     return None
 
 

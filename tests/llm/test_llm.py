@@ -268,6 +268,31 @@ def test_revealing_terms(spark):
     assert "zeppelin" not in disclosure.sanitised(docs).where("doc_id = 41").first().text
 
 
+def test_join_reads_slices_and_searches_together():
+    """Texts become strings a slice at a time, and what a tree finds for many
+    vectors at once, in cells of any size, is what all pairs give."""
+    import pandas as pd
+    import pyarrow as pa
+
+    texts = ["x" * 60, None, "", "é" * 400, *["y" * 30] * 40]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    slices = list(jaccard_join.text_pieces(iter([batch, batch.slice(0, 0)]), 100))
+    assert [t for s in slices for t in s.column("text").to_pylist()] == texts
+    assert len(slices) > 10 and all(sum(len((t or "").encode()) for t in s.column("text").to_pylist()) <= 100 + 800 for s in slices)
+
+    rng, rule = np.random.default_rng(3), jaccard_join.Rule(80)
+    for count in (2, 40, 900):
+        base = rng.integers(0, 4, (9, jaccard_join.FINE))
+        fine = base[rng.integers(0, 9, count)] + (rng.random((count, jaccard_join.FINE)) < 0.05)
+        rows = pd.DataFrame({"cell": 1, "asking": np.arange(count) % 2 == 0, "digest": rng.permutation(count), "part": np.arange(count)})
+        packed = np.array([jaccard_join.packed(x) for x in fine] + [None], object)[:-1]
+        ((held, asked),) = jaccard_join.sides(rows, ["cell"], rows["asking"].to_numpy())
+        got = jaccard_join.near_parts(rows["digest"].to_numpy(), rows["part"].to_numpy(), packed, held, asked, rule, every=True)
+        want = {(min(a, b), max(a, b)) for a in asked for b in held if np.minimum(fine[a], fine[b]).sum() >= rule.needed(fine[a].sum() + fine[b].sum())}
+        assert {(p, q) for p, q, _, _ in got.tolist()} == want and (count < 40 or want)
+
+
+
 def test_fine_points_bound_the_overlap():
     rng = np.random.default_rng(5)
     for size in (0, 1, 40, 3000):
