@@ -736,27 +736,40 @@ def _row(panel: Column, lang: str, pos: Column, name: Column, text: Column) -> C
 _ROW = "struct<panel:string,lang:string,pos:int,name:string,text:string>"
 
 
-def _panel_rows(widget: Column, panel: Column) -> Column:
-    """Rows of one panel."""
-    query = V.field(widget, "query")
-    builder = V.field(query, "builder")
+# What of a panel comes out as rows: cast once, and no other field is touched.
+_NAMED = "array<struct<name:variant,query:variant,legend:variant>>"
+_NAMED_FORMULAS = "array<struct<queryName:variant,expression:variant,legend:variant>>"
+_FLAT = f"struct<query:struct<clickhouse_sql:{_NAMED},promql:{_NAMED},builder:struct<queryData:array<variant>,queryFormulas:{_NAMED_FORMULAS}>>>"
+
+
+def _panel_rows(widget: Column, panel: Column, langs: list[str]) -> Column:
+    """Rows of one panel (``_FLAT``) in the given languages."""
+    query = widget["query"]
+    formulas = query["builder"]["queryFormulas"]
+    sources = {
+        "builder": (query["builder"]["queryData"], lambda e: V.text(V.field(e, "queryName")), F.to_json),
+        "formula": (formulas, lambda e: V.text(e["queryName"]), lambda e: V.text(e["expression"])),
+        "sql": (query["clickhouse_sql"], lambda e: V.text(e["name"]), lambda e: V.text(e["query"])),
+        "promql": (query["promql"], lambda e: V.text(e["name"]), lambda e: V.text(e["query"])),
+        "formula_legend": (formulas, lambda e: V.text(e["queryName"]), lambda e: V.text(e["legend"])),
+        "sql_legend": (query["clickhouse_sql"], lambda e: V.text(e["name"]), lambda e: V.text(e["legend"])),
+        "promql_legend": (query["promql"], lambda e: V.text(e["name"]), lambda e: V.text(e["legend"])),
+    }
 
-    def of(items: Column, make) -> Column:
-        return V.no_items(F.transform(V.items(items), make), _ROW)
+    def of(lang: str) -> Column:
+        items, name, text = sources[lang]
+        return V.no_items(F.transform(items, lambda e, i: _row(panel, lang, i, name(e), text(e))), _ROW)
 
-    return F.concat(
-        of(V.field(builder, "queryData"), lambda e, i: _row(panel, "builder", i, V.text(V.field(e, "queryName")), F.to_json(e))),
-        of(V.field(builder, "queryFormulas"), lambda e, i: _row(panel, "formula", i, V.text(V.field(e, "queryName")), V.text(V.field(e, "expression")))),
-        of(V.field(query, "clickhouse_sql"), lambda e, i: _row(panel, "sql", i, V.text(V.field(e, "name")), V.text(V.field(e, "query")))),
-        of(V.field(query, "promql"), lambda e, i: _row(panel, "promql", i, V.text(V.field(e, "name")), V.text(V.field(e, "query")))),
-        of(V.field(builder, "queryFormulas"), lambda e, i: _row(panel, "formula_legend", i, V.text(V.field(e, "queryName")), V.text(V.field(e, "legend")))),
-        of(V.field(query, "clickhouse_sql"), lambda e, i: _row(panel, "sql_legend", i, V.text(V.field(e, "name")), V.text(V.field(e, "legend")))),
-        of(V.field(query, "promql"), lambda e, i: _row(panel, "promql_legend", i, V.text(V.field(e, "name")), V.text(V.field(e, "legend")))),
-    )
-
-
-def flatten_queries(docs: DataFrame, key: str = "id", data: str = "data") -> DataFrame:
-    """One row per text a dashboard holds: (id, panel, lang, pos, name, text)."""
+    return F.concat(F.array().cast(f"array<{_ROW}>"), *[of(lang) for lang in sources if lang in langs])
+
+
+LANGS = ["builder", "formula", "sql", "promql", "formula_legend", "sql_legend", "promql_legend", "variable"]
+
+
+def flatten_queries(docs: DataFrame, key: str = "id", data: str = "data", langs: list[str] | None = None) -> DataFrame:
+    """One row per text a dashboard holds: (id, panel, lang, pos, name, text), or
+    per text in one of ``langs`` (of ``LANGS``)."""
+    langs = LANGS if langs is None else langs
     parsed = docs.withColumn("_doc", F.try_parse_json(data))
     doc = F.col("_doc")
     none = F.lit(None).cast("string")
@@ -764,17 +777,15 @@ def flatten_queries(docs: DataFrame, key: str = "id", data: str = "data") -> Dat
     def keyed(value: Column, make) -> Column:
         return V.no_items(F.transform(F.array_sort(F.map_keys(V.entries(value))), lambda k, i: make(k, F.try_element_at(V.entries(value), k), i)), _ROW)
 
-    rows = F.concat(
-        F.flatten(V.no_items(F.transform(V.items(V.field(doc, "widgets")), lambda w, i: _panel_rows(w, i)), f"array<{_ROW}>")),
-        F.flatten(
-            V.no_items(
-                F.transform(F.map_entries(V.entries(V.field(doc, "panelMap"))), lambda e: _panel_rows(e["value"], e["key"])),
-                f"array<{_ROW}>",
-            )
-        ),
-        keyed(V.field(doc, "variables"), lambda k, v, i: _row(none, "variable", i, k, V.text(V.field(v, "queryValue")))),
-    )
-    return parsed.select(key, F.explode(rows).alias("r")).select(key, "r.*").where("text is not null")
+    listed = F.try_variant_get(doc, "$.widgets", f"array<{_FLAT}>")
+    named = F.try_variant_get(doc, "$.panelMap", f"map<string,{_FLAT}>")
+    rows = [
+        F.flatten(V.no_items(F.transform(listed, lambda w, i: _panel_rows(w, i, langs)), f"array<{_ROW}>")),
+        F.flatten(V.no_items(F.transform(F.map_entries(named), lambda e: _panel_rows(e["value"], e["key"], langs)), f"array<{_ROW}>")),
+    ]
+    if "variable" in langs:
+        rows.append(keyed(V.field(doc, "variables"), lambda k, v, i: _row(none, "variable", i, k, V.text(V.field(v, "queryValue")))))
+    return parsed.select(key, F.explode(F.concat(*rows)).alias("r")).select(key, "r.*").where("text is not null")
 
 
 def flatten_rules(docs: DataFrame, key: str = "id", data: str = "data") -> DataFrame:
@@ -814,8 +825,10 @@ def extract_references(queries: DataFrame, names: DataFrame, keys: list[str], la
 
 def rewrite_names(queries: DataFrame, mapping: NameMapping, key: str = "id", lang: str = "lang", text: str = "text") -> DataFrame:
     """Query rows (key, lang, text) under new names; ``error`` says why a text was
-    left as it is."""
+    left as it is. The rows are staged, as making them may be the larger part of
+    the work and they are read twice."""
     kind = F.when(F.col(lang) == "sql", SQL_ALWAYS).when(F.col(lang) == "promql", PROMQL).otherwise(TEXT)
+    queries = staged(queries.select(key, lang, text))
     rows = queries.select(key, lang, text, kind.alias("_kind"), F.coalesce(text, F.lit("")).alias("_text"))
     held = rows.where(F.col("_kind") != TEXT).select(F.col("_kind").alias("kind"), F.col("_text").alias("text"), F.lit("").alias("given"))
     new = staged(new_texts(held, mapping, "")).select(F.col("kind").alias("_kind"), F.col("text").alias("_text"), "new", "error")

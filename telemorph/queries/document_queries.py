@@ -160,7 +160,7 @@ def s05_job(t):
     WITH {PART} SELECT id, 'v1' AS name, 'SELECT DISTINCT `service.name` FROM telemetry_metrics.series WHERE env = $env' AS text FROM part_docs WHERE {OK_DASHBOARD}""")
 def d09_variables(t):
     out = D.rewrite_dashboards(_dashboards(t), _mapping(t), dd.METRICS_DATABASE).where("changed")
-    return D.flatten_queries(out).where("lang = 'variable'").select("id", "name", "text")
+    return D.flatten_queries(out, langs=["variable"]).select("id", "name", "text")
 
 
 @query("d10_panel_isolation", f"""
@@ -200,8 +200,8 @@ def d01_rules(t):
     return D.flatten_rules(dd.rules(t)).where("lang not in ('builder', 'sql')").select("id", "lang", "name", "text")
 
 
-def _queries(t):
-    flat = D.flatten_queries(dd.dashboards(t)).where("lang in ('sql', 'promql')")
+def _queries(t, *langs):
+    flat = D.flatten_queries(dd.dashboards(t), langs=list(langs or ("sql", "promql")))
     return flat.select(F.concat_ws("/", "id", "panel").alias("id"), "lang", "text")
 
 
@@ -235,7 +235,7 @@ def d03_from_series(t):
     """The whole way: names are paired from the series catalog, then used."""
     from telemorph.queries.metric_queries import _mapping as name_mapping
 
-    out = D.rewrite_names(_queries(t).where("lang = 'promql'"), D.mapping_from(name_mapping(t)))
+    out = D.rewrite_names(_queries(t, "promql"), D.mapping_from(name_mapping(t)))
     return out.where("error is null").drop("error")
 
 

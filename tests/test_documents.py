@@ -77,6 +77,29 @@ def test_equal_texts_of_many_documents_are_rewritten_once(spark, names, monkeypa
     assert [n for n in seen if n] == [1, 2, 1]
 
 
+def test_flat_rows_of_odd_panels_and_only_those_asked_for(spark):
+    sql = {"name": "A", "query": "select 1", "legend": 7}
+    odd = [3, None, {"query": "x"}, {"query": {"promql": {"query": "up"}, "clickhouse_sql": [sql, 5, {"query": 8}, {"query": "select 2"}], "builder": [1]}}]
+    builder = {"queryData": [{"queryName": "B"}], "queryFormulas": [{"expression": "B", "legend": ""}, "y"]}
+    docs = [{"widgets": odd, "panelMap": {"p": {"query": {"builder": builder, "promql": [{"query": "up"}]}}}, "variables": {"v": {"queryValue": "q"}, "w": 1}}, {"widgets": 3}, "no"]
+    stored = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)] + [(9, "{")], "id int, data string")
+    got = {(r.id, r.panel, r.lang, r.pos, r.name, r.text) for r in D.flatten_queries(stored).collect()}
+    texts = {
+        (0, "3", "sql", 0, "A", "select 1"), (0, "3", "sql", 3, None, "select 2"), (0, "p", "builder", 0, "B", '{"queryName":"B"}'), (0, "p", "formula", 0, None, "B"),
+        (0, "p", "formula_legend", 0, None, ""), (0, "p", "promql", 0, None, "up"), (0, None, "variable", 0, "v", "q"),
+    }
+    assert got == texts
+    some = D.flatten_queries(stored, langs=["promql", "variable"]).collect()
+    assert {(r.lang, r.text) for r in some} == {("promql", "up"), ("variable", "q")}
+
+
+def test_rows_are_made_once_for_rewriting(spark, names):
+    stored = spark.createDataFrame([(1, json.dumps({"widgets": [{"query": {"promql": [{"query": "job:rate"}]}}]}))], "id int, data string")
+    out = D.rewrite_names(D.flatten_queries(stored, langs=["promql"]).select("id", "lang", "text"), names)
+    assert "parse_json" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.text for r in out.collect()] == ['{"job.rate"}']
+
+
 def test_alert_with_embedded_query(spark, names):
     embedded = {"builderQueries": {"A": {"dataSource": "metrics", "k": "node", "t": "a+b c/ü*~"}}}
     source = "https://h/x?b=1&compositeQuery=" + quote_plus(quote_plus(quote_plus(json.dumps(embedded)))) + "&a=2#f"
