@@ -1,7 +1,8 @@
 """Renaming log fields (underscore to dotted spelling) in documents.
 
-Works like ``documents``: the field references of a document are joined against
-the field mapping and come back as a map in its row.
+The field references of a document are joined against the field mapping and come
+back as a map in its row. Only documents that refer to a mapped field are written
+anew, each once, and of their text only the levels above a change.
 """
 
 from __future__ import annotations
@@ -66,12 +67,16 @@ def resolve_fields(refs: DataFrame, mapping: DataFrame) -> DataFrame:
     return refs.join(known, "ref")
 
 
-def _attach(docs: DataFrame, refs: Column, mapping: DataFrame, key: str) -> DataFrame:
+def _attach(docs: DataFrame, refs: Column, mapping: DataFrame, key: str, data: str) -> DataFrame:
+    """Add ``_doc`` and ``_fields``. Documents are moved as text and parsed where
+    they are read."""
     docs = docs.repartition(F.col(key))
-    found = resolve_fields(docs.select(key, F.explode(F.array_distinct(refs)).alias("ref")), mapping)
+    mentioned = V.evaluated(docs.select(key, data), _doc=F.try_parse_json(data)).select(key, F.explode(F.array_distinct(refs)).alias("ref"))
+    found = resolve_fields(mentioned, mapping)
     maps = found.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("ref", "new_name"))).alias("_fields"))
     empty = F.create_map().cast(STRING_MAP)
-    return docs.join(maps, key, "left").withColumn("_fields", F.coalesce("_fields", empty))
+    joined = docs.join(maps, key, "left").withColumn("_fields", F.coalesce("_fields", empty))
+    return V.evaluated(joined, _doc=F.try_parse_json(data))
 
 
 # ---- renaming -----------------------------------------------------------------------------
@@ -153,84 +158,141 @@ def _builder_edit(entry: Column, fields: Column, renames: Column) -> Column:
     )
 
 
+def _differs(old: Column, new: Column) -> Column:
+    return F.coalesce(new != old, F.lit(False))
+
+
+def _legend_differs(legend: Column, renames: Column) -> Column:
+    return _differs(V.text(legend), _legend(V.text(legend), renames))
+
+
+def _builder_differs(entry: Column, fields: Column, renames: Column) -> Column:
+    """Whether ``_builder_edit`` changes the entry."""
+    items = V.no_items(V.items(V.path(entry, "filters", "items")), "variant")
+    groups, orders = (V.no_items(V.items(V.field(entry, name)), "variant") for name in ("groupBy", "orderBy"))
+    attributes = F.concat(F.array(V.field(entry, "aggregateAttribute")), F.transform(items, lambda i: V.field(i, "key")), groups)
+
+    def renamed(attribute: Column) -> Column:
+        return _differs(V.text(V.field(attribute, "key")), F.try_element_at(fields, _attribute_reference(attribute)))
+
+    def reordered(item: Column) -> Column:
+        return V.let(V.text(V.field(item, "columnName")), lambda name: _differs(name, F.try_element_at(renames, name)))
+
+    return F.exists(attributes, renamed) | F.exists(orders, reordered) | _legend_differs(V.field(entry, "legend"), renames)
+
+
 def _reads_logs(entry: Column) -> Column:
     return F.coalesce(V.text(V.field(entry, "dataSource")) == "logs", F.lit(False))
 
 
-def _finish(done: DataFrame, new: Column, key: str, data: str) -> DataFrame:
-    changed = F.coalesce(new != F.to_json("_doc"), F.lit(False))
-    return done.withColumn("_new", new).select(
+def _finish(done: DataFrame, new: Column, key: str, data: str, changes: Column | None = None) -> DataFrame:
+    """Without a mapped field no edit changes anything, so none is tried. Writing a
+    document costs most: where ``changes`` tells whether there is something to
+    change, only such documents are written, and none twice to compare it."""
+    mapped = F.size("_fields") > 0
+    if changes is None:
+        edited = V.evaluated(done, _new=F.when(mapped, new), _old=F.when(mapped, F.to_json("_doc")))
+        edited = V.evaluated(edited, changed=F.coalesce(F.col("_new") != F.col("_old"), F.lit(False)))
+    else:
+        edited = V.evaluated(done, changed=F.when(mapped, F.coalesce(changes, F.lit(False))).otherwise(F.lit(False)))
+        edited = V.evaluated(edited, _new=F.when(F.col("changed"), new))
+    return edited.select(
         key,
-        F.when(F.coalesce(F.col("_new") != F.to_json("_doc"), F.lit(False)), F.col("_new")).otherwise(F.col(data)).alias(data),
-        changed.alias("changed"),
-        F.when(V.entries(F.col("_doc")).isNull(), F.lit("invalid JSON")).alias("error"),
+        F.when(F.col("changed"), F.col("_new")).otherwise(F.col(data)).alias(data),
+        "changed",
+        F.when(~V.is_object(F.col("_doc")), F.lit("invalid JSON")).alias("error"),
     )
 
 
+# Where a panel refers to fields: cast once, and no other field is touched.
+_PANEL = "struct<query:struct<builder:struct<queryData:array<variant>>,clickhouse_sql:array<struct<query:variant>>>>"
+
+
 def rename_log_fields_dashboards(docs: DataFrame, mapping: DataFrame, table: str, key: str = "id", data: str = "data") -> DataFrame:
     """Rename log fields in the panels of dashboards: builder queries on logs with
     their order and legends, and SQL that reads ``table``."""
     doc = F.col("_doc")
-    parsed = docs.withColumn("_doc", F.try_parse_json(data))
-    widgets = V.no_items(V.items(V.field(doc, "widgets")), "variant")
+    panels = F.try_variant_get(doc, "$.widgets", f"array<{_PANEL}>")
     fields = F.col("_fields")
 
     def refs(widget: Column) -> Column:
-        builder = V.no_items(V.items(V.path(widget, "query", "builder", "queryData")), "variant")
-        sql = V.no_items(V.items(V.path(widget, "query", "clickhouse_sql")), "variant")
+        builder = V.no_items(widget["query"]["builder"]["queryData"], "variant")
+        sql = V.no_items(widget["query"]["clickhouse_sql"], "struct<query:variant>")
         return F.concat(
             F.flatten(F.transform(builder, _builder_references)),
-            F.flatten(F.transform(sql, lambda e: V.no_items(sql_references(V.text(V.field(e, "query"))), "string"))),
+            F.flatten(F.transform(sql, lambda e: V.no_items(sql_references(V.text(e["query"])), "string"))),
         )
 
-    joined = _attach(parsed, F.flatten(F.transform(widgets, refs)), mapping, key)
+    found = F.flatten(F.transform(V.no_items(panels, _PANEL), refs))
+    joined = _attach(docs, found, mapping, key, data)
 
     def sql_entry(entry: Column) -> Column:
-        return V.edit_fields(
-            entry, {"query": lambda v: F.coalesce(rename_log_fields_sql(V.text(v), fields, table).cast("variant"), v)}
+        return V.json_fields(
+            entry, {"query": lambda v: F.to_json(F.coalesce(rename_log_fields_sql(V.text(v), fields, table).cast("variant"), v))}
         )
 
     def builder(value: Column) -> Column:
         on_logs = F.filter(V.no_items(V.items(V.field(value, "queryData")), "variant"), _reads_logs)
 
         def edited(renames: Column) -> Column:
-            return V.edit_fields(
+            legend = _legend_edit(renames)
+            return V.json_fields(
                 value,
                 {
-                    "queryData": lambda a: V.edit_items(
-                        a, lambda e: F.when(_reads_logs(e), _builder_edit(e, fields, renames)).otherwise(e)
+                    "queryData": lambda a: V.json_items(
+                        a, lambda e: F.to_json(F.when(_reads_logs(e), _builder_edit(e, fields, renames)).otherwise(e))
                     ),
-                    "queryFormulas": lambda a: V.edit_items(a, lambda f: V.edit_fields(f, {"legend": _legend_edit(renames)})),
+                    "queryFormulas": lambda a: V.json_items(a, lambda f: V.json_fields(f, {"legend": lambda v: F.to_json(legend(v))})),
                 },
             )
 
-        return V.let(_group_renames(on_logs, fields), edited)
+        return F.when(F.size(on_logs) > 0, V.let(_group_renames(on_logs, fields), edited)).otherwise(F.to_json(value))
 
-    def widget(value: Column) -> Column:
-        kind = V.text(V.path(value, "query", "queryType"))
-        edits = (
-            F.when(V.path(value, "query", "builder").isNull(), value)
-            .when(kind == "clickhouse_sql", V.edit_fields(value, {"query": lambda q: V.edit_fields(q, {"clickhouse_sql": lambda a: V.edit_items(a, sql_entry)})}))
-            .when(kind == "builder", V.edit_fields(value, {"query": lambda q: V.edit_fields(q, {"builder": builder})}))
+    def query(value: Column) -> Column:
+        kind = V.text(V.field(value, "queryType"))
+        return (
+            F.when(V.field(value, "builder").isNull(), F.to_json(value))
+            .when(kind == "clickhouse_sql", V.json_fields(value, {"clickhouse_sql": lambda a: V.json_items(a, sql_entry)}))
+            .when(kind == "builder", V.json_fields(value, {"builder": builder}))
+            .otherwise(F.to_json(value))
         )
-        return F.coalesce(edits, value)
 
-    new = F.to_json(V.edit_fields(doc, {"widgets": lambda a: V.edit_items(a, widget)}))
-    return _finish(joined, new, key, data)
+    def builder_differs(value: Column) -> Column:
+        on_logs = F.filter(V.no_items(V.items(V.field(value, "queryData")), "variant"), _reads_logs)
+        formulas = V.no_items(V.items(V.field(value, "queryFormulas")), "variant")
+
+        def differs(renames: Column) -> Column:
+            entries = F.exists(on_logs, lambda e: _builder_differs(e, fields, renames))
+            return entries | F.exists(formulas, lambda f: _legend_differs(V.field(f, "legend"), renames))
+
+        return F.when(F.size(on_logs) > 0, V.let(_group_renames(on_logs, fields), differs)).otherwise(F.lit(False))
+
+    def query_differs(value: Column) -> Column:
+        kind = V.text(V.field(value, "queryType"))
+        texts = F.transform(V.no_items(V.items(V.field(value, "clickhouse_sql")), "variant"), lambda e: V.text(V.field(e, "query")))
+        return (
+            F.when(V.field(value, "builder").isNull(), F.lit(False))
+            .when(kind == "clickhouse_sql", F.exists(texts, lambda q: _differs(q, rename_log_fields_sql(q, fields, table))))
+            .when(kind == "builder", builder_differs(V.field(value, "builder")))
+            .otherwise(F.lit(False))
+        )
+
+    new = V.json_fields(doc, {"widgets": lambda a: V.json_items(a, lambda w: V.json_fields(w, {"query": query}))})
+    queries = F.try_variant_get(doc, "$.widgets", "array<struct<query:variant>>")
+    return _finish(joined, new, key, data, F.exists(queries, lambda w: F.coalesce(query_differs(w["query"]), F.lit(False))))
 
 
 def rename_log_fields_alerts(docs: DataFrame, mapping: DataFrame, table: str, key: str = "id", data: str = "data") -> DataFrame:
     """The same for alert rules; formulas (entries whose expression is not their
     own name) get their legend renamed."""
     doc = F.col("_doc")
-    parsed = docs.withColumn("_doc", F.try_parse_json(data))
     composite = V.path(doc, "condition", "compositeQuery")
     fields = F.col("_fields")
     queries = V.no_items(F.map_values(V.entries(V.field(composite, "builderQueries"))), "variant")
     sql_entries = V.no_items(F.map_values(V.entries(V.field(composite, "chQueries"))), "variant")
     in_sql = F.flatten(F.transform(sql_entries, lambda e: V.no_items(sql_references(V.text(V.field(e, "query"))), "string")))
     refs = F.concat(F.flatten(F.transform(queries, _builder_references)), in_sql)
-    joined = _attach(parsed, refs, mapping, key)
+    joined = _attach(docs, refs, mapping, key, data)
 
     def is_query(entry: Column, name: Column) -> Column:
         return F.coalesce(V.text(V.field(entry, "expression")) == name, F.lit(False))

@@ -165,6 +165,31 @@ def test_dashboard_with_formula(spark, log_fields):
     assert json.loads(new["data"]) == board("service.name", "container.name")
 
 
+def test_documents_without_a_change_are_not_written(spark, log_fields):
+    """One change of each kind alone is seen, and others leave the text as it is."""
+    query = {"queryName": "A", "dataSource": "logs", "groupBy": [key("x", "tag")], "orderBy": [{"columnName": "x"}], "legend": "{{x}}", "filters": {"items": [3, None]}}
+    group = {**query, "groupBy": [key("container_name", "resource"), None]}
+
+    def board(entry, kind="builder", legend="l", sql=None):
+        return {"t": None, "widgets": [None, {"query": {"queryType": kind, "builder": {"queryData": [entry], "queryFormulas": [{"legend": legend}]}, "clickhouse_sql": sql}}]}
+
+    attribute = {**query, "aggregateAttribute": key("service_name", "tag")}
+    filtered = {**query, "filters": {"items": [{"key": key("service_name", "tag")}]}}
+    mapped = [{"query": "select resource_string_service_name from " + TABLE}]
+    same = [board(query), board({**attribute, "dataSource": "metrics"}), board(query, sql=mapped), board(attribute, "promql"), {"widgets": 3}, 5]
+    new = [board(attribute), board(filtered), board(group), board(query, "clickhouse_sql", sql=mapped)]
+    out = run(spark, LF.rename_log_fields_dashboards, [*same, *new], log_fields, TABLE)
+    assert [r["changed"] for r in out] == [False] * len(same) + [True] * len(new)
+    assert [r["data"] for r in out[: len(same)]] == [json.dumps(d) for d in same]
+    attribute["aggregateAttribute"]["key"] = filtered["filters"]["items"][0]["key"]["key"] = "service.name"
+    group["groupBy"][0]["key"], mapped[0]["query"] = "container.name", "select resource_string_service$$name from " + TABLE
+    assert [json.loads(r["data"]) for r in out[len(same) :]] == new
+    renamed = board({**group, "groupBy": [key("container_name", "resource")]}, legend="{{container_name}}")
+    assert json.loads(run(spark, LF.rename_log_fields_dashboards, [renamed], log_fields, TABLE)[0]["data"])["widgets"][1]["query"]["builder"]["queryFormulas"] == [{"legend": "{{container.name}}"}]
+    plan = LF.rename_log_fields_dashboards(spark.createDataFrame([(1, "{}")], "id int, data string"), log_fields, TABLE)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_old" not in plan
+
+
 SQL_CASES = [
     (
         "SELECT quantile(0.9)(attributes_float64_value[indexOf(attributes_float64_key, '{}')]) AS value FROM " + TABLE
