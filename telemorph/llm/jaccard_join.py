@@ -37,13 +37,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemorph.llm.components import components
 from telemorph.llm.hashing import U, combine, mix, token_hashes
-from telemorph.llm.shared import only_with, stage, without
+from telemorph.llm.shared import only_with, stage, text_pieces, without
 
 #: Coordinates of a point, and of the fine one that what the tree finds must pass too.
 GROUPS, FINE = 64, 512
@@ -64,17 +63,6 @@ BLOCK, SEARCH_BLOCK = 4096, 1024
 TOGETHER, COMPARED = 64, 4096
 
 
-def text_pieces(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Slices of some ``size`` bytes of text, so that only those become Python
-    strings; a longer text is one of its own."""
-    for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-        place = np.cumsum(lengths, dtype=np.int64) // size
-        starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]][: len(place)])
-        for a, b in zip(starts, [*starts[1:], len(place)]):  # noqa: B905  an empty batch has no start
-            yield batch.slice(a, b - a)
-
-
 def shingle_sets(texts: list, n: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of every text. A text of fewer than
     ``n`` words has its whole sequence as one; without words it has none."""

@@ -29,11 +29,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemorph.llm.hashing import U, combine, mix, token_hashes
-from telemorph.llm.shared import in_fold, outside_fold, stage
+from telemorph.llm.shared import in_fold, outside_fold, stage, text_pieces
 
 # The hashes of the end and of the start of a text, and the two kinds of n-gram.
 END, START = U(0x1234567), U(0x7654321)
@@ -46,6 +47,8 @@ MAX_LEVELS = 64
 #: Bits for each entry that a slice of the broadcast filter must have, and that longer slices get. By arithmetic
 #: an n-gram never seen passes one level with probability 0.024 or 0.002, a little more as an entry has one word.
 LEAST_ROOM, ROOM = 8, 16
+#: Bytes of text that are Python strings at once, and tokens counted together.
+SLICE, TOGETHER = 1 << 20, 1 << 21
 
 
 def entry(gram: np.ndarray, level: int, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,21 +109,42 @@ def pieces(batches: Iterator[pd.DataFrame], size: int = 16 << 20) -> Iterator[pd
             yield part.reset_index(drop=True)
 
 
-def count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in pieces(batches):
-        tokens, offsets = sequences(batch["text"].tolist())
-        before = bigrams(tokens, offsets)
-        rows = []
-        for kind, grams in (("w", mix(tokens ^ WORD)), ("p", combine(before, tokens) ^ PAIR)):
-            grams, counts = np.unique(grams, return_counts=True)
-            bounds = np.searchsorted(grams >> U(56), np.arange(RANGES + 1, dtype=U))
-            for part in range(RANGES):
-                a, b = bounds[part], bounds[part + 1]
-                if b > a:
-                    many = counts[a:b]
-                    kept = np.uint16 if many.max() < 1 << 16 else np.uint32
-                    rows.append((part, kind, grams[a:b].tobytes(), many.astype(kept).tobytes()))
-        yield pd.DataFrame(rows, columns=["part", "kind", "grams", "counts"])
+def packed_counts(kind: str, grams: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The counted n-grams of some arrays, a row for each hash range. The arrays
+    leave ``grams``, and one copy is sorted in place, so little more is held."""
+    held = np.concatenate(grams)
+    grams.clear()
+    held.sort()
+    first = np.flatnonzero(np.r_[True, held[1:] != held[:-1]])
+    counts, held = np.diff(np.r_[first, len(held)]), held[first]
+    bounds = np.searchsorted(held >> U(56), np.arange(RANGES + 1, dtype=U))
+    rows = []
+    for part, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        if b > a:
+            many = counts[a:b]
+            kept = np.uint16 if many.max() < 1 << 16 else np.uint32
+            rows.append((part, kind, held[a:b].tobytes(), many.astype(kept).tobytes()))
+    types = [pa.int32(), pa.string(), pa.binary(), pa.binary()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(column), t) for column, t in zip(zip(*rows, strict=True), types, strict=True)], ["part", "kind", "grams", "counts"])
+
+
+def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts are hashed slice by slice; only the n-grams of ``TOGETHER`` tokens or
+    a little more are held to be counted."""
+    held: dict[str, list[np.ndarray]] = {"w": [], "p": []}
+    size = 0
+    for batch in text_pieces(batches, SLICE):
+        tokens, offsets = sequences(batch.column("text").to_pylist())
+        held["w"].append(mix(tokens ^ WORD))
+        held["p"].append(combine(bigrams(tokens, offsets), tokens) ^ PAIR)
+        size += len(tokens)
+        if size >= TOGETHER:
+            for kind, grams in held.items():
+                yield from packed_counts(kind, grams)
+            size = 0
+    if size:
+        for kind, grams in held.items():
+            yield from packed_counts(kind, grams)
 
 
 def _unpack(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -175,10 +199,12 @@ def asked(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([mix(tokens ^ WORD), mix(lead ^ WORD), combine(before, tokens) ^ PAIR]))
 
 
-def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts in chunks, a row each."""
-    for batch in pieces(batches, 1 << 20):
-        yield pd.DataFrame({"chunk": [uuid.uuid4().hex], "doc_ids": [batch["doc_id"].tolist()], "keys": [batch["key"].tolist()], "texts": [batch["text"].tolist()]})
+    for batch in text_pieces(batches, SLICE):
+        whole = pa.array([0, batch.num_rows], pa.int32())
+        lists = [pa.ListArray.from_arrays(whole, batch.column(c)) for c in ("doc_id", "key", "text")]
+        yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), *lists], ["chunk", "doc_ids", "keys", "texts"])
 
 
 def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,7 +237,7 @@ def answered(texts: DataFrame, counted: DataFrame) -> DataFrame:
     """Chunks of ``texts`` (doc_id, key, text) with the levels of their n-grams
     as the slices in ``counted`` have them, in parts by hash range. Slices and
     questions meet by range in sorted streams, so neither is gathered."""
-    chunks = stage(texts.select(F.col("doc_id").cast("string").alias("doc_id"), "key", "text").mapInPandas(gather, "chunk string, doc_ids array<string>, keys array<string>, texts array<string>"))
+    chunks = stage(texts.select(F.col("doc_id").cast("string").alias("doc_id"), "key", "text").mapInArrow(gather, "chunk string, doc_ids array<string>, keys array<string>, texts array<string>"))
     questions = chunks.select("chunk", "texts").mapInPandas(ask, "part int, chunk string, body binary")
     slices = counted.select("part", F.lit("").alias("chunk"), F.col("slice").alias("body"))
     met = slices.unionByName(questions).repartition(RANGES, "part").sortWithinPartitions("part", "chunk")
@@ -245,7 +271,7 @@ def score(
     """
     spark = docs.sparkSession
     words = bits // 64
-    packed = train.select("text").mapInPandas(count_batches, "part int, kind string, grams binary, counts binary")
+    packed = train.select("text").mapInArrow(count_batches, "part int, kind string, grams binary, counts binary")
     counted = stage(packed.repartition(RANGES, "part").groupBy("part").applyInPandas(build_range(words), COUNTED))
 
     totals = counted.agg(F.coalesce(F.max("size"), F.lit(0)).alias("size"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v"), *[F.coalesce(F.sum(F.col("table")[i]), F.lit(0)).alias(f"t{i}") for i in range(MAX_LEVELS)]).first()
@@ -280,24 +306,29 @@ def score(
     order = np.argsort(gram)
     shared_head = spark.sparkContext.broadcast((gram[order], c[order]))
 
-    def by_filter(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, Callable[[np.ndarray], np.ndarray]]]:
-        for batch in pieces(batches, 4 << 20):
-            yield batch, functools.partial(levels, shared_bloom.value)
+    # Ids, keys and texts of a slice, and what finds the levels of its n-grams.
+    Slice = tuple[pa.Array, pa.Array, list, Callable[[np.ndarray], np.ndarray]]
 
-    def by_answers(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, Callable[[np.ndarray], np.ndarray]]]:
-        for batch in batches:
-            for row in batch.itertuples():
-                texts = pd.DataFrame({"doc_id": row.doc_ids, "key": row.keys, "text": row.texts}, dtype=object)
-                known = asked(*sequences(texts["text"].tolist()))
-                found = np.frombuffer(b"".join(x["found"] for x in row.found), np.uint8).astype(np.int64)
-                yield texts, lambda grams, known=known, found=found: found[np.searchsorted(known, grams)]
+    def by_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
+        for batch in text_pieces(batches, SLICE):
+            yield batch.column("doc_id"), batch.column("key"), batch.column("text").to_pylist(), functools.partial(levels, shared_bloom.value)
 
-    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def by_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                ids, keys, texts = (row.column(c).flatten() for c in ("doc_ids", "keys", "texts"))
+                texts = texts.to_pylist()
+                known = asked(*sequences(texts))
+                found = np.frombuffer(b"".join(x["found"] for x in row.column("found")[0].as_py()), np.uint8).astype(np.int64)
+                yield ids, keys, texts, lambda grams, known=known, found=found: found[np.searchsorted(known, grams)]
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, counts = shared_head.value
-        for batch, look_up in (by_filter if fits else by_answers)(batches):
-            tokens, offsets = sequences(batch["text"].tolist())
+        for ids, keys, texts, look_up in (by_filter if fits else by_answers)(batches):
+            tokens, offsets = sequences(texts)
             before = bigrams(tokens, offsets)
-            owner = np.repeat(np.arange(len(batch)), np.diff(offsets))
+            owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
             unique, place = np.unique(mix(tokens ^ WORD), return_inverse=True)
             seen = low(look_up(unique))
             p_word = (seen[place] + 1) / (n + v + 1)
@@ -308,39 +339,31 @@ def score(
             firsts, first_place = np.unique(mix(lead ^ WORD), return_inverse=True)
             context = high(look_up(firsts))[first_place]
             scores = np.log10((together + prior * p_word) / (context + prior))
-            total = np.bincount(owner, scores, len(batch))
+            total = np.bincount(owner, scores, len(texts))
 
             at = np.minimum(np.searchsorted(grams, unique.view(np.int64)), max(len(grams) - 1, 0))
             hit = grams[at] == unique.view(np.int64) if len(grams) else np.zeros(len(unique), bool)
             c = np.where(hit, counts[at], 0) if len(grams) else np.zeros(len(unique), np.int64)
             in_head = hit[place]
-            own = np.bincount(owner, np.where(in_head, np.log10(c[place] + 1.0), 0.0), len(batch))
-            n_known = np.bincount(owner, in_head & (c[place] > 0), len(batch)).astype(np.int64)
+            own = np.bincount(owner, np.where(in_head, np.log10(c[place] + 1.0), 0.0), len(texts))
+            n_known = np.bincount(owner, in_head & (c[place] > 0), len(texts)).astype(np.int64)
             tail_owner, tail_gram = owner[~in_head], unique.view(np.int64)[place[~in_head]]
             order = np.lexsort((tail_gram, tail_owner))
             tail_owner, tail_gram = tail_owner[order], tail_gram[order]
             first = np.flatnonzero(np.r_[True, (tail_owner[1:] != tail_owner[:-1]) | (tail_gram[1:] != tail_gram[:-1])]) if len(order) else np.zeros(0, np.int64)
             times = np.diff(np.r_[first, len(order)])
-            bounds = np.searchsorted(tail_owner[first], np.arange(len(batch) + 1))
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "key": batch["key"],
-                    "n_tokens": np.diff(offsets),
-                    "n_known": n_known,
-                    "own": own,
-                    "score": total,
-                    "tail": [tail_gram[first[a:b]].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)],
-                    "times": [times[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)],
-                }
-            )
+            bounds = np.searchsorted(tail_owner[first], np.arange(len(texts) + 1))
+            ends = pa.array(bounds, pa.int32())
+            tails = [pa.ListArray.from_arrays(ends, pa.array(column, pa.int64())) for column in (tail_gram[first], times)]
+            columns = [ids, keys, np.diff(offsets), n_known, own, total, *tails]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], ["doc_id", "key", "n_tokens", "n_known", "own", "score", "tail", "times"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.xxhash64("text").cast("string"))
     texts = docs.select("doc_id", key.alias("key"), "text")
     source, shown = (texts, kind) if fits else (answered(texts, counted), "string")
     weighed = stage(
-        source.mapInPandas(weigh, f"doc_id {shown}, key string, n_tokens long, n_known long, own double, score double, tail array<long>, times array<long>").withColumn("doc_id", F.col("doc_id").cast(kind))
+        source.mapInArrow(weigh, f"doc_id {shown}, key string, n_tokens long, n_known long, own double, score double, tail array<long>, times array<long>").withColumn("doc_id", F.col("doc_id").cast(kind))
     )
     if shared_bloom is not None:
         shared_bloom.destroy()  # what it was for is written

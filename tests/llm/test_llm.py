@@ -411,3 +411,27 @@ def test_nearest(spark):
         hits += len(set(order) & {i for _, i, _ in mine})
     assert hits >= 0.9 * 150 and len(got) == 150
     assert neighbours.nearest_of_hundredth(vectors.limit(0)).count() == 0
+
+
+def test_language_model_counts_slice_by_slice(monkeypatch):
+    """Texts become strings a slice at a time, n-grams of several slices and
+    batches are counted together, and the counts are those of all texts."""
+    import pyarrow as pa
+
+    from telemorph.llm import shared
+
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"t{x}" for x in rng.integers(0, 300, 40)) for _ in range(3000)] + [None, "", "one"]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[a : a + 1000]}) for a in range(0, len(texts), 1000)]
+    read, whole = [], language_model.sequences
+    monkeypatch.setattr(language_model, "sequences", lambda some: read.append(sum(len(t or "") for t in some)) or whole(some))
+    rows = [r for b in language_model.count_batches(iter(batches)) for r in b.to_pylist()]
+    assert len(read) > 1 == len({(r["part"], r["kind"]) for r in rows}) / len(rows) and max(read) <= language_model.SLICE + 400
+    tokens, offsets = whole(texts)
+    wanted = {"w": language_model.mix(tokens ^ language_model.WORD), "p": language_model.combine(language_model.bigrams(tokens, offsets), tokens) ^ language_model.PAIR}
+    for kind, grams in wanted.items():
+        own = [r for r in rows if r["kind"] == kind]
+        got = {g: c for r in own for g, c in zip(np.frombuffer(r["grams"], np.uint64), np.frombuffer(r["counts"], np.uint16 if 4 * len(r["counts"]) == len(r["grams"]) else np.uint32), strict=True)}
+        assert got == Counter(grams.tolist()) and all((np.frombuffer(r["grams"], np.uint64) >> np.uint64(56) == r["part"]).all() for r in own)
+    assert list(language_model.count_batches(iter([]))) == []
+    assert len(list(shared.text_pieces(iter(batches[:1]), 1 << 12))) > 10
