@@ -54,9 +54,11 @@ LARGE = 128
 FIRST = 3
 #: Members of a cell that one batch sends to the cell's task; further ones go past it.
 FEW = 4
-#: Characters of texts that a task holds at once, and ranges that are none: of
-#: sketches, and of members past a cell's task.
-HELD, SKETCH, PAST = 4 << 20, -2, -1
+#: Bytes of texts whose cell keys a task packs together, and of those that are Python
+#: strings and shingles at once.
+HELD, SLICE = 4 << 20, 1 << 20
+#: Ranges that are none: of sketches, and of members past a cell's task.
+SKETCH, PAST = -2, -1
 #: Members of a cell, and members outside its largest component, searched at once.
 BLOCK, SEARCH_BLOCK = 4096, 1024
 #: Of these, members that go down a tree together, and pairs of vectors compared at once.
@@ -83,6 +85,12 @@ def shingle_sets(texts: list, n: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, U)
 
 
+def sliced_sets(batch: pa.RecordBatch, n: int) -> Iterator[np.ndarray]:
+    """:func:`shingle_sets` of a batch's texts, of which a slice is held at a time."""
+    for part in text_pieces(iter([batch]), SLICE):
+        yield from shingle_sets(part.column("text").to_pylist(), n)
+
+
 def digest(shingles: np.ndarray) -> int:
     """One 64-bit number for a set, from its sorted shingles."""
     with np.errstate(over="ignore"):
@@ -162,12 +170,13 @@ def coarse(fine: np.ndarray) -> np.ndarray:
 
 
 def packed(fine: np.ndarray) -> bytes:
-    """A fine point in two bytes a coordinate, or four where counts need them."""
-    return fine.astype(np.uint16 if fine.max(initial=0) < 1 << 16 else np.uint32).tobytes()
+    """A fine point in one byte a coordinate, or in two or four where counts need them."""
+    most = fine.max(initial=0)
+    return fine.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32).tobytes()
 
 
 def unpacked(fine: bytes) -> np.ndarray:
-    return np.frombuffer(fine, np.uint16 if len(fine) == 2 * FINE else np.uint32)
+    return np.frombuffer(fine, {FINE: np.uint8, 2 * FINE: np.uint16}.get(len(fine), np.uint32))
 
 
 def dense(cells: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -213,7 +222,7 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
         of every set packed by hash range."""
         for batch in text_pieces(batches, HELD):
             keys, owners, needed, sizes, names = [], [], {0: nothing}, [], []
-            for s in shingle_sets(batch.column("text").to_pylist(), n):
+            for s in sliced_sets(batch, n):
                 name = digest(s) if len(s) else 0
                 if name not in needed:
                     found, needed[name] = cells(s, rule)
@@ -281,7 +290,7 @@ def linked_classes(docs: DataFrame, n: int, rule: Rule, parts: int) -> tuple[Dat
 
     def points_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64())]
-        for batch in text_pieces(batches, HELD):
+        for batch in text_pieces(batches, SLICE):
             sets = ((s, points(s)) for s in shingle_sets(batch.column("text").to_pylist(), n))
             rows = [(digest(s) if len(s) else 0, len(s), coarse(fine).astype(np.int32), packed(fine), s.view(np.int64)) for s, fine in sets]
             columns = [pa.array(list(column), t) for column, t in zip(zip(*rows, strict=True), types, strict=True)]

@@ -435,3 +435,25 @@ def test_language_model_counts_slice_by_slice(monkeypatch):
         assert got == Counter(grams.tolist()) and all((np.frombuffer(r["grams"], np.uint64) >> np.uint64(56) == r["part"]).all() for r in own)
     assert list(language_model.count_batches(iter([]))) == []
     assert len(list(shared.text_pieces(iter(batches[:1]), 1 << 12))) > 10
+
+
+def test_join_holds_small_slices_and_packs_points_in_bytes():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"t{x}" for x in rng.integers(0, 90, 200)) for _ in range(4000)] + [None, "one two"]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    assert batch.nbytes > 2 * jaccard_join.SLICE
+    found, wanted = jaccard_join.sliced_sets(batch, 3), jaccard_join.shingle_sets(texts, 3)
+    assert all((a == b).all() for a, b in zip(found, wanted, strict=True))
+    for most, width in ((0, 1), (255, 1), (256, 2), (65535, 2), (65536, 4)):
+        point = rng.integers(0, most + 1, jaccard_join.FINE)
+        point[0] = most
+        packed = jaccard_join.packed(point)
+        assert len(packed) == width * jaccard_join.FINE and (jaccard_join.unpacked(packed) == point).all()
+    # Points of different widths meet in one cell.
+    low, high = np.full(jaccard_join.FINE, 250), np.full(jaccard_join.FINE, 260)
+    both = np.array([jaccard_join.packed(x) for x in (low, high)] + [None], object)[:-1]
+    args = (np.array([7, 8]), np.array([1, 2]), both, np.array([0]), np.array([1]), jaccard_join.Rule(90))
+    for every in (True, False):
+        assert {tuple(r) for r in jaccard_join.near_parts(*args, every=every).tolist()} == {(1, 2, 7, 1), (1, 2, 8, 2)}
